@@ -15,10 +15,11 @@ MODEL_TEXT_CHARS = 15000  # page text passed to the model
 AUTHORS_SHOWN = 3
 CATEGORIES_SHOWN = 3
 
-# Java's (?U) makes \s the Unicode White_Space set, which is what Python's \s means
-# for str patterns once the control characters above are gone.
-_WS_RUN = "(?U)\\s+"
-_EDGE_WS = "(?U)^\\s+|\\s+$"
+# Java's (?U) makes \s the Unicode White_Space set; Python's \s (str.isspace) adds the
+# separators \x1c-\x1f, so they are listed too.
+PY_SPACE = "[\\s\\x1c-\\x1f]"
+_WS_RUN = "(?U)" + PY_SPACE + "+"
+_EDGE_WS = "(?U)^" + PY_SPACE + "+|" + PY_SPACE + "+$"
 
 
 def _c(x) -> Column:

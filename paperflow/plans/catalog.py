@@ -120,3 +120,123 @@ def q_needs_names(spark, sf):
 def q_backfill_names(spark, sf):
     df = taxonomy.backfill_names(S.papers(spark, sf), S.taxonomy(spark, sf))
     return df.select("id", "names_filled", join_list("categories_name").alias("categories_name"))
+
+
+# --- search and dates ------------------------------------------------------
+
+from paperflow.functions import dates as D  # noqa: E402
+from paperflow.functions import sections as SEC  # noqa: E402
+from paperflow.functions import text as TX  # noqa: E402
+from paperflow.operators import pages as PG  # noqa: E402
+from paperflow.operators import search as SR  # noqa: E402
+from paperflow.sources.tables import read_table  # noqa: E402
+
+
+@register("search_papers")
+def q_search_papers(spark, sf):
+    df = SR.search_papers(S.papers(spark, sf), params.SEARCH_START, params.SEARCH_END,
+                          codes=params.SEARCH_CODES, max_results=params.MAX_RESULTS)
+    return df.select("id", "arxiv_id", join_list("categories").alias("categories"), "published_date")
+
+
+@register("papers_on_day")
+def q_papers_on_day(spark, sf):
+    return SR.papers_on_day(S.papers(spark, sf), params.SAMPLE_DAY).select("id", "arxiv_id", "published_date")
+
+
+@register("papers_in_range")
+def q_papers_in_range(spark, sf):
+    df = SR.papers_in_range(S.papers(spark, sf), params.AS_OF, params.TEST_DAYS_BACK)
+    return df.select("id", "arxiv_id", "published_date")
+
+
+@register("target_day")
+def q_target_day(spark, sf):
+    days = read_table(spark, sf, "events", "ts").select(F.to_date("ts").alias("d")).distinct()
+    return days.select(
+        F.date_format("d", "yyyy-MM-dd").alias("run_day"),
+        F.weekday("d").cast("bigint").alias("weekday"),
+        F.date_format(D.target_day(F.col("d")), "yyyy-MM-dd").alias("target_day"),
+    )
+
+
+@register("day_bounds")
+def q_day_bounds(spark, sf):
+    days = S.papers(spark, sf).select(F.to_date("published_date").alias("d")).distinct()
+    lo, hi = D.day_bounds(F.col("d"))
+    return days.select(F.date_format("d", "yyyy-MM-dd").alias("day"), lo.alias("start_bound"), hi.alias("end_bound"))
+
+
+def feed_ts_string(ts, key):
+    """Feed-style timestamp text; every 11th key is written in a format the parser rejects."""
+    good = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    bad = F.date_format(ts, "yyyy/MM/dd HH:mm:ss")
+    return F.when(key % 11 == 0, bad).otherwise(good)
+
+
+@register("is_on_day")
+def q_is_on_day(spark, sf):
+    p = S.papers(spark, sf).select("id", feed_ts_string(F.col("published_date"), F.col("id")).alias("published"))
+    return p.select("id", "published", D.is_on_day(F.col("published"), params.SAMPLE_DAY).alias("is_on_day"))
+
+
+# --- text ------------------------------------------------------------------
+
+@register("url_tail")
+def q_url_tail(spark, sf):
+    return read_table(spark, sf, "pages", "page_id", "url").select("page_id", TX.url_tail("url").alias("tail"))
+
+
+@register("truncate_text")
+def q_truncate_text(spark, sf):
+    d = read_table(spark, sf, "documents", "doc_id", "text")
+    return d.select("doc_id", *[TX.truncate_text("text", n).alias(f"t{n}") for n in (100, 200, 500)])
+
+
+@register("author_label")
+def q_author_label(spark, sf):
+    return S.papers(spark, sf).select("id", TX.author_label("authors").alias("authors"))
+
+
+@register("clean_text")
+def q_clean_text(spark, sf):
+    c = TX.clean_text("text")
+    return S.dirty_text(spark, sf).select("doc_id", c.alias("text"), F.char_length(c).cast("bigint").alias("n_chars"))
+
+
+@register("ascii_only")
+def q_ascii_only(spark, sf):
+    d = read_table(spark, sf, "documents", "doc_id", "text")
+    return d.select("doc_id", TX.ascii_only("text").alias("text"))
+
+
+@register("keyword_match")
+def q_keyword_match(spark, sf):
+    return SR.keyword_hits(S.papers(spark, sf))
+
+
+@register("assemble_pages")
+def q_assemble_pages(spark, sf):
+    a = PG.assemble_pages(S.page_table(spark, sf))
+    return a.select("doc_id", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@register("model_input")
+def q_model_input(spark, sf):
+    p = S.papers(spark, sf).select("id", "title", "abstract")
+    pg = PG.assemble_pages(S.page_table(spark, sf)).withColumnRenamed("doc_id", "id")
+    j = p.join(pg, "id", "left")
+    return j.select("id", TX.model_input("title", "abstract", "text").alias("prompt"))
+
+
+@register("parse_sections")
+def q_parse_sections(spark, sf):
+    df = SEC.parse_responses(S.responses(spark, sf))
+    return df.select("doc_id", *[F.col(f"sections.{f}").alias(f) for f in SEC.FIELDS])
+
+
+@register("valid_sections")
+def q_valid_sections(spark, sf):
+    df = SEC.parse_responses(S.responses(spark, sf))
+    return df.select("doc_id", "is_valid",
+                     *[F.when(F.col("is_valid"), F.col(f"sections.{f}")).alias(f) for f in SEC.FIELDS])

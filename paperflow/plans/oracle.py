@@ -41,6 +41,25 @@ summaries AS (
 taxonomy AS (
   SELECT concat('src', CAST(n_nationkey AS VARCHAR)) AS category_code, n_name AS category_name FROM nation),
 stored AS (SELECT * FROM papers WHERE published_date < timestamp '2024-02-01 00:00:00'),
+pages_std AS (SELECT conv_id AS doc_id, turn AS page, text FROM conversations),
+dirty AS (
+  SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN NULL ELSE concat('  ' || chr(9),
+    replace(replace(replace(text, '. ', '. ' || chr(12288) || chr(160) || chr(8195) || ' '), ',', ',' || chr(7) || chr(1)),
+            chr(10), chr(10) || chr(133) || chr(13) || chr(10)),
+    chr(8203) || chr(31) || '  ') END AS text
+  FROM documents),
+responses AS (
+  SELECT doc_id, concat(
+    CASE WHEN doc_id % 8 = 7 THEN '**BEGINNER_TITLE:** ' ELSE 'BEGINNER_TITLE: ' END,
+    CASE WHEN doc_id % 8 = 7 THEN substr(flat, 1, 9) ELSE substr(flat, 1, 60) END,
+    chr(10) || chr(10) || 'INTERMEDIATE_TITLE: ', substr(flat, 61, 80),
+    chr(10) || chr(10), CASE WHEN doc_id % 8 = 7 THEN 'beginner_overview: ' ELSE 'BEGINNER_OVERVIEW: ' END, substr(flat, 141, 160),
+    chr(10) || chr(10), CASE WHEN doc_id % 8 = 4 THEN 'INTERMEDIATE OVERVIEW: ' ELSE 'INTERMEDIATE_OVERVIEW: ' END, substr(flat, 301, 160),
+    chr(10) || chr(10), CASE WHEN doc_id % 8 = 6 THEN '' ELSE 'BEGINNER_SUMMARY: ' END, substr(flat, 461, 900),
+    chr(10) || chr(10) || 'INTERMEDIATE_SUMMARY: ',
+    CASE WHEN doc_id % 8 = 5 THEN substr(flat, 1361, 40) || chr(10) || chr(10) || substr(flat, 1401, 860) ELSE substr(flat, 1361, 900) END
+  ) AS response
+  FROM (SELECT doc_id, replace(text, chr(10), ' ') AS flat FROM documents)),
 queue AS (
   SELECT p.id, p.arxiv_id, p.title, p.abstract, p.pdf_url, p.published_date
   FROM papers p LEFT JOIN summaries s ON p.id = s.arxiv_paper_id
@@ -174,6 +193,168 @@ FROM papers p LEFT JOIN translated t ON t.id = p.id
 """
 
 
+# --- search and dates ------------------------------------------------------
+
+from paperflow import params as _P  # noqa: E402
+
+
+def _ts(x) -> str:
+    return f"timestamp '{x:%Y-%m-%d %H:%M:%S}'"
+
+
+def _day(x) -> str:
+    return f"DATE '{x:%Y-%m-%d}'"
+
+
+_codes = ", ".join(f"'{c}'" for c in _P.SEARCH_CODES)
+Q["search_papers"] = f"""
+SELECT id, arxiv_id, array_to_string(categories, '|') AS categories, published_date FROM papers
+WHERE list_has_any(categories, [{_codes}])
+  AND published_date >= {_ts(_P.SEARCH_START)} AND published_date < {_ts(_P.SEARCH_END)} + INTERVAL 1 MINUTE
+ORDER BY published_date DESC, id DESC LIMIT {_P.MAX_RESULTS}
+"""
+
+Q["papers_on_day"] = f"""
+SELECT id, arxiv_id, published_date FROM papers WHERE CAST(published_date AS DATE) = {_day(_P.SAMPLE_DAY)}
+"""
+
+Q["papers_in_range"] = f"""
+SELECT id, arxiv_id, published_date FROM papers
+WHERE CAST(published_date AS DATE) BETWEEN {_day(_P.AS_OF)} - 1 - {_P.TEST_DAYS_BACK} AND {_day(_P.AS_OF)} - 1
+"""
+
+Q["target_day"] = """
+SELECT strftime(d, '%Y-%m-%d') AS run_day, CAST(isodow(d) - 1 AS BIGINT) AS weekday,
+       strftime(d - CASE WHEN isodow(d) = 1 THEN 3 ELSE 1 END, '%Y-%m-%d') AS target_day
+FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events)
+"""
+
+Q["day_bounds"] = """
+SELECT strftime(d, '%Y-%m-%d') AS day, strftime(d, '%Y%m%d') || '0000' AS start_bound,
+       strftime(d, '%Y%m%d') || '2359' AS end_bound
+FROM (SELECT DISTINCT CAST(published_date AS DATE) AS d FROM papers)
+"""
+
+Q["is_on_day"] = f"""
+SELECT id, published,
+       coalesce(CAST(try_strptime(published, '%Y-%m-%dT%H:%M:%SZ') AS DATE) = {_day(_P.SAMPLE_DAY)}, false) AS is_on_day
+FROM (SELECT id, CASE WHEN id % 11 = 0 THEN strftime(published_date, '%Y/%m/%d %H:%M:%S')
+                      ELSE strftime(published_date, '%Y-%m-%dT%H:%M:%SZ') END AS published FROM papers)
+"""
+
+# --- text ------------------------------------------------------------------
+
+# Python's \s for str patterns, in RE2 terms.
+PY_SPACE = r"[\t\n\v\f\r\x1c-\x1f\x85\p{Z}]"
+
+
+def clean(x: str) -> str:
+    return (f"coalesce(trim(regexp_replace(regexp_replace({x}, '[\\x00-\\x08\\x0b-\\x0c\\x0e-\\x1f\\x7f-\\x9f]', '', 'g'), "
+            f"'{PY_SPACE}+', ' ', 'g')), '')")
+
+
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{PY_SPACE}+|{PY_SPACE}+$', '', 'g')"
+
+
+Q["url_tail"] = "SELECT page_id, replace(string_split(url, '/')[-1], 'abs/', '') AS tail FROM pages"
+
+Q["truncate_text"] = f"""
+SELECT doc_id, {_t('text', 100)} AS t100, {_t('text', 200)} AS t200, {_t('text', 500)} AS t500 FROM documents
+"""
+
+Q["author_label"] = """
+SELECT id, array_to_string(authors[1:3], ', ') || CASE WHEN len(authors) > 3 THEN ' et al.' ELSE '' END AS authors FROM papers
+"""
+
+Q["clean_text"] = f"""
+SELECT doc_id, {clean('text')} AS text, CAST(length({clean('text')}) AS BIGINT) AS n_chars FROM dirty
+"""
+
+Q["ascii_only"] = "SELECT doc_id, regexp_replace(text, '[^\\x00-\\x7e]', '', 'g') AS text FROM documents"
+
+from paperflow.operators.search import AI_KEYWORDS as _KW  # noqa: E402
+
+_kw = ", ".join(f"'{k}'" for k in _KW)
+Q["keyword_match"] = f"""
+SELECT id, CAST(n AS BIGINT) AS n_keywords, n > 0 AS is_ai
+FROM (SELECT id, len(list_filter([{_kw}], lambda k: contains(lower(concat_ws(' ', title, abstract)), k))) AS n FROM papers)
+"""
+
+_ASSEMBLED = f"""
+assembled AS (
+  SELECT doc_id, nullif({clean("string_agg(c, chr(10) ORDER BY page) FILTER (WHERE c <> '')")}, '') AS text
+  FROM (SELECT doc_id, page, {clean('text')} AS c FROM pages_std WHERE page < 10)
+  GROUP BY doc_id)
+"""
+
+Q["assemble_pages"] = f"""
+, {_ASSEMBLED.strip()}
+SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n_chars FROM assembled
+"""
+
+from paperflow.functions.text import PROMPT_TEMPLATE as _TPL  # noqa: E402
+
+_tpl = _TPL.replace("'", "''")
+Q["model_input"] = f"""
+, {_ASSEMBLED.strip()}
+SELECT p.id, printf('{_tpl}', {clean('p.title')}, {clean('p.abstract')}, substr({clean('a.text')}, 1, 15000)) AS prompt
+FROM papers p LEFT JOIN assembled a ON a.doc_id = p.id
+"""
+
+# --- sections --------------------------------------------------------------
+
+from paperflow.functions import sections as _SEC  # noqa: E402
+
+
+def _re2(p: str, flags: str) -> str:
+    body = p.replace("(?=", "(?:").replace("\\s", PY_SPACE)
+    return ("(?" + flags + ")" + body).replace("'", "''")
+
+
+def _fold_sql(cands) -> str:
+    first = [f"CASE WHEN {m} AND length({x}) > 10 THEN {x} END" for m, x in cands]
+    last = [f"CASE WHEN {m} THEN {x} END" for m, x in reversed(cands)]
+    return "coalesce(" + ", ".join(first + last) + ")"
+
+
+def _sections_sql() -> str:
+    cols, folds = [], {}
+    for fi, f in enumerate(_SEC.FIELDS):
+        cands = []
+        for pi, p in enumerate(_SEC.PATTERNS[f]):
+            pat = _re2(p, "is")
+            cols.append(f"regexp_matches(r, '{pat}') AS m_{fi}_{pi}")
+            cols.append(f"{strip(f"regexp_extract(r, '{pat}', 1)")} AS x_{fi}_{pi}")
+            cands.append((f"m_{fi}_{pi}", f"x_{fi}_{pi}"))
+        folds[f] = _fold_sql(cands)
+    hdr = _re2(_SEC.OVERVIEW_HEADER, "s")
+    alts = []
+    for ai, p in enumerate(_SEC.OVERVIEW_FALLBACKS):
+        pat = _re2(p, "is")
+        cols.append(f"regexp_matches(r, '{pat}') AS am_{ai}")
+        cols.append(f"{strip(f"regexp_extract(r, '{pat}', 1)")} AS ax0_{ai}")
+        alts.append(ai)
+    alt_x = []
+    for ai in alts:
+        x = f"ax0_{ai}"
+        alt_x.append((f"am_{ai}", f"(CASE WHEN (starts_with({x}, 'INTERMEDIATE') OR starts_with({x}, 'Intermediate')) "
+                                  f"AND regexp_matches({x}, '{hdr}') THEN {strip(f"regexp_extract({x}, '{hdr}', 1)")} ELSE {x} END)"))
+    io = folds["intermediate_overview"]
+    folds["intermediate_overview"] = (f"CASE WHEN ({io}) IS NULL OR ({io}) = '' THEN coalesce({_fold_sql(alt_x)}, {io}) ELSE {io} END")
+    cand_cte = f"cands AS (SELECT doc_id, {', '.join(cols)} FROM (SELECT doc_id, {strip('response')} AS r FROM responses))"
+    fields = ", ".join(f"{folds[f]} AS {f}" for f in _SEC.FIELDS)
+    valid = " AND ".join(f"coalesce(length({f}) >= 10, false)" for f in _SEC.FIELDS)
+    return (f", {cand_cte},\nparsed AS (SELECT doc_id, {fields} FROM cands),\n"
+            f"checked AS (SELECT *, {valid} AS is_valid FROM parsed)\n")
+
+
+_SECTIONS = _sections_sql()
+Q["parse_sections"] = _SECTIONS + "SELECT doc_id, " + ", ".join(_SEC.FIELDS) + " FROM checked"
+Q["valid_sections"] = _SECTIONS + "SELECT doc_id, is_valid, " + ", ".join(
+    f"CASE WHEN is_valid THEN {f} END AS {f}" for f in _SEC.FIELDS) + " FROM checked"
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for k, body in Q.items():

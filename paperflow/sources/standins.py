@@ -120,3 +120,31 @@ def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("\u200b\x1f  "),
     )
     return d.select("doc_id", F.when(F.col("doc_id") % 13 == 0, F.lit(None).cast("string")).otherwise(dirty).alias("text"))
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model responses assembled from document text with the six headers.
+
+    ``doc_id % 8`` picks a shape: 0-3 well formed; 4 writes the intermediate overview
+    header with a space; 5 puts a blank line inside the last summary; 6 drops the
+    beginner summary header; 7 uses bold markers, a lower-case header and a title of
+    9-11 characters. Newlines inside the pieces are replaced by spaces.
+    """
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    flat = F.replace(F.col("text"), F.lit("\n"), F.lit(" "))
+    v = F.col("doc_id") % 8
+    p = lambda s, n: F.substring(flat, s, n)
+    title = F.when(v == 7, p(1, 9)).otherwise(p(1, 60))
+    t1 = F.when(v == 7, F.lit("**BEGINNER_TITLE:** ")).otherwise(F.lit("BEGINNER_TITLE: "))
+    h3 = F.when(v == 7, F.lit("beginner_overview: ")).otherwise(F.lit("BEGINNER_OVERVIEW: "))
+    h4 = F.when(v == 4, F.lit("INTERMEDIATE OVERVIEW: ")).otherwise(F.lit("INTERMEDIATE_OVERVIEW: "))
+    h5 = F.when(v == 6, F.lit("")).otherwise(F.lit("BEGINNER_SUMMARY: "))
+    last = F.when(v == 5, F.concat(p(1361, 40), F.lit("\n\n"), p(1401, 860))).otherwise(p(1361, 900))
+    resp = F.concat(
+        t1, title, F.lit("\n\nINTERMEDIATE_TITLE: "), p(61, 80),
+        F.lit("\n\n"), h3, p(141, 160),
+        F.lit("\n\n"), h4, p(301, 160),
+        F.lit("\n\n"), h5, p(461, 900),
+        F.lit("\n\nINTERMEDIATE_SUMMARY: "), last,
+    )
+    return d.select("doc_id", resp.alias("response"))
