@@ -240,3 +240,132 @@ def q_valid_sections(spark, sf):
     df = SEC.parse_responses(S.responses(spark, sf))
     return df.select("doc_id", "is_valid",
                      *[F.when(F.col("is_valid"), F.col(f"sections.{f}")).alias(f) for f in SEC.FIELDS])
+
+
+# --- ingest and numbering --------------------------------------------------
+
+from paperflow.operators import ingest as IN  # noqa: E402
+from paperflow.operators import migrate as MG  # noqa: E402
+from paperflow.operators import quality as QA  # noqa: E402
+from paperflow.operators import rates as RT  # noqa: E402
+from paperflow.operators.numbering import batch_numbers  # noqa: E402
+
+
+@register("new_papers")
+def q_new_papers(spark, sf):
+    return IN.new_rows(S.feed_rows(spark, sf), S.stored_papers(spark, sf)).select("arxiv_id", "title")
+
+
+@register("existing_papers")
+def q_existing_papers(spark, sf):
+    return IN.existing_keys(S.stored_papers(spark, sf), S.feed_rows(spark, sf))
+
+
+@register("distinct_keys")
+def q_distinct_keys(spark, sf):
+    return IN.distinct_keys(S.stored_papers(spark, sf), S.feed_rows(spark, sf))
+
+
+@register("assign_ids")
+def q_assign_ids(spark, sf):
+    stored = S.stored_papers(spark, sf)
+    fresh = IN.new_rows(IN.dedup_feed(S.feed_rows(spark, sf)), stored)
+    return IN.assign_ids(fresh, stored).select("arxiv_id", "id")
+
+
+@register("ingest_result")
+def q_ingest_result(spark, sf):
+    out = IN.ingest(S.feed_rows(spark, sf), S.stored_papers(spark, sf))
+    return out.select("id", "arxiv_id", "title", "published_date", "updated_date")
+
+
+@register("batch_plan")
+def q_batch_plan(spark, sf):
+    q = views.papers_needing_summaries(S.papers(spark, sf), S.summaries(spark, sf))
+    b = batch_numbers(q, [F.col("published_date").desc(), F.col("id").desc()], params.QUEUE_LIMIT)
+    return b.select("id", "rn", "batch_no")
+
+
+@register("run_counts")
+def q_run_counts(spark, sf):
+    feed = IN.dedup_feed(S.feed_rows(spark, sf))
+    stored = S.stored_papers(spark, sf)
+    flagged = feed.join(stored.select("arxiv_id", F.lit(True).alias("is_stored")), "arxiv_id", "left")
+    on = D.on_day("published_date", params.SAMPLE_DAY)
+    fresh_on = on & F.col("is_stored").isNull()
+    feed_counts = flagged.agg(F.count_if(on).alias("kept"), F.count_if(~on).alias("filtered_out"),
+                              F.count_if(fresh_on).alias("inserted"))
+    fill = taxonomy.needs_names(stored).filter(F.size("categories") > 0).agg(F.count(F.lit(1)).alias("names_filled"))
+    long = feed_counts.unpivot([], ["kept", "filtered_out", "inserted"], "metric", "value")
+    return long.unionByName(fill.unpivot([], ["names_filled"], "metric", "value"))
+
+
+@register("success_rate")
+def q_success_rate(spark, sf):
+    s = S.summaries(spark, sf).select(F.date_format("created_at", "yyyy-MM-dd").alias("run_day"),
+                                      (F.col("processing_status") == "completed").alias("ok"))
+    return RT.success_rate(s, ["run_day"])
+
+
+# --- audits, delete, migration ---------------------------------------------
+
+NOT_NULL_PAPERS = ["arxiv_id", "title", "abstract", "authors", "categories", "categories_name",
+                   "published_date", "updated_date", "abstract_url"]
+
+
+@register("cascade_delete")
+def q_cascade_delete(spark, sf):
+    return QA.cascade_delete(S.summaries(spark, sf), S.deleted_papers(spark, sf)).select("id", "arxiv_paper_id")
+
+
+@register("audit_orphans")
+def q_audit_orphans(spark, sf):
+    kept = S.papers(spark, sf).join(S.deleted_papers(spark, sf), "id", "left_anti")
+    return QA.orphans(S.summaries(spark, sf), kept).select("id", "arxiv_paper_id")
+
+
+@register("audit_unique")
+def q_audit_unique(spark, sf):
+    return QA.duplicate_keys(S.feed_rows(spark, sf), "arxiv_id", "feed.arxiv_id").unionByName(
+        QA.duplicate_keys(S.summaries(spark, sf), "arxiv_paper_id", "summaries.arxiv_paper_id"))
+
+
+@register("audit_not_null")
+def q_audit_not_null(spark, sf):
+    migrated = MG.migrate_summaries(S.old_summaries(spark, sf))
+    return QA.null_counts(S.papers(spark, sf), "papers", NOT_NULL_PAPERS).unionByName(
+        QA.null_counts(migrated, "summaries", list(SEC.FIELDS)))
+
+
+@register("audit_length")
+def q_audit_length(spark, sf):
+    return QA.length_report(S.summaries(spark, sf), "summaries", QA.LENGTH_LIMITS).unionByName(
+        QA.length_report(S.papers(spark, sf), "papers", {"arxiv_id": 50}))
+
+
+@register("audit_aligned")
+def q_audit_aligned(spark, sf):
+    return QA.misaligned(S.papers(spark, sf))
+
+
+@register("migrate_summaries")
+def q_migrate_summaries(spark, sf):
+    return MG.migrate_summaries(S.old_summaries(spark, sf)).select("id", *SEC.FIELDS)
+
+
+@register("pending_regen")
+def q_pending_regen(spark, sf):
+    return MG.pending_regeneration(MG.migrate_summaries(S.summaries_with_blanks(spark, sf))).select(
+        "id", "beginner_overview", "intermediate_overview")
+
+
+# --- rates -----------------------------------------------------------------
+
+@register("trailing_rate")
+def q_trailing_rate(spark, sf):
+    return RT.trailing_rate(read_table(spark, sf, "events", "event_id", "user_id", "ts"))
+
+
+@register("requests_per_minute")
+def q_requests_per_minute(spark, sf):
+    return RT.requests_per_minute(read_table(spark, sf, "events", "user_id", "ts"))

@@ -60,6 +60,35 @@ responses AS (
     CASE WHEN doc_id % 8 = 5 THEN substr(flat, 1361, 40) || chr(10) || chr(10) || substr(flat, 1401, 860) ELSE substr(flat, 1361, 900) END
   ) AS response
   FROM (SELECT doc_id, replace(text, chr(10), ' ') AS flat FROM documents)),
+feed AS (
+  SELECT arxiv_id, title, abstract, authors, categories, categories_name, published_date, updated_date, pdf_url, abstract_url
+  FROM papers
+  UNION ALL
+  SELECT arxiv_id, title || ' [rev]', abstract, authors, categories, categories_name, published_date,
+         updated_date + INTERVAL 1 DAY, pdf_url, abstract_url
+  FROM papers WHERE id % 4 = 0),
+feed_dedup AS (
+  SELECT * EXCLUDE (rk) FROM (
+    SELECT *, row_number() OVER (PARTITION BY arxiv_id ORDER BY updated_date DESC, abstract_url) AS rk FROM feed)
+  WHERE rk = 1),
+fresh AS (SELECT f.* FROM feed_dedup f WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.arxiv_id = f.arxiv_id)),
+fresh_ids AS (
+  SELECT (SELECT max(id) FROM stored) + row_number() OVER (ORDER BY published_date, arxiv_id) AS id, * FROM fresh),
+deleted AS (SELECT id FROM papers WHERE pdf_url IS NULL),
+old_summaries AS (
+  SELECT id, arxiv_paper_id, arxiv_id,
+         CASE WHEN id % 6 = 0 THEN '' WHEN id % 6 = 1 THEN NULL ELSE beginner_title END AS easy_title,
+         CASE WHEN id % 7 = 0 THEN '' WHEN id % 7 = 1 THEN NULL ELSE beginner_summary END AS layman_summary,
+         intermediate_summary AS university_summary, processing_status, created_at
+  FROM summaries),
+migrated AS (
+  SELECT id,
+         CASE WHEN easy_title IS NULL OR easy_title = '' THEN 'Beginner title pending regeneration' ELSE easy_title END AS beginner_title,
+         'Intermediate title pending regeneration' AS intermediate_title,
+         'Overview pending regeneration' AS beginner_overview,
+         'Overview pending regeneration' AS intermediate_overview,
+         layman_summary AS beginner_summary, university_summary AS intermediate_summary
+  FROM old_summaries),
 queue AS (
   SELECT p.id, p.arxiv_id, p.title, p.abstract, p.pdf_url, p.published_date
   FROM papers p LEFT JOIN summaries s ON p.id = s.arxiv_paper_id
@@ -355,6 +384,108 @@ Q["valid_sections"] = _SECTIONS + "SELECT doc_id, is_valid, " + ", ".join(
     f"CASE WHEN is_valid THEN {f} END AS {f}" for f in _SEC.FIELDS) + " FROM checked"
 
 
+# --- ingest and numbering --------------------------------------------------
+
+Q["new_papers"] = "SELECT f.arxiv_id, f.title FROM feed f WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.arxiv_id = f.arxiv_id)"
+
+Q["existing_papers"] = "SELECT s.arxiv_id FROM stored s WHERE s.arxiv_id IN (SELECT arxiv_id FROM feed)"
+
+Q["distinct_keys"] = "SELECT DISTINCT arxiv_id FROM (SELECT arxiv_id FROM stored UNION ALL SELECT arxiv_id FROM feed)"
+
+Q["assign_ids"] = "SELECT arxiv_id, id FROM fresh_ids"
+
+Q["ingest_result"] = """
+SELECT id, arxiv_id, title, published_date, updated_date FROM stored
+UNION ALL
+SELECT id, arxiv_id, title, published_date, updated_date FROM fresh_ids
+"""
+
+Q["batch_plan"] = f"""
+SELECT id, rn, (rn - 1) // {_P.QUEUE_LIMIT} AS batch_no
+FROM (SELECT id, row_number() OVER (ORDER BY published_date DESC, id DESC) AS rn FROM queue)
+"""
+
+Q["run_counts"] = f"""
+SELECT 'kept' AS metric, CAST(count_if(CAST(published_date AS DATE) = {_day(_P.SAMPLE_DAY)}) AS BIGINT) AS value FROM feed_dedup
+UNION ALL
+SELECT 'filtered_out', CAST(count_if(CAST(published_date AS DATE) <> {_day(_P.SAMPLE_DAY)}) AS BIGINT) FROM feed_dedup
+UNION ALL
+SELECT 'inserted', count(*) FROM fresh WHERE CAST(published_date AS DATE) = {_day(_P.SAMPLE_DAY)}
+UNION ALL
+SELECT 'names_filled', count(*) FROM stored
+WHERE (categories_name IS NULL OR len(categories_name) = 0) AND len(categories) > 0
+"""
+
+Q["success_rate"] = """
+SELECT run_day, attempted, completed, attempted - completed AS failed,
+       CASE WHEN attempted > 0 THEN CAST((2000 * completed + attempted) // (2 * attempted) AS DOUBLE) / 10 END AS success_rate
+FROM (SELECT strftime(created_at, '%Y-%m-%d') AS run_day, count(*) AS attempted,
+             CAST(count_if(processing_status = 'completed') AS BIGINT) AS completed
+      FROM summaries GROUP BY 1)
+"""
+
+# --- audits, delete, migration ---------------------------------------------
+
+Q["cascade_delete"] = "SELECT id, arxiv_paper_id FROM summaries WHERE arxiv_paper_id NOT IN (SELECT id FROM deleted)"
+
+Q["audit_orphans"] = """
+SELECT s.id, s.arxiv_paper_id FROM summaries s
+WHERE NOT EXISTS (SELECT 1 FROM papers p WHERE p.id = s.arxiv_paper_id AND p.id NOT IN (SELECT id FROM deleted))
+"""
+
+Q["audit_unique"] = """
+SELECT 'feed.arxiv_id' AS check_name, arxiv_id AS key, count(*) AS n_rows FROM feed GROUP BY arxiv_id HAVING count(*) > 1
+UNION ALL
+SELECT 'summaries.arxiv_paper_id', CAST(arxiv_paper_id AS VARCHAR), count(*) FROM summaries GROUP BY arxiv_paper_id HAVING count(*) > 1
+"""
+
+_NN_PAPERS = ["arxiv_id", "title", "abstract", "authors", "categories", "categories_name",
+              "published_date", "updated_date", "abstract_url"]
+Q["audit_not_null"] = "\nUNION ALL\n".join(
+    [f"SELECT 'papers' AS table_name, '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null FROM papers"
+     for c in _NN_PAPERS]
+    + [f"SELECT 'summaries', '{c}', CAST(count_if({c} IS NULL) AS BIGINT) FROM migrated" for c in _SEC.FIELDS])
+
+_LEN = [("summaries", "arxiv_id", 50), ("summaries", "processing_status", 50), ("summaries", "model_name", 100),
+        ("papers", "arxiv_id", 50)]
+Q["audit_length"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({n} AS BIGINT) AS max_len, "
+    f"CAST(count_if(length({c}) > {n}) AS BIGINT) AS n_over, CAST(max(length({c})) AS BIGINT) AS longest FROM {t}"
+    for t, c, n in _LEN)
+
+Q["audit_aligned"] = """
+SELECT id, CAST(len(categories) AS BIGINT) AS n_codes, CAST(len(categories_name) AS BIGINT) AS n_names
+FROM papers WHERE len(categories) <> len(categories_name)
+"""
+
+Q["migrate_summaries"] = "SELECT id, " + ", ".join(_SEC.FIELDS) + " FROM migrated"
+
+Q["pending_regen"] = """
+SELECT id, beginner_overview, intermediate_overview FROM (
+  SELECT id,
+    CASE WHEN bo IS NULL OR bo = '' THEN 'Overview pending regeneration' ELSE bo END AS beginner_overview,
+    CASE WHEN io IS NULL OR io = '' THEN 'Overview pending regeneration' ELSE io END AS intermediate_overview
+  FROM (SELECT id, CASE WHEN id % 5 = 0 THEN '' ELSE beginner_overview END AS bo,
+               CASE WHEN id % 5 = 1 THEN NULL ELSE intermediate_overview END AS io FROM summaries))
+WHERE beginner_overview = 'Overview pending regeneration' OR intermediate_overview = 'Overview pending regeneration'
+"""
+
+# --- rates -----------------------------------------------------------------
+
+Q["trailing_rate"] = """
+SELECT event_id, user_id, ts, n_window, n_window > 15 AS throttled,
+       CASE WHEN n_window > 15 THEN CAST(60000000 - age AS DOUBLE) / 1000000.0 ELSE 0.0 END AS wait_s
+FROM (SELECT event_id, user_id, ts, count(*) OVER w AS n_window,
+             epoch_us(ts) - min(epoch_us(ts)) OVER w AS age
+      FROM events
+      WINDOW w AS (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW))
+"""
+
+Q["requests_per_minute"] = """
+SELECT date_trunc('minute', ts) AS window_start, user_id, count(*) AS n_requests FROM events GROUP BY ALL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for k, body in Q.items():

@@ -148,3 +148,23 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("\n\nINTERMEDIATE_SUMMARY: "), last,
     )
     return d.select("doc_id", resp.alias("response"))
+
+
+def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fetched feed: every paper once, and every fourth paper a second time with a
+    later ``updated_date`` and revised title (copies the de-duplication must resolve)."""
+    p = papers(spark, sf_dir)
+    rev = (p.filter(F.col("id") % 4 == 0)
+           .withColumn("title", F.concat("title", F.lit(" [rev]")))
+           .withColumn("updated_date", F.col("updated_date") + F.expr("INTERVAL 1 DAY")))
+    cols = ["arxiv_id", "title", "abstract", "authors", "categories", "categories_name",
+            "published_date", "updated_date", "pdf_url", "abstract_url"]
+    return p.select(*cols).unionByName(rev.select(*cols))
+
+
+def summaries_with_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current-shape summaries where some overviews were never written."""
+    s = summaries(spark, sf_dir)
+    return (s.withColumn("beginner_overview", F.when(F.col("id") % 5 == 0, F.lit("")).otherwise(F.col("beginner_overview")))
+            .withColumn("intermediate_overview",
+                        F.when(F.col("id") % 5 == 1, F.lit(None).cast("string")).otherwise(F.col("intermediate_overview"))))
