@@ -369,3 +369,86 @@ def q_trailing_rate(spark, sf):
 @register("requests_per_minute")
 def q_requests_per_minute(spark, sf):
     return RT.requests_per_minute(read_table(spark, sf, "events", "user_id", "ts"))
+
+
+# --- feed files, streaming ingest ------------------------------------------
+
+from paperflow.operators import inference as INF  # noqa: E402
+from paperflow.session import scratch_path  # noqa: E402
+from paperflow.sources import feed as FD  # noqa: E402
+from paperflow.streaming import drain as DR  # noqa: E402
+from paperflow.streaming import ingest as SI  # noqa: E402
+
+
+def _feed_entries(spark, sf):
+    """Feed files rendered from the papers table into the shared scratch folder, then scanned."""
+    path = FD.write_feed(S.papers(spark, sf), scratch_path(spark, "feed"))
+    return FD.read_feed(spark, path)
+
+
+@register("feed_scan")
+def q_feed_scan(spark, sf):
+    e = _feed_entries(spark, sf)
+    return e.select(
+        F.col("id").alias("entry_id"), TX.strip_ws("title").alias("title"), TX.strip_ws("summary").alias("summary"),
+        "published", "updated",
+        join_list(F.transform("author", lambda a: a["name"])).alias("authors"),
+        join_list(F.transform("category", lambda c: c["_term"])).alias("categories"),
+        FD.pdf_link(F.col("link")).alias("pdf_href"),
+    )
+
+
+@register("feed_to_papers")
+def q_feed_to_papers(spark, sf):
+    parsed = FD.entries_to_papers(_feed_entries(spark, sf), S.taxonomy(spark, sf))
+    v = FD.valid_papers(parsed)
+    return v.select("arxiv_id", "title", "abstract", join_list("authors").alias("authors"),
+                    join_list("categories").alias("categories"), join_list("categories_name").alias("categories_name"),
+                    "published_date", "updated_date", "pdf_url", "abstract_url")
+
+
+@register("feed_rejects")
+def q_feed_rejects(spark, sf):
+    return FD.rejected_entries(FD.entries_to_papers(_feed_entries(spark, sf)))
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf):
+    table = scratch_path(spark, "papers-table")
+    S.stored_papers(spark, sf).select(*SI.TABLE_COLUMNS).write.parquet(table)
+    inbox = FD.write_feed(S.papers(spark, sf), scratch_path(spark, "inbox"))
+    q = SI.start_ingest(spark, inbox, table, scratch_path(spark, "stream-ckpt"), taxonomy=S.taxonomy(spark, sf))
+    q.awaitTermination()
+    return spark.read.parquet(table).select("id", "arxiv_id", "published_date")
+
+
+# --- model hook, summary rows, drain ---------------------------------------
+
+STUB_MODEL = "echo-stub"
+
+
+def _stub_results(spark, sf):
+    prompts = DR.queue_prompts(S.papers(spark, sf), S.summaries(spark, sf), S.page_table(spark, sf),
+                               params.QUEUE_LIMIT, single_batch=False)
+    res = INF.summarize(prompts, INF.echo_model)
+    return res.join(prompts.select("id", "batch_no"), "id")
+
+
+@register("summarize_stub")
+def q_summarize_stub(spark, sf):
+    return _stub_results(spark, sf).select("id", "ok", F.col("attempts").cast("bigint").alias("attempts"), "batch_no")
+
+
+@register("summary_rows")
+def q_summary_rows(spark, sf):
+    rows = INF.summary_rows(_stub_results(spark, sf), S.papers(spark, sf), STUB_MODEL)
+    return rows.select("arxiv_paper_id", "arxiv_id", *SEC.FIELDS, "processing_status", "model_name")
+
+
+@register("drain_result")
+def q_drain_result(spark, sf):
+    papers, summ = S.papers(spark, sf), S.summaries(spark, sf)
+    new_rows, _ = DR.drain(papers, summ, S.page_table(spark, sf), INF.echo_model, STUB_MODEL,
+                           batch_size=params.QUEUE_LIMIT)
+    return DR.end_state(summ, new_rows).select("arxiv_paper_id", "processing_status", "source",
+                                               "beginner_title", "intermediate_summary")

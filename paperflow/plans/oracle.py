@@ -486,6 +486,84 @@ SELECT date_trunc('minute', ts) AS window_start, user_id, count(*) AS n_requests
 """
 
 
+# --- feed files --------------------------------------------------------------
+
+_ENTRY = "'http://files.example/abs/' || arxiv_id"
+Q["feed_scan"] = f"""
+SELECT {_ENTRY} AS entry_id, {strip('title')} AS title, {strip('abstract')} AS summary,
+       CASE WHEN id % 11 = 0 THEN strftime(published_date, '%Y/%m/%d %H:%M:%S')
+            ELSE strftime(published_date, '%Y-%m-%dT%H:%M:%SZ') END AS published,
+       CASE WHEN id % 5 = 0 THEN NULL ELSE strftime(published_date + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%SZ') END AS updated,
+       array_to_string(authors, '|') AS authors,
+       CASE WHEN id % 13 = 0 THEN NULL ELSE array_to_string(categories, '|') END AS categories,
+       pdf_url AS pdf_href
+FROM papers
+"""
+
+Q["feed_to_papers"] = f"""
+, {_TRANSLATED.strip()}
+SELECT p.arxiv_id, {strip('p.title')} AS title, {strip('p.abstract')} AS abstract,
+       array_to_string(p.authors, '|') AS authors,
+       CASE WHEN p.id % 13 = 0 THEN '' ELSE array_to_string(p.categories, '|') END AS categories,
+       CASE WHEN p.id % 13 = 0 THEN '' ELSE t.names END AS categories_name,
+       p.published_date,
+       CASE WHEN p.id % 5 = 0 THEN p.published_date ELSE p.published_date + INTERVAL 2 HOUR END AS updated_date,
+       p.pdf_url, {_ENTRY} AS abstract_url
+FROM papers p LEFT JOIN translated t ON t.id = p.id
+WHERE p.id % 11 <> 0
+"""
+
+Q["feed_rejects"] = f"""
+SELECT {_ENTRY} AS abstract_url, strftime(published_date, '%Y/%m/%d %H:%M:%S') AS raw_published,
+       'bad published date' AS reason
+FROM papers WHERE id % 11 = 0
+"""
+
+# One micro-batch (availableNow, no file cap): ids continue after the stored maximum.
+Q["stream_ingest"] = """
+SELECT id, arxiv_id, published_date FROM stored
+UNION ALL
+SELECT (SELECT max(id) FROM stored) + row_number() OVER (ORDER BY published_date, arxiv_id), arxiv_id, published_date
+FROM papers p WHERE p.id % 11 <> 0 AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.arxiv_id = p.arxiv_id)
+"""
+
+# --- model hook (deterministic offline stub), summary rows, drain --------------
+
+_STUB = f"""
+stub_in AS (SELECT id, arxiv_id, {clean('title')} AS t, {clean('abstract')} AS a FROM queue),
+stub AS (
+  SELECT id, arxiv_id, length(a) >= 200 AS ok,
+         CAST(CASE WHEN length(a) < 200 THEN 3 WHEN length(t) % 4 = 0 THEN 2 WHEN length(t) % 4 = 1 THEN 3 ELSE 1 END AS BIGINT) AS attempts,
+         {strip("'Plain words: ' || substr(t, 1, 40)")} AS beginner_title,
+         {strip("'Technical: ' || substr(t, 1, 60)")} AS intermediate_title,
+         {strip("'In short: ' || substr(a, 1, 120)")} AS beginner_overview,
+         {strip("'In detail: ' || substr(a, 1, 160)")} AS intermediate_overview,
+         {strip("'Summary: ' || substr(a, 1, 600)")} AS beginner_summary,
+         {strip("'Details: ' || substr(a, 1, 900)")} AS intermediate_summary
+  FROM stub_in),
+batches AS (SELECT id, (row_number() OVER (ORDER BY published_date DESC, id DESC) - 1) // {_P.QUEUE_LIMIT} AS batch_no FROM queue)
+"""
+
+Q["summarize_stub"] = f"""
+, {_STUB.strip()}
+SELECT s.id, s.ok, s.attempts, b.batch_no FROM stub s JOIN batches b ON b.id = s.id
+"""
+
+Q["summary_rows"] = f"""
+, {_STUB.strip()}
+SELECT id AS arxiv_paper_id, arxiv_id, beginner_title, intermediate_title, beginner_overview, intermediate_overview,
+       beginner_summary, intermediate_summary, 'completed' AS processing_status, 'echo-stub' AS model_name
+FROM stub WHERE ok
+"""
+
+Q["drain_result"] = f"""
+, {_STUB.strip()}
+SELECT arxiv_paper_id, processing_status, 'stored' AS source, beginner_title, intermediate_summary FROM summaries
+UNION ALL
+SELECT id, 'completed', 'drained', beginner_title, intermediate_summary FROM stub WHERE ok
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for k, body in Q.items():
