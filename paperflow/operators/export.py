@@ -45,10 +45,13 @@ def export_latest(summaries: DataFrame, papers: DataFrame, limit: int = 5) -> Da
 
 def write_export(rows: DataFrame, path: str, append: bool = False) -> int:
     """K4: CSV with a header. Overwrite replaces the folder; append adds files.
-    Returns the number of rows written; an empty result writes nothing (K5)."""
+    Returns the number of rows written; an empty result writes nothing (K5). The
+    export is a top-k report, so one file is right; read it back with
+    ``multiLine=True, escape='"'``."""
     n = rows.count()
     if n == 0:
         return 0
+    # Cells keep their newlines; quotes are doubled (RFC 4180) so spreadsheet tools read it.
     (rows.coalesce(1).write.mode("append" if append else "overwrite")
-     .option("header", True).csv(path))
+     .option("header", True).option("escape", '"').csv(path))
     return n
