@@ -21,6 +21,14 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def parse_day(s: str) -> dt.date:
+    """a run parameter in ``YYYY-MM-DD``; anything else is rejected before a job starts."""
+    try:
+        return dt.datetime.strptime(s, "%Y-%m-%d").date()
+    except ValueError as e:
+        raise ValueError(f"invalid date {s!r}: use YYYY-MM-DD") from e
+
+
 def target_day(as_of) -> Column:
     """Monday looks back 3 days (Friday), every other day 1 day. weekday(): Monday=0."""
     d = F.to_date(_c(as_of))
@@ -65,3 +73,13 @@ def is_on_day(s, day) -> Column:
 def format_or_keep(ts, fmt: str) -> Column:
     """Format a timestamp; NULL -> ''."""
     return F.coalesce(F.date_format(_c(ts), fmt), F.lit(""))
+
+
+def reformat_text_date(s, fmt: str) -> Column:
+    """X13/X14 on text: ISO timestamps (with 'Z' or an offset) are reformatted,
+    anything unparsable is kept as it is, NULL/'' -> ''."""
+    t = _c(s)
+    parsed = F.coalesce(F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
+                        F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")),
+                        F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss")))
+    return F.coalesce(F.date_format(parsed, fmt), t, F.lit(""))

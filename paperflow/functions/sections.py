@@ -71,10 +71,10 @@ HEADER_PREFIXES = ("INTERMEDIATE", "Intermediate")
 EARLY_STOP_LEN = 10   # a capture longer than this ends the search for a field
 MIN_FIELD_LEN = 10    # every field must be at least this long
 
-# Java flags: s = dot-all, i = case-insensitive, d = only \n ends a line (so $ behaves
-# like Python's), U = Unicode \s and case folding.
-_FLAGS = "(?sidU)"
-_FLAGS_CASE = "(?sdU)"
+# Java flags: s = dot-all, i = case-insensitive, u = Unicode case folding (as Python's
+# IGNORECASE on str), d = only \n ends a line (so $ behaves like Python's).
+_FLAGS = "(?siud)"
+_FLAGS_CASE = "(?sd)"
 
 
 def _fold(cands: list[tuple[Column, Column]]) -> Column:
@@ -129,32 +129,60 @@ def valid_sections(response) -> Column:
     return F.when(sections_valid(s), s)
 
 
+def _grab(t: Column, pat: str, flags: str = _FLAGS) -> Column:
+    """Group 1 of every match; an empty array means no match (one scan per candidate)."""
+    return F.regexp_extract_all(t, F.lit(flags + java_pattern(pat)), 1)
+
+
+def _hit(arr: Column) -> tuple[Column, Column]:
+    return F.coalesce(F.size(arr) > 0, F.lit(False)), strip_ws(F.get(arr, 0))
+
+
 def parse_responses(df, response: str = "response", out: str = "sections"):
     """Adds the parsed struct and ``is_valid``.
 
-    Staged in three projections so each generated method stays small: strip the
-    response once; evaluate every candidate (matched flag + stripped capture); fold.
-    Catalyst keeps the stages apart because the fold reads each capture twice.
+    Staged projections keep each generated method small, and later candidates are
+    only evaluated for rows where the first candidate of that field did not already
+    give a long capture (``CASE WHEN`` evaluates its branch lazily), so a well-formed
+    response costs one regex scan per field.
     """
     keep = [c for c in df.columns if c != response]
     t = F.col("_resp")
-    staged = df.select(*keep, strip_ws(F.col(response)).alias("_resp"))
-    cand_cols, folds = [], {}
+    s0 = df.select(*keep, strip_ws(F.col(response)).alias("_resp"))
+    s1 = s0.select(*keep, "_resp", *[_grab(t, PATTERNS[f][0]).alias(f"_a{fi}_0") for fi, f in enumerate(FIELDS)])
+    firsts = []
+    for fi, _ in enumerate(FIELDS):
+        m, x = _hit(F.col(f"_a{fi}_0"))
+        firsts += [m.alias(f"_m{fi}_0"), x.alias(f"_x{fi}_0")]
+    s2 = s1.select(*keep, "_resp", *firsts)
+    later = []
     for fi, f in enumerate(FIELDS):
-        refs = []
-        for pi, p in enumerate(PATTERNS[f]):
-            m, x = _cand(t, p)
-            cand_cols += [m.alias(f"_m{fi}_{pi}"), x.alias(f"_x{fi}_{pi}")]
+        done = F.col(f"_m{fi}_0") & (F.char_length(F.col(f"_x{fi}_0")) > EARLY_STOP_LEN)
+        for pi in range(1, len(PATTERNS[f])):
+            later.append(F.when(~done, _grab(t, PATTERNS[f][pi])).alias(f"_a{fi}_{pi}"))
+    prior = [F.col(f"_m{fi}_0") for fi in range(len(FIELDS))] + [F.col(f"_x{fi}_0") for fi in range(len(FIELDS))]
+    s3 = s2.select(*keep, "_resp", *prior, *later)
+    cols, folds = [], {}
+    for fi, f in enumerate(FIELDS):
+        refs = [(F.col(f"_m{fi}_0"), F.col(f"_x{fi}_0"))]
+        for pi in range(1, len(PATTERNS[f])):
+            m, x = _hit(F.col(f"_a{fi}_{pi}"))
+            cols += [m.alias(f"_m{fi}_{pi}"), x.alias(f"_x{fi}_{pi}")]
             refs.append((F.col(f"_m{fi}_{pi}"), F.col(f"_x{fi}_{pi}")))
         folds[f] = _fold(refs)
-    alt_refs = []
-    for ai, p in enumerate(OVERVIEW_FALLBACKS):
-        m, x = _cand(t, p)
-        cand_cols += [m.alias(f"_am{ai}"), _strip_header(x).alias(f"_ax{ai}")]
-        alt_refs.append((F.col(f"_am{ai}"), F.col(f"_ax{ai}")))
-    cands = staged.select(*keep, *cand_cols)
-    first = cands.select(*keep, *[folds[f].alias(f) for f in FIELDS], _fold(alt_refs).alias("_alt"))
+    s4 = s3.select(*keep, "_resp", *prior, *cols)
+    s5 = s4.select(*keep, "_resp", *[folds[f].alias(f) for f in FIELDS])
     io = F.col("intermediate_overview")
-    io = F.when(io.isNull() | (io == ""), F.coalesce(F.col("_alt"), io)).otherwise(io)
-    parsed = first.select(*keep, F.struct(*[(io if f == "intermediate_overview" else F.col(f)).alias(f) for f in FIELDS]).alias(out))
+    need = io.isNull() | (io == "")
+    s6 = s5.select(*keep, *FIELDS, *[F.when(need, _grab(t, p)).alias(f"_alt{ai}")
+                                     for ai, p in enumerate(OVERVIEW_FALLBACKS)])
+    alt_cols, alt_refs = [], []
+    for ai in range(len(OVERVIEW_FALLBACKS)):
+        m, x = _hit(F.col(f"_alt{ai}"))
+        alt_cols += [m.alias(f"_am{ai}"), _strip_header(x).alias(f"_ax{ai}")]
+        alt_refs.append((F.col(f"_am{ai}"), F.col(f"_ax{ai}")))
+    s7 = s6.select(*keep, *FIELDS, *alt_cols)
+    fixed = F.when(need, F.coalesce(_fold(alt_refs), io)).otherwise(io)
+    parsed = s7.select(*keep, F.struct(*[(fixed if f == "intermediate_overview" else F.col(f)).alias(f)
+                                         for f in FIELDS]).alias(out))
     return parsed.withColumn("is_valid", sections_valid(F.col(out)))

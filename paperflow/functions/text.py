@@ -15,11 +15,13 @@ MODEL_TEXT_CHARS = 15000  # page text passed to the model
 AUTHORS_SHOWN = 3
 CATEGORIES_SHOWN = 3
 
-# Java's (?U) makes \s the Unicode White_Space set; Python's \s (str.isspace) adds the
-# separators \x1c-\x1f, so they are listed too.
-PY_SPACE = "[\\s\\x1c-\\x1f]"
-_WS_RUN = "(?U)" + PY_SPACE + "+"
-_EDGE_WS = "(?U)^" + PY_SPACE + "+|" + PY_SPACE + "+$"
+# Python's \s for str patterns (str.isspace), spelled out so Java needs no (?U) mode.
+PY_SPACE = ("[\\t\\n\\x0b\\f\\r \\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a"
+            "\\u2028\\u2029\\u202f\\u205f\\u3000]")
+_WS_RUN = PY_SPACE + "+"
+# The same set as literal characters, for trim(str, chars).
+PY_SPACE_CHARS = ("\t\n\x0b\f\r \x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b))
+                  + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def _c(x) -> Column:
@@ -27,8 +29,9 @@ def _c(x) -> Column:
 
 
 def strip_ws(text) -> Column:
-    """Remove leading/trailing Unicode whitespace (``str.strip()``); ``trim`` only drops spaces."""
-    return F.regexp_replace(_c(text), _EDGE_WS, "")
+    """Remove leading/trailing Unicode whitespace (``str.strip()``). Plain ``trim`` only
+    drops spaces; trimming a character set touches only the ends (no regex scan)."""
+    return F.trim(_c(text), F.lit(PY_SPACE_CHARS))
 
 
 def drop_invalid_utf8(text) -> Column:

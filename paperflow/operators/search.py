@@ -41,9 +41,9 @@ def search_papers(papers: DataFrame, start: dt.datetime, end: dt.datetime, codes
     return ordered.limit(max_results)
 
 
-def papers_on_day(papers: DataFrame, day: dt.date) -> DataFrame:
-    """papers published on ``day`` (UTC)."""
-    return papers.filter(dates.on_day("published_date", day))
+def papers_on_day(papers: DataFrame, day: dt.date | str) -> DataFrame:
+    """papers published on ``day`` (UTC); a string must be ``YYYY-MM-DD``."""
+    return papers.filter(dates.on_day("published_date", dates.parse_day(day) if isinstance(day, str) else day))
 
 
 def papers_in_range(papers: DataFrame, as_of: dt.date, days_back: int) -> DataFrame:
@@ -53,8 +53,11 @@ def papers_in_range(papers: DataFrame, as_of: dt.date, days_back: int) -> DataFr
 
 
 def keyword_hits(papers: DataFrame, keywords=AI_KEYWORDS) -> DataFrame:
-    """how many keywords occur (substring match) in lower(title + ' ' + abstract)."""
+    """how many keywords occur (substring match) in lower(title + ' ' + abstract).
+
+    One ``contains`` per keyword instead of a lambda over an array: lambdas run
+    interpreted and would lower-case the text once per keyword, while here the
+    lowered text is a common subexpression computed once inside codegen."""
     body = F.lower(F.concat_ws(" ", "title", "abstract"))
-    kws = F.array(*[F.lit(k) for k in keywords])
-    n = F.size(F.filter(kws, lambda k: F.contains(body, k)))
-    return papers.select("id", n.cast("bigint").alias("n_keywords"), (n > 0).alias("is_ai"))
+    n = sum((F.contains(body, F.lit(k)).cast("bigint") for k in keywords), F.lit(0).cast("bigint"))
+    return papers.select("id", n.alias("n_keywords"), (n > 0).alias("is_ai"))
