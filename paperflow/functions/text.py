@@ -18,7 +18,6 @@ CATEGORIES_SHOWN = 3
 # Python's \s for str patterns (str.isspace), spelled out so Java needs no (?U) mode.
 PY_SPACE = ("[\\t\\n\\x0b\\f\\r \\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a"
             "\\u2028\\u2029\\u202f\\u205f\\u3000]")
-_WS_RUN = PY_SPACE + "+"
 # The same set as literal characters, for trim(str, chars).
 PY_SPACE_CHARS = ("\t\n\x0b\f\r \x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b))
                   + "\u2028\u2029\u202f\u205f\u3000")
@@ -45,7 +44,10 @@ def clean_text(text) -> Column:
     space, ends stripped; NULL -> ''."""
     t = drop_invalid_utf8(text)
     t = F.regexp_replace(t, CONTROL_CHARS, "")
-    t = F.regexp_replace(t, _WS_RUN, " ")
+    # whitespace runs -> one space: map every whitespace character to ' ' (translate is
+    # a per-character lookup, no regex), then collapse runs of spaces
+    other = PY_SPACE_CHARS.replace(" ", "")
+    t = F.regexp_replace(F.translate(t, other, " " * len(other)), "  +", " ")
     return F.coalesce(F.trim(t), F.lit(""))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperflow.functions import dates
+from paperflow.operators.views import BROADCAST_TOP_K
 
 # Fixed values of the source application: the categories it searches, newest first,
 # at most 2000 results per request.
@@ -35,10 +36,14 @@ def search_papers(papers: DataFrame, start: dt.datetime, end: dt.datetime, codes
     lo = F.lit(start).cast("timestamp_ntz")
     hi = F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 MINUTE")
     hit = papers.filter(in_categories(codes) & (F.col("published_date") >= lo) & (F.col("published_date") < hi))
-    ordered = hit.orderBy(F.col("published_date").desc(), F.col("id").desc())
+    order = [F.col("published_date").desc(), F.col("id").desc()]
+    # choose the page on (id, published_date) only, then fetch the wide rows of that page
+    keys = hit.select("id", "published_date").orderBy(*order)
     if offset:
-        ordered = ordered.offset(offset)
-    return ordered.limit(max_results)
+        keys = keys.offset(offset)
+    keys = keys.limit(max_results).select("id")
+    keys = F.broadcast(keys) if max_results <= BROADCAST_TOP_K else keys
+    return hit.join(keys, "id", "left_semi").orderBy(*order).limit(max_results)
 
 
 def papers_on_day(papers: DataFrame, day: dt.date | str) -> DataFrame:

@@ -13,12 +13,26 @@ from pyspark.sql import functions as F
 
 QUEUE_COLUMNS = ("id", "arxiv_id", "title", "abstract", "pdf_url", "published_date")
 
+# A top-k key table is broadcast only up to this many rows; larger k joins normally.
+BROADCAST_TOP_K = 100_000
+
 
 def newest_first(df: DataFrame, ts: str = "published_date", key: str = "id") -> DataFrame:
     """L1 with the id tie-breaker."""
     return df.orderBy(F.col(ts).desc(), F.col(key).desc())
 
 
+def top_k(narrow: DataFrame, wide: DataFrame, key: str, order: list, k: int) -> DataFrame:
+    """Top-k of ``wide`` chosen on ``narrow`` (key + sort columns only), then widened.
+
+    ``orderBy().limit()`` on a wide table ships every partition's k wide rows to one
+    task; choosing the k keys on the narrow columns first means only keys travel, and
+    only k wide rows are ever fetched (semi join against a k-row table)."""
+    keys = narrow.orderBy(*order).limit(k).select(key)
+    keys = F.broadcast(keys) if k <= BROADCAST_TOP_K else keys
+    return wide.join(keys, key, "left_semi").orderBy(*order).limit(k)
+
+
 def papers_with_summaries(papers: DataFrame, summaries: DataFrame) -> DataFrame:
     """Every paper with its summary columns, NULL when not summarized."""
     p = papers.select(
@@ -36,14 +50,17 @@ def papers_with_summaries(papers: DataFrame, summaries: DataFrame) -> DataFrame:
 def papers_needing_summaries(papers: DataFrame, summaries: DataFrame) -> DataFrame:
     """Papers with a PDF link and no summary row. Written as an anti join
     (Spark keeps LEFT JOIN + IS NULL as an outer join plus filter)."""
-    linked = papers.filter(F.col("pdf_url").isNotNull()).select(*QUEUE_COLUMNS)
+    linked = papers.filter(F.col("pdf_url").isNotNull()).select(*[c for c in QUEUE_COLUMNS if c in papers.columns])
     done = summaries.select(F.col("arxiv_paper_id").alias("id"))
     return linked.join(done, "id", "left_anti")
 
 
 def queue_head(papers: DataFrame, summaries: DataFrame, limit: int) -> DataFrame:
-    """L3: the first ``limit`` papers of the queue, newest first (TakeOrderedAndProject)."""
-    return newest_first(papers_needing_summaries(papers, summaries)).limit(limit)
+    """L3: the first ``limit`` papers of the queue, newest first."""
+    order = [F.col("published_date").desc(), F.col("id").desc()]
+    narrow = papers_needing_summaries(papers.select("id", "pdf_url", "published_date"), summaries)
+    wide = papers.select(*QUEUE_COLUMNS)
+    return top_k(narrow.select("id", "published_date"), wide, "id", order, limit)
 
 
 def queue_depth(papers: DataFrame, summaries: DataFrame) -> DataFrame:
@@ -53,14 +70,19 @@ def queue_depth(papers: DataFrame, summaries: DataFrame) -> DataFrame:
 
 def latest_summaries(summaries: DataFrame, papers: DataFrame, limit: int) -> DataFrame:
     """Completed summaries with their paper embedded as a struct, newest k."""
+    order = [F.col("created_at").desc(), F.col("id").desc()]
+    done = summaries.filter(F.col("processing_status") == "completed")
+    # narrow pass: keys of completed summaries whose paper exists (the inner join)
+    narrow = done.select("id", "arxiv_paper_id", "created_at").join(
+        papers.select(F.col("id").alias("arxiv_paper_id")), "arxiv_paper_id", "left_semi")
+    top = top_k(narrow, done, "id", order, limit)
     p = papers.select(
         F.col("id").alias("arxiv_paper_id"),
         F.struct("arxiv_id", "title", "authors", "categories_name", "published_date",
                  "abstract", "pdf_url", "abstract_url").alias("paper"),
     )
-    s = summaries.filter(F.col("processing_status") == "completed")
-    joined = s.join(p, "arxiv_paper_id", "inner")
-    return joined.orderBy(F.col("created_at").desc(), F.col("id").desc()).limit(limit)
+    p = p.join(top.select("arxiv_paper_id"), "arxiv_paper_id", "left_semi")
+    return top.join(p, "arxiv_paper_id", "inner").orderBy(*order).limit(limit)
 
 
 def recent_papers(papers: DataFrame, as_of: dt.datetime, days: int = 30) -> DataFrame:
