@@ -26,7 +26,7 @@ MAX_ATTEMPTS = 3
 ERROR_TITLE = "Error during processing"
 ERROR_SUMMARY = "Summary generation failed"
 
-CALL_SCHEMA = "id long, attempt int, response string, error string"
+CALL_SCHEMA = "id long, prompt string, attempt int, response string, error string"
 
 
 class _Pacer:
@@ -61,7 +61,8 @@ def _caller(fn: Callable[[str, int], str], attempt: int, per_minute: int | None)
                 except Exception as e:  # noqa: BLE001 - any model failure is a retry
                     texts.append(None)
                     errors.append(f"{type(e).__name__}: {e}")
-            yield pd.DataFrame({"id": pdf["id"], "attempt": attempt, "response": texts, "error": errors})
+            yield pd.DataFrame({"id": pdf["id"], "prompt": pdf["prompt"], "attempt": attempt,
+                                "response": texts, "error": errors})
     return run
 
 
@@ -76,14 +77,15 @@ def summarize(prompts: DataFrame, fn: Callable[[str, int], str], max_attempts: i
         called = pending.mapInPandas(_caller(fn, attempt, calls_per_minute_per_task), CALL_SCHEMA)
         parsed = parse_responses(called.withColumn("response", F.coalesce("response", F.lit(""))))
         parsed = parsed.withColumn("ok", F.col("is_valid") & F.col("error").isNull()).drop("is_valid")
-        # Parse in the same stage as the calls, then cut the lineage: later filters
-        # read the checkpoint (no regex re-evaluation, no repeated model calls).
-        parsed = parsed.checkpoint(eager=True)
+        # Parse in the same stage as the calls, then cut the lineage: later filters read
+        # the checkpoint (no regex re-evaluation, no repeated model calls). The prompt is
+        # kept only for rows that need another attempt, so retries never recompute it.
+        parsed = parsed.withColumn("prompt", F.when(~F.col("ok"), F.col("prompt"))).checkpoint(eager=True)
         last = attempt == max_attempts
         finished = parsed if last else parsed.filter("ok")
         done = finished if done is None else done.unionByName(finished)
         if not last:
-            pending = parsed.filter(~F.col("ok")).select("id").join(prompts.select("id", "prompt"), "id")
+            pending = parsed.filter(~F.col("ok")).select("id", "prompt")
     reason = F.when(F.col("ok"), F.lit(None)).otherwise(F.coalesce(F.col("error"), F.lit("invalid or empty response")))
     return done.select("id", "ok", F.col("attempt").alias("attempts"),
                        *[F.when(F.col("ok"), F.col(f"sections.{f}")).alias(f) for f in FIELDS],

@@ -427,16 +427,17 @@ def q_stream_ingest(spark, sf):
 STUB_MODEL = "echo-stub"
 
 
-def _stub_results(spark, sf):
-    prompts = DR.queue_prompts(S.papers(spark, sf), S.summaries(spark, sf), S.page_table(spark, sf),
-                               params.QUEUE_LIMIT, single_batch=False)
+def _stub_results(spark, sf, with_batches=False):
+    papers, summ = S.papers(spark, sf), S.summaries(spark, sf)
+    prompts = DR.queue_prompts(papers, summ, S.page_table(spark, sf), params.QUEUE_LIMIT, single_batch=False)
     res = INF.summarize(prompts, INF.echo_model)
-    return res.join(prompts.select("id", "batch_no"), "id")
+    return res.join(DR.queue_batches(papers, summ, params.QUEUE_LIMIT), "id") if with_batches else res
 
 
 @register("summarize_stub")
 def q_summarize_stub(spark, sf):
-    return _stub_results(spark, sf).select("id", "ok", F.col("attempts").cast("bigint").alias("attempts"), "batch_no")
+    res = _stub_results(spark, sf, with_batches=True)
+    return res.select("id", "ok", F.col("attempts").cast("bigint").alias("attempts"), "batch_no")
 
 
 @register("summary_rows")

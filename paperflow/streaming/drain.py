@@ -23,26 +23,39 @@ from paperflow.operators.pages import assemble_pages
 
 def queue_prompts(papers: DataFrame, summaries: DataFrame, pages: DataFrame | None,
                   batch_size: int, single_batch: bool) -> DataFrame:
-    """M2 input: queued papers with their prompt (abstract only when no page text)."""
+    """M2 input: queued papers (id, prompt); abstract only when there is no page text."""
     if single_batch:
-        q = views.queue_head(papers, summaries, batch_size).withColumn("batch_no", F.lit(0).cast("long"))
+        q = views.queue_head(papers, summaries, batch_size)
     else:
-        q = batch_numbers(views.papers_needing_summaries(papers, summaries),
-                          [F.col("published_date").desc(), F.col("id").desc()], batch_size).drop("rn")
+        q = views.papers_needing_summaries(papers, summaries)
     if pages is not None:
         q = q.join(assemble_pages(pages).withColumnRenamed("doc_id", "id"), "id", "left")
     else:
         q = q.withColumn("text", F.lit(None).cast("string"))
-    return q.select("id", "batch_no", model_input("title", "abstract", "text").alias("prompt"))
+    return q.select("id", model_input("title", "abstract", "text").alias("prompt"))
+
+
+def queue_batches(papers: DataFrame, summaries: DataFrame, batch_size: int) -> DataFrame:
+    """W2 over the queue, numbered on narrow columns only: (id, batch_no)."""
+    narrow = views.papers_needing_summaries(papers.select("id", "pdf_url", "published_date"), summaries)
+    b = batch_numbers(narrow.select("id", "published_date"), [F.col("published_date").desc(), F.col("id").desc()],
+                      batch_size)
+    return b.select("id", "batch_no")
 
 
 def drain(papers: DataFrame, summaries: DataFrame, pages: DataFrame | None, fn: Callable[[str, int], str],
           model_name: str, batch_size: int = 15, single_batch: bool = False,
-          calls_per_minute_per_task: int | None = None, created_at=None) -> tuple[DataFrame, DataFrame]:
-    """Returns (new summary rows, per-paper results). Failed papers leave no row."""
+          calls_per_minute_per_task: int | None = None, created_at=None,
+          with_batches: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Returns (new summary rows, per-paper results). Failed papers leave no row and
+    stay queued (D6). ``with_batches`` adds each paper's batch number (one extra
+    numbering job)."""
     prompts = queue_prompts(papers, summaries, pages, batch_size, single_batch)
     results = inference.summarize(prompts, fn, calls_per_minute_per_task=calls_per_minute_per_task)
-    results = results.join(prompts.select("id", "batch_no"), "id")
+    if single_batch:
+        results = results.withColumn("batch_no", F.lit(0).cast("long"))
+    elif with_batches:
+        results = results.join(queue_batches(papers, summaries, batch_size), "id")
     rows = inference.summary_rows(results, papers, model_name, created_at=created_at)
     return rows, results
 
