@@ -8,35 +8,39 @@ from pyspark.sql import functions as F
 from paperflow.functions import sections as SEC
 
 
+def _captures(patterns, text, flags):
+    """Stripped group 1 of each candidate, None where it does not match."""
+    out = []
+    for p in patterns:
+        m = re.search(p, text, flags)
+        out.append(None if m is None else m.group(1).strip())
+    return out
+
+
+def _pick(caps):
+    """The stated rule: first capture longer than 10 chars, else the last capture."""
+    hits = [c for c in caps if c is not None]
+    longer = [c for c in hits if len(c) > 10]
+    return longer[0] if longer else (hits[-1] if hits else None)
+
+
+def _unheader(c):
+    if c is None or not c.startswith(SEC.HEADER_PREFIXES):
+        return c
+    m = re.search(SEC.OVERVIEW_HEADER, c, re.DOTALL)
+    return c if m is None else m.group(1).strip()
+
+
 def python_parse(text):
-    """Brute-force statement of the rule with Python's re (the source dialect)."""
+    """Brute-force statement of the extraction rule with Python's re (the source dialect)."""
     t = text.strip()
-    out = {}
-    for f in SEC.FIELDS:
-        got = None
-        for p in SEC.PATTERNS[f]:
-            m = re.search(p, t, re.DOTALL | re.IGNORECASE)
-            if m:
-                got = m.group(1).strip()
-                if got and len(got) > 10:
-                    break
-        if not got and f == "intermediate_overview":
-            for p in SEC.OVERVIEW_FALLBACKS:
-                m = re.search(p, t, re.DOTALL | re.IGNORECASE)
-                if m:
-                    got = m.group(1).strip()
-                    if got.startswith(SEC.HEADER_PREFIXES):
-                        h = re.search(SEC.OVERVIEW_HEADER, got, re.DOTALL)
-                        if h:
-                            got = h.group(1).strip()
-                    if got and len(got) > 10:
-                        break
-        if not got:
-            return None
-        out[f] = got
-    if any(len(v) < 10 for v in out.values()):
-        return None
-    return out
+    flags = re.DOTALL | re.IGNORECASE
+    fields = {f: _pick(_captures(SEC.PATTERNS[f], t, flags)) for f in SEC.FIELDS}
+    if not fields["intermediate_overview"]:
+        alt = _pick([_unheader(c) for c in _captures(SEC.OVERVIEW_FALLBACKS, t, flags)])
+        fields["intermediate_overview"] = alt if alt is not None else fields["intermediate_overview"]
+    ok = all(v and len(v) >= 10 for v in fields.values())
+    return fields if ok else None
 
 
 GOOD = ("BEGINNER_TITLE: Robots learn to walk\n\nINTERMEDIATE_TITLE: Legged locomotion via RL\n\n"

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 from paperflow.functions import text as TX
 
 
+CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]")
+
+
 def py_clean(t):
-    if not t:
-        return ""
-    t = t.encode("utf-8", "ignore").decode("utf-8", "ignore")
-    t = re.sub(r"[\x00-\x08\x0b-\x0c\x0e-\x1f\x7f-\x9f]", "", t)
-    t = re.sub(r"\s+", " ", t)
-    return t.strip()
+    """Control characters out, then str.split() (Unicode whitespace runs, ends dropped)."""
+    return " ".join(CONTROL.sub("", t or "").split())
 
 
 def py_trunc(t, n):
