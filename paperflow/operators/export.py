@@ -43,11 +43,20 @@ def export_latest(summaries: DataFrame, papers: DataFrame, limit: int = 5) -> Da
     return format_export(latest_summaries(summaries, papers, limit))
 
 
-def write_export(rows: DataFrame, path: str, append: bool = False) -> int:
+def write_export(rows: DataFrame, path: str, append: bool = False, skip_existing: bool = False) -> int:
     """K4: CSV with a header. Overwrite replaces the folder; append adds files.
     Returns the number of rows written; an empty result writes nothing (K5). The
     export is a top-k report, so one file is right; read it back with
     ``multiLine=True, escape='"'``."""
+    if append and skip_existing:
+        # Plain append re-adds the same latest rows on every run; this keeps only
+        # keys the export does not hold yet (the export is k rows, so reading it is cheap)
+        try:
+            have = rows.sparkSession.read.option("header", True).option("multiLine", True).option(
+                "escape", '"').csv(path).select("arxiv_id")
+            rows = rows.join(have, "arxiv_id", "left_anti").select(*EXPORT_COLUMNS)
+        except Exception:  # noqa: BLE001 - no export yet
+            pass
     n = rows.count()
     if n == 0:
         return 0

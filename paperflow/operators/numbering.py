@@ -36,7 +36,12 @@ def global_row_number(df: DataFrame, order: list[Column], out: str = "rn", parti
             .drop("_pid", "_mid", "_off"))
 
 
-def batch_numbers(df: DataFrame, order: list[Column], batch_size: int) -> DataFrame:
-    """Position ``rn`` and 0-based ``batch_no`` = (rn - 1) div batch_size."""
+def batch_numbers(df: DataFrame, order: list[Column], batch_size: int, per_day: int | None = None) -> DataFrame:
+    """Position ``rn`` and 0-based ``batch_no`` = (rn - 1) div batch_size. With a
+    daily quota ``per_day`` (documented by the source, never enforced there: D17) also
+    ``day_no`` = (rn - 1) div per_day, the run day on which the row fits the quota."""
     numbered = global_row_number(df, order)
-    return numbered.withColumn("batch_no", F.floor((F.col("rn") - 1) / F.lit(batch_size)).cast("long"))
+    out = numbered.withColumn("batch_no", F.floor((F.col("rn") - 1) / F.lit(batch_size)).cast("long"))
+    if per_day:
+        out = out.withColumn("day_no", F.floor((F.col("rn") - 1) / F.lit(per_day)).cast("long"))
+    return out

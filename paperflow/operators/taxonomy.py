@@ -63,10 +63,15 @@ def translate_categories(papers: DataFrame, taxonomy: DataFrame, codes_col: str
     return out.withColumn(out_col, F.coalesce(F.col(out_col), F.when(F.col(codes_col).isNotNull(), F.array().cast("array<string>"))))
 
 
-def needs_names(papers: DataFrame) -> DataFrame:
-    """F8: rows whose names are NULL or empty."""
+def needs_names(papers: DataFrame, include_untranslated: bool = False) -> DataFrame:
+    """F8: rows whose names are NULL or empty. ``include_untranslated`` also selects rows
+    whose names equal their codes - rows ingested while the taxonomy was empty, which
+    the plain rule never repairs (D4)."""
     n = F.col("categories_name")
-    return papers.filter(n.isNull() | (F.size(n) == 0))
+    cond = n.isNull() | (F.size(n) == 0)
+    if include_untranslated:
+        cond = cond | (n == F.col("categories"))
+    return papers.filter(cond)
 
 
 def backfill_names(papers: DataFrame, taxonomy: DataFrame) -> DataFrame:

@@ -47,10 +47,14 @@ def papers_with_summaries(papers: DataFrame, summaries: DataFrame) -> DataFrame:
     return p.join(s, "paper_id", "left")
 
 
-def papers_needing_summaries(papers: DataFrame, summaries: DataFrame) -> DataFrame:
+def papers_needing_summaries(papers: DataFrame, summaries: DataFrame, requeue_errors: bool = False) -> DataFrame:
     """Papers with a PDF link and no summary row. Written as an anti join
-    (Spark keeps LEFT JOIN + IS NULL as an outer join plus filter)."""
+    (Spark keeps LEFT JOIN + IS NULL as an outer join plus filter). Any summary row,
+    an ``error`` row included, takes a paper off the queue (D21) unless
+    ``requeue_errors`` is set."""
     linked = papers.filter(F.col("pdf_url").isNotNull()).select(*[c for c in QUEUE_COLUMNS if c in papers.columns])
+    if requeue_errors:
+        summaries = summaries.filter(F.coalesce(F.col("processing_status"), F.lit("")) != "error")
     done = summaries.select(F.col("arxiv_paper_id").alias("id"))
     return linked.join(done, "id", "left_anti")
 

@@ -66,3 +66,26 @@ def test_backfill_in_place_rewrites_touched_days(spark, sf):
     assert filled == need and after.count() == p.count()
     assert after.filter(F.size("categories_name") == 0).count() == 0
     assert catalog.backfill_names_in_place(spark, path, S.taxonomy(spark, sf)) == 0
+
+
+def test_optional_behaviors(spark, sf):
+    from paperflow.operators import taxonomy, views
+    from paperflow.operators.numbering import batch_numbers
+    from paperflow.session import scratch_path
+    p = spark.createDataFrame([(1, ["a"], ["a"]), (2, ["b"], []), (3, ["c"], ["Cee"])],
+                              "id long, categories array<string>, categories_name array<string>")
+    assert {r.id for r in taxonomy.needs_names(p).collect()} == {2}
+    assert {r.id for r in taxonomy.needs_names(p, include_untranslated=True).collect()} == {1, 2}
+    papers, summ = S.papers(spark, sf), S.summaries(spark, sf)
+    q0 = views.papers_needing_summaries(papers, summ).count()
+    q1 = views.papers_needing_summaries(papers, summ, requeue_errors=True).count()
+    errs = summ.filter(F.col("processing_status") == "error").join(
+        papers.filter(F.col("pdf_url").isNotNull()).select(F.col("id").alias("arxiv_paper_id")), "arxiv_paper_id").count()
+    assert q1 == q0 + errs
+    b = batch_numbers(spark.range(40).withColumnRenamed("id", "k"), [F.col("k")], 15, per_day=25)
+    assert {(r.k, r.batch_no, r.day_no) for r in b.filter("k in (0, 14, 15, 24, 25, 39)").collect()} == {
+        (0, 0, 0), (14, 0, 0), (15, 1, 0), (24, 1, 0), (25, 1, 1), (39, 2, 1)}
+    rows = export.export_latest(summ, papers, 5)
+    path = scratch_path(spark, "t-export2")
+    assert export.write_export(rows, path) == 5
+    assert export.write_export(rows, path, append=True, skip_existing=True) == 0
