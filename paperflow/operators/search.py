@@ -46,15 +46,27 @@ def search_papers(papers: DataFrame, start: dt.datetime, end: dt.datetime, codes
     return hit.join(keys, "id", "left_semi").orderBy(*order).limit(max_results)
 
 
+PARTITION_DAY = "published_day"
+
+
+def _prune(papers: DataFrame, first, last) -> DataFrame:
+    """On a stored table partitioned by day, also filter the partition column so the
+    scan lists only the matching folders (partition pruning); row filters still apply."""
+    if PARTITION_DAY in papers.columns:
+        return papers.filter(F.col(PARTITION_DAY).between(first, last))
+    return papers
+
+
 def papers_on_day(papers: DataFrame, day: dt.date | str) -> DataFrame:
     """papers published on ``day`` (UTC); a string must be ``YYYY-MM-DD``."""
-    return papers.filter(dates.on_day("published_date", dates.parse_day(day) if isinstance(day, str) else day))
+    d = dates.parse_day(day) if isinstance(day, str) else day
+    return _prune(papers, F.lit(d), F.lit(d)).filter(dates.on_day("published_date", d))
 
 
 def papers_in_range(papers: DataFrame, as_of: dt.date, days_back: int) -> DataFrame:
     """the intended range backfill (D1): every day from end - N through end = as_of - 1."""
     first, last = dates.backfill_range(as_of, days_back)
-    return papers.filter(dates.in_day_range("published_date", first, last))
+    return _prune(papers, first, last).filter(dates.in_day_range("published_date", first, last))
 
 
 def keyword_hits(papers: DataFrame, keywords=AI_KEYWORDS) -> DataFrame:

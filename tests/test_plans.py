@@ -34,3 +34,23 @@ def test_label_filter_pushed(spark, sf):
     from paperflow.sources.tables import read_table
     df = read_table(spark, sf, "labels", "doc_id", "toxic").filter(F.col("toxic") == 1)
     assert "PushedFilters: [IsNotNull(toxic), EqualTo(toxic,1)]" in _plan(df)
+
+
+def test_stored_table_day_filter_prunes_and_pushes(spark, sf):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from paperflow.operators import search
+    from paperflow.session import scratch_path
+    path = scratch_path(spark, "t-stored")
+    S.papers(spark, sf).withColumn("published_day", F.to_date("published_date")).write.partitionBy(
+        "published_day").parquet(path)
+    t = spark.read.parquet(path)
+    df = search.papers_on_day(t, dt.date(2024, 1, 15)).select("id", "published_date")
+    p = _plan(df)
+    assert "PartitionFilters: [isnotnull(published_day" in p
+    assert "GreaterThanOrEqual(published_date,2024-01-15T00:00)" in p
+    assert "ReadSchema: struct<id:bigint,published_date:timestamp_ntz>" in p
+    want = S.papers(spark, sf).filter(F.to_date("published_date") == dt.date(2024, 1, 15)).count()
+    assert df.count() == want
