@@ -21,10 +21,12 @@ def trailing_rate(events: DataFrame, key: str = "user_id", ts: str = "ts", cap:
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     base = events.select("event_id", key, ts, us.alias("_us"))
     bk = F.floor(F.col("_us") / F.lit(WINDOW_MICROS)).cast("long")
-    targets = base.withColumn("_bk", bk).withColumn("_target", F.lit(True))
-    context = base.withColumn("_bk", bk + 1).withColumn("_target", F.lit(False))
+    # one scan: each event as a target in its bucket and as context in the next one
+    copies = F.array(F.struct(bk.alias("_bk"), F.lit(True).alias("_target")),
+                     F.struct((bk + 1).alias("_bk"), F.lit(False).alias("_target")))
+    both = base.select("event_id", key, ts, "_us", F.inline(copies))
     w = Window.partitionBy(key, "_bk").orderBy("_us").rangeBetween(-(WINDOW_MICROS - 1), 0)
-    framed = targets.unionByName(context).select(
+    framed = both.select(
         "event_id", key, ts, "_target",
         F.count(F.lit(1)).over(w).alias("n_window"),
         (F.col("_us") - F.min("_us").over(w)).alias("_age"),
