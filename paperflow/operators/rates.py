@@ -5,36 +5,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperflow.session import checkpoint_root
+
 # Fixed values of the source application's limiter.
 MAX_PER_MINUTE = 15
 WINDOW_MICROS = 60_000_000
 
 
+def _prefix_events(batches):
+    """Per partition (rows arrive sorted): events (kind 1) strictly before each row."""
+    seen = 0
+    for pdf in batches:
+        is_event = (pdf["_kind"] == 1).to_numpy().astype("int64")
+        before = is_event.cumsum() - is_event + seen
+        seen += int(is_event.sum())
+        yield pdf.assign(_before=before)
+
+
 def trailing_rate(events: DataFrame, key: str = "user_id", ts: str = "ts", cap: int = MAX_PER_MINUTE) -> DataFrame:
     """Per caller and request, requests in the trailing 60 s (age < 60 s, the request
-    itself included), whether the cap was hit, and the wait the limiter would impose.
+    itself and same-instant requests included), whether the cap was hit, and the wait
+    the limiter would impose (60 s minus the age of the oldest request in the window).
 
-    The window is partitioned by (caller, minute bucket) instead of by caller: every
-    event also goes to the next bucket as context, so a frame never needs more than
-    two buckets, and a caller with a third of all events still spreads over many tasks.
+    Rank differences instead of a window function, so no caller or instant is ever
+    gathered into one task: every event emits a probe at t - 59.999999 s (sorted
+    before events at equal time) and one at t (sorted after them). After one global
+    sort (range partitioning, checkpointed) the number of events before each probe is
+    a per-partition prefix count plus the event counts of earlier partitions (a table
+    with one row per partition). n_window = before(upper probe) - before(lower probe):
+    other callers' events cancel out. The oldest event in the window is the one whose
+    global event rank is before(lower probe) + 1, found with an equi-join.
     """
+    spark = events.sparkSession
+    checkpoint_root(spark)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    base = events.select("event_id", key, ts, us.alias("_us"))
-    bk = F.floor(F.col("_us") / F.lit(WINDOW_MICROS)).cast("long")
-    # one scan: each event as a target in its bucket and as context in the next one
-    copies = F.array(F.struct(bk.alias("_bk"), F.lit(True).alias("_target")),
-                     F.struct((bk + 1).alias("_bk"), F.lit(False).alias("_target")))
-    both = base.select("event_id", key, ts, "_us", F.inline(copies))
-    w = Window.partitionBy(key, "_bk").orderBy("_us").rangeBetween(-(WINDOW_MICROS - 1), 0)
-    framed = both.select(
-        "event_id", key, ts, "_target",
-        F.count(F.lit(1)).over(w).alias("n_window"),
-        (F.col("_us") - F.min("_us").over(w)).alias("_age"),
-    ).filter("_target")
+    base = events.select(F.col("event_id").alias("_ref"), F.col(key).alias("_key"), us.alias("_us"))
+    rows = base.select("_ref", "_key", F.inline(F.array(
+        F.struct((F.col("_us") - (WINDOW_MICROS - 1)).alias("_t"), F.lit(0).alias("_kind")),
+        F.struct(F.col("_us").alias("_t"), F.lit(1).alias("_kind")),
+        F.struct(F.col("_us").alias("_t"), F.lit(2).alias("_kind")))))
+    order = ["_key", "_t", "_kind", "_ref"]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fixed = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    local = fixed.withColumn("_pid", F.spark_partition_id()).mapInPandas(
+        _prefix_events, "_ref long, _key long, _t long, _kind int, _pid int, _before long")
+    local = local.checkpoint(eager=True)
+    counts = local.groupBy("_pid").agg(F.count_if(F.col("_kind") == 1).alias("_n"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    g = local.join(F.broadcast(offsets), "_pid").select(
+        "_ref", "_key", "_t", "_kind", (F.col("_off") + F.col("_before")).alias("_g"))
+    lo = g.filter(F.col("_kind") == 0).select("_ref", F.col("_g").alias("_glo"))
+    hi = g.filter(F.col("_kind") == 2).select("_ref", F.col("_g").alias("_ghi"))
+    ranked = g.filter(F.col("_kind") == 1).select((F.col("_g") + 1).alias("_rank"), F.col("_t").alias("_oldest"))
+    span = lo.join(hi, "_ref").join(ranked, F.col("_glo") + 1 == F.col("_rank"))
+    per_event = span.select(F.col("_ref").alias("event_id"), (F.col("_ghi") - F.col("_glo")).alias("n_window"),
+                            "_oldest")
+    out = events.select("event_id", key, ts).join(per_event, "event_id")
+    age = us - F.col("_oldest")
     throttled = F.col("n_window") > cap
-    return framed.select(
+    return out.select(
         "event_id", key, ts, "n_window", throttled.alias("throttled"),
-        F.when(throttled, (F.lit(WINDOW_MICROS) - F.col("_age")) / F.lit(1e6)).otherwise(F.lit(0.0)).alias("wait_s"),
+        F.when(throttled, (F.lit(WINDOW_MICROS) - age) / F.lit(1e6)).otherwise(F.lit(0.0)).alias("wait_s"),
     )
 
 

@@ -60,3 +60,19 @@ def test_requests_per_minute_stream(spark, sf):
     after = spark.read.parquet(sink)
     assert after.filter(F.col("user_id") == 999_999).count() == 0
     assert after.exceptAll(batch).count() == 0
+
+
+def test_ties_and_hot_caller_match_plain_window(spark):
+    # caller 7 holds a third of all events, many at the very same microsecond
+    n = 3000
+    ev = spark.range(n).select(
+        F.col("id").alias("event_id"),
+        (F.lit(T0) + F.make_dt_interval(secs=(F.col("id") % 97) * F.lit(1.5) + F.when(F.col("id") % 5 == 0, 0).otherwise(F.col("id") % 3))).alias("ts"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 11).cast("long").alias("user_id"))
+    got = RT.trailing_rate(ev).select("event_id", "n_window", "wait_s")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    w = Window.partitionBy("user_id").orderBy(us).rangeBetween(-59_999_999, 0)
+    want = ev.select("event_id", F.count(F.lit(1)).over(w).alias("n_window"), (us - F.min(us).over(w)).alias("age")).select(
+        "event_id", "n_window",
+        F.when(F.col("n_window") > 15, (F.lit(60_000_000) - F.col("age")) / F.lit(1e6)).otherwise(F.lit(0.0)).alias("wait_s"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
