@@ -21,6 +21,29 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def ntz_lit(v) -> Column:
+    """A wall-clock literal as timestamp_ntz. Built from text, so neither the session
+    time zone nor the Python process's zone can shift it (``F.lit(datetime)`` can)."""
+    if v is None:
+        return F.lit(None).cast("timestamp_ntz")
+    if isinstance(v, dt.datetime):
+        return F.lit(v.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    if isinstance(v, dt.date):
+        return F.lit(v.isoformat()).cast("timestamp_ntz")
+    return F.lit(v).cast("timestamp_ntz")
+
+
+def epoch_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a timestamp_ntz by calendar arithmetic:
+    no time zone is involved (casting to a zoned timestamp would shift values, and
+    DST gaps would fold, in any session zone other than UTC)."""
+    t = _c(ts)
+    return (F.unix_date(F.to_date(t)).cast("long") * F.lit(86_400_000_000)
+            + F.hour(t).cast("long") * F.lit(3_600_000_000)
+            + F.minute(t).cast("long") * F.lit(60_000_000)
+            + (F.date_part(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("long"))
+
+
 def parse_day(s: str) -> dt.date:
     """a run parameter in ``YYYY-MM-DD``; anything else is rejected before a job starts."""
     try:

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperflow.functions.dates import ntz_lit
+
 from paperflow.functions.sections import FIELDS, parse_responses
 from paperflow.session import checkpoint_root
 
@@ -108,7 +110,7 @@ def summary_rows(results: DataFrame, papers: DataFrame, model_name: str, record_
         F.when(F.col("ok"), "completed").otherwise("error").alias("processing_status"),
         F.when(~F.col("ok"), F.col("error")).alias("processing_error"),
         F.lit(model_name).alias("model_name"),
-        F.lit(created_at).cast("timestamp_ntz").alias("created_at"),
+        ntz_lit(created_at).alias("created_at"),
     )
 
 

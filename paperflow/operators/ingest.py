@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperflow.functions.dates import epoch_micros, ntz_lit
 from paperflow.operators.numbering import global_row_number
 
 KEY = "arxiv_id"
@@ -19,7 +20,7 @@ KEY = "arxiv_id"
 def dedup_feed(feed: DataFrame) -> DataFrame:
     """D3: one row per key - latest ``updated_date``, then smallest ``abstract_url``."""
     cols = [c for c in feed.columns if c != KEY]
-    rank = F.struct(-F.unix_micros(F.col("updated_date").cast("timestamp")), F.col("abstract_url"))
+    rank = F.struct(-epoch_micros(F.col("updated_date")), F.col("abstract_url"))
     best = feed.groupBy(KEY).agg(F.min_by(F.struct(*cols), rank).alias("_r"))
     return best.select(KEY, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
@@ -56,14 +57,14 @@ def ingest(feed: DataFrame, stored: DataFrame, extracted_at=None) -> DataFrame:
     fresh = assign_ids(new_rows(dedup_feed(feed), stored), stored)
     for c in ("extracted_at", "created_at"):
         if c not in fresh.columns or extracted_at is not None:
-            fresh = fresh.withColumn(c, F.lit(extracted_at).cast("timestamp_ntz"))
+            fresh = fresh.withColumn(c, ntz_lit(extracted_at))
     return stored.unionByName(fresh.select(*stored.columns))
 
 
 def append_papers(feed: DataFrame, stored: DataFrame, path: str, extracted_at=None) -> int:
     """K1 write: append only the new rows, one folder per published day. Returns the count."""
     fresh = assign_ids(new_rows(dedup_feed(feed), stored), stored)
-    fresh = fresh.withColumn("extracted_at", F.lit(extracted_at).cast("timestamp_ntz")) if extracted_at else fresh
+    fresh = fresh.withColumn("extracted_at", ntz_lit(extracted_at)) if extracted_at else fresh
     fresh = fresh.withColumn("published_day", F.to_date("published_date")).checkpoint(eager=True)
     fresh.write.mode("append").partitionBy("published_day").parquet(path)
     return fresh.count()

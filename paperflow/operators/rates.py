@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperflow.functions.dates import epoch_micros
 from paperflow.session import checkpoint_root
 
 # Fixed values of the source application's limiter.
@@ -38,7 +39,7 @@ def trailing_rate(events: DataFrame, key: str = "user_id", ts: str = "ts", cap:
     """
     spark = events.sparkSession
     checkpoint_root(spark)
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    us = epoch_micros(F.col(ts))
     base = events.select(F.col("event_id").alias("_ref"), F.col(key).alias("_key"), us.alias("_us"))
     rows = base.select("_ref", "_key", F.inline(F.array(
         F.struct((F.col("_us") - (WINDOW_MICROS - 1)).alias("_t"), F.lit(0).alias("_kind")),

@@ -33,8 +33,8 @@ def search_papers(papers: DataFrame, start: dt.datetime, end: dt.datetime, codes
                   offset: int = 0, max_results: int = MAX_RESULTS) -> DataFrame:
     """Category filter AND submitted time in [start, end] at minute precision,
     newest first, then offset/limit (a top-k: TakeOrderedAndProject, no full sort)."""
-    lo = F.lit(start).cast("timestamp_ntz")
-    hi = F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 MINUTE")
+    lo = dates.ntz_lit(start)
+    hi = dates.ntz_lit(end) + F.expr("INTERVAL 1 MINUTE")
     hit = papers.filter(in_categories(codes) & (F.col("published_date") >= lo) & (F.col("published_date") < hi))
     order = [F.col("published_date").desc(), F.col("id").desc()]
     # choose the page on (id, published_date) only, then fetch the wide rows of that page

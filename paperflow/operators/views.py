@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperflow.functions.dates import ntz_lit
+
 QUEUE_COLUMNS = ("id", "arxiv_id", "title", "abstract", "pdf_url", "published_date")
 
 # A top-k key table is broadcast only up to this many rows; larger k joins normally.
@@ -91,7 +93,7 @@ def latest_summaries(summaries: DataFrame, papers: DataFrame, limit: int) -> Dat
 
 def recent_papers(papers: DataFrame, as_of: dt.datetime, days: int = 30) -> DataFrame:
     """published within ``days`` of ``as_of`` (inclusive lower bound)."""
-    lo = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAYS")
+    lo = ntz_lit(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
     if "published_day" in papers.columns:   # stored table: prune day folders too
         papers = papers.filter(F.col("published_day") >= F.to_date(lo))
     return papers.filter(F.col("published_date") >= lo)

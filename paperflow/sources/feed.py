@@ -12,6 +12,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperflow.functions.dates import ntz_lit
+
 from paperflow.functions import dates
 from paperflow.functions.text import strip_ws, url_tail
 from paperflow.operators.taxonomy import translate_categories
@@ -56,7 +58,7 @@ def entries_to_papers(entries: DataFrame, taxonomy: DataFrame | None = None,
         updated.alias("updated_date"),
         pdf_link(F.col("link")).alias("pdf_url"),
         F.col("id").alias("abstract_url"),
-        F.lit(extracted_at).cast("timestamp_ntz").alias("extracted_at"),
+        ntz_lit(extracted_at).alias("extracted_at"),
         F.col("published").alias("raw_published"),
     )
     valid = (F.col("abstract_url").isNotNull() & F.col("title").isNotNull() & F.col("abstract").isNotNull()

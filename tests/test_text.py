@@ -78,3 +78,22 @@ def test_reformat_text_date_and_parse_day(spark):
     assert str(dates.parse_day("2024-02-29")) == "2024-02-29"
     with pytest.raises(ValueError):
         dates.parse_day("02/29/2024")
+
+
+def test_epoch_micros_and_literals_ignore_session_zone(spark):
+    import datetime as dt
+
+    from paperflow.functions import dates
+    vals = [dt.datetime(2024, 3, 10, 2, 30, 0, 123456), dt.datetime(2024, 11, 3, 1, 30), dt.datetime(1999, 12, 31, 23, 59, 59)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(v.isoformat(sep=" "),) for v in vals], "s string").select(
+            F.col("s").cast("timestamp_ntz").alias("t"))
+        got = [r[0] for r in df.select(dates.epoch_micros("t")).collect()]
+        lit = spark.range(1).select(dates.ntz_lit(vals[0]).cast("string")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    epoch = dt.datetime(1970, 1, 1)
+    assert got == [(v - epoch) // dt.timedelta(microseconds=1) for v in vals]
+    assert lit == "2024-03-10 02:30:00.123456"
