@@ -24,8 +24,10 @@ from paperflow.session import checkpoint_root
 def global_row_number(df: DataFrame, order: list[Column], out: str = "rn", partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     checkpoint_root(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fixed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # Without an explicit count AQE may coalesce adjacent ranges (order is kept), so the
+    # partition count follows the data size.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    fixed = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     tagged = fixed.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

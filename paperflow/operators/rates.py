@@ -46,8 +46,7 @@ def trailing_rate(events: DataFrame, key: str = "user_id", ts: str = "ts", cap:
         F.struct(F.col("_us").alias("_t"), F.lit(1).alias("_kind")),
         F.struct(F.col("_us").alias("_t"), F.lit(2).alias("_kind")))))
     order = ["_key", "_t", "_kind", "_ref"]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fixed = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    fixed = rows.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
     local = fixed.withColumn("_pid", F.spark_partition_id()).mapInPandas(
         _prefix_events, "_ref long, _key long, _t long, _kind int, _pid int, _before long")
     local = local.checkpoint(eager=True)
