@@ -89,3 +89,29 @@ def test_optional_behaviors(spark, sf):
     path = scratch_path(spark, "t-export2")
     assert export.write_export(rows, path) == 5
     assert export.write_export(rows, path, append=True, skip_existing=True) == 0
+
+
+def test_category_counts_parallel_unnest_edge_cases(spark):
+    import duckdb
+
+    from paperflow.operators import views
+    rows = [(1, ["a", "b"], ["x"]), (2, [], []), (3, ["a", "a"], ["x", "x"]), (4, ["c"], [])]
+    df = spark.createDataFrame([(i, c, n, None) for i, c, n in rows],
+                               "id long, categories array<string>, categories_name array<string>, published_date timestamp_ntz")
+    got = [(r.category_name, r.category_id, r.paper_count) for r in views.papers_by_category(df).collect()]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p (categories VARCHAR[], categories_name VARCHAR[])")
+    con.executemany("INSERT INTO p VALUES (?, ?)", [(c, n) for _, c, n in rows])
+    want = sorted(con.execute(
+        "SELECT category_name, category_id, count(*) FROM (SELECT unnest(categories_name) AS category_name, "
+        "unnest(categories) AS category_id FROM p) GROUP BY ALL").fetchall(), key=lambda r: tuple(str(x) for x in r))
+    assert sorted(got, key=lambda r: tuple(str(x) for x in r)) == want
+
+
+def test_drain_single_batch(spark, sf):
+    from paperflow.operators import inference
+    from paperflow.streaming import drain
+    rows, res = drain.drain(S.papers(spark, sf), S.summaries(spark, sf), S.page_table(spark, sf),
+                            inference.echo_model, "stub", batch_size=3, single_batch=True)
+    assert res.count() == 3 and res.select("batch_no").distinct().first()[0] == 0
+    assert rows.count() == res.filter("ok").count()

@@ -54,3 +54,15 @@ def test_stored_table_day_filter_prunes_and_pushes(spark, sf):
     assert "ReadSchema: struct<id:bigint,published_date:timestamp_ntz>" in p
     want = S.papers(spark, sf).filter(F.to_date("published_date") == dt.date(2024, 1, 15)).count()
     assert df.count() == want
+
+
+def test_numbering_single_partition_only_over_partition_counts(spark, sf):
+    import __spark_entry__ as E
+    df = E.queries()["assign_ids"](spark, sf)
+    df.write.format("noop").mode("overwrite").save()
+    lines = _plan(df).split("\n")
+    idx = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert idx, "expected the offsets exchange"
+    for i in idx:
+        below = "\n".join(lines[i + 1:i + 4])
+        assert "HashAggregate(keys=[_pid" in below
