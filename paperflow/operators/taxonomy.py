@@ -46,21 +46,28 @@ def translate_expr(codes: Column, lookup: Column) -> Column:
 
 
 def translate_categories(papers: DataFrame, taxonomy: DataFrame, codes_col: str = "categories",
-                         out_col: str = "translated", key: str = "id") -> DataFrame:
-    """Adds ``out_col`` = translated ``codes_col`` to every row of ``papers``."""
+                         out_col: str = "translated", key: str | None = None) -> DataFrame:
+    """Adds ``out_col`` = translated ``codes_col`` to every row of ``papers`` (``key`` is
+    accepted for compatibility and not needed)."""
     dim = taxonomy_dim(taxonomy)
     lookup = _inline_map(dim)
     if lookup is not None:
         return papers.withColumn(out_col, translate_expr(F.col(codes_col), lookup))
-    # Large dimension: explode with positions and join; the regroup is per paper and
-    # each paper has a handful of codes, so no group is unbounded.
-    ex = papers.select(key, F.posexplode(codes_col).alias("pos", "code"))
-    j = ex.join(dim.select(F.col("category_code").alias("code"), "category_name", F.lit(True).alias("hit")), "code", "left")
+    # Large dimension. The translation depends only on the code array, so translate the
+    # distinct arrays (partially aggregated: a popular combination is combined map-side),
+    # then join back on the array value. Each regroup holds one array's few codes; the
+    # join back is planned by AQE (broadcast when the mapping is small, skewed
+    # partitions split otherwise). No row key is needed, so duplicate rows are safe.
+    arrays = papers.select(F.col(codes_col).alias("_codes")).filter(F.col("_codes").isNotNull()).distinct()
+    ex = arrays.select("_codes", F.posexplode("_codes").alias("pos", "code"))
+    named = dim.select(F.col("category_code").alias("code"), "category_name", F.lit(True).alias("hit"))
+    j = ex.join(named, "code", "left")
     name = F.when(F.col("hit"), F.col("category_name")).otherwise(F.col("code"))
-    back = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", name.alias("v")))).alias("pairs"))
-    back = back.select(key, F.transform("pairs", lambda p: p["v"]).alias(out_col))
-    out = papers.join(back, key, "left")
-    return out.withColumn(out_col, F.coalesce(F.col(out_col), F.when(F.col(codes_col).isNotNull(), F.array().cast("array<string>"))))
+    mapping = j.groupBy("_codes").agg(F.sort_array(F.collect_list(F.struct("pos", name.alias("v")))).alias("pairs"))
+    mapping = mapping.select("_codes", F.transform("pairs", lambda p: p["v"]).alias(out_col))
+    out = papers.join(mapping, papers[codes_col] == mapping["_codes"], "left").drop("_codes")
+    empty = F.when(F.col(codes_col).isNotNull() & (F.size(codes_col) == 0), F.array().cast("array<string>"))
+    return out.withColumn(out_col, F.coalesce(F.col(out_col), empty))
 
 
 def needs_names(papers: DataFrame, include_untranslated: bool = False) -> DataFrame:

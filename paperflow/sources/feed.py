@@ -66,7 +66,7 @@ def entries_to_papers(entries: DataFrame, taxonomy: DataFrame | None = None,
     out = out.withColumn("is_valid", valid)
     if taxonomy is None:
         return out.withColumn("categories_name", F.col("categories"))
-    return translate_categories(out, taxonomy, codes_col="categories", out_col="categories_name", key="abstract_url")
+    return translate_categories(out, taxonomy, codes_col="categories", out_col="categories_name")
 
 
 def valid_papers(parsed: DataFrame) -> DataFrame:

@@ -50,3 +50,13 @@ def test_inline_map_plan_has_no_shuffle(spark, sf):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert F is not None
+
+
+def test_large_path_with_duplicate_rows(spark, monkeypatch):
+    tax = spark.createDataFrame(TAX, "category_code string, category_name string")
+    dup = _papers(spark).unionByName(_papers(spark))
+    inline = sorted((r["id"], str(r["translated"])) for r in TX.translate_categories(dup, tax).collect())
+    monkeypatch.setattr(TX, "INLINE_LIMIT", 1)
+    out = TX.translate_categories(dup, tax)
+    assert out.count() == dup.count()
+    assert sorted((r["id"], str(r["translated"])) for r in out.collect()) == inline
