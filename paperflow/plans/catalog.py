@@ -14,9 +14,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperflow import params
+from paperflow.functions import dates as D
+from paperflow.functions import sections as SEC
+from paperflow.functions import text as TX
 from paperflow.functions.text import join_list
 from paperflow.operators import export, taxonomy, views
+from paperflow.operators import inference as INF
+from paperflow.operators import ingest as IN
+from paperflow.operators import migrate as MG
+from paperflow.operators import pages as PG
+from paperflow.operators import quality as QA
+from paperflow.operators import rates as RT
+from paperflow.operators import search as SR
+from paperflow.operators.numbering import batch_numbers
+from paperflow.session import scratch_path
+from paperflow.sources import feed as FD
 from paperflow.sources import standins as S
+from paperflow.sources.tables import read_table
+from paperflow.streaming import drain as DR
+from paperflow.streaming import ingest as SI
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -124,13 +140,6 @@ def q_backfill_names(spark, sf):
 
 # --- search and dates ------------------------------------------------------
 
-from paperflow.functions import dates as D  # noqa: E402
-from paperflow.functions import sections as SEC  # noqa: E402
-from paperflow.functions import text as TX  # noqa: E402
-from paperflow.operators import pages as PG  # noqa: E402
-from paperflow.operators import search as SR  # noqa: E402
-from paperflow.sources.tables import read_table  # noqa: E402
-
 
 @register("search_papers")
 def q_search_papers(spark, sf):
@@ -244,12 +253,6 @@ def q_valid_sections(spark, sf):
 
 # --- ingest and numbering --------------------------------------------------
 
-from paperflow.operators import ingest as IN  # noqa: E402
-from paperflow.operators import migrate as MG  # noqa: E402
-from paperflow.operators import quality as QA  # noqa: E402
-from paperflow.operators import rates as RT  # noqa: E402
-from paperflow.operators.numbering import batch_numbers  # noqa: E402
-
 
 @register("new_papers")
 def q_new_papers(spark, sf):
@@ -373,12 +376,6 @@ def q_requests_per_minute(spark, sf):
 
 # --- feed files, streaming ingest ------------------------------------------
 
-from paperflow.operators import inference as INF  # noqa: E402
-from paperflow.session import scratch_path  # noqa: E402
-from paperflow.sources import feed as FD  # noqa: E402
-from paperflow.streaming import drain as DR  # noqa: E402
-from paperflow.streaming import ingest as SI  # noqa: E402
-
 
 def _feed_entries(spark, sf):
     """Feed files rendered from the papers table into the shared scratch folder, then scanned."""

@@ -4,6 +4,11 @@ Spark code (plain SQL, windows and joins), so the check compares two engines."""
 
 from __future__ import annotations
 
+from paperflow import params as _P
+from paperflow.functions import sections as _SEC
+from paperflow.functions.text import PROMPT_TEMPLATE as _TPL
+from paperflow.operators.search import AI_KEYWORDS as _KW
+
 STANDINS = r"""
 papers0 AS (
   SELECT doc_id, text, lang, source,
@@ -224,8 +229,6 @@ FROM papers p LEFT JOIN translated t ON t.id = p.id
 
 # --- search and dates ------------------------------------------------------
 
-from paperflow import params as _P  # noqa: E402
-
 
 def _ts(x) -> str:
     return f"timestamp '{x:%Y-%m-%d %H:%M:%S}'"
@@ -302,7 +305,6 @@ SELECT doc_id, {clean('text')} AS text, CAST(length({clean('text')}) AS BIGINT)
 
 Q["ascii_only"] = "SELECT doc_id, regexp_replace(text, '[^\\x00-\\x7e]', '', 'g') AS text FROM documents"
 
-from paperflow.operators.search import AI_KEYWORDS as _KW  # noqa: E402
 
 _kw = ", ".join(f"'{k}'" for k in _KW)
 Q["keyword_match"] = f"""
@@ -322,7 +324,6 @@ Q["assemble_pages"] = f"""
 SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n_chars FROM assembled
 """
 
-from paperflow.functions.text import PROMPT_TEMPLATE as _TPL  # noqa: E402
 
 _tpl = _TPL.replace("'", "''")
 Q["model_input"] = f"""
@@ -333,8 +334,6 @@ FROM papers p LEFT JOIN assembled a ON a.doc_id = p.id
 
 # --- sections --------------------------------------------------------------
 
-from paperflow.functions import sections as _SEC  # noqa: E402
-
 
 def _re2(p: str, flags: str) -> str:
     body = p.replace("(?=", "(?:").replace("\\s", PY_SPACE)
