@@ -65,3 +65,33 @@ def end_state(summaries: DataFrame, new_rows: DataFrame) -> DataFrame:
     cols = new_rows.columns
     old = summaries.select(F.col("arxiv_paper_id"), *[c for c in cols if c != "arxiv_paper_id"])
     return old.withColumn("source", F.lit("stored")).unionByName(new_rows.withColumn("source", F.lit("drained")))
+
+
+def drain_loop(spark, papers: DataFrame, summaries_path: str, pages: DataFrame | None,
+               fn: Callable[[str, int], str], model_name: str, batch_size: int = 15,
+               single_batch: bool = False, max_batches: int | None = None,
+               calls_per_minute_per_task: int | None = None) -> dict:
+    """The source application's drain, batch by batch: take the queue head, summarize,
+    append to the summaries table at ``summaries_path``; stop when the queue is empty,
+    a batch yields nothing (failed papers stay at the head, D6), after one batch with
+    ``single_batch``, or after ``max_batches``. Every step is a distributed job over at
+    most ``batch_size`` papers; the loop only reads counters.
+
+    Returns ``{"processed", "batches", "remaining"}`` with separate counters (D20)."""
+    processed = batches = 0
+    while True:
+        summ = spark.read.parquet(summaries_path)
+        if views.queue_depth(papers, summ).first()["remaining"] == 0:
+            break
+        rows, _ = drain(papers, summ, pages, fn, model_name, batch_size, single_batch=True,
+                        calls_per_minute_per_task=calls_per_minute_per_task)
+        rows = rows.checkpoint(eager=True)
+        n = rows.count()
+        if n:
+            rows.write.mode("append").parquet(summaries_path)
+        processed += n
+        batches += 1
+        if n == 0 or single_batch or (max_batches and batches >= max_batches):
+            break
+    remaining = views.queue_depth(papers, spark.read.parquet(summaries_path)).first()["remaining"]
+    return {"processed": processed, "batches": batches, "remaining": remaining}

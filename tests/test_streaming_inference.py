@@ -51,3 +51,22 @@ def test_pacer_limits_calls():
     t0 = time.monotonic()
     p.wait()
     assert time.monotonic() - t0 >= 0.05
+
+
+def test_drain_loop_batches_until_done_or_stalled(spark, sf):
+    from paperflow.operators import views
+    from paperflow.streaming import drain
+    papers = S.papers(spark, sf)
+    table = scratch_path(spark, "t-summ")
+    # start from the stored summaries in the shape the drain appends
+    seed = S.summaries(spark, sf).select("arxiv_paper_id", "arxiv_id", "beginner_title", "intermediate_title",
+                                          "beginner_overview", "intermediate_overview", "beginner_summary",
+                                          "intermediate_summary", "processing_status", "processing_error",
+                                          "model_name", "created_at")
+    seed.write.parquet(table)
+    depth0 = views.queue_depth(papers, spark.read.parquet(table)).first()[0]
+    out = drain.drain_loop(spark, papers, table, None, INF.echo_model, "stub", batch_size=5, max_batches=2)
+    assert out["batches"] <= 2 and out["processed"] <= 10
+    assert out["remaining"] == depth0 - out["processed"]
+    one = drain.drain_loop(spark, papers, table, None, INF.echo_model, "stub", batch_size=5, single_batch=True)
+    assert one["batches"] == 1
