@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from paperflow.functions.dates import epoch_micros
 from paperflow.session import checkpoint_root
@@ -23,7 +24,8 @@ def _prefix_events(batches):
         yield pdf.assign(_before=before)
 
 
-def trailing_rate(events: DataFrame, key: str = "user_id", ts: str = "ts", cap: int = MAX_PER_MINUTE) -> DataFrame:
+def trailing_rate(events: DataFrame, key: str = "user_id", ts: str = "ts", cap: int = MAX_PER_MINUTE,
+                  id_col: str = "event_id") -> DataFrame:
     """Per caller and request, requests in the trailing 60 s (age < 60 s, the request
     itself and same-instant requests included), whether the cap was hit, and the wait
     the limiter would impose (60 s minus the age of the oldest request in the window).
@@ -40,15 +42,16 @@ def trailing_rate(events: DataFrame, key: str = "user_id", ts: str = "ts", cap:
     spark = events.sparkSession
     checkpoint_root(spark)
     us = epoch_micros(F.col(ts))
-    base = events.select(F.col("event_id").alias("_ref"), F.col(key).alias("_key"), us.alias("_us"))
+    base = events.select(F.col(id_col).alias("_ref"), F.col(key).alias("_key"), us.alias("_us"))
     rows = base.select("_ref", "_key", F.inline(F.array(
         F.struct((F.col("_us") - (WINDOW_MICROS - 1)).alias("_t"), F.lit(0).alias("_kind")),
         F.struct(F.col("_us").alias("_t"), F.lit(1).alias("_kind")),
         F.struct(F.col("_us").alias("_t"), F.lit(2).alias("_kind")))))
     order = ["_key", "_t", "_kind", "_ref"]
     fixed = rows.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
-    local = fixed.withColumn("_pid", F.spark_partition_id()).mapInPandas(
-        _prefix_events, "_ref long, _key long, _t long, _kind int, _pid int, _before long")
+    tagged = fixed.withColumn("_pid", F.spark_partition_id())
+    schema = StructType(tagged.schema.fields + [StructField("_before", LongType(), False)])
+    local = tagged.mapInPandas(_prefix_events, schema)
     local = local.checkpoint(eager=True)
     counts = local.groupBy("_pid").agg(F.count_if(F.col("_kind") == 1).alias("_n"))
     earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,13 +62,13 @@ def trailing_rate(events: DataFrame, key: str = "user_id", ts: str = "ts", cap:
     hi = g.filter(F.col("_kind") == 2).select("_ref", F.col("_g").alias("_ghi"))
     ranked = g.filter(F.col("_kind") == 1).select((F.col("_g") + 1).alias("_rank"), F.col("_t").alias("_oldest"))
     span = lo.join(hi, "_ref").join(ranked, F.col("_glo") + 1 == F.col("_rank"))
-    per_event = span.select(F.col("_ref").alias("event_id"), (F.col("_ghi") - F.col("_glo")).alias("n_window"),
+    per_event = span.select(F.col("_ref").alias(id_col), (F.col("_ghi") - F.col("_glo")).alias("n_window"),
                             "_oldest")
-    out = events.select("event_id", key, ts).join(per_event, "event_id")
+    out = events.select(id_col, key, ts).join(per_event, id_col)
     age = us - F.col("_oldest")
     throttled = F.col("n_window") > cap
     return out.select(
-        "event_id", key, ts, "n_window", throttled.alias("throttled"),
+        id_col, key, ts, "n_window", throttled.alias("throttled"),
         F.when(throttled, (F.lit(WINDOW_MICROS) - age) / F.lit(1e6)).otherwise(F.lit(0.0)).alias("wait_s"),
     )
 

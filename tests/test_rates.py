@@ -76,3 +76,10 @@ def test_ties_and_hot_caller_match_plain_window(spark):
         "event_id", "n_window",
         F.when(F.col("n_window") > 15, (F.lit(60_000_000) - F.col("age")) / F.lit(1e6)).otherwise(F.lit(0.0)).alias("wait_s"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_string_caller_key(spark):
+    rows = [(i, T0 + dt.timedelta(seconds=i), "caller-a" if i % 2 else "caller-b") for i in range(20)]
+    ev = spark.createDataFrame(rows, "req long, ts timestamp_ntz, who string")
+    got = {r["req"]: r["n_window"] for r in RT.trailing_rate(ev, key="who", id_col="req").collect()}
+    assert got[19] == 10 and got[18] == 10 and got[0] == 1
