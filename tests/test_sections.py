@@ -31,14 +31,20 @@ def _unheader(c):
     return c if m is None else m.group(1).strip()
 
 
-def python_parse(text):
-    """Brute-force statement of the extraction rule with Python's re (the source dialect)."""
+def python_fields(text):
+    """Brute-force statement of the extraction rule with Python's re (the source dialect):
+    the raw field values before the validity check (None = nothing matched)."""
     t = text.strip()
     flags = re.DOTALL | re.IGNORECASE
     fields = {f: _pick(_captures(SEC.PATTERNS[f], t, flags)) for f in SEC.FIELDS}
     if not fields["intermediate_overview"]:
         alt = _pick([_unheader(c) for c in _captures(SEC.OVERVIEW_FALLBACKS, t, flags)])
         fields["intermediate_overview"] = alt if alt is not None else fields["intermediate_overview"]
+    return fields
+
+
+def python_parse(text):
+    fields = python_fields(text)
     ok = all(v and len(v) >= 10 for v in fields.values())
     return fields if ok else None
 
@@ -94,3 +100,36 @@ def test_length_thresholds(spark, n):
     df = spark.createDataFrame([(text,)], "response string")
     r = SEC.parse_responses(df).collect()[0]
     assert r["is_valid"] == (n >= 10)
+
+
+HEADERS = ["BEGINNER_TITLE:", "INTERMEDIATE_TITLE:", "BEGINNER_OVERVIEW:", "INTERMEDIATE_OVERVIEW:",
+           "BEGINNER_SUMMARY:", "INTERMEDIATE_SUMMARY:", "INTERMEDIATE OVERVIEW:", "Intermediate Overview:",
+           "Beginner Summary:"]
+
+
+def _response(draw_parts):
+    out = []
+    for hdr, style, sep, body in draw_parts:
+        h = {0: hdr, 1: hdr.lower(), 2: "**" + hdr + "**", 3: hdr.title()}[style]
+        out.append(h + " " + body + sep)
+    return "".join(out)
+
+
+def test_random_responses_match_python(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    part = st.tuples(st.sampled_from(HEADERS), st.integers(0, 3), st.sampled_from(["\n", "\n\n", " ", "\n \n", "\r\n"]),
+                     st.text(alphabet=st.sampled_from(list("abc xyz.\n") + [" ", "　"]), min_size=0, max_size=25))
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.lists(part, min_size=0, max_size=8), min_size=40, max_size=40))
+    def run(responses):
+        texts = [_response(r) for r in responses]
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, response string")
+        got = {r["i"]: r for r in SEC.parse_responses(df).collect()}
+        for i, t in enumerate(texts):
+            assert got[i]["sections"].asDict() == python_fields(t), repr(t)
+            assert got[i]["is_valid"] == (python_parse(t) is not None), repr(t)
+
+    run()
