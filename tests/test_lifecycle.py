@@ -115,3 +115,33 @@ def test_drain_single_batch(spark, sf):
                             inference.echo_model, "stub", batch_size=3, single_batch=True)
     assert res.count() == 3 and res.select("batch_no").distinct().first()[0] == 0
     assert rows.count() == res.filter("ok").count()
+
+
+def test_daily_run_end_to_end(spark, sf):
+    import datetime as dt
+
+    from paperflow.operators import daily, inference
+    from paperflow.session import scratch_path
+    from paperflow.sources import feed as FD
+    papers = S.papers(spark, sf)
+    stored = S.stored_papers(spark, sf).withColumn("published_day", F.to_date("published_date"))
+    table = scratch_path(spark, "t-daily-papers")
+    stored.write.partitionBy("published_day").parquet(table)
+    feed_path = FD.write_feed(papers, scratch_path(spark, "t-daily-feed"))
+    summ = scratch_path(spark, "t-daily-summ")
+    S.summaries(spark, sf).select("arxiv_paper_id", "arxiv_id", "beginner_title", "intermediate_title",
+                                  "beginner_overview", "intermediate_overview", "beginner_summary",
+                                  "intermediate_summary", "processing_status", "processing_error", "model_name",
+                                  "created_at").write.parquet(summ)
+    as_of = dt.date(2024, 2, 13)                       # a Tuesday -> target day 2024-02-12
+    out = daily.daily_run(spark, feed_path, table, S.taxonomy(spark, sf), as_of, summaries_path=summ,
+                          model_fn=inference.echo_model, model_name="stub")
+    day = papers.filter(F.to_date("published_date") == dt.date(2024, 2, 12))
+    ok_day = day.filter(F.col("id") % 11 != 0)
+    assert out["target_day"] == "2024-02-12"
+    assert out["kept"] == ok_day.count() and out["inserted"] == ok_day.count()
+    assert out["rejected"] == papers.filter(F.col("id") % 11 == 0).count()
+    assert out["summarized"] <= 5
+    again = daily.daily_run(spark, feed_path, table, S.taxonomy(spark, sf), as_of)
+    assert again["inserted"] == 0 and again["names_filled"] == 0
+    assert daily.target_day_of(dt.date(2024, 2, 12)) == dt.date(2024, 2, 9)   # Monday -> Friday
