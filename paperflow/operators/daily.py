@@ -27,16 +27,25 @@ def target_day_of(as_of: dt.date) -> dt.date:
 def daily_run(spark: SparkSession, feed_path: str, papers_path: str, taxonomy: DataFrame, as_of: dt.date,
               summaries_path: str | None = None, pages: DataFrame | None = None,
               model_fn: Callable[[str, int], str] | None = None, model_name: str = "model",
-              summarize_limit: int = 5, rejects_path: str | None = None) -> dict:
+              summarize_limit: int = 5, rejects_path: str | None = None,
+              day: dt.date | str | None = None, days_back: int | None = None) -> dict:
     """``papers_path`` is a parquet table partitioned by ``published_day``. ``as_of`` is
-    the run date; the papers of its target day are ingested."""
-    day = target_day_of(as_of)
+    the run date. Modes: default = its target day (F2); ``day`` = one given day (F3,
+    ``YYYY-MM-DD`` text is validated); ``days_back`` = every day from as_of - 1 - N
+    through as_of - 1 (F4, the range the request asks for, D1)."""
+    if day is not None:
+        first = last = dates.parse_day(day) if isinstance(day, str) else day
+    elif days_back is not None:
+        last = as_of - dt.timedelta(days=1)
+        first = last - dt.timedelta(days=days_back)
+    else:
+        first = last = target_day_of(as_of)
     parsed = FD.entries_to_papers(FD.read_feed(spark, feed_path), taxonomy,
                                   extracted_at=dt.datetime.combine(as_of, dt.time())).checkpoint(eager=True)
     if rejects_path:
         FD.rejected_entries(parsed).write.mode("append").parquet(rejects_path)
     valid = FD.valid_papers(parsed)
-    on = dates.on_day("published_date", day)
+    on = dates.in_day_range("published_date", first, last)
     seen = valid.agg(F.count_if(on).alias("kept"), F.count_if(~on).alias("filtered_out")).first()
     stored = spark.read.parquet(papers_path).drop("published_day")
     inserted = ingest.append_papers(valid.filter(on).drop("raw_published"), stored, papers_path,
@@ -48,6 +57,6 @@ def daily_run(spark: SparkSession, feed_path: str, papers_path: str, taxonomy: D
         papers = spark.read.parquet(papers_path).drop("published_day")
         summarized = drain_loop(spark, papers, summaries_path, pages, model_fn, model_name,
                                 batch_size=summarize_limit, single_batch=True)["processed"]
-    return {"target_day": day.isoformat(), "kept": seen["kept"], "filtered_out": seen["filtered_out"],
+    return {"first_day": first.isoformat(), "last_day": last.isoformat(), "kept": seen["kept"], "filtered_out": seen["filtered_out"],
             "rejected": parsed.filter(~F.col("is_valid")).count(), "inserted": inserted,
             "names_filled": filled, "summarized": summarized}

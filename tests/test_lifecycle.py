@@ -138,10 +138,16 @@ def test_daily_run_end_to_end(spark, sf):
                           model_fn=inference.echo_model, model_name="stub")
     day = papers.filter(F.to_date("published_date") == dt.date(2024, 2, 12))
     ok_day = day.filter(F.col("id") % 11 != 0)
-    assert out["target_day"] == "2024-02-12"
+    assert out["first_day"] == out["last_day"] == "2024-02-12"
     assert out["kept"] == ok_day.count() and out["inserted"] == ok_day.count()
     assert out["rejected"] == papers.filter(F.col("id") % 11 == 0).count()
     assert out["summarized"] <= 5
     again = daily.daily_run(spark, feed_path, table, S.taxonomy(spark, sf), as_of)
     assert again["inserted"] == 0 and again["names_filled"] == 0
     assert daily.target_day_of(dt.date(2024, 2, 12)) == dt.date(2024, 2, 9)   # Monday -> Friday
+    rng = daily.daily_run(spark, feed_path, table, S.taxonomy(spark, sf), as_of, days_back=3)
+    span = papers.filter(F.to_date("published_date").between(dt.date(2024, 2, 9), dt.date(2024, 2, 12)))
+    assert rng["kept"] == span.filter(F.col("id") % 11 != 0).count()
+    assert rng["inserted"] == rng["kept"] - out["inserted"]
+    one = daily.daily_run(spark, feed_path, table, S.taxonomy(spark, sf), as_of, day="2024-01-05")
+    assert one["first_day"] == "2024-01-05" and one["inserted"] == 0      # stored already
