@@ -64,3 +64,10 @@ def write_export(rows: DataFrame, path: str, append: bool = False, skip_existing
     (rows.coalesce(1).write.mode("append" if append else "overwrite")
      .option("header", True).option("escape", '"').csv(path))
     return n
+
+
+def export_summaries(summaries: DataFrame, papers: DataFrame, path: str, limit: int = 5,
+                     append: bool = True, skip_existing: bool = False) -> int:
+    """K5: the latest ``limit`` completed summaries, formatted and written to ``path``.
+    Returns the number exported; no rows -> 0 and nothing written."""
+    return write_export(export_latest(summaries, papers, limit), path, append=append, skip_existing=skip_existing)

@@ -151,3 +151,11 @@ def test_daily_run_end_to_end(spark, sf):
     assert rng["inserted"] == rng["kept"] - out["inserted"]
     one = daily.daily_run(spark, feed_path, table, S.taxonomy(spark, sf), as_of, day="2024-01-05")
     assert one["first_day"] == "2024-01-05" and one["inserted"] == 0      # stored already
+
+
+def test_export_summaries_driver(spark, sf):
+    from paperflow.session import scratch_path
+    path = scratch_path(spark, "t-export3")
+    assert export.export_summaries(S.summaries(spark, sf), S.papers(spark, sf), path, limit=3, append=False) == 3
+    none = S.summaries(spark, sf).filter("false")
+    assert export.export_summaries(none, S.papers(spark, sf), scratch_path(spark, "t-export4")) == 0
