@@ -39,8 +39,8 @@ def register_views(spark: SparkSession, papers: DataFrame, summaries: DataFrame,
     """K7: the five stored views as temp views (Catalyst inlines them into queries)."""
     if as_of is not None:
         views.recent_papers(papers, as_of).createOrReplaceTempView("recent_arxiv_papers")
-    views.papers_by_category(papers).createOrReplaceTempView("arxiv_papers_by_category")
-    views.papers_by_category_name(papers).createOrReplaceTempView("arxiv_papers_by_category_names")
+    views.papers_by_category(papers, ordered=True).createOrReplaceTempView("arxiv_papers_by_category")
+    views.papers_by_category_name(papers, ordered=True).createOrReplaceTempView("arxiv_papers_by_category_names")
     views.papers_with_summaries(papers, summaries).createOrReplaceTempView("v_papers_with_summaries")
     views.papers_needing_summaries(papers, summaries).createOrReplaceTempView("v_papers_needing_summaries")
 

@@ -99,7 +99,7 @@ def recent_papers(papers: DataFrame, as_of: dt.datetime, days: int = 30) -> Data
     return papers.filter(F.col("published_date") >= lo)
 
 
-def papers_by_category(papers: DataFrame) -> DataFrame:
+def papers_by_category(papers: DataFrame, ordered: bool = False) -> DataFrame:
     """A1: names and codes unnested in parallel (shorter side padded with NULL), grouped
     by both. Partial aggregation runs map-side, so a hot category is combined before
     the shuffle."""
@@ -107,12 +107,15 @@ def papers_by_category(papers: DataFrame) -> DataFrame:
         F.inline(F.arrays_zip(F.col("categories_name").alias("n"), F.col("categories").alias("c"))),
         "published_date",
     )
-    return (z.groupBy(F.col("n").alias("category_name"), F.col("c").alias("category_id"))
-            .agg(F.count(F.lit(1)).alias("paper_count"), F.max("published_date").alias("latest_paper")))
+    out = (z.groupBy(F.col("n").alias("category_name"), F.col("c").alias("category_id"))
+           .agg(F.count(F.lit(1)).alias("paper_count"), F.max("published_date").alias("latest_paper")))
+    # L4: largest first (names as tie-breakers) when the result is read as a report
+    return out.orderBy(F.desc("paper_count"), "category_name", "category_id") if ordered else out
 
 
-def papers_by_category_name(papers: DataFrame) -> DataFrame:
+def papers_by_category_name(papers: DataFrame, ordered: bool = False) -> DataFrame:
     """A2: the same by name only; papers with no names contribute nothing."""
     z = papers.select(F.explode("categories_name").alias("category_name"), "published_date")
-    return z.groupBy("category_name").agg(
+    out = z.groupBy("category_name").agg(
         F.count(F.lit(1)).alias("paper_count"), F.max("published_date").alias("latest_paper"))
+    return out.orderBy(F.desc("paper_count"), "category_name") if ordered else out

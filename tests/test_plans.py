@@ -66,3 +66,9 @@ def test_numbering_single_partition_only_over_partition_counts(spark, sf):
     for i in idx:
         below = "\n".join(lines[i + 1:i + 4])
         assert "HashAggregate(keys=[_pid" in below
+
+
+def test_category_report_order(spark, sf):
+    rows = views.papers_by_category_name(S.papers(spark, sf), ordered=True).collect()
+    counts = [r.paper_count for r in rows]
+    assert counts == sorted(counts, reverse=True)
