@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperflow.functions import dates
-from paperflow.operators.views import BROADCAST_TOP_K
+from paperflow.operators.views import BROADCAST_TOP_K, COLLECT_TOP_K
 
 # Fixed values of the source application: the categories it searches, newest first,
 # at most 2000 results per request.
@@ -42,8 +42,11 @@ def search_papers(papers: DataFrame, start: dt.datetime, end: dt.datetime, codes
     if offset:
         keys = keys.offset(offset)
     keys = keys.limit(max_results).select("id")
-    keys = F.broadcast(keys) if max_results <= BROADCAST_TOP_K else keys
-    return hit.join(keys, "id", "left_semi").orderBy(*order).limit(max_results)
+    if max_results <= COLLECT_TOP_K:
+        page = hit.filter(F.col("id").isin([r[0] for r in keys.collect()]))   # at most max_results ids
+    else:
+        page = hit.join(F.broadcast(keys) if max_results <= BROADCAST_TOP_K else keys, "id", "left_semi")
+    return page.orderBy(*order).limit(max_results)
 
 
 PARTITION_DAY = "published_day"

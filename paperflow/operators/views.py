@@ -15,7 +15,10 @@ from paperflow.functions.dates import ntz_lit
 
 QUEUE_COLUMNS = ("id", "arxiv_id", "title", "abstract", "pdf_url", "published_date")
 
-# A top-k key table is broadcast only up to this many rows; larger k joins normally.
+# Up to this many chosen keys are fetched with an IN list (pushed into the parquet scan,
+# so row-group statistics skip most wide data); a k-row key table is broadcast up to
+# BROADCAST_TOP_K rows; larger k joins normally.
+COLLECT_TOP_K = 10_000
 BROADCAST_TOP_K = 100_000
 
 
@@ -31,6 +34,9 @@ def top_k(narrow: DataFrame, wide: DataFrame, key: str, order: list, k: int) ->
     task; choosing the k keys on the narrow columns first means only keys travel, and
     only k wide rows are ever fetched (semi join against a k-row table)."""
     keys = narrow.orderBy(*order).limit(k).select(key)
+    if k <= COLLECT_TOP_K:
+        chosen = [r[0] for r in keys.collect()]          # at most k values
+        return wide.filter(F.col(key).isin(chosen)).orderBy(*order).limit(k)
     keys = F.broadcast(keys) if k <= BROADCAST_TOP_K else keys
     return wide.join(keys, key, "left_semi").orderBy(*order).limit(k)
 
@@ -81,13 +87,18 @@ def latest_summaries(summaries: DataFrame, papers: DataFrame, limit: int) -> Dat
     # narrow pass: keys of completed summaries whose paper exists (the inner join)
     narrow = done.select("id", "arxiv_paper_id", "created_at").join(
         papers.select(F.col("id").alias("arxiv_paper_id")), "arxiv_paper_id", "left_semi")
-    top = top_k(narrow, done, "id", order, limit)
     p = papers.select(
         F.col("id").alias("arxiv_paper_id"),
         F.struct("arxiv_id", "title", "authors", "categories_name", "published_date",
                  "abstract", "pdf_url", "abstract_url").alias("paper"),
     )
-    p = p.join(top.select("arxiv_paper_id"), "arxiv_paper_id", "left_semi")
+    if limit <= COLLECT_TOP_K:
+        chosen = narrow.orderBy(*order).limit(limit).select("id", "arxiv_paper_id").collect()   # <= limit rows
+        top = done.filter(F.col("id").isin([r[0] for r in chosen]))
+        p = p.filter(F.col("arxiv_paper_id").isin([r[1] for r in chosen]))
+    else:
+        top = top_k(narrow, done, "id", order, limit)
+        p = p.join(top.select("arxiv_paper_id"), "arxiv_paper_id", "left_semi")
     return top.join(p, "arxiv_paper_id", "inner").orderBy(*order).limit(limit)
 
 

@@ -72,3 +72,10 @@ def test_category_report_order(spark, sf):
     rows = views.papers_by_category_name(S.papers(spark, sf), ordered=True).collect()
     counts = [r.paper_count for r in rows]
     assert counts == sorted(counts, reverse=True)
+
+
+def test_topk_wide_fetch_pushes_in_filter(spark, sf):
+    from paperflow.operators import export
+    df = export.export_latest(S.summaries(spark, sf), S.papers(spark, sf), 5)
+    df.write.format("noop").mode("overwrite").save()
+    assert "PushedFilters: [In(doc_id," in _plan(df)
