@@ -451,3 +451,15 @@ def q_drain_result(spark, sf):
                            batch_size=params.QUEUE_LIMIT)
     return DR.end_state(summ, new_rows).select("arxiv_paper_id", "processing_status", "source",
                                                "beginner_title", "intermediate_summary")
+
+
+@register("requests_per_minute_stream")
+def q_requests_per_minute_stream(spark, sf):
+    """T3 as a stream: events land in a folder, the watermarked per-minute counts run with
+    availableNow into a parquet sink; append mode emits each minute once it closes."""
+    from paperflow.streaming.rates import events_stream, start_requests_per_minute
+    src = scratch_path(spark, "events-in")
+    read_table(spark, sf, "events", "event_id", "ts", "user_id").write.parquet(src)
+    sink, ck = scratch_path(spark, "rpm-out"), scratch_path(spark, "rpm-ck")
+    start_requests_per_minute(events_stream(spark, src), sink, ck).awaitTermination()
+    return spark.read.parquet(sink).select("window_start", "user_id", "n_requests")

@@ -485,6 +485,14 @@ SELECT date_trunc('minute', ts) AS window_start, user_id, count(*) AS n_requests
 """
 
 
+# Streaming form: a minute is emitted once the watermark (latest event - 1 minute) has
+# passed its end.
+Q["requests_per_minute_stream"] = """
+SELECT window_start, user_id, n_requests FROM (
+  SELECT date_trunc('minute', ts) AS window_start, user_id, count(*) AS n_requests FROM events GROUP BY 1, 2)
+WHERE window_start + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE
+"""
+
 # --- feed files --------------------------------------------------------------
 
 _ENTRY = "'http://files.example/abs/' || arxiv_id"
