@@ -95,7 +95,7 @@ def extra_spans(words: list[tuple[int, str]], base: list[tuple[int, int, int]],
 
 
 def train(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> dict[tuple[int, int, int], int]:
-    """Transition counts (label, from, to): label 1 in the patterns' values, 0 in other words of 6 or more letters."""
+    """Transition counts (label, from, to): label 1 in the patterns' values, 0 in other words of 4 or more letters."""
     spread = 1 << 20
     total = docs.select("doc_id").count()
     share = spread if total <= max_rows else int(spread * max_rows / total)
@@ -111,7 +111,7 @@ def train(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> dict[tuple[int, in
                     values = [text[a:b]] if kind else [ASSIGN.match(text, a)[2]]
                     seen.update((1, INDEX[x], INDEX[y]) for s in values for x, y in zip(s, s[1:]) if x in INDEX and y in INDEX)
                 if not base:
-                    for s in re.findall(r"[A-Za-z0-9+/_=-]{6,}", text):
+                    for s in re.findall(r"[A-Za-z0-9+/_=-]{4,}", text):
                         seen.update((0, INDEX[x], INDEX[y]) for x, y in zip(s, s[1:]))
         rows = [(*k, n) for k, n in seen.items()]
         cols = list(zip(*rows)) or [[], [], [], []]
