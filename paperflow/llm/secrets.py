@@ -24,7 +24,7 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
 CUES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "markov")
 #: Shortest string that the models judge, and the ratios that report it.
-SHORTEST, PER_CHAR, IN_TOTAL = 16, 0.7, 15.0
+SHORTEST, PER_CHAR, IN_TOTAL = 16, 0.3, 8.0
 #: Bound of the sample that the models are counted on.
 MAX_TRAIN_ROWS = 20_000
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
