@@ -78,13 +78,18 @@ class Model:
         return sum(self.ratio[a][b] for a, b in zip(at, at[1:]))
 
 
+def candidate(s: str) -> bool:
+    """Strings that the models judge; without a label they train neither."""
+    return len(s) >= SHORTEST and any(map(str.isdigit, s)) and any(map(str.isalpha, s))
+
+
 def extra_spans(words: list[tuple[int, str]], base: list[tuple[int, int, int]], model: Model) -> list[tuple[int, int, int]]:
     """Strings with a digit and a letter that the model takes for random, outside the base spans."""
     out = []
     for at, w in words:
         for m in RUN.finditer(w):
             s, start, end = m[0], at + m.start(), at + m.end()
-            if len(s) < SHORTEST or not any(map(str.isdigit, s)) or not any(map(str.isalpha, s)):
+            if not candidate(s):
                 continue
             if any(a < end and start < b for a, _, b in base):
                 continue
@@ -112,7 +117,8 @@ def train(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> dict[tuple[int, in
                     seen.update((1, INDEX[x], INDEX[y]) for s in values for x, y in zip(s, s[1:]) if x in INDEX and y in INDEX)
                 if not base:
                     for s in re.findall(r"[A-Za-z0-9+/_=-]{4,}", text):
-                        seen.update((0, INDEX[x], INDEX[y]) for x, y in zip(s, s[1:]))
+                        if not candidate(s):
+                            seen.update((0, INDEX[x], INDEX[y]) for x, y in zip(s, s[1:]))
         rows = [(*k, n) for k, n in seen.items()]
         cols = list(zip(*rows)) or [[], [], [], []]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["label", "a", "b", "n"])
