@@ -28,7 +28,7 @@ SIMILARITY = 80
 #: Share of equal tokens below which a pair is not looked at: at 0.8 similarity, 64 tokens fall
 #: this low once in a hundred million pairs.
 GLANCE = 0.5
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 150_000
 _RNG = np.random.default_rng(20240817)
 _MULTIPLY = (_RNG.integers(0, 1 << 31, TOKENS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _ADD = _RNG.integers(0, 1 << 32, TOKENS, dtype=np.uint32)

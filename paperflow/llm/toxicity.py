@@ -21,7 +21,7 @@ MAX_TRAIN_ROWS = 10_000
 EPOCHS, ALPHA, BETA, L1, L2, POSITIVE_WEIGHT = 2, 0.3, 1.0, 1.0, 0.1, 3.0
 #: Lengths of the word beginnings that are features beside the whole words.
 STEMS = (3, 4, 5)
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 150_000
 FOLDS = 5
 _PAIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _SKIP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
