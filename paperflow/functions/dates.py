@@ -98,11 +98,20 @@ def format_or_keep(ts, fmt: str) -> Column:
     return F.coalesce(F.date_format(_c(ts), fmt), F.lit(""))
 
 
+def run_time() -> dt.datetime:
+    """Now, UTC without a zone: the default time of a run."""
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def reformat_text_date(s, fmt: str) -> Column:
-    """X13/X14 on text: ISO timestamps (with 'Z' or an offset) are reformatted,
-    anything unparsable is kept as it is, NULL/'' -> ''."""
+    """X13/X14 on text: a day, or a time after ``T`` or a space with an optional fraction and
+    offset, is reformatted as it is written, in its own offset. Anything else is kept as it
+    is; NULL -> ''."""
     t = _c(s)
-    parsed = F.coalesce(F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
-                        F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")),
-                        F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss")))
-    return F.coalesce(F.date_format(parsed, fmt), t, F.lit(""))
+    part = lambda k: F.regexp_extract(t, _TEXT_DATE, k)
+    clock = F.when(part(2) == "", F.lit("00:00:00")).otherwise(part(2))
+    local = F.when(t.rlike(_TEXT_DATE), F.concat_ws(" ", part(1), clock).try_cast("timestamp_ntz"))
+    return F.coalesce(F.date_format(local, fmt), t, F.lit(""))
+
+
+_TEXT_DATE = r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2}:\d{2})(?:\.\d+)?(?:Z|[+-]\d{2}:?\d{2})?)?$"

@@ -100,7 +100,9 @@ PROMPT_TEMPLATE = (
 )
 
 
-def model_input(title, abstract, page_text) -> Column:
-    """Cleaned title and abstract plus the first 15,000 chars of the cleaned page text."""
-    body = F.substring(clean_text(page_text), 1, MODEL_TEXT_CHARS)
+def model_input(title, abstract, page_text, max_chars: int | None = None) -> Column:
+    """Cleaned title and abstract plus the cleaned page text, whole unless
+    ``max_chars`` (the source application sends ``MODEL_TEXT_CHARS``) cuts it."""
+    body = clean_text(page_text)
+    body = body if max_chars is None else F.substring(body, 1, max_chars)
     return F.format_string(PROMPT_TEMPLATE, clean_text(title), clean_text(abstract), body)

@@ -56,7 +56,8 @@ def backfill_names_in_place(spark: SparkSession, path: str, taxonomy_df: DataFra
     n = F.col("categories_name")
     touched = (table.filter((n.isNull() | (F.size(n) == 0)) & (F.size("categories") > 0))
                .select(partition).distinct())
-    part = table.join(touched, partition, "left_semi")
+    days = touched.select(F.col(partition).alias("_day"))
+    part = table.join(days, table[partition].eqNullSafe(days["_day"]), "left_semi")  # a NULL day is a partition too
     fixed = taxonomy.backfill_names(part, taxonomy_df).checkpoint(eager=True)
     filled = fixed.filter("names_filled").count()
     if filled:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,8 +56,9 @@ def write_export(rows: DataFrame, path: str, append: bool = False, skip_existing
             have = rows.sparkSession.read.option("header", True).option("multiLine", True).option(
                 "escape", '"').csv(path).select("arxiv_id")
             rows = rows.join(have, "arxiv_id", "left_anti").select(*EXPORT_COLUMNS)
-        except Exception:  # noqa: BLE001 - no export yet
-            pass
+        except AnalysisException as e:  # no export yet; any other failure is one
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     n = rows.count()
     if n == 0:
         return 0

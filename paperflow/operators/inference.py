@@ -18,9 +18,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperflow.functions.dates import ntz_lit
+from paperflow.functions.dates import ntz_lit, run_time
 
 from paperflow.functions.sections import FIELDS, parse_responses
+from paperflow.operators.numbering import global_row_number
 from paperflow.session import checkpoint_root
 
 # Fixed values of the source application.
@@ -95,23 +96,29 @@ def summarize(prompts: DataFrame, fn: Callable[[str, int], str], max_attempts: i
 
 
 def summary_rows(results: DataFrame, papers: DataFrame, model_name: str, record_errors: bool = False,
-                 created_at=None) -> DataFrame:
+                 created_at=None, stored: DataFrame | None = None) -> DataFrame:
     """Summary-table rows for the successful results. With ``record_errors`` a
     failed paper gets an ``error`` row with the fixed texts, which removes it from the
-    queue for good (D21); by default failures leave no row and stay queued (D6)."""
+    queue for good (D21); by default failures leave no row and stay queued (D6).
+
+    ``created_at`` and ``updated_at`` are one time per run. Ids continue after the largest
+    of ``stored`` in the order of the papers' ids (W3), numbered on the ids alone."""
     r = results if record_errors else results.filter("ok")
     p = papers.select(F.col("id"), "arxiv_id")
-    j = r.join(p, "id")
+    start = stored.agg(F.max("id")).first()[0] or 0 if stored is not None and "id" in stored.columns else 0
+    numbers = global_row_number(r.select("id"), [F.col("id")])
+    j = r.join(p, "id").join(numbers, "id")
+    now = ntz_lit(created_at or run_time())
     text = lambda f: F.when(F.col("ok"), F.col(f)).otherwise(
         F.lit(ERROR_SUMMARY if f.endswith("summary") else ERROR_TITLE))
     return j.select(
-        F.col("id").alias("arxiv_paper_id"), "arxiv_id",
+        (F.lit(start).cast("long") + F.col("rn")).alias("summary_id"), F.col("id").alias("arxiv_paper_id"), "arxiv_id",
         *[text(f).alias(f) for f in FIELDS],
         F.when(F.col("ok"), "completed").otherwise("error").alias("processing_status"),
         F.when(~F.col("ok"), F.col("error")).alias("processing_error"),
         F.lit(model_name).alias("model_name"),
-        ntz_lit(created_at).alias("created_at"),
-    )
+        now.alias("created_at"), now.alias("updated_at"),
+    ).withColumnRenamed("summary_id", "id")
 
 
 def echo_model(prompt: str, attempt: int) -> str:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperflow.functions.dates import epoch_micros, ntz_lit
+from paperflow.functions.dates import epoch_micros, ntz_lit, run_time
 from paperflow.operators.numbering import global_row_number
 
 KEY = "arxiv_id"
@@ -51,20 +51,24 @@ def assign_ids(rows: DataFrame, stored: DataFrame, id_col: str = "id") -> DataFr
     return numbered.withColumn(id_col, F.lit(start).cast("long") + F.col("rn")).drop("rn")
 
 
+def with_defaults(fresh: DataFrame, extracted_at=None) -> DataFrame:
+    """``extracted_at`` and ``created_at`` of inserted rows are one time per run, the
+    given one or the time of the call. A feed's own ``extracted_at`` is kept if none is given."""
+    now = ntz_lit(extracted_at or run_time())
+    own = "extracted_at" in fresh.columns and extracted_at is None
+    return fresh.withColumns({"extracted_at": F.coalesce("extracted_at", now) if own else now, "created_at": now})
+
+
 def ingest(feed: DataFrame, stored: DataFrame, extracted_at=None) -> DataFrame:
     """K1 result: stored rows plus the new ones (U2, by name). ``extracted_at`` /
     ``created_at`` default to one ``as_of`` per run (X26)."""
-    fresh = assign_ids(new_rows(dedup_feed(feed), stored), stored)
-    for c in ("extracted_at", "created_at"):
-        if c not in fresh.columns or extracted_at is not None:
-            fresh = fresh.withColumn(c, ntz_lit(extracted_at))
+    fresh = with_defaults(assign_ids(new_rows(dedup_feed(feed), stored), stored), extracted_at)
     return stored.unionByName(fresh.select(*stored.columns))
 
 
 def append_papers(feed: DataFrame, stored: DataFrame, path: str, extracted_at=None) -> int:
     """K1 write: append only the new rows, one folder per published day. Returns the count."""
-    fresh = assign_ids(new_rows(dedup_feed(feed), stored), stored)
-    fresh = fresh.withColumn("extracted_at", ntz_lit(extracted_at)) if extracted_at else fresh
+    fresh = with_defaults(assign_ids(new_rows(dedup_feed(feed), stored), stored), extracted_at)
     fresh = fresh.withColumn("published_day", F.to_date("published_date")).checkpoint(eager=True)
     fresh.write.mode("append").partitionBy("published_day").parquet(path)
     return fresh.count()

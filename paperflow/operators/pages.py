@@ -7,18 +7,14 @@ from pyspark.sql import functions as F
 
 from paperflow.functions.text import clean_text
 
-# Fixed value of the source application: pages read per paper.
-MAX_PAGES = 10
 
-
-def assemble_pages(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
-    """Per document: the first ``max_pages`` pages (0-based) in order, each cleaned,
-    empty ones skipped, joined by newline and cleaned again; no text -> NULL.
-
-    The page filter runs before the shuffle, so each group holds at most
-    ``max_pages`` rows no matter how long a document is.
+def assemble_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Per document: its pages in order, each cleaned, empty ones skipped, joined by
+    newline and cleaned again; no text -> NULL. ``max_pages`` (the source application
+    reads 10) keeps the first pages only, before the shuffle.
     """
-    p = pages.filter(F.col("page") < max_pages).select("doc_id", "page", clean_text("text").alias("t"))
+    pages = pages if max_pages is None else pages.filter(F.col("page") < max_pages)
+    p = pages.select("doc_id", "page", clean_text("text").alias("t"))
     g = p.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page", "t"))).alias("pp"))
     kept = F.transform(F.filter("pp", lambda x: x["t"] != ""), lambda x: x["t"])
     joined = clean_text(F.array_join(kept, "\n"))

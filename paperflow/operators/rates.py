@@ -42,7 +42,9 @@ def trailing_rate(events: DataFrame, key: str = "user_id", ts: str = "ts", cap:
     spark = events.sparkSession
     checkpoint_root(spark)
     us = epoch_micros(F.col(ts))
-    base = events.select(F.col(id_col).alias("_ref"), F.col(key).alias("_key"), us.alias("_us"))
+    # Rows, not ids, are the requests: ids may repeat. The checkpoint fixes the row numbers.
+    events = events.select(id_col, key, ts, F.monotonically_increasing_id().alias("_ref")).checkpoint(eager=True)
+    base = events.select("_ref", F.col(key).alias("_key"), us.alias("_us"))
     rows = base.select("_ref", "_key", F.inline(F.array(
         F.struct((F.col("_us") - (WINDOW_MICROS - 1)).alias("_t"), F.lit(0).alias("_kind")),
         F.struct(F.col("_us").alias("_t"), F.lit(1).alias("_kind")),
@@ -62,9 +64,9 @@ def trailing_rate(events: DataFrame, key: str = "user_id", ts: str = "ts", cap:
     hi = g.filter(F.col("_kind") == 2).select("_ref", F.col("_g").alias("_ghi"))
     ranked = g.filter(F.col("_kind") == 1).select((F.col("_g") + 1).alias("_rank"), F.col("_t").alias("_oldest"))
     span = lo.join(hi, "_ref").join(ranked, F.col("_glo") + 1 == F.col("_rank"))
-    per_event = span.select(F.col("_ref").alias(id_col), (F.col("_ghi") - F.col("_glo")).alias("n_window"),
+    per_event = span.select("_ref", (F.col("_ghi") - F.col("_glo")).alias("n_window"),
                             "_oldest")
-    out = events.select(id_col, key, ts).join(per_event, id_col)
+    out = events.join(per_event, "_ref")
     age = us - F.col("_oldest")
     throttled = F.col("n_window") > cap
     return out.select(

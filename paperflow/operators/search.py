@@ -8,12 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperflow.functions import dates
-from paperflow.operators.views import BROADCAST_TOP_K, COLLECT_TOP_K
 
-# Fixed values of the source application: the categories it searches, newest first,
-# at most 2000 results per request.
+# Fixed values of the source application: the categories it searches.
 AI_CATEGORIES = ("cs.AI", "cs.LG", "cs.CV", "cs.CL", "cs.NE", "stat.ML", "cs.RO", "cs.IR")
-MAX_RESULTS = 2000
 
 # Keyword list declared by the source application (never used there).
 AI_KEYWORDS = (
@@ -30,23 +27,19 @@ def in_categories(codes=AI_CATEGORIES):
 
 
 def search_papers(papers: DataFrame, start: dt.datetime, end: dt.datetime, codes=AI_CATEGORIES,
-                  offset: int = 0, max_results: int = MAX_RESULTS) -> DataFrame:
+                  offset: int = 0, max_results: int | None = None) -> DataFrame:
     """Category filter AND submitted time in [start, end] at minute precision,
-    newest first, then offset/limit (a top-k: TakeOrderedAndProject, no full sort)."""
+    newest first. ``offset`` and ``max_results`` cut a page out of it, chosen on narrow
+    columns; without them every hit is returned."""
     lo = dates.ntz_lit(start)
     hi = dates.ntz_lit(end) + F.expr("INTERVAL 1 MINUTE")
     hit = papers.filter(in_categories(codes) & (F.col("published_date") >= lo) & (F.col("published_date") < hi))
     order = [F.col("published_date").desc(), F.col("id").desc()]
-    # choose the page on (id, published_date) only, then fetch the wide rows of that page
-    keys = hit.select("id", "published_date").orderBy(*order)
-    if offset:
-        keys = keys.offset(offset)
-    keys = keys.limit(max_results).select("id")
-    if max_results <= COLLECT_TOP_K:
-        page = hit.filter(F.col("id").isin([r[0] for r in keys.collect()]))   # at most max_results ids
-    else:
-        page = hit.join(F.broadcast(keys) if max_results <= BROADCAST_TOP_K else keys, "id", "left_semi")
-    return page.orderBy(*order).limit(max_results)
+    if not offset and max_results is None:
+        return hit.orderBy(*order)
+    keys = hit.select("id", "published_date").orderBy(*order).offset(offset)
+    keys = keys if max_results is None else keys.limit(max_results)
+    return hit.join(keys.select("id"), "id", "left_semi").orderBy(*order)
 
 
 PARTITION_DAY = "published_day"

@@ -1,59 +1,33 @@
 """Category taxonomy: load (S4), translate code arrays (J1), select rows missing
 names (F8/F14) and backfill them (J6/K2).
 
-Translation keeps each array element in place. A taxonomy is a small dimension
-(the real one has about 150 codes), so the default path turns it into one literal
-map expression evaluated inside codegen - no join and no shuffle of the papers.
-That path is taken only after the dimension's size is checked; a taxonomy above
-``INLINE_LIMIT`` codes goes the distributed way: explode with positions, left
-join (AQE broadcasts it only if its measured size allows), regroup per paper.
+Translation keeps each array element in place. It depends only on the code array, so the
+distinct arrays are exploded with positions, joined with the taxonomy, regrouped and joined
+back; AQE broadcasts a side only if its measured size allows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-INLINE_LIMIT = 10_000
-
 
 def taxonomy_dim(taxonomy: DataFrame) -> DataFrame:
     """One name per code. The source keeps whichever row it read last; we pick
-    ``min(name)`` so the result is deterministic (D7) and report the duplicates."""
-    return taxonomy.groupBy("category_code").agg(
+    ``min(name)`` so the result is deterministic (D7) and report the duplicates. A NULL
+    code names nothing."""
+    return taxonomy.filter(F.col("category_code").isNotNull()).groupBy("category_code").agg(
         F.min("category_name").alias("category_name"),
         F.count(F.lit(1)).alias("n_rows"),
     )
 
 
-def _inline_map(dim: DataFrame) -> Column | None:
-    """Literal map of a size-checked dimension, or None when it is too large."""
-    small = dim.select("category_code", "category_name").limit(INLINE_LIMIT + 1).collect()
-    if len(small) > INLINE_LIMIT:
-        return None
-    if not small:
-        return F.create_map().cast("map<string,string>")
-    kv = []
-    for r in small:
-        kv += [F.lit(r["category_code"]), F.lit(r["category_name"]).cast("string")]
-    return F.create_map(*kv)
-
-
-def translate_expr(codes: Column, lookup: Column) -> Column:
-    """J1 as an expression: a matched code becomes its name (NULL name stays NULL, D8),
-    an unmatched code stays itself; order and duplicates are kept."""
-    return F.transform(codes, lambda c: F.when(F.map_contains_key(lookup, c), F.element_at(lookup, c)).otherwise(c))
-
-
 def translate_categories(papers: DataFrame, taxonomy: DataFrame, codes_col: str = "categories",
-                         out_col: str = "translated", key: str | None = None) -> DataFrame:
-    """Adds ``out_col`` = translated ``codes_col`` to every row of ``papers`` (``key`` is
-    accepted for compatibility and not needed)."""
+                         out_col: str = "translated") -> DataFrame:
+    """Adds ``out_col``: a matched code becomes its name (a NULL name stays NULL, D8), an
+    unmatched code stays itself; order and duplicates are kept."""
     dim = taxonomy_dim(taxonomy)
-    lookup = _inline_map(dim)
-    if lookup is not None:
-        return papers.withColumn(out_col, translate_expr(F.col(codes_col), lookup))
-    # Large dimension. The translation depends only on the code array, so translate the
+    # The translation depends only on the code array, so translate the
     # distinct arrays (partially aggregated: a popular combination is combined map-side),
     # then join back on the array value. Each regroup holds one array's few codes; the
     # join back is planned by AQE (broadcast when the mapping is small, skewed

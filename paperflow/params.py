@@ -17,5 +17,3 @@ SEARCH_END = dt.datetime(2024, 2, 10, 23, 59)
 # Fixed limits from the source application.
 EXPORT_LIMIT = 5
 QUEUE_LIMIT = 15
-INSERT_BATCH = 100
-MAX_RESULTS = 2000

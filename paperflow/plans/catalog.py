@@ -30,7 +30,7 @@ from paperflow.operators.numbering import batch_numbers
 from paperflow.session import scratch_path
 from paperflow.sources import feed as FD
 from paperflow.sources import standins as S
-from paperflow.sources.tables import read_table, spread_small
+from paperflow.sources.tables import read_table
 from paperflow.streaming import drain as DR
 from paperflow.streaming import ingest as SI
 
@@ -144,7 +144,7 @@ def q_backfill_names(spark, sf):
 @register("search_papers")
 def q_search_papers(spark, sf):
     df = SR.search_papers(S.papers(spark, sf), params.SEARCH_START, params.SEARCH_END,
-                          codes=params.SEARCH_CODES, max_results=params.MAX_RESULTS)
+                          codes=params.SEARCH_CODES)
     return df.select("id", "arxiv_id", join_list("categories").alias("categories"), "published_date")
 
 
@@ -210,7 +210,7 @@ def q_author_label(spark, sf):
 @register("clean_text")
 def q_clean_text(spark, sf):
     c = TX.clean_text("text")
-    return spread_small(S.dirty_text(spark, sf)).select(
+    return S.dirty_text(spark, sf).select(
         "doc_id", c.alias("text"), F.char_length(c).cast("bigint").alias("n_chars"))
 
 
@@ -241,13 +241,13 @@ def q_model_input(spark, sf):
 
 @register("parse_sections")
 def q_parse_sections(spark, sf):
-    df = SEC.parse_responses(spread_small(S.responses(spark, sf)))
+    df = SEC.parse_responses(S.responses(spark, sf))
     return df.select("doc_id", *[F.col(f"sections.{f}").alias(f) for f in SEC.FIELDS])
 
 
 @register("valid_sections")
 def q_valid_sections(spark, sf):
-    df = SEC.parse_responses(spread_small(S.responses(spark, sf)))
+    df = SEC.parse_responses(S.responses(spark, sf))
     return df.select("doc_id", "is_valid",
                      *[F.when(F.col("is_valid"), F.col(f"sections.{f}")).alias(f) for f in SEC.FIELDS])
 

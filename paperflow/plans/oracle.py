@@ -17,7 +17,7 @@ papers0 AS (
   FROM documents),
 papers AS (
   SELECT doc_id AS id,
-         concat('2401.', lpad(CAST(doc_id AS VARCHAR), 6, '0'), 'v1') AS arxiv_id,
+         concat('2401.', lpad(CAST(doc_id AS VARCHAR), greatest(6, length(CAST(doc_id AS VARCHAR)))::INT, '0'), 'v1') AS arxiv_id,
          substr(text, 1, 120) AS title,
          text AS abstract,
          list_transform(range(1, 2 + doc_id % 5), lambda i: concat('Author ', CAST(i AS VARCHAR))) AS authors,
@@ -33,7 +33,7 @@ papers AS (
   FROM papers0),
 summaries AS (
   SELECT l.doc_id AS id, l.doc_id AS arxiv_paper_id,
-         concat('2401.', lpad(CAST(l.doc_id AS VARCHAR), 6, '0'), 'v1') AS arxiv_id,
+         concat('2401.', lpad(CAST(l.doc_id AS VARCHAR), greatest(6, length(CAST(l.doc_id AS VARCHAR)))::INT, '0'), 'v1') AS arxiv_id,
          substr(d.text, 1, 150) AS beginner_title, substr(d.text, 11, 150) AS intermediate_title,
          substr(d.text, 1, 250) AS beginner_overview, substr(d.text, 11, 250) AS intermediate_overview,
          substr(d.text, 1, 600) AS beginner_summary, substr(d.text, 11, 600) AS intermediate_summary,
@@ -243,7 +243,6 @@ Q["search_papers"] = f"""
 SELECT id, arxiv_id, array_to_string(categories, '|') AS categories, published_date FROM papers
 WHERE list_has_any(categories, [{_codes}])
   AND published_date >= {_ts(_P.SEARCH_START)} AND published_date < {_ts(_P.SEARCH_END)} + INTERVAL 1 MINUTE
-ORDER BY published_date DESC, id DESC LIMIT {_P.MAX_RESULTS}
 """
 
 Q["papers_on_day"] = f"""

@@ -17,7 +17,7 @@ from paperflow.sources.tables import read_table
 
 
 def arxiv_id_of(doc_id: Column) -> Column:
-    return F.concat(F.lit("2401."), F.lpad(doc_id.cast("string"), 6, "0"), F.lit("v1"))
+    return F.concat(F.lit("2401."), F.lpad(doc_id.cast("string"), F.greatest(F.lit(6), F.length(doc_id.cast("string"))), F.lit("0")), F.lit("v1"))
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,17 +12,6 @@ TABLES = (
 ).split()
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Before CPU-heavy per-row work on a scan: round-robin an input that has fewer
-    partitions than the default parallelism (a table stored as one parquet row group
-    cannot be split, so the work would run in one task). The rule fires only on such
-    small inputs, where the shuffle is cheap; a large table has more splits than cores
-    and is left alone. Call it only on scan-rooted frames: asking a frame that already
-    contains a shuffle for its partition count makes adaptive execution run it."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")

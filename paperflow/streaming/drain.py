@@ -56,7 +56,7 @@ def drain(papers: DataFrame, summaries: DataFrame, pages: DataFrame | None, fn:
         results = results.withColumn("batch_no", F.lit(0).cast("long"))
     elif with_batches:
         results = results.join(queue_batches(papers, summaries, batch_size), "id")
-    rows = inference.summary_rows(results, papers, model_name, created_at=created_at)
+    rows = inference.summary_rows(results, papers, model_name, created_at=created_at, stored=summaries)
     return rows, results
 
 
@@ -73,25 +73,28 @@ def drain_loop(spark, papers: DataFrame, summaries_path: str, pages: DataFrame |
                calls_per_minute_per_task: int | None = None) -> dict:
     """The source application's drain, batch by batch: take the queue head, summarize,
     append to the summaries table at ``summaries_path``; stop when the queue is empty,
-    a batch yields nothing (failed papers stay at the head, D6), after one batch with
+    (papers that failed in this run are passed over and stay queued, D6), after one batch with
     ``single_batch``, or after ``max_batches``. Every step is a distributed job over at
     most ``batch_size`` papers; the loop only reads counters.
 
     Returns ``{"processed", "batches", "remaining"}`` with separate counters (D20)."""
     processed = batches = 0
+    untried = papers
     while True:
         summ = spark.read.parquet(summaries_path)
-        if views.queue_depth(papers, summ).first()["remaining"] == 0:
+        if views.queue_depth(untried, summ).first()["remaining"] == 0:
             break
-        rows, _ = drain(papers, summ, pages, fn, model_name, batch_size, single_batch=True,
+        rows, results = drain(untried, summ, pages, fn, model_name, batch_size, single_batch=True,
                         calls_per_minute_per_task=calls_per_minute_per_task)
         rows = rows.checkpoint(eager=True)
         n = rows.count()
         if n:
-            rows.write.mode("append").parquet(summaries_path)
+            rows.select(*summ.columns).write.mode("append").parquet(summaries_path)
         processed += n
         batches += 1
-        if n == 0 or single_batch or (max_batches and batches >= max_batches):
+        failed = results.filter(~F.col("ok")).select("id").checkpoint(eager=True)  # at most a batch
+        untried = untried.join(failed, "id", "left_anti")
+        if single_batch or (max_batches and batches >= max_batches):
             break
     remaining = views.queue_depth(papers, spark.read.parquet(summaries_path)).first()["remaining"]
     return {"processed": processed, "batches": batches, "remaining": remaining}

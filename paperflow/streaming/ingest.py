@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperflow.operators import ingest as IN
+from paperflow.operators.search import PARTITION_DAY
 from paperflow.sources.feed import entries_to_papers, read_feed_stream, rejected_entries, valid_papers
 
 TABLE_COLUMNS = ("id", "arxiv_id", "title", "abstract", "authors", "categories", "categories_name",
@@ -25,10 +26,14 @@ def _append_batch(spark: SparkSession, table: str, rejects: str | None, taxonomy
     def run(batch: DataFrame, epoch: int) -> None:
         parsed = entries_to_papers(batch, taxonomy, extracted_at).checkpoint(eager=True)
         if rejects:
-            rejected_entries(parsed).withColumn("batch_id", F.lit(epoch)).write.mode("append").parquet(rejects)
+            # one folder per batch: a repeated batch overwrites its own rejects
+            rejected_entries(parsed).write.mode("overwrite").parquet(f"{rejects}/batch_id={epoch}")
         stored = spark.read.parquet(table)
         fresh = IN.assign_ids(IN.new_rows(IN.dedup_feed(valid_papers(parsed)), stored), stored)
-        fresh.select(*TABLE_COLUMNS).write.mode("append").parquet(table)
+        fresh = IN.with_defaults(fresh, extracted_at).withColumn(PARTITION_DAY, F.to_date("published_date"))
+        out = fresh.select(*stored.columns).write.mode("append")
+        # the layout of the table that is there: files beside day folders would not be read
+        (out.partitionBy(PARTITION_DAY) if PARTITION_DAY in stored.columns else out).parquet(table)
     return run
 
 

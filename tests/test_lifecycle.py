@@ -129,10 +129,7 @@ def test_daily_run_end_to_end(spark, sf):
     stored.write.partitionBy("published_day").parquet(table)
     feed_path = FD.write_feed(papers, scratch_path(spark, "t-daily-feed"))
     summ = scratch_path(spark, "t-daily-summ")
-    S.summaries(spark, sf).select("arxiv_paper_id", "arxiv_id", "beginner_title", "intermediate_title",
-                                  "beginner_overview", "intermediate_overview", "beginner_summary",
-                                  "intermediate_summary", "processing_status", "processing_error", "model_name",
-                                  "created_at").write.parquet(summ)
+    S.summaries(spark, sf).write.parquet(summ)
     as_of = dt.date(2024, 2, 13)                       # a Tuesday -> target day 2024-02-12
     out = daily.daily_run(spark, feed_path, table, S.taxonomy(spark, sf), as_of, summaries_path=summ,
                           model_fn=inference.echo_model, model_name="stub")

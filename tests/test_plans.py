@@ -72,39 +72,3 @@ def test_category_report_order(spark, sf):
     rows = views.papers_by_category_name(S.papers(spark, sf), ordered=True).collect()
     counts = [r.paper_count for r in rows]
     assert counts == sorted(counts, reverse=True)
-
-
-def test_topk_wide_fetch_pushes_in_filter(spark, sf):
-    from paperflow.operators import export
-    df = export.export_latest(S.summaries(spark, sf), S.papers(spark, sf), 5)
-    df.write.format("noop").mode("overwrite").save()
-    assert "PushedFilters: [In(doc_id," in _plan(df)
-
-
-def test_topk_paths_agree(spark, sf, monkeypatch):
-    from pyspark.sql import functions as F
-
-    from paperflow.operators import search
-    papers, summ = S.papers(spark, sf), S.summaries(spark, sf)
-
-    def snapshot():
-        return (
-            [r.id for r in views.queue_head(papers, summ, 15).collect()],
-            [r.id for r in views.latest_summaries(summ, papers, 5).collect()],
-            [r.id for r in search.search_papers(papers, dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 1),
-                                                codes=("en", "de"), offset=3, max_results=20).collect()],
-        )
-
-    import datetime as dt
-    default = snapshot()
-    monkeypatch.setattr(views, "COLLECT_TOP_K", 0)
-    monkeypatch.setattr(search, "COLLECT_TOP_K", 0)
-    semi = snapshot()
-    monkeypatch.setattr(views, "BROADCAST_TOP_K", 0)
-    monkeypatch.setattr(search, "BROADCAST_TOP_K", 0)
-    plain = snapshot()
-    assert default == semi == plain
-    # Offset skips the newest rows of the same ordering
-    full = [r.id for r in papers.filter(F.arrays_overlap("categories", F.array(F.lit("en"), F.lit("de"))))
-            .orderBy(F.col("published_date").desc(), F.col("id").desc()).limit(23).collect()]
-    assert default[2] == full[3:23]

@@ -59,10 +59,7 @@ def test_drain_loop_batches_until_done_or_stalled(spark, sf):
     papers = S.papers(spark, sf)
     table = scratch_path(spark, "t-summ")
     # start from the stored summaries in the shape the drain appends
-    seed = S.summaries(spark, sf).select("arxiv_paper_id", "arxiv_id", "beginner_title", "intermediate_title",
-                                          "beginner_overview", "intermediate_overview", "beginner_summary",
-                                          "intermediate_summary", "processing_status", "processing_error",
-                                          "model_name", "created_at")
+    seed = S.summaries(spark, sf)
     seed.write.parquet(table)
     depth0 = views.queue_depth(papers, spark.read.parquet(table)).first()[0]
     out = drain.drain_loop(spark, papers, table, None, INF.echo_model, "stub", batch_size=5, max_batches=2)
@@ -70,3 +67,10 @@ def test_drain_loop_batches_until_done_or_stalled(spark, sf):
     assert out["remaining"] == depth0 - out["processed"]
     one = drain.drain_loop(spark, papers, table, None, INF.echo_model, "stub", batch_size=5, single_batch=True)
     assert one["batches"] == 1
+    # the drained rows are whole rows that the export finds
+    from paperflow.operators.views import latest_summaries
+    all_rows = spark.read.parquet(table)
+    assert all_rows.filter("id is null or created_at is null or updated_at is null").count() == 0
+    assert all_rows.count() == all_rows.select("id").distinct().count()
+    newest = latest_summaries(all_rows, papers, out["processed"] + one["processed"]).collect()
+    assert {r["model_name"] for r in newest} == {"stub"}

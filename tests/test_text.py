@@ -65,16 +65,19 @@ def test_url_tail_and_ascii(spark):
 
 def test_model_input_caps_page_text(spark):
     df = spark.createDataFrame([("T", "A", "p" * 20000)], "t string, a string, p string")
-    s = df.select(TX.model_input("t", "a", "p")).first()[0]
+    s = df.select(TX.model_input("t", "a", "p", max_chars=15000)).first()[0]
     assert ("p" * 15000) in s and ("p" * 15001) not in s
+    assert ("p" * 20000) in df.select(TX.model_input("t", "a", "p")).first()[0]   # whole by default
 
 
 def test_reformat_text_date_and_parse_day(spark):
     import pytest
     from paperflow.functions import dates
-    df = spark.createDataFrame([("2024-01-02T03:04:05Z",), ("2024-01-02T03:04:05+00:00",), ("garbage",), (None,)], "s string")
+    df = spark.createDataFrame([("2024-01-02T03:04:05Z",), ("2024-01-02T03:04:05+00:00",), ("garbage",), (None,),
+                                ("2024-03-01",), ("2024-03-01 10:20:30",), ("2024-01-01T23:30:00+05:00",)], "s string")
     got = [r[0] for r in df.select(dates.reformat_text_date("s", dates.EXPORT_MINUTE_FORMAT)).collect()]
-    assert got == ["2024-01-02 03:04", "2024-01-02 03:04", "garbage", ""]
+    assert got == ["2024-01-02 03:04", "2024-01-02 03:04", "garbage", "",
+                   "2024-03-01 00:00", "2024-03-01 10:20", "2024-01-01 23:30"]
     assert str(dates.parse_day("2024-02-29")) == "2024-02-29"
     with pytest.raises(ValueError):
         dates.parse_day("02/29/2024")
