@@ -35,7 +35,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents")).drop("keep_locator")
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
                                   "conv_id long, turn long, role string, text string")
     turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(extra)
-    return chat_format.digests(chat_format.format_chats(chat_format.records_of(turns)))
+    return chat_format.digests(chat_format.format_chats(chat_format.records_of(turns))).drop("schema_sha256")
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

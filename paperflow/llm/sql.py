@@ -11,4 +11,21 @@ k AS (SELECT *, first_value(doc_id) OVER (PARTITION BY bare ORDER BY n DESC, doc
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
 """
 
-QUERIES = {"op6_exact_dedup": OP6}
+OP8 = r"""
+WITH c AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(coalesce(role, '') || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, t) AS said,
+         coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, t) FILTER (WHERE role = 'assistant'), '') AS loss,
+         -- each of \ < [ is escaped by one more character; the marks' lengths by role
+         CAST(sum(2 * length(t) - length(translate(t, '\<[', ''))
+             + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 END) AS BIGINT) AS formatted_chars
+  FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM g
+"""
+
+QUERIES = {"op6_exact_dedup": OP6, "op8_chat_formatting": OP8}
