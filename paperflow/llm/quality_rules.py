@@ -137,11 +137,13 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     names = [f"{m}_{c}" for m in MEASURES for c in ("low", "high")]
     as_struct = lambda level, *keys: limits.filter(F.col("level") == level).select(
         *[F.col(k).alias(f"_{k}{level}") for k in keys], F.struct("n_docs", F.lit(level).alias("level"), *names).alias(f"_f{level}"))
-    own, lang, every = as_struct(0, "lang", "source"), as_struct(1, "lang"), as_struct(3)
+    own, lang = as_struct(0, "lang", "source"), as_struct(1, "lang")
+    overall = as_struct(3).first()  # one row, or none for an empty table
+    every = F.lit(None) if overall is None else F.struct(*[F.lit(v).alias(k) for k, v in overall["_f3"].asDict().items()])
     # Fences of each group first (as many rows as groups), then one join with the documents.
-    table = (own.join(lang, own["_lang0"].eqNullSafe(lang["_lang1"])).join(every, F.lit(True))
+    table = (own.join(lang, own["_lang0"].eqNullSafe(lang["_lang1"]))
              .select("_lang0", "_source0", F.when(F.col("_f0.n_docs") >= MIN_DOCS, F.col("_f0"))
-                     .when(F.col("_f1.n_docs") >= MIN_DOCS, F.col("_f1")).otherwise(F.col("_f3")).alias("_f")))
+                     .when(F.col("_f1.n_docs") >= MIN_DOCS, F.col("_f1")).otherwise(every).alias("_f")))
     joined = counted.join(table, counted["lang"].eqNullSafe(table["_lang0"])
                           & counted["source"].eqNullSafe(table["_source0"]), "left")
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
