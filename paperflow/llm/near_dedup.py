@@ -7,6 +7,8 @@ are crowds of similar texts; they are compared in small parts that all hold the
 central texts. A first look at the minwise tokens leaves the texts that have a partner; exact
 intersections of the whole sets confirm each link. Inside a small node only a spanning
 forest of its links is passed on, so no crowd emits all its pairs. Groups are the connected components.
+Of a crowd's texts that these links leave in different groups, all those that may still be linked are
+then compared block by block.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from paperflow.llm.common import staged
 SHINGLE, TOKENS, TREES, DEPTH = 4, 64, 12, 3
 #: A node of more texts branches on; parts of a crowd, and its central texts in each part.
 SMALL, CROWD, CENTRAL = 64, 4096, 16
+#: Texts in each of the two blocks of a crowd that are compared at a time.
+BLOCK = 256
 #: Links: 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 80
 #: Share of equal tokens below which a pair is not looked at: at 0.8 similarity, 64 tokens fall
@@ -92,9 +96,10 @@ def prints(docs: DataFrame) -> DataFrame:
         run, f"doc_id {kind}, key long, digest binary, n_shingles long, tokens array<int>")
 
 
-def small_nodes(classes: DataFrame) -> DataFrame:
-    """(node, digest) of all nodes with 2 to SMALL texts, and the parts of crowds."""
-    tree = [F.struct(*[F.xxhash64(F.lit(t), *[F.col("tokens")[i] for i in path[:d + 1]]).alias(f"k{d}")
+def small_nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, digest) of all nodes with 2 to SMALL texts and of the parts of crowds; and the crowds
+    (tree, node, digest). A crowd of more than CROWD texts is dealt, anew in each tree, to crowds of about that size."""
+    tree = [F.struct(F.lit(t).alias("tree"), *[F.xxhash64(F.lit(t), *[F.col("tokens")[i] for i in path[:d + 1]]).alias(f"k{d}")
                        for d in range(DEPTH)]) for t, path in enumerate(PATHS)]
     rows = classes.select("digest", F.explode(F.array(*tree)).alias("k")).select("digest", "k.*")
     found = []
@@ -107,13 +112,26 @@ def small_nodes(classes: DataFrame) -> DataFrame:
         if d < DEPTH - 1:
             rows = rows.drop("_n")
     crowds = rows.withColumn("part", F.pmod(F.xxhash64(key, "digest"), F.ceil(F.col("_n") / CROWD)))
-    crowds = crowds.select(F.xxhash64(key, "part").alias("node"), "digest").join(
-        classes.select("digest", "tokens"), "digest")
-    found.append(by_node(crowds, split_crowds, "node long, digest binary"))
+    crowds = crowds.select("tree", F.xxhash64(key, "part").alias("node"), "digest")
+    found.append(by_node(crowds.select("node", "digest").join(classes.select("digest", "tokens"), "digest"),
+                         split_crowds, "node long, digest binary"))
     out = found[0]
     for other in found[1:]:
         out = out.unionByName(other)
-    return out
+    return out, crowds
+
+
+def open_crowds(crowds: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, digest): pairs of blocks of the crowds, with the texts that may be linked with one of
+    another group. A pair of texts that meets in the crowds of several trees counts in the first."""
+    group = crowds.join(labels.withColumnRenamed("v", "digest"), "digest", "left").withColumn(
+        "label", F.coalesce("label", "digest"))
+    mixed = group.groupBy("node").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b").select("node")
+    of_tree = [F.coalesce(F.max(F.when(F.col("tree") == t, F.col("node"))), F.xxhash64("digest", F.lit(t))) for t in range(TREES)]
+    every = crowds.groupBy("digest").agg(F.array(*of_tree).alias("crowds"))
+    rows = group.join(mixed, "node", "left_semi").join(every, "digest").join(
+        classes.select("digest", "n_shingles", "tokens"), "digest")
+    return by_node(rows, unsettled, "node long, digest binary").distinct()
 
 
 def by_node(rows: DataFrame, work, schema: str) -> DataFrame:
@@ -173,6 +191,37 @@ def split_crowds(table: pa.Table):
     yield node_rows(nodes, members)
 
 
+def unsettled(table: pa.Table):
+    """Nodes of two blocks of a crowd each: the texts in a pair of different groups whose tokens and
+    set sizes come near. Blocks hold texts of the same group side by side."""
+    tokens, sizes, digests = token_matrix(table), table["n_shingles"].to_numpy(), table["digest"].to_pylist()
+    trees, labels = table["tree"].to_numpy(), table["label"].to_pylist()
+    crowds = np.asarray(table["crowds"].combine_chunks().flatten()).reshape(-1, TREES)
+    nodes, members = [], []
+    for _, a, b in groups(table):
+        order = np.array(sorted(range(a, b), key=lambda k: (labels[k], digests[k])))
+        _, code = np.unique([labels[k] for k in order], return_inverse=True)
+        blocks = [slice(k, k + BLOCK) for k in range(0, b - a, BLOCK)]
+        for i, x in enumerate(blocks):
+            for y in blocks[i:]:
+                one, two = order[x], order[y]
+                near = code[x][:, None] != code[y][None, :]
+                if not near.any():
+                    continue
+                for t in range(trees[a]):
+                    near &= crowds[one, t][:, None] != crowds[two, t][None, :]
+                n, m = sizes[one][:, None], sizes[two][None, :]
+                near &= 100 * np.minimum(n, m) >= SIMILARITY * np.maximum(n, m)
+                agree = np.zeros(near.shape, np.uint8)
+                for k in range(TOKENS):
+                    agree += tokens[one, k][:, None] == tokens[two, k][None, :]
+                near &= agree >= GLANCE * TOKENS
+                of = sorted({digests[k] for k in [*one[near.any(1)], *two[near.any(0)]]})
+                nodes += [node_id(*of)] * len(of)
+                members += of
+    yield node_rows(nodes, members)
+
+
 def glance(table: pa.Table):
     """Texts with a partner whose tokens and set size come near, as new nodes: one for each connected
     part, named by its members, so that the same part found in several trees is one node."""
@@ -288,15 +337,21 @@ def near_groups(docs: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("row"),
         F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"))
     classes = staged(classes.select("digest", "row.doc_id", "row.key", "n_shingles", "tokens"), "near-classes")
-    nodes = small_nodes(classes).join(classes.select("digest", "n_shingles", "tokens"), "digest")
+    nodes, crowds = small_nodes(classes)
+    crowds = staged(crowds, "near-crowds")
+    nodes = nodes.join(classes.select("digest", "n_shingles", "tokens"), "digest")
     parts = staged(by_node(nodes, glance, "node long, digest binary").distinct(), "near-parts")
-    wanted = classes.select("digest", "doc_id", "key").join(parts.select("digest").distinct(), "digest", "left_semi")
+    looked_at = parts.select("digest").unionByName(crowds.select("digest")).distinct()
+    wanted = classes.select("digest", "doc_id", "key").join(looked_at, "digest", "left_semi")
     raw = F.coalesce("text", F.lit("")).cast("binary")
     fetched = docs.select(F.col("doc_id").alias("_id"), F.xxhash64(raw).alias("key"), raw.alias("text"))
     texts = wanted.join(fetched, (wanted["key"] == fetched["key"]) & wanted["doc_id"].eqNullSafe(fetched["_id"]))
     texts = staged(texts.select("digest", "text").distinct(), "near-texts")
-    edges = by_node(parts.join(texts, "digest"), confirm, "a binary, b binary")
-    labels = components(edges)
+    labels = components(by_node(parts.join(texts, "digest"), confirm, "a binary, b binary"))
+    rest = open_crowds(crowds, classes, labels)
+    more = staged(by_node(rest.join(texts, "digest"), confirm, "a binary, b binary"), "near-links")
+    if not more.isEmpty():
+        labels = components(labels.select(F.col("v").alias("a"), F.col("label").alias("b")).unionByName(more))
     known = classes.select("digest", "doc_id").join(labels, classes["digest"] == labels["v"], "left").select(
         "digest", "doc_id", F.coalesce("label", "digest").alias("label"))
     least = known.groupBy("label").agg(F.min("doc_id").alias("component_id"))

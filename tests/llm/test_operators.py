@@ -295,6 +295,22 @@ def test_near_dedup(docs):
     assert multiset(near_dedup.near_groups(docs), "doc_id", "n_shingles", "component_id", "kept") == brute_near(ROWS)
 
 
+def test_near_dedup_loose_crowd(spark):
+    """A crowd of 700 texts that come near each other without links, but for a few hidden pairs."""
+    rng = random.Random(11)
+    own = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    base, rows = own(80), []
+    for k in range(700):
+        tail = own(14)
+        if k >= 670:
+            tail = rows[(k - 670) * 20][1].split()[80:90] + own(4)
+        rows.append((k, " ".join([*base, *tail])))
+    got = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = brute_near(rows)
+    assert len({k[2] for k in want}) == 670
+    assert multiset(got, "doc_id", "n_shingles", "component_id", "kept") == want
+
+
 def test_near_dedup_crowd(spark):
     """A crowd larger than a small node, each a copy of one text with its own change, beside loners."""
     rng = random.Random(11)
