@@ -17,6 +17,8 @@ from paperflow.session import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: A micro-batch writes its changes to the checkpoint, not a snapshot of each partition's whole state.
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
 def sha256(normalised: Column) -> Column:
@@ -65,13 +67,15 @@ def feed_state(spark, prints_path: str, schema, state_path: str, out_path: str,
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
-    before = spark.conf.get(PROVIDER)
+    before, logged = spark.conf.get(PROVIDER), spark.conf.get(CHANGELOG, "false")
     spark.conf.set(PROVIDER, ROCKSDB)
+    spark.conf.set(CHANGELOG, "true")
     try:
         (state.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", state_path)
          .trigger(availableNow=True).start().awaitTermination())
     finally:
         spark.conf.set(PROVIDER, before)
+        spark.conf.set(CHANGELOG, logged)
 
 
 def exact_dedup(docs: DataFrame, digest=sha256, max_files: int | None = None) -> DataFrame:
