@@ -19,6 +19,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 #: A micro-batch writes its changes to the checkpoint, not a snapshot of each partition's whole state.
 CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+#: Each open store would reserve megabytes of disk ahead for its manifest and logs, which adds up over many partitions.
+FALLOCATE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 
 
 def sha256(normalised: Column) -> Column:
@@ -67,15 +69,16 @@ def feed_state(spark, prints_path: str, schema, state_path: str, out_path: str,
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
-    before, logged = spark.conf.get(PROVIDER), spark.conf.get(CHANGELOG, "false")
-    spark.conf.set(PROVIDER, ROCKSDB)
-    spark.conf.set(CHANGELOG, "true")
+    wanted = {PROVIDER: ROCKSDB, CHANGELOG: "true", FALLOCATE: "false"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         (state.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", state_path)
          .trigger(availableNow=True).start().awaitTermination())
     finally:
-        spark.conf.set(PROVIDER, before)
-        spark.conf.set(CHANGELOG, logged)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def exact_dedup(docs: DataFrame, digest=sha256, max_files: int | None = None) -> DataFrame:
