@@ -120,12 +120,15 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) ->
             np.append(found[0]["weight"].to_numpy(float), found[1]))
 
 
-def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of every document, and ``_score`` in 0..1 from its whole text.
+def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], keep: list[str], name: str = "_score") -> DataFrame:
+    """The columns ``keep`` of every document, and last its score ``name`` in 0..1 from its whole text.
 
-    Null counts as empty: the intercept's score. Repeated rows score the same.
+    Null counts as empty: the intercept's score. Repeated rows score the same. The text goes to
+    the workers once, whether it is kept or not.
     """
     at, weight = model
+    sent = keep if "text" in keep else [*keep, "text"]
+    text_at = sent.index("text")
 
     def run(batches):
         table = np.zeros((1 << BITS) + 1, np.float32)
@@ -133,18 +136,17 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], keep: list[str
         hashes = WordHashes()
         for batch in batches:
             out = np.empty(batch.num_rows)
-            for k, t in enumerate(batch.column("_text")):
-                slots = feature_slots(t.as_py(), hashes)
+            for k, t in enumerate(batch.column(text_at).cast(pa.binary())):
+                slots = feature_slots(t.as_py() or b"", hashes)
                 slots = np.unique(slots[table[slots] != 0])  # few: the model is sparse
                 out[k] = table[-1] + table[slots].sum(dtype=np.float64)
             score = 1 / (1 + np.exp(-np.clip(out, -35, 35)))
-            rest = [batch.column(k) for k in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(score)], [*batch.schema.names[:-1], "_score"])
+            rest = [batch.column(k) for k in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(score)], [*keep, name])
 
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("_text")
-    own = docs.select(*keep, text)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
-    return own.mapInArrow(run, f"{kinds}, _score double")
+    own = docs.select(*sent)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:len(keep)])
+    return own.mapInArrow(run, f"{kinds}, {name} double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -160,5 +162,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns."""
-    kept = scored(docs, train(docs, labels), docs.columns)
-    return kept.filter(F.col("_score") < 0.5).select(*docs.columns)
+    name = "_score"
+    while name in docs.columns:
+        name = f"_{name}"
+    kept = scored(docs, train(docs, labels), docs.columns, name)
+    return kept.filter(F.col(name) < 0.5).select(*docs.columns)
