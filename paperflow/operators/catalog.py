@@ -36,13 +36,16 @@ def create_summaries_table(spark: SparkSession, name: str, location: str) -> Non
 
 
 def register_views(spark: SparkSession, papers: DataFrame, summaries: DataFrame, as_of=None) -> None:
-    """K7: the five stored views as temp views (Catalyst inlines them into queries)."""
+    """K7: the five stored views as temp views (Catalyst inlines them into queries). The paper
+    views read newest first, so a bare limit takes the head (and plans as a top-k)."""
     if as_of is not None:
-        views.recent_papers(papers, as_of).createOrReplaceTempView("recent_arxiv_papers")
+        views.newest_first(views.recent_papers(papers, as_of)).createOrReplaceTempView("recent_arxiv_papers")
     views.papers_by_category(papers, ordered=True).createOrReplaceTempView("arxiv_papers_by_category")
     views.papers_by_category_name(papers, ordered=True).createOrReplaceTempView("arxiv_papers_by_category_names")
-    views.papers_with_summaries(papers, summaries).createOrReplaceTempView("v_papers_with_summaries")
-    views.papers_needing_summaries(papers, summaries).createOrReplaceTempView("v_papers_needing_summaries")
+    views.newest_first(views.papers_with_summaries(papers, summaries), key="paper_id").createOrReplaceTempView(
+        "v_papers_with_summaries")
+    views.newest_first(views.papers_needing_summaries(papers, summaries)).createOrReplaceTempView(
+        "v_papers_needing_summaries")
 
 
 def backfill_names_in_place(spark: SparkSession, path: str, taxonomy_df: DataFrame,

@@ -33,11 +33,12 @@ CALL_SCHEMA = "id long, prompt string, attempt int, response string, error strin
 
 
 class _Pacer:
-    """Sliding 60 s window per task: at most ``per_minute`` calls (the W1 rule)."""
+    """Sliding 60 s window of a lane: at most ``per_minute`` calls (the W1 rule). ``used``
+    starts with a full window, for a lane whose earlier calls are not known here."""
 
-    def __init__(self, per_minute: int | None):
+    def __init__(self, per_minute: int | None, used: bool = False):
         self.per_minute = per_minute
-        self.times: deque[float] = deque()
+        self.times: deque[float] = deque([time.monotonic()] * per_minute if used and per_minute else [])
 
     def wait(self) -> None:
         if not self.per_minute:
@@ -53,7 +54,9 @@ class _Pacer:
 
 def _caller(fn: Callable[[str, int], str], attempt: int, per_minute: int | None):
     def run(batches):
-        pacer = _Pacer(per_minute)
+        from pyspark import TaskContext
+        task = TaskContext.get()
+        pacer = _Pacer(per_minute, used=attempt > 1 or bool(task and task.attemptNumber()))
         for pdf in batches:
             texts, errors = [], []
             for prompt in pdf["prompt"]:
@@ -69,15 +72,30 @@ def _caller(fn: Callable[[str, int], str], attempt: int, per_minute: int | None)
     return run
 
 
+def call_lanes(parallelism: int, calls_per_minute: int | None) -> tuple[int, int | None]:
+    """Lanes of calls that run side by side, and the calls a minute of each: together they
+    stay at or under the cap of the whole job."""
+    if not calls_per_minute:
+        return parallelism, None
+    lanes = max(1, min(parallelism, calls_per_minute))
+    return lanes, calls_per_minute // lanes
+
+
 def summarize(prompts: DataFrame, fn: Callable[[str, int], str], max_attempts: int = MAX_ATTEMPTS,
-              calls_per_minute_per_task: int | None = None) -> DataFrame:
+              calls_per_minute: int | None = None, lanes: int | None = None) -> DataFrame:
     """M1: ``prompts`` (id, prompt) -> one row per id with ``ok``, ``attempts``, the six
-    sections (when ok) and the last error."""
-    checkpoint_root(prompts.sparkSession)
-    pending = prompts.select("id", "prompt")
+    sections (when ok) and the last error.
+
+    The cost of a row is its call, not its bytes, so rows are dealt to lanes by id (AQE would
+    pack the small prompts into one task). ``lanes`` defaults to the cluster's cores;
+    ``calls_per_minute`` caps the whole job. A pass with nothing to retry is not run."""
+    spark = prompts.sparkSession
+    checkpoint_root(spark)
+    lanes, per_lane = call_lanes(lanes or spark.sparkContext.defaultParallelism, calls_per_minute)
+    pending = prompts.select("id", "prompt").repartition(lanes, "id")
     done = None
     for attempt in range(1, max_attempts + 1):
-        called = pending.mapInPandas(_caller(fn, attempt, calls_per_minute_per_task), CALL_SCHEMA)
+        called = pending.mapInPandas(_caller(fn, attempt, per_lane), CALL_SCHEMA)
         parsed = parse_responses(called.withColumn("response", F.coalesce("response", F.lit(""))))
         parsed = parsed.withColumn("ok", F.col("is_valid") & F.col("error").isNull()).drop("is_valid")
         # Parse in the same stage as the calls, then cut the lineage: later filters read
@@ -89,6 +107,8 @@ def summarize(prompts: DataFrame, fn: Callable[[str, int], str], max_attempts: i
         done = finished if done is None else done.unionByName(finished)
         if not last:
             pending = parsed.filter(~F.col("ok")).select("id", "prompt")
+            if pending.isEmpty():
+                break
     reason = F.when(F.col("ok"), F.lit(None)).otherwise(F.coalesce(F.col("error"), F.lit("invalid or empty response")))
     return done.select("id", "ok", F.col("attempt").alias("attempts"),
                        *[F.when(F.col("ok"), F.col(f"sections.{f}")).alias(f) for f in FIELDS],

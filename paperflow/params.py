@@ -17,3 +17,8 @@ SEARCH_END = dt.datetime(2024, 2, 10, 23, 59)
 # Fixed limits from the source application.
 EXPORT_LIMIT = 5
 QUEUE_LIMIT = 15
+# The time of a run whose rows carry it; later than every stored summary.
+RUN_TIME = dt.datetime(2024, 6, 1, 12, 30)
+# One page of the search results.
+PAGE_OFFSET = 40
+PAGE_SIZE = 25

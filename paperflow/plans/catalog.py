@@ -18,6 +18,7 @@ from paperflow.functions import dates as D
 from paperflow.functions import sections as SEC
 from paperflow.functions import text as TX
 from paperflow.functions.text import join_list
+from paperflow.operators import catalog as CT
 from paperflow.operators import export, taxonomy, views
 from paperflow.operators import inference as INF
 from paperflow.operators import ingest as IN
@@ -26,7 +27,7 @@ from paperflow.operators import pages as PG
 from paperflow.operators import quality as QA
 from paperflow.operators import rates as RT
 from paperflow.operators import search as SR
-from paperflow.operators.numbering import batch_numbers
+from paperflow.operators.numbering import batch_numbers, global_row_number
 from paperflow.session import scratch_path
 from paperflow.sources import feed as FD
 from paperflow.sources import standins as S
@@ -113,6 +114,24 @@ def q_papers_by_category_name(spark, sf):
     return views.papers_by_category_name(S.papers(spark, sf))
 
 
+@register("category_report")
+def q_category_report(spark, sf):
+    """L4 with the position as a column: the view's order, numbered."""
+    report = views.papers_by_category(S.papers(spark, sf), ordered=True)
+    order = [F.desc("paper_count"), F.col("category_name"), F.col("category_id")]
+    return global_row_number(report, order, "position")
+
+
+@register("view_heads")
+def q_view_heads(spark, sf):
+    """A bare limit on the stored views gives the newest rows."""
+    CT.register_views(spark, S.papers(spark, sf), S.summaries(spark, sf), params.AS_OF)
+    heads = [("recent_arxiv_papers", "id"), ("v_papers_with_summaries", "paper_id"), ("v_papers_needing_summaries", "id")]
+    parts = [spark.table(v).limit(params.QUEUE_LIMIT).select(F.lit(v).alias("view_name"), F.col(k).alias("id"),
+                                                             "published_date") for v, k in heads]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # --- taxonomy --------------------------------------------------------------
 
 @register("taxonomy_dim")
@@ -138,6 +157,37 @@ def q_backfill_names(spark, sf):
     return df.select("id", "names_filled", join_list("categories_name").alias("categories_name"))
 
 
+@register("backfill_in_place")
+def q_backfill_in_place(spark, sf):
+    """K2: a stored table whose day folders are rewritten where names are missing."""
+    path = scratch_path(spark, "backfill-table")
+    (S.papers(spark, sf).withColumn(SR.PARTITION_DAY, F.to_date("published_date"))
+     .write.partitionBy(SR.PARTITION_DAY).parquet(path))
+    CT.backfill_names_in_place(spark, path, S.taxonomy(spark, sf))
+    return spark.read.parquet(path).select("id", "title", join_list("categories_name").alias("categories_name"),
+                                           F.col(SR.PARTITION_DAY).cast("string").alias(SR.PARTITION_DAY))
+
+
+@register("table_catalog")
+def q_table_catalog(spark, sf):
+    """Tables are created once, found by the catalog, empty at first, then filled."""
+    parts = []
+    for kind, create, rows in (("papers", CT.create_papers_table, S.stored_papers(spark, sf).withColumn(
+            SR.PARTITION_DAY, F.to_date("published_date"))),
+                               ("summaries", CT.create_summaries_table, S.summaries(spark, sf))):
+        location = scratch_path(spark, f"{kind}-table")
+        name = location.rsplit("/", 1)[1].replace("-", "_")
+        existed = CT.table_exists(spark, name)
+        create(spark, name, location)
+        create(spark, name, location)  # a table that is there stays as it is
+        there, n_created = CT.table_exists(spark, name), spark.table(name).count()
+        rows.select(*spark.table(name).columns).write.mode("append").insertInto(name)
+        parts.append(spark.table(name).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(kind).alias("table_name"), F.lit(existed).alias("existed"), F.lit(there).alias("is_there"),
+            F.lit(n_created).cast("bigint").alias("n_created"), "n_rows"))
+    return parts[0].unionByName(parts[1])
+
+
 # --- search and dates ------------------------------------------------------
 
 
@@ -148,6 +198,13 @@ def q_search_papers(spark, sf):
     return df.select("id", "arxiv_id", join_list("categories").alias("categories"), "published_date")
 
 
+@register("search_page")
+def q_search_page(spark, sf):
+    df = SR.search_papers(S.papers(spark, sf), params.SEARCH_START, params.SEARCH_END, codes=params.SEARCH_CODES,
+                          offset=params.PAGE_OFFSET, max_results=params.PAGE_SIZE)
+    return df.select("id", "arxiv_id", "published_date")
+
+
 @register("papers_on_day")
 def q_papers_on_day(spark, sf):
     return SR.papers_on_day(S.papers(spark, sf), params.SAMPLE_DAY).select("id", "arxiv_id", "published_date")
@@ -189,6 +246,14 @@ def q_is_on_day(spark, sf):
     return p.select("id", "published", D.is_on_day(F.col("published"), params.SAMPLE_DAY).alias("is_on_day"))
 
 
+@register("text_dates")
+def q_text_dates(spark, sf):
+    """X13/X14 on text: days, times behind a space, offsets, fractions, and text that is no date."""
+    p = S.papers(spark, sf).select("id", S.text_date(F.col("published_date"), F.col("id")).alias("written"))
+    return p.select("id", D.reformat_text_date("written", D.EXPORT_DAY_FORMAT).alias("day"),
+                    D.reformat_text_date("written", D.EXPORT_MINUTE_FORMAT).alias("minute"))
+
+
 # --- text ------------------------------------------------------------------
 
 @register("url_tail")
@@ -279,14 +344,15 @@ def q_assign_ids(spark, sf):
 
 @register("ingest_result")
 def q_ingest_result(spark, sf):
-    out = IN.ingest(S.feed_rows(spark, sf), S.stored_papers(spark, sf))
-    return out.select("id", "arxiv_id", "title", "published_date", "updated_date")
+    out = IN.ingest(S.feed_rows(spark, sf), S.stored_papers(spark, sf), extracted_at=params.RUN_TIME)
+    return out.select("id", "arxiv_id", "title", "published_date", "updated_date", "extracted_at", "created_at")
 
 
 @register("batch_plan")
 def q_batch_plan(spark, sf):
-    q = views.papers_needing_summaries(S.papers(spark, sf), S.summaries(spark, sf))
-    b = batch_numbers(q, [F.col("published_date").desc(), F.col("id").desc()], params.QUEUE_LIMIT)
+    q = views.papers_needing_summaries(S.papers(spark, sf).select("id", "pdf_url", "published_date"),
+                                       S.summaries(spark, sf))
+    b = batch_numbers(q.select("id", "published_date"), [F.col("published_date").desc(), F.col("id").desc()], params.QUEUE_LIMIT)
     return b.select("id", "rn", "batch_no")
 
 
@@ -413,11 +479,14 @@ def q_feed_rejects(spark, sf):
 @register("stream_ingest")
 def q_stream_ingest(spark, sf):
     table = scratch_path(spark, "papers-table")
-    S.stored_papers(spark, sf).select(*SI.TABLE_COLUMNS).write.parquet(table)
+    (S.stored_papers(spark, sf).withColumn(SR.PARTITION_DAY, F.to_date("published_date"))
+     .write.partitionBy(SR.PARTITION_DAY).parquet(table))
     inbox = FD.write_feed(S.papers(spark, sf), scratch_path(spark, "inbox"))
-    q = SI.start_ingest(spark, inbox, table, scratch_path(spark, "stream-ckpt"), taxonomy=S.taxonomy(spark, sf))
+    q = SI.start_ingest(spark, inbox, table, scratch_path(spark, "stream-ckpt"), taxonomy=S.taxonomy(spark, sf),
+                        extracted_at=params.RUN_TIME)
     q.awaitTermination()
-    return spark.read.parquet(table).select("id", "arxiv_id", "published_date")
+    return spark.read.parquet(table).select("id", "arxiv_id", "published_date", "extracted_at", "created_at",
+                                            F.col(SR.PARTITION_DAY).cast("string").alias(SR.PARTITION_DAY))
 
 
 # --- model hook, summary rows, drain ---------------------------------------
@@ -444,6 +513,37 @@ def q_summary_rows(spark, sf):
     return rows.select("arxiv_paper_id", "arxiv_id", *SEC.FIELDS, "processing_status", "model_name")
 
 
+@register("summary_error_rows")
+def q_summary_error_rows(spark, sf):
+    """K3 with the error rows of papers that failed every attempt."""
+    rows = INF.summary_rows(_stub_results(spark, sf), S.papers(spark, sf), STUB_MODEL, record_errors=True,
+                            created_at=params.RUN_TIME, stored=S.summaries(spark, sf))
+    return rows.select("id", "arxiv_paper_id", "arxiv_id", *SEC.FIELDS, "processing_status", "processing_error",
+                       "model_name", "created_at", "updated_at")
+
+
+@register("drain_then_export")
+def q_drain_then_export(spark, sf):
+    """T2 then K5: rows the drain has appended to the summaries table are exported like stored ones."""
+    papers, path = S.papers(spark, sf), scratch_path(spark, "summaries-table")
+    S.summaries(spark, sf).write.parquet(path)
+    stored = spark.read.parquet(path)
+    new_rows, _ = DR.drain(papers, stored, S.page_table(spark, sf), INF.echo_model, STUB_MODEL,
+                           created_at=params.RUN_TIME)
+    new_rows.select(*stored.columns).write.mode("append").parquet(path)
+    return export.export_latest(spark.read.parquet(path), papers, params.EXPORT_LIMIT)
+
+
+@register("export_roundtrip")
+def q_export_roundtrip(spark, sf):
+    """K4: overwrite with three rows, append the latest five but not those already there, read back."""
+    papers, summ, path = S.papers(spark, sf), S.summaries(spark, sf), scratch_path(spark, "export")
+    export.export_summaries(summ, papers, path, 3, append=False)
+    export.export_summaries(summ, papers, path, params.EXPORT_LIMIT, append=True, skip_existing=True)
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return back.select("arxiv_id", "published_date", "processing_date")
+
+
 @register("drain_result")
 def q_drain_result(spark, sf):
     papers, summ = S.papers(spark, sf), S.summaries(spark, sf)

@@ -147,7 +147,7 @@ def _t(c: str, n: int) -> str:
     return _TRUNC.format(c=c, n=n)
 
 
-Q["export_latest"] = f"""
+_EXPORT = f"""
 SELECT coalesce(p.arxiv_id, '') AS arxiv_id,
        {_t('p.title', 100)} AS original_title,
        {_t('s.beginner_title', 100)} AS beginner_title,
@@ -163,10 +163,11 @@ SELECT coalesce(p.arxiv_id, '') AS arxiv_id,
        coalesce(p.pdf_url, '') AS pdf_url,
        coalesce(p.abstract_url, '') AS arxiv_url,
        coalesce(strftime(s.created_at, '%Y-%m-%d %H:%M'), '') AS processing_date
-FROM summaries s JOIN papers p ON p.id = s.arxiv_paper_id
+FROM {{source}} s JOIN papers p ON p.id = s.arxiv_paper_id
 WHERE s.processing_status = 'completed'
 ORDER BY s.created_at DESC, s.id DESC LIMIT 5
 """
+Q["export_latest"] = _EXPORT.format(source="summaries")
 
 _PAPER_COLS = """id, arxiv_id, title, abstract, array_to_string(authors, '|') AS authors,
        array_to_string(categories, '|') AS categories, array_to_string(categories_name, '|') AS categories_name,
@@ -393,9 +394,10 @@ Q["distinct_keys"] = "SELECT DISTINCT arxiv_id FROM (SELECT arxiv_id FROM stored
 Q["assign_ids"] = "SELECT arxiv_id, id FROM fresh_ids"
 
 Q["ingest_result"] = """
-SELECT id, arxiv_id, title, published_date, updated_date FROM stored
+SELECT id, arxiv_id, title, published_date, updated_date, extracted_at, created_at FROM stored
 UNION ALL
-SELECT id, arxiv_id, title, published_date, updated_date FROM fresh_ids
+SELECT id, arxiv_id, title, published_date, updated_date, timestamp '2024-06-01 12:30:00', timestamp '2024-06-01 12:30:00'
+FROM fresh_ids
 """
 
 Q["batch_plan"] = f"""
@@ -527,9 +529,11 @@ FROM papers WHERE id % 11 = 0
 
 # One micro-batch (availableNow, no file cap): ids continue after the stored maximum.
 Q["stream_ingest"] = """
-SELECT id, arxiv_id, published_date FROM stored
+SELECT id, arxiv_id, published_date, extracted_at, created_at, strftime(published_date, '%Y-%m-%d') AS published_day
+FROM stored
 UNION ALL
-SELECT (SELECT max(id) FROM stored) + row_number() OVER (ORDER BY published_date, arxiv_id), arxiv_id, published_date
+SELECT (SELECT max(id) FROM stored) + row_number() OVER (ORDER BY published_date, arxiv_id), arxiv_id, published_date,
+       timestamp '2024-06-01 12:30:00', timestamp '2024-06-01 12:30:00', strftime(published_date, '%Y-%m-%d')
 FROM papers p WHERE p.id % 11 <> 0 AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.arxiv_id = p.arxiv_id)
 """
 
@@ -570,6 +574,92 @@ SELECT id, 'completed', 'drained', beginner_title, intermediate_summary FROM stu
 """
 
 
+Q["summary_error_rows"] = f"""
+, {_STUB.strip()}
+SELECT (SELECT max(id) FROM summaries) + row_number() OVER (ORDER BY id) AS id, id AS arxiv_paper_id, arxiv_id,
+       CASE WHEN ok THEN beginner_title ELSE 'Error during processing' END AS beginner_title,
+       CASE WHEN ok THEN intermediate_title ELSE 'Error during processing' END AS intermediate_title,
+       CASE WHEN ok THEN beginner_overview ELSE 'Error during processing' END AS beginner_overview,
+       CASE WHEN ok THEN intermediate_overview ELSE 'Error during processing' END AS intermediate_overview,
+       CASE WHEN ok THEN beginner_summary ELSE 'Summary generation failed' END AS beginner_summary,
+       CASE WHEN ok THEN intermediate_summary ELSE 'Summary generation failed' END AS intermediate_summary,
+       CASE WHEN ok THEN 'completed' ELSE 'error' END AS processing_status,
+       CASE WHEN NOT ok THEN 'invalid or empty response' END AS processing_error, 'echo-stub' AS model_name,
+       timestamp '2024-06-01 12:30:00' AS created_at, timestamp '2024-06-01 12:30:00' AS updated_at
+FROM stub
+"""
+
+# The drained rows are the newest: the largest ids among them, then stored ones if they are fewer than five.
+Q["drain_then_export"] = f"""
+, {_STUB.strip()},
+every AS (
+  SELECT id, arxiv_paper_id, beginner_title, intermediate_title, beginner_overview, intermediate_overview,
+         beginner_summary, intermediate_summary, processing_status, created_at FROM summaries
+  UNION ALL
+  SELECT (SELECT max(id) FROM summaries) + row_number() OVER (ORDER BY id), id, beginner_title, intermediate_title,
+         beginner_overview, intermediate_overview, beginner_summary, intermediate_summary, 'completed',
+         timestamp '2024-06-01 12:30:00' FROM stub WHERE ok)
+{_EXPORT.format(source="every")}
+"""
+
+Q["export_roundtrip"] = """
+SELECT p.arxiv_id, strftime(p.published_date, '%Y-%m-%d') AS published_date,
+       strftime(s.created_at, '%Y-%m-%d %H:%M') AS processing_date
+FROM summaries s JOIN papers p ON p.id = s.arxiv_paper_id
+WHERE s.processing_status = 'completed'
+ORDER BY s.created_at DESC, s.id DESC LIMIT 5
+"""
+
+Q["search_page"] = f"""
+SELECT id, arxiv_id, published_date FROM papers
+WHERE list_has_any(categories, [{_codes}])
+  AND published_date >= timestamp '2024-01-10 00:00:00' AND published_date < timestamp '2024-02-11 00:00:00'
+ORDER BY published_date DESC, id DESC LIMIT 25 OFFSET 40
+"""
+
+Q["category_report"] = """
+SELECT category_name, category_id, paper_count, latest_paper,
+       row_number() OVER (ORDER BY paper_count DESC, category_name ASC NULLS FIRST, category_id ASC NULLS FIRST) AS position
+FROM (SELECT category_name, category_id, count(*) AS paper_count, max(published_date) AS latest_paper
+      FROM (SELECT unnest(categories_name) AS category_name, unnest(categories) AS category_id, published_date FROM papers)
+      GROUP BY category_name, category_id)
+"""
+
+Q["view_heads"] = """
+SELECT * FROM (SELECT 'recent_arxiv_papers' AS view_name, id, published_date FROM papers
+               WHERE published_date >= timestamp '2024-01-21 00:00:00' ORDER BY published_date DESC, id DESC LIMIT 15)
+UNION ALL
+SELECT * FROM (SELECT 'v_papers_with_summaries', p.id, p.published_date
+               FROM papers p LEFT JOIN summaries s ON s.arxiv_paper_id = p.id
+               ORDER BY p.published_date DESC, p.id DESC LIMIT 15)
+UNION ALL
+SELECT * FROM (SELECT 'v_papers_needing_summaries', id, published_date FROM queue
+               ORDER BY published_date DESC, id DESC LIMIT 15)
+"""
+
+Q["backfill_in_place"] = f"""
+, {_TRANSLATED.strip()}
+SELECT p.id, p.title, CASE WHEN len(p.categories_name) > 0 THEN array_to_string(p.categories_name, '|') ELSE t.names END
+         AS categories_name, strftime(p.published_date, '%Y-%m-%d') AS published_day
+FROM papers p LEFT JOIN translated t ON t.id = p.id
+"""
+
+Q["table_catalog"] = """
+SELECT 'papers' AS table_name, false AS existed, true AS is_there, CAST(0 AS BIGINT) AS n_created, count(*) AS n_rows FROM stored
+UNION ALL
+SELECT 'summaries', false, true, CAST(0 AS BIGINT), count(*) FROM summaries
+"""
+
+Q["text_dates"] = """
+SELECT id, CASE WHEN id % 6 = 4 THEN '' WHEN id % 6 = 5 THEN strftime(published_date, 'around %Y')
+                ELSE strftime(published_date, '%Y-%m-%d') END AS day,
+       CASE WHEN id % 6 = 4 THEN '' WHEN id % 6 = 5 THEN strftime(published_date, 'around %Y')
+            WHEN id % 6 = 0 THEN strftime(published_date, '%Y-%m-%d 00:00')
+            ELSE strftime(published_date, '%Y-%m-%d %H:%M') END AS minute
+FROM papers
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for k, body in Q.items():

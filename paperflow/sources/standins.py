@@ -168,3 +168,13 @@ def summaries_with_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (s.withColumn("beginner_overview", F.when(F.col("id") % 5 == 0, F.lit("")).otherwise(F.col("beginner_overview")))
             .withColumn("intermediate_overview",
                         F.when(F.col("id") % 5 == 1, F.lit(None).cast("string")).otherwise(F.col("intermediate_overview"))))
+
+
+def text_date(ts: Column, doc_id: Column) -> Column:
+    """A time as sources write it; ``doc_id % 6`` picks the form. 5 is no date."""
+    form = lambda f: F.date_format(ts, f)
+    v = doc_id % 6
+    return (F.when(v == 0, form("yyyy-MM-dd")).when(v == 1, form("yyyy-MM-dd HH:mm:ss"))
+            .when(v == 2, F.concat(form("yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:00")))
+            .when(v == 3, F.concat(form("yyyy-MM-dd'T'HH:mm:ss"), F.lit(".250Z")))
+            .when(v == 4, F.lit(None).cast("string")).otherwise(F.concat(F.lit("around "), form("yyyy"))))

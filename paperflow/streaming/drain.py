@@ -3,7 +3,7 @@ is left.
 
 The source application loops over batches of 15 papers per minute until a batch
 yields nothing. Here the whole queue is one distributed pass - every paper gets
-its attempts in parallel, and pacing is configuration (``calls_per_minute_per_task``)
+its attempts in parallel, and pacing is configuration (``calls_per_minute``)
 - while ``single_batch`` keeps the one-batch mode. The batch number of each paper
 (W2) is kept on the result so the pacing order stays visible.
 """
@@ -29,7 +29,9 @@ def queue_prompts(papers: DataFrame, summaries: DataFrame, pages: DataFrame | No
     else:
         q = views.papers_needing_summaries(papers, summaries)
     if pages is not None:
-        q = q.join(assemble_pages(pages).withColumnRenamed("doc_id", "id"), "id", "left")
+        # only pages of queued papers are cleaned and assembled
+        wanted = pages.join(q.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+        q = q.join(assemble_pages(wanted).withColumnRenamed("doc_id", "id"), "id", "left")
     else:
         q = q.withColumn("text", F.lit(None).cast("string"))
     return q.select("id", model_input("title", "abstract", "text").alias("prompt"))
@@ -45,13 +47,13 @@ def queue_batches(papers: DataFrame, summaries: DataFrame, batch_size: int) -> D
 
 def drain(papers: DataFrame, summaries: DataFrame, pages: DataFrame | None, fn: Callable[[str, int], str],
           model_name: str, batch_size: int = 15, single_batch: bool = False,
-          calls_per_minute_per_task: int | None = None, created_at=None,
+          calls_per_minute: int | None = None, created_at=None,
           with_batches: bool = False) -> tuple[DataFrame, DataFrame]:
     """Returns (new summary rows, per-paper results). Failed papers leave no row and
     stay queued (D6). ``with_batches`` adds each paper's batch number (one extra
     numbering job)."""
     prompts = queue_prompts(papers, summaries, pages, batch_size, single_batch)
-    results = inference.summarize(prompts, fn, calls_per_minute_per_task=calls_per_minute_per_task)
+    results = inference.summarize(prompts, fn, calls_per_minute=calls_per_minute)
     if single_batch:
         results = results.withColumn("batch_no", F.lit(0).cast("long"))
     elif with_batches:
@@ -70,7 +72,7 @@ def end_state(summaries: DataFrame, new_rows: DataFrame) -> DataFrame:
 def drain_loop(spark, papers: DataFrame, summaries_path: str, pages: DataFrame | None,
                fn: Callable[[str, int], str], model_name: str, batch_size: int = 15,
                single_batch: bool = False, max_batches: int | None = None,
-               calls_per_minute_per_task: int | None = None) -> dict:
+               calls_per_minute: int | None = None) -> dict:
     """The source application's drain, batch by batch: take the queue head, summarize,
     append to the summaries table at ``summaries_path``; stop when the queue is empty,
     (papers that failed in this run are passed over and stay queued, D6), after one batch with
@@ -85,7 +87,7 @@ def drain_loop(spark, papers: DataFrame, summaries_path: str, pages: DataFrame |
         if views.queue_depth(untried, summ).first()["remaining"] == 0:
             break
         rows, results = drain(untried, summ, pages, fn, model_name, batch_size, single_batch=True,
-                        calls_per_minute_per_task=calls_per_minute_per_task)
+                        calls_per_minute=calls_per_minute)
         rows = rows.checkpoint(eager=True)
         n = rows.count()
         if n:
