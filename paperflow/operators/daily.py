@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from paperflow.functions import dates
@@ -27,12 +27,13 @@ def target_day_of(as_of: dt.date) -> dt.date:
 def daily_run(spark: SparkSession, feed_path: str, papers_path: str, taxonomy: DataFrame, as_of: dt.date,
               summaries_path: str | None = None, pages: DataFrame | None = None,
               model_fn: Callable[[str, int], str] | None = None, model_name: str = "model",
-              summarize_limit: int = 5, rejects_path: str | None = None,
+              summarize_limit: int | None = 5, rejects_path: str | None = None,
               day: dt.date | str | None = None, days_back: int | None = None) -> dict:
     """``papers_path`` is a parquet table partitioned by ``published_day``. ``as_of`` is
     the run date. Modes: default = its target day (F2); ``day`` = one given day (F3,
     ``YYYY-MM-DD`` text is validated); ``days_back`` = every day from as_of - 1 - N
-    through as_of - 1 (F4, the range the request asks for, D1)."""
+    through as_of - 1 (F4, the range the request asks for, D1). ``summarize_limit`` papers
+    are summarized, newest first; None means the whole queue, in one pass."""
     if day is not None:
         first = last = dates.parse_day(day) if isinstance(day, str) else day
     elif days_back is not None:
@@ -53,10 +54,18 @@ def daily_run(spark: SparkSession, feed_path: str, papers_path: str, taxonomy: D
     filled = catalog.backfill_names_in_place(spark, papers_path, taxonomy)
     summarized = 0
     if model_fn is not None and summaries_path is not None:
-        from paperflow.streaming.drain import drain_loop
+        from paperflow.streaming.drain import drain, drain_loop
         papers = spark.read.parquet(papers_path).drop("published_day")
-        summarized = drain_loop(spark, papers, summaries_path, pages, model_fn, model_name,
-                                batch_size=summarize_limit, single_batch=True)["processed"]
+        if summarize_limit is None:
+            summaries = spark.read.parquet(summaries_path)
+            rows, _ = drain(papers, summaries, pages, model_fn, model_name)
+            seen_rows = Observation()
+            (rows.select(*summaries.columns).observe(seen_rows, F.count(F.lit(1)).alias("n"))
+             .write.mode("append").parquet(summaries_path))
+            summarized = seen_rows.get["n"]
+        else:
+            summarized = drain_loop(spark, papers, summaries_path, pages, model_fn, model_name,
+                                    batch_size=summarize_limit, single_batch=True)["processed"]
     return {"first_day": first.isoformat(), "last_day": last.isoformat(), "kept": seen["kept"], "filtered_out": seen["filtered_out"],
             "rejected": parsed.filter(~F.col("is_valid")).count(), "inserted": inserted,
             "names_filled": filled, "summarized": summarized}

@@ -1,14 +1,14 @@
 """Idempotent append of feed rows into the papers table.
 
-Steps: de-duplicate the feed per key (D3) with a partially aggregated ``min_by`` (a
-key with many copies is combined map-side, never gathered in one task); drop keys
-already stored (anti join); give the new rows ids after the current maximum (exact
+Steps: drop keys already stored (anti join); de-duplicate the rest per key (D3) with a
+partially aggregated ``min_by`` (a key with many copies is combined map-side, never
+gathered in one task); give the new rows ids after the current maximum (exact
 and dense, see ``numbering``); append, partitioned by published day.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from paperflow.functions.dates import epoch_micros, ntz_lit, run_time
@@ -62,13 +62,15 @@ def with_defaults(fresh: DataFrame, extracted_at=None) -> DataFrame:
 def ingest(feed: DataFrame, stored: DataFrame, extracted_at=None) -> DataFrame:
     """K1 result: stored rows plus the new ones (U2, by name). ``extracted_at`` /
     ``created_at`` default to one ``as_of`` per run (X26)."""
-    fresh = with_defaults(assign_ids(new_rows(dedup_feed(feed), stored), stored), extracted_at)
+    fresh = with_defaults(assign_ids(dedup_feed(new_rows(feed, stored)), stored), extracted_at)
     return stored.unionByName(fresh.select(*stored.columns))
 
 
 def append_papers(feed: DataFrame, stored: DataFrame, path: str, extracted_at=None) -> int:
-    """K1 write: append only the new rows, one folder per published day. Returns the count."""
-    fresh = with_defaults(assign_ids(new_rows(dedup_feed(feed), stored), stored), extracted_at)
-    fresh = fresh.withColumn("published_day", F.to_date("published_date")).checkpoint(eager=True)
+    """K1 write: append only the new rows, one folder per published day. Returns the count,
+    observed by the write itself; the numbering has already fixed the rows in a checkpoint."""
+    fresh = with_defaults(assign_ids(dedup_feed(new_rows(feed, stored)), stored), extracted_at)
+    seen = Observation()
+    fresh = fresh.withColumn("published_day", F.to_date("published_date")).observe(seen, F.count(F.lit(1)).alias("n"))
     fresh.write.mode("append").partitionBy("published_day").parquet(path)
-    return fresh.count()
+    return seen.get["n"]

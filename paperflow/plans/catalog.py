@@ -338,7 +338,7 @@ def q_distinct_keys(spark, sf):
 @register("assign_ids")
 def q_assign_ids(spark, sf):
     stored = S.stored_papers(spark, sf)
-    fresh = IN.new_rows(IN.dedup_feed(S.feed_rows(spark, sf)), stored)
+    fresh = IN.dedup_feed(IN.new_rows(S.feed_rows(spark, sf), stored))
     return IN.assign_ids(fresh, stored).select("arxiv_id", "id")
 
 

@@ -29,7 +29,7 @@ def _append_batch(spark: SparkSession, table: str, rejects: str | None, taxonomy
             # one folder per batch: a repeated batch overwrites its own rejects
             rejected_entries(parsed).write.mode("overwrite").parquet(f"{rejects}/batch_id={epoch}")
         stored = spark.read.parquet(table)
-        fresh = IN.assign_ids(IN.new_rows(IN.dedup_feed(valid_papers(parsed)), stored), stored)
+        fresh = IN.assign_ids(IN.dedup_feed(IN.new_rows(valid_papers(parsed), stored)), stored)
         fresh = IN.with_defaults(fresh, extracted_at).withColumn(PARTITION_DAY, F.to_date("published_date"))
         out = fresh.select(*stored.columns).write.mode("append")
         # the layout of the table that is there: files beside day folders would not be read

@@ -44,6 +44,47 @@ def test_summarize_retries_and_failures(spark):
     assert len(errs) == 1 and errs[0]["beginner_summary"] == INF.ERROR_SUMMARY
 
 
+def test_call_lanes_stay_under_the_cap_of_the_job():
+    for cores in (1, 3, 8, 40):
+        for cap in (1, 7, 15, 100):
+            lanes, each = INF.call_lanes(cores, cap)
+            assert 1 <= lanes <= cores and each >= 1 and lanes * each <= cap
+        assert INF.call_lanes(cores, None) == (cores, None)
+
+
+def test_calls_are_dealt_to_lanes_and_empty_retries_not_run(spark):
+    from pyspark import TaskContext
+    prompts = spark.range(200).selectExpr("id", "concat('p', id) as prompt").coalesce(1)
+
+    def lane(prompt, attempt):
+        assert attempt == 1
+        return "BEGINNER_TITLE: " + "\n\n".join(
+            f"{f.upper()}: lane {TaskContext.get().partitionId()} answered this prompt at length" for f in INF.FIELDS
+        )[len("BEGINNER_TITLE: "):]
+
+    got = INF.summarize(prompts, lane, lanes=4).collect()
+    assert len(got) == 200 and all(r["ok"] and r["attempts"] == 1 for r in got)
+    assert len({r["beginner_title"] for r in got}) == 4
+
+
+def test_a_lane_of_unknown_past_starts_full():
+    assert len(INF._Pacer(3, used=True).times) == 3 and not INF._Pacer(None, used=True).times
+
+
+def test_stream_ingest_into_day_folders(spark, sf):
+    table, inbox, rejects = (scratch_path(spark, f"t-days-{x}") for x in ("table", "inbox", "rejects"))
+    stored = S.stored_papers(spark, sf).withColumn("published_day", F.to_date("published_date"))
+    stored.write.partitionBy("published_day").parquet(table)
+    FD.write_feed(S.papers(spark, sf), inbox)
+    for ck in ("a", "b"):  # the second stream replays the whole feed as its own first batch
+        SI.start_ingest(spark, inbox, table, scratch_path(spark, f"t-days-{ck}"), rejects=rejects).awaitTermination()
+        out = spark.read.parquet(table)
+        rows = (out.count(), out.select("arxiv_id").distinct().count(), spark.read.parquet(rejects).count())
+        first = rows if ck == "a" else first
+        assert rows == first and rows[0] == rows[1] > stored.count()
+    assert out.filter("extracted_at is null or created_at is null or published_day is null").count() == 0
+
+
 def test_pacer_limits_calls():
     import time
     p = INF._Pacer(3)
