@@ -32,7 +32,7 @@ papers AS (
          ts + INTERVAL 1 DAY AS created_at
   FROM papers0),
 summaries AS (
-  SELECT l.doc_id AS id, l.doc_id AS arxiv_paper_id,
+  SELECT l.doc_id * 3 + 7 AS id, l.doc_id AS arxiv_paper_id,
          concat('2401.', lpad(CAST(l.doc_id AS VARCHAR), greatest(6, length(CAST(l.doc_id AS VARCHAR)))::INT, '0'), 'v1') AS arxiv_id,
          substr(d.text, 1, 150) AS beginner_title, substr(d.text, 11, 150) AS intermediate_title,
          substr(d.text, 1, 250) AS beginner_overview, substr(d.text, 11, 250) AS intermediate_overview,

@@ -53,7 +53,7 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     created = F.expr("timestamp_ntz'2024-03-01 00:00:00' + make_dt_interval(0, cast(doc_id % 100 as int), 0, 0)")
     t = F.col("text")
     return lab.join(doc, "doc_id").select(
-        F.col("doc_id").alias("id"),
+        (F.col("doc_id") * 3 + 7).alias("id"),  # its own id: a join on the wrong key must show
         F.col("doc_id").alias("arxiv_paper_id"),
         arxiv_id_of(F.col("doc_id")).alias("arxiv_id"),
         F.substring(t, 1, 150).alias("beginner_title"),
