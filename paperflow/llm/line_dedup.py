@@ -1,9 +1,13 @@
-"""Line dedup: content-defined chunks of lines, repeated multi-line chunks removed.
+"""Line dedup: repeated passages of two lines or more removed.
 
-A text's lines are hashed; a rolling hash over the last two line hashes decides where a chunk
-ends, so a passage is cut in the same places wherever it stands. Chunks are compared across the
-corpus by digest and then byte for byte; of equal chunks the first (smallest doc_id, then
-position) stays and the others are removed from their texts.
+``passage_dedup`` (the query and the pipeline's stage) compares every window of two neighbouring
+lines with a word, by digest and then byte for byte, so a repeated passage is found whole, up to
+the lines where the texts differ. Of equal windows the first (smallest doc_id, then position)
+stays, with both its lines; the lines of the others are removed from their texts.
+
+``line_dedup`` compares whole content-defined chunks only: a text's lines are hashed, and a rolling
+hash over the last two line hashes decides where a chunk ends. The lines at both ends of a passage
+share a chunk with foreign lines there, and stay.
 """
 
 from __future__ import annotations
@@ -13,6 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperflow.llm.common import staged
+
 #: A chunk ends behind a line whose rolling hash is 0 modulo DIVISOR, with LEAST to MOST lines.
 DIVISOR, LEAST, MOST = 2, 2, 32
 _POSITION = "decimal(38,0)"
@@ -129,6 +135,122 @@ def line_dedup(docs: DataFrame, digest=digest128) -> DataFrame:
     return out
 
 
+def windows(lines: list[bytes]) -> list[tuple[int, int]]:
+    """(first line, end line) of the windows of two neighbouring lines with a word, and blank lines between them."""
+    at = [k for k, line in enumerate(lines) if line.strip()]
+    return [(a, b + 1) for a, b in zip(at, at[1:])]
+
+
+def window_table(docs: DataFrame, digest) -> DataFrame:
+    """_doc, _key, no and h of every window."""
+    def run(batches):
+        for batch in batches:
+            at, nos, found = [], [], []
+            for k, value in enumerate(batch.column(2)):
+                lines = value.as_py().split(b"\n")
+                own = [digest(b"\n".join(lines[a:b])) for a, b in windows(lines)]
+                at += [k] * len(own)
+                nos += range(len(own))
+                found += own
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(nos, pa.int64()), pa.array(found, pa.binary())],
+                ["_doc", "_key", "no", "h"])
+
+    return keyed(docs).select("_doc", "_key", F.coalesce("text", F.lit("")).cast("binary")).mapInArrow(
+        run, "_doc decimal(20,0), _key long, no long, h binary")
+
+
+def repeated_windows(docs: DataFrame, digest) -> DataFrame:
+    """_doc, _key, no, h and bytes of the windows whose digest is found more than once."""
+    often = window_table(docs, digest).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    hits = window_table(docs, digest).join(often, "h").groupBy("_doc", "_key").agg(
+        F.collect_set(F.struct("no", "h")).alias("hits"))
+    texts = keyed(docs).select("_doc", "_key", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            at, nos, digests, found = [], [], [], []
+            for k, value in enumerate(batch.column(2)):
+                lines = value.as_py().split(b"\n")
+                own = windows(lines)
+                for hit in batch.column(3)[k].as_py():
+                    a, b = own[hit["no"]]
+                    at.append(k)
+                    nos.append(hit["no"])
+                    digests.append(hit["h"])
+                    found.append(b"\n".join(lines[a:b]))
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(nos, pa.int64()),
+                 pa.array(digests, pa.binary()), pa.array(found, pa.binary())], ["_doc", "_key", "no", "h", "bytes"])
+
+    return texts.join(hits, ["_doc", "_key"]).select("_doc", "_key", "text", "hits").mapInArrow(
+        run, "_doc decimal(20,0), _key long, no long, h binary, bytes binary")
+
+
+def repeats(docs: DataFrame, digest) -> DataFrame:
+    """_doc, _key, the windows that repeat an earlier one, those that are repeated later and stay,
+    and the doc_ids where the first copies stand."""
+    position = (F.col("_doc") * F.lit(1 << 32) + F.col("no")).cast(_POSITION)
+    found = staged(repeated_windows(docs, digest), "line-windows")
+    by_bytes = found.groupBy("h", "bytes").agg(F.min(position).alias("first"), F.count(F.lit(1)).alias("n"))
+    # Of a digest that stands for different bytes nothing is removed.
+    certain = by_bytes.groupBy("h").agg(
+        F.count(F.lit(1)).alias("texts"), F.min("first").alias("first"), F.sum("n").alias("n")).filter("texts = 1 and n > 1")
+    placed = found.select("_doc", "_key", "no", "h").join(certain.select("h", "first"), "h")
+    later = position != F.col("first")
+    origin = F.floor(F.col("first") / F.lit(1 << 32)).cast("decimal(20,0)")
+    return placed.groupBy("_doc", "_key").agg(
+        F.collect_set(F.when(later, F.col("no"))).alias("_gone"), F.collect_set(F.when(~later, F.col("no"))).alias("_stay"),
+        F.sort_array(F.collect_set(F.when(later, origin))).alias("_origins")).filter(F.size("_gone") > 0)
+
+
+def passage_dedup(docs: DataFrame, digest=digest128) -> DataFrame:
+    """All rows and columns of ``docs`` with the repeated passages cut out of ``text``, and
+    ``_removed_chunks`` (runs of lines cut out), ``_removed_lines``, ``_origins`` (doc_ids with the copies that stay).
+
+    A line goes if it lies in a window with an earlier copy and in none that is the first of several;
+    blank lines between two lines of a window go with them. A single repeated line stays. A null text
+    stays null and an empty one empty; a text that loses all its lines becomes empty; rows are never
+    dropped. Rows with equal doc_id count as one document (null doc_ids too): equal ones are treated
+    alike. A passage repeated inside one document stays once. An ``n_chars`` column is brought up to
+    date. An empty table gives no rows.
+    """
+    names = docs.columns
+    joined = keyed(docs).join(repeats(docs, digest), ["_doc", "_key"], "left")
+    text_at = names.index("text")
+
+    def run(batches):
+        for batch in batches:
+            texts, runs, cut = batch.column(text_at).to_pylist(), [], []
+            gone, stay = batch.column(len(names)), batch.column(len(names) + 1)
+            for k in range(batch.num_rows):
+                out: set[int] = set()
+                if gone[k].is_valid:
+                    lines = texts[k].encode().split(b"\n")
+                    own = windows(lines)
+                    out.update(x for no in gone[k].as_py() for x in range(*own[no]))
+                    out.difference_update(x for no in stay[k].as_py() for x in range(*own[no]))
+                    if out:
+                        texts[k] = b"\n".join(x for at, x in enumerate(lines) if at not in out).decode()
+                runs.append(sum(1 for x in out if x - 1 not in out))
+                cut.append(len(out))
+            cols = [pa.array(texts, pa.string()) if k == text_at else batch.column(k) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays(
+                [*cols, pa.array(runs, pa.int64()), pa.array(cut, pa.int64()), batch.column(len(names) + 2)],
+                [*names, "_removed_chunks", "_removed_lines", "_origins"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    out = joined.select(*names, "_gone", "_stay", F.col("_origins").cast("array<long>").alias("_origins")).mapInArrow(
+        run, f"{kinds}, _removed_chunks long, _removed_lines long, _origins array<long>")
+    out = out.withColumn("_origins", F.when(F.col("_removed_lines") > 0, F.col("_origins")))
+    if "n_chars" in names:
+        changed = F.when(F.col("_removed_lines") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
+    return out
+
+
 def report(deduped: DataFrame) -> DataFrame:
     """doc_id, what was removed, and the digest of the text that is left."""
     text = F.coalesce("text", F.lit(""))

@@ -7,12 +7,14 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import public_tokenizers
 import pytest
 import sentencepiece
 
-from paperflow.llm import (chat_format, exact_dedup, line_dedup, mixing, near_dedup, quality_rules, secrets,
+from paperflow.llm import (chat_format, exact_dedup, line_dedup, mixing, near_dedup, quality_rules, queries, secrets,
                            sentencepiece_codec, sharding, toxicity)
+from paperflow.session import scratch_path
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, size long, kept boolean, "
@@ -136,6 +138,66 @@ def test_line_dedup_compares_bytes(docs):
     assert gone <= exact
 
 
+@pytest.mark.parametrize("n_lines", [2, 3, 6, 10])
+def test_planted_passages_go_whole(spark, n_lines):
+    """Passages planted between random lines, against what was planted: every later copy goes with all
+    its lines, the first one and the lines around the copies stay."""
+    rng = random.Random(n_lines)
+    own = lambda n: [" ".join(f"w{rng.randrange(10**6)}" for _ in range(9)) for _ in range(n)]
+    plants, rows, want, gone = [own(n_lines) for _ in range(20)], [], {}, {}
+    for k in range(100):
+        before, after, plant = own(rng.randint(0, 4)), own(rng.randint(0, 4)), plants[k % 20]
+        rows.append((k, "\n".join(before + plant + after)))
+        want[k] = "\n".join(before + (plant if k < 20 else []) + after)
+        gone[k] = 0 if k < 20 else n_lines
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    docs.write.parquet(path := scratch_path(spark, "plants") + "/documents.parquet")
+    assert {r["doc_id"]: r["text"] for r in corpus_pipeline.dedup_lines(spark, docs, "").collect()} == want
+    report = queries.op1_line_dedup(spark, path.rsplit("/", 1)[0]).collect()
+    assert {r["doc_id"]: r["removed_lines"] for r in report} == gone
+    assert all(r["origin_doc_ids"] == ([r["doc_id"] % 20] if r["doc_id"] >= 20 else []) for r in report)
+
+
+def brute_passages(rows):
+    """Texts by (doc_id, text): a line goes if it is in a window found earlier and in none found first and again."""
+    distinct = sorted({(float("inf") if r[0] is None else r[0], r[1] or "") for r in rows})
+    found, spans = defaultdict(list), {}
+    for doc, text in distinct:
+        lines = text.split("\n")
+        at = [k for k, x in enumerate(lines) if words(x)]
+        spans[doc, text] = [range(a, b + 1) for a, b in zip(at, at[1:])]
+        for no, span in enumerate(spans[doc, text]):
+            found[tuple(lines[k] for k in span)].append((doc, no))
+    out = {}
+    for (doc, text), own in spans.items():
+        lines, gone, stay = text.split("\n"), set(), set()
+        for no, span in enumerate(own):
+            places = found[tuple(lines[k] for k in span)]
+            if len(places) > 1:
+                (stay if (doc, no) == min(places) else gone).update(span)
+        out[doc, text] = "\n".join(x for k, x in enumerate(lines) if k not in gone - stay)
+    return out
+
+
+def test_passage_dedup(spark, docs):
+    want, left = brute_passages(ROWS), Counter()
+    for r in ROWS:
+        left[r[0], want[float("inf") if r[0] is None else r[0], r[1] or ""] if r[1] is not None else None] += 1
+    got = line_dedup.passage_dedup(docs)
+    assert multiset(got, "doc_id", "text") == left
+    by_id = {r["doc_id"]: r for r in got.collect()}
+    assert by_id[18]["_removed_lines"] == 10 and by_id[18]["_origins"] == [17] and by_id[19]["text"] == ""
+    assert by_id[18]["n_chars"] == len(by_id[18]["text"]) and by_id[17]["_removed_lines"] == 0
+    clash = line_dedup.passage_dedup(docs, digest=lambda c: bytes([len(c) % 3]))
+    assert all(r["_removed_lines"] <= by_id[r["doc_id"]]["_removed_lines"] for r in clash.collect())
+    odd = [(1, "a\na\na\na\nb"), (2, "z\na\n\nb"), (3, "q\na\n\nb\na\n\n\nb"), (4, "x\na\nb")]
+    odd += [(None, "u v\nw x"), (None, "u v\nw x"), (None, "")]
+    want = brute_passages(odd)
+    got = line_dedup.passage_dedup(spark.createDataFrame(odd, "doc_id long, text string"))
+    assert multiset(got, "doc_id", "text") == Counter((d, want[float("inf") if d is None else d, t]) for d, t in odd)
+    assert line_dedup.passage_dedup(docs.limit(0)).count() == 0
+
+
 # 2 quality rules
 
 def brute_counts(text):
