@@ -8,7 +8,7 @@ central texts. A first look at the minwise tokens leaves the texts that have a p
 intersections of the whole sets confirm each link. Inside a small node only a spanning
 forest of its links is passed on, so no crowd emits all its pairs. Groups are the connected components.
 Of a crowd's texts that these links leave in different groups, all those that may still be linked are
-then compared block by block.
+then compared block by block; a large crowd is dealt to parts, and every pair of parts is compared.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from paperflow.llm.common import staged
 
 #: Words per shingle, minwise tokens per text, trees, tokens on a path.
 SHINGLE, TOKENS, TREES, DEPTH = 4, 64, 12, 3
-#: A node of more texts branches on; parts of a crowd, and its central texts in each part.
+#: A node of more texts branches on; texts that one task holds of a crowd; central texts in each small part.
 SMALL, CROWD, CENTRAL = 64, 4096, 16
 #: Texts in each of the two blocks of a crowd that are compared at a time.
 BLOCK = 256
@@ -98,7 +98,7 @@ def prints(docs: DataFrame) -> DataFrame:
 
 def small_nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(node, digest) of all nodes with 2 to SMALL texts and of the parts of crowds; and the crowds
-    (tree, node, digest). A crowd of more than CROWD texts is dealt, anew in each tree, to crowds of about that size."""
+    (tree, crowd, parts, part, digest). A crowd of more than CROWD texts is dealt, anew in each tree, to parts of about that size."""
     tree = [F.struct(F.lit(t).alias("tree"), *[F.xxhash64(F.lit(t), *[F.col("tokens")[i] for i in path[:d + 1]]).alias(f"k{d}")
                        for d in range(DEPTH)]) for t, path in enumerate(PATHS)]
     rows = classes.select("digest", F.explode(F.array(*tree)).alias("k")).select("digest", "k.*")
@@ -111,9 +111,9 @@ def small_nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows = rows.filter(F.col("_n") > SMALL)
         if d < DEPTH - 1:
             rows = rows.drop("_n")
-    crowds = rows.withColumn("part", F.pmod(F.xxhash64(key, "digest"), F.ceil(F.col("_n") / CROWD)))
-    crowds = crowds.select("tree", F.xxhash64(key, "part").alias("node"), "digest")
-    found.append(by_node(crowds.select("node", "digest").join(classes.select("digest", "tokens"), "digest"),
+    crowds = rows.withColumn("parts", F.ceil(F.col("_n") / CROWD)).select(
+        "tree", F.col(key).alias("crowd"), "parts", F.pmod(F.xxhash64(key, "digest"), "parts").alias("part"), "digest")
+    found.append(by_node(crowds.select(F.xxhash64("crowd", "part").alias("node"), "digest").join(classes.select("digest", "tokens"), "digest"),
                          split_crowds, "node long, digest binary"))
     out = found[0]
     for other in found[1:]:
@@ -123,13 +123,17 @@ def small_nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def open_crowds(crowds: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     """(node, digest): pairs of blocks of the crowds, with the texts that may be linked with one of
-    another group. A pair of texts that meets in the crowds of several trees counts in the first."""
+    another group. Every two parts of a crowd meet in a node of their own, and each part meets itself.
+    A pair of texts that meets in the crowds of several trees counts in the first."""
     group = crowds.join(labels.withColumnRenamed("v", "digest"), "digest", "left").withColumn(
         "label", F.coalesce("label", "digest"))
-    mixed = group.groupBy("node").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b").select("node")
-    of_tree = [F.coalesce(F.max(F.when(F.col("tree") == t, F.col("node"))), F.xxhash64("digest", F.lit(t))) for t in range(TREES)]
+    mixed = group.groupBy("crowd").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b").select("crowd")
+    of_tree = [F.coalesce(F.max(F.when(F.col("tree") == t, F.col("crowd"))), F.xxhash64("digest", F.lit(t))) for t in range(TREES)]
     every = crowds.groupBy("digest").agg(F.array(*of_tree).alias("crowds"))
-    rows = group.join(mixed, "node", "left_semi").join(every, "digest").join(
+    rows = group.join(mixed, "crowd", "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.withColumn("node", F.xxhash64("crowd", F.least("part", "other"), F.greatest("part", "other"))).withColumn(
+        "side", F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2))
+    rows = rows.select("node", "side", "tree", "digest", "label").join(every, "digest").join(
         classes.select("digest", "n_shingles", "tokens"), "digest")
     return by_node(rows, unsettled, "node long, digest binary").distinct()
 
@@ -193,17 +197,19 @@ def split_crowds(table: pa.Table):
 
 def unsettled(table: pa.Table):
     """Nodes of two blocks of a crowd each: the texts in a pair of different groups whose tokens and
-    set sizes come near. Blocks hold texts of the same group side by side."""
+    set sizes come near. Blocks hold texts of the same group side by side. A node holds one part of a
+    crowd (side 0), or two (sides 1 and 2), of which the one's blocks meet the other's."""
     tokens, sizes, digests = token_matrix(table), table["n_shingles"].to_numpy(), table["digest"].to_pylist()
-    trees, labels = table["tree"].to_numpy(), table["label"].to_pylist()
+    trees, sides, labels = table["tree"].to_numpy(), table["side"].to_numpy(), table["label"].to_pylist()
     crowds = np.asarray(table["crowds"].combine_chunks().flatten()).reshape(-1, TREES)
     nodes, members = [], []
     for _, a, b in groups(table):
         order = np.array(sorted(range(a, b), key=lambda k: (labels[k], digests[k])))
         _, code = np.unique([labels[k] for k in order], return_inverse=True)
-        blocks = [slice(k, k + BLOCK) for k in range(0, b - a, BLOCK)]
-        for i, x in enumerate(blocks):
-            for y in blocks[i:]:
+        own, first, second = (np.flatnonzero(sides[order] == s) for s in (0, 1, 2))
+        blocks, ones, twos = ([of[k:k + BLOCK] for k in range(0, len(of), BLOCK)] for of in (own, first, second))
+        for x, others in [*((x, blocks[i:]) for i, x in enumerate(blocks)), *((x, twos) for x in ones)]:
+            for y in others:
                 one, two = order[x], order[y]
                 near = code[x][:, None] != code[y][None, :]
                 if not near.any():
@@ -212,6 +218,8 @@ def unsettled(table: pa.Table):
                     near &= crowds[one, t][:, None] != crowds[two, t][None, :]
                 n, m = sizes[one][:, None], sizes[two][None, :]
                 near &= 100 * np.minimum(n, m) >= SIMILARITY * np.maximum(n, m)
+                if not near.any():
+                    continue
                 agree = np.zeros(near.shape, np.uint8)
                 for k in range(TOKENS):
                     agree += tokens[one, k][:, None] == tokens[two, k][None, :]

@@ -357,6 +357,12 @@ def test_near_dedup(docs):
     assert multiset(near_dedup.near_groups(docs), "doc_id", "n_shingles", "component_id", "kept") == brute_near(ROWS)
 
 
+def test_near_dedup_dealt_crowd(spark, monkeypatch):
+    """Hidden pairs in a crowd that is dealt to many parts are found whichever parts they lie in."""
+    monkeypatch.setattr(near_dedup, "CROWD", 40)
+    test_near_dedup_loose_crowd(spark)
+
+
 def test_near_dedup_loose_crowd(spark):
     """A crowd of 700 texts that come near each other without links, but for a few hidden pairs."""
     rng = random.Random(11)
