@@ -1,6 +1,6 @@
 """MinHash near-dedup by a chosen-path set similarity join.
 
-A text is the set of its 4-word shingles. ``TREES`` independent trees branch the texts by
+A text is the set of its shingles, of 4 words unless told otherwise. ``TREES`` independent trees branch the texts by
 chosen minwise tokens: a node's texts go to the child of their next token until a node is small,
 and small nodes are compared exhaustively. Nodes that stay large although their tokens agree
 are crowds of similar texts; they are compared in small parts that all hold the crowd's most
@@ -13,6 +13,8 @@ then compared block by block; a large crowd is dealt to parts, and every pair of
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -38,7 +40,8 @@ _MULTIPLY = (_RNG.integers(0, 1 << 31, TOKENS, dtype=np.uint32) << np.uint32(1))
 _ADD = _RNG.integers(0, 1 << 32, TOKENS, dtype=np.uint32)
 #: For each tree the tokens on its paths; the first differs from tree to tree.
 PATHS = [[t, *[int(x) for x in _RNG.permutation([k for k in range(TOKENS) if k != t])[:DEPTH - 1]]] for t in range(TREES)]
-_POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+_POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
+                    0xA0761D6478BD642F], np.uint64)
 
 
 class WordHashes(dict):
@@ -52,15 +55,15 @@ def words_in(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def shingles(words: list[bytes], hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles; fewer than four words are one shingle."""
-    if len(words) < SHINGLE:
+def shingles(words: list[bytes], hashes: WordHashes, length: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of ``length`` (up to 5) words; fewer words are one shingle."""
+    if len(words) < length:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words))] if words else [], np.uint64)
     if len(hashes) > KNOWN_WORDS:
         hashes.clear()
     h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = len(words) - SHINGLE + 1
-    mixed = sum(h[k:k + n] * _POWERS[k] for k in range(SHINGLE))
+    n = len(words) - length + 1
+    mixed = sum(h[k:k + n] * _POWERS[k] for k in range(length))
     mixed ^= mixed >> np.uint64(29)
     return np.unique(mixed * np.uint64(0xBF58476D1CE4E5B9))
 
@@ -74,7 +77,7 @@ def minwise(of: np.ndarray) -> np.ndarray:
     return out
 
 
-def prints(docs: DataFrame) -> DataFrame:
+def prints(docs: DataFrame, length: int = SHINGLE) -> DataFrame:
     """doc_id, row key, digest of the words, set size and minwise tokens of every row (empty: none)."""
     def run(batches):
         hashes = WordHashes()
@@ -82,7 +85,7 @@ def prints(docs: DataFrame) -> DataFrame:
             digests, sizes, tokens = [], [], []
             for value in batch.column(2):
                 words = words_in(value.as_py())
-                own = shingles(words, hashes)
+                own = shingles(words, hashes, length)
                 sizes.append(len(own))
                 digests.append(xxhash.xxh3_128_digest(b" ".join(words)))
                 tokens.append(minwise(own).view(np.int32) if len(own) else [])
@@ -261,7 +264,7 @@ def connected(near: np.ndarray) -> np.ndarray:
         label = best
 
 
-def confirm(table: pa.Table):
+def confirm(table: pa.Table, length: int = SHINGLE):
     """Exact links of a node's texts on their whole sets: the edges of a spanning forest."""
     hashes, left, right = WordHashes(), [], []
     digests, texts = table["digest"].to_pylist(), table["text"]
@@ -270,7 +273,7 @@ def confirm(table: pa.Table):
         for k in range(a, b):
             words = words_in(texts[k].as_py())
             # The row key that fetched the text is a hash: make sure of the text itself.
-            sets.append(shingles(words, hashes) if xxhash.xxh3_128_digest(b" ".join(words)) == digests[k] else None)
+            sets.append(shingles(words, hashes, length) if xxhash.xxh3_128_digest(b" ".join(words)) == digests[k] else None)
         sets, own = [s for s in sets if s is not None], [d for s, d in zip(sets, digests[a:b]) if s is not None]
         m = len(sets)
         if m < 2:
@@ -332,15 +335,15 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("v"), F.col("v").alias("label"))
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, key, n_shingles, component_id, kept for every row.
+def near_groups(docs: DataFrame, length: int = SHINGLE) -> DataFrame:
+    """doc_id, key, n_shingles, component_id, kept for every row; shingles have ``length`` words.
 
     Rows with equal words are one vertex. A text without words is linked with nothing: its own
     component. Null doc_ids come last: a component's id is its smallest other doc_id, or null; a row with a null
     doc_id is kept only in a component without other ids. Repeated rows get equal answers; an
     empty table gives no rows; other columns are not read.
     """
-    every = staged(prints(docs), "near-prints")
+    every = staged(prints(docs, length), "near-prints")
     classes = every.filter("n_shingles > 0").groupBy("digest").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("row"),
         F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"))
@@ -355,9 +358,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
     fetched = docs.select(F.col("doc_id").alias("_id"), F.xxhash64(raw).alias("key"), raw.alias("text"))
     texts = wanted.join(fetched, (wanted["key"] == fetched["key"]) & wanted["doc_id"].eqNullSafe(fetched["_id"]))
     texts = staged(texts.select("digest", "text").distinct(), "near-texts")
-    labels = components(by_node(parts.join(texts, "digest"), confirm, "a binary, b binary"))
+    links = partial(confirm, length=length)
+    labels = components(by_node(parts.join(texts, "digest"), links, "a binary, b binary"))
     rest = open_crowds(crowds, classes, labels)
-    more = staged(by_node(rest.join(texts, "digest"), confirm, "a binary, b binary"), "near-links")
+    more = staged(by_node(rest.join(texts, "digest"), links, "a binary, b binary"), "near-links")
     if not more.isEmpty():
         labels = components(labels.select(F.col("v").alias("a"), F.col("label").alias("b")).unionByName(more))
     known = classes.select("digest", "doc_id").join(labels, classes["digest"] == labels["v"], "left").select(
@@ -370,9 +374,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, length: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` that ``near_groups`` keeps, with all columns; repeated kept rows stay once."""
-    kept = near_groups(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
+    kept = near_groups(docs, length).filter("kept").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
     rows = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit("")).cast("binary")))
     out = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_text_key"] == kept["_key"]), "left_semi")
     return out.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")

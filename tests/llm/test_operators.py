@@ -407,6 +407,23 @@ def test_keep_one(docs):
     assert {r["doc_id"] for r in left.collect()} == want
 
 
+def test_pipeline_compares_five_words(spark):
+    """Scattered changes that leave 0.8 of the four-word shingles but less of the five-word ones: both stay."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    near, nearer = list(base), list(base)
+    for k in range(10):
+        near[20 + 38 * k] = f"n{k}"
+    for k in range(3):
+        nearer[20 + 38 * k] = f"m{k}"
+    rows = [(k, " ".join(x)) for k, x in enumerate((base, near, nearer, base))]
+    sets = [{tuple(t.split()[i:i + n]) for i in range(401 - n)} for n in (4, 5) for _, t in rows[:2]]
+    share = lambda a, b: len(a & b) / len(a | b)
+    assert share(*sets[:2]) >= 0.8 > share(*sets[2:])
+    left = corpus_pipeline.dedup_near(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r["doc_id"] for r in left.collect()} == {0, 1}
+
+
 # 8 chat formatting
 
 def test_chat_formatting(spark):
