@@ -45,3 +45,32 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def with_columns(df: DataFrame, **cols: Column) -> DataFrame:
     """``withColumns``: an input column that has an output's name is replaced."""
     return df.withColumns(cols)
+
+
+def staged_once(df: DataFrame, name: str) -> DataFrame:
+    """``staged``, and the shuffle files of ``df`` go as soon as the table stands.
+
+    For a ``df`` that nothing else reads, so that a chain of steps holds one step's shuffle files
+    and the staged tables at a time. The table itself survives lost executors.
+    """
+    conf = df.sparkSession.conf
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(setting, "false")
+    conf.set(setting, "true")
+    try:
+        return staged(df, name)
+    finally:
+        conf.set(setting, before)
+
+
+def documents_as_rows(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns as one struct, so that no name of theirs can clash), ``doc`` and ``key``.
+
+    Documents are told apart by doc_id and text and come in the order of (doc, key): by doc_id,
+    null last; rows with equal doc_id and text count as one document.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select(
+        F.struct("*").alias("row"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"),
+        F.xxhash64(text, F.col("doc_id").isNull()).alias("key"))

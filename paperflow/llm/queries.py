@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from paperflow.llm import (
-    chat_format, exact_dedup, line_dedup, mixing, near_dedup, quality_rules, secrets, sentencepiece_codec, sharding, sql, toxicity,
+    chat_format, exact_dedup, line_dedup, mixing, near_dedup, quality_rules, secrets, sentencepiece_codec, sharding, sql,
+    substring_dedup, toxicity,
 )
 from paperflow.sources.tables import read_table
 
@@ -58,11 +59,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(read_table(spark, sf_dir, "documents"), shards=16)
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_quality_rules, op3_sentencepiece, op4_mixing, op5_toxicity, op6_exact_dedup, op7_near_dedup,
-    op8_chat_formatting, op9_secrets, op10_sharding, pipeline)}
+    op8_chat_formatting, op9_secrets, op10_sharding, op13_substring_dedup,
+    pipeline)}
 ORACLE_SQL = dict(sql.QUERIES)

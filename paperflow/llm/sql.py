@@ -28,4 +28,23 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
 FROM g
 """
 
-QUERIES = {"op6_exact_dedup": OP6, "op8_chat_formatting": OP8}
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+s AS (
+  SELECT doc_id, i, word, string_agg(word, ' ') OVER n20 AS said, count(*) OVER n20 AS n
+  FROM p WINDOW n20 AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+r AS (SELECT *, n = 20 AND row_number() OVER (PARTITION BY n, said ORDER BY doc_id, i) > 1 AS again FROM s),
+c AS (
+  SELECT doc_id, i, word,
+         bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+  FROM r),
+k AS (SELECT doc_id, count_if(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+      FROM c GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+QUERIES = {"op13_substring_dedup": OP13, "op6_exact_dedup": OP6, "op8_chat_formatting": OP8}
