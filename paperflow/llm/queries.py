@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperflow.llm import (
-    chat_format, exact_dedup, hard_negatives, line_dedup, mixing, near_dedup, quality_rules, secrets, sentencepiece_codec, sharding, sql,
+    chat_format, collocations, exact_dedup, hard_negatives, line_dedup, mixing, near_dedup, quality_rules, secrets, sentencepiece_codec, sharding, sql,
     substring_dedup, toxicity,
 )
 from paperflow.sources.tables import read_table
@@ -60,6 +60,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(read_table(spark, sf_dir, "documents"), shards=16)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents", "lang", "text")).drop("k")
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     label, ident = F.col("label").cast("long"), F.col("vec_id")
@@ -77,6 +81,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_quality_rules, op3_sentencepiece, op4_mixing, op5_toxicity, op6_exact_dedup, op7_near_dedup,
-    op8_chat_formatting, op9_secrets, op10_sharding, op12_hard_negatives, op13_substring_dedup,
+    op8_chat_formatting, op9_secrets, op10_sharding, op11_collocations, op12_hard_negatives, op13_substring_dedup,
     pipeline)}
 ORACLE_SQL = dict(sql.QUERIES)

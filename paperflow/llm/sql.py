@@ -28,6 +28,33 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
 FROM g
 """
 
+OP11 = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) AS s(k)),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+x AS (
+  SELECT c.lang, c.phrase, c.a, l.f AS l, r.f AS r, n.n, j,
+         (1000::HUGEINT * c.a * n.n) // (l.f::HUGEINT * r.f) AS score
+  FROM c, range(1, 5) AS s(j)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:], ' ')
+  JOIN n ON n.lang = c.lang
+  WHERE j < c.k),
+y AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+z AS (SELECT * FROM y WHERE NOT EXISTS (
+        SELECT 1 FROM c WHERE c.lang = y.lang AND c.phrase <> y.phrase AND contains(' ' || c.phrase || ' ', ' ' || y.phrase || ' ')
+                        AND 100 * c.a >= 100 * y.a))
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank,
+       phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM z QUALIFY rank <= 2000
+"""
+
 OP12 = r"""
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -66,4 +93,4 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(k.n_removed,
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
 
-QUERIES = {"op12_hard_negatives": OP12, "op13_substring_dedup": OP13, "op6_exact_dedup": OP6, "op8_chat_formatting": OP8}
+QUERIES = {"op11_collocations": OP11, "op12_hard_negatives": OP12, "op13_substring_dedup": OP13, "op6_exact_dedup": OP6, "op8_chat_formatting": OP8}
