@@ -110,33 +110,44 @@ def found_again(hashes: np.ndarray, doc, key, at, later_only: bool) -> tuple[np.
     return np.concatenate([single, order[new]]), order[several]
 
 
+def _by_part(part: np.ndarray, doc: np.ndarray, key: np.ndarray, at: np.ndarray, hashes: np.ndarray | None) -> list[tuple]:
+    """Packed rows of the places, one for each part."""
+    order = np.lexsort((at, key, doc, part))
+    part = part[order]
+    ends = np.flatnonzero(np.diff(part, append=-1)) + 1
+    rows = []
+    for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
+        own = order[a:b]
+        rows.append((int(part[a]), b"" if hashes is None else hashes[own].tobytes(), *pack(doc[own], key[own], at[own])))
+    return rows
+
+
+def _table(rows: list[tuple]) -> pa.Table:
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.table([pa.array([r[c] for r in rows], kinds[c]) for c in range(4)], ["bucket", "hashes", "docs", "positions"])
+
+
 def _packed_rows(pieces: list[tuple], buckets: int, later_only: bool) -> Iterator[pa.RecordBatch]:
     """A task's windows, settled among themselves, by bucket; what is settled travels without hashes."""
     hashes = np.concatenate([p[0] for p in pieces])
     doc, key = (np.concatenate([np.full(len(p[0]), p[c], np.int64) for p in pieces]) for c in (1, 2))
     at = np.concatenate([p[3] for p in pieces]).astype(np.int64)
     first, again = found_again(hashes, doc, key, at, later_only)
-    rows = []
-    again = again[np.lexsort((at[again], key[again], doc[again]))]
-    if len(again):
-        rows.append((int(doc[again[0]] % buckets), b"", *pack(doc[again], key[again], at[again])))
-    bucket = (hashes[first, 0] % np.uint64(buckets)).astype(np.int64)
-    first = first[np.lexsort((at[first], key[first], doc[first], bucket))]
+    rows = _by_part(key[again] % buckets, doc[again], key[again], at[again], None)
     bucket = (hashes[first, 0] % np.uint64(buckets)).astype(np.int64)
-    ends = np.flatnonzero(np.diff(bucket, append=-1)) + 1
-    for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
-        own = first[a:b]
-        rows.append((int(bucket[a]), hashes[own].tobytes(), *pack(doc[own], key[own], at[own])))
-    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kinds[c]) for c in range(4)],
-                                     ["bucket", "hashes", "docs", "positions"])
+    rows += _by_part(bucket, doc[first], key[first], at[first], hashes[first])
+    yield from _table(rows).to_batches()
 
 
 def _places(doc: np.ndarray, key: np.ndarray, at: np.ndarray) -> pa.Table:
+    """doc, key and the sorted positions, one row for each document."""
     order = np.lexsort((at, key, doc))
     doc, key, at = doc[order], key[order], at[order]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
+    other = new.copy()
+    other[1:] |= at[1:] != at[:-1]  # repeated rows are one document
+    doc, key, at, new = doc[other], key[other], at[other], new[other]
     starts = np.flatnonzero(new)
     ends = np.append(starts, len(doc))
     return pa.table([pa.array(doc[starts]), pa.array(key[starts]),
@@ -178,11 +189,16 @@ def again_by_document(windows: DataFrame, hashed, columns: int, buckets: int, la
             doc, key, at = (np.concatenate([p[c] for p in places]) for c in range(3))
             _, again = found_again(np.concatenate(hashes), doc, key, at, later_only)
             settled.append((doc[again], key[again], at[again]))
-        return _places(*(np.concatenate([p[c] for p in settled]) for c in range(3)))
+        doc, key, at = (np.concatenate([p[c] for p in settled]) for c in range(3))
+        return _table(_by_part(key % buckets, doc, key, at, None))
+
+    def gather(table: pa.Table) -> pa.Table:
+        found = [unpack(docs.as_py(), positions.as_py()) for docs, positions in zip(table.column(2), table.column(3))]
+        return _places(*(np.concatenate([p[c] for p in found]) for c in range(3)))
 
     packed = windows.mapInArrow(pack_windows, _PACKED)
-    return packed.groupBy("bucket").applyInArrow(settle, _PLACES).groupBy("doc", "key").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at"))
+    settled = packed.groupBy("bucket").applyInArrow(settle, _PACKED)
+    return settled.groupBy("bucket").applyInArrow(gather, _PLACES)
 
 
 def repeated_windows(docs: DataFrame, size: int = SIZE, rolling=rabin_karp, digest=word_digest) -> DataFrame:
