@@ -21,6 +21,7 @@ from paperflow.functions.text import join_list
 from paperflow.operators import catalog as CT
 from paperflow.operators import export, taxonomy, views
 from paperflow.operators import inference as INF
+from paperflow.operators import ledger as LG
 from paperflow.operators import ingest as IN
 from paperflow.operators import migrate as MG
 from paperflow.operators import pages as PG
@@ -563,3 +564,31 @@ def q_requests_per_minute_stream(spark, sf):
     sink, ck = scratch_path(spark, "rpm-out"), scratch_path(spark, "rpm-ck")
     start_requests_per_minute(events_stream(spark, src), sink, ck).awaitTermination()
     return spark.read.parquet(sink).select("window_start", "user_id", "n_requests")
+
+
+@register("resumed_drain")
+def q_resumed_drain(spark, sf):
+    """M1/M2 after a restart while the service is down: answers paid for before still count, a changed
+    prompt's do not, failed attempts of the run are not repeated."""
+    papers, summ, path = S.papers(spark, sf), S.summaries(spark, sf), scratch_path(spark, "ledger")
+    prompts = DR.queue_prompts(papers, summ, S.page_table(spark, sf), params.QUEUE_LIMIT, single_batch=False)
+    answers = prompts.join(S.responses(spark, sf).withColumnRenamed("doc_id", "id"), "id")
+    kind = F.col("id") % 4
+    earlier = answers.filter(kind != 3).select(
+        F.lit("night").alias("run_id"), F.col("id").alias("paper_id"),
+        F.sha2(F.when(kind == 2, F.concat("prompt", F.lit(" then"))).otherwise(F.col("prompt")), 256).alias("prompt_sha256"),
+        F.explode(F.when(kind == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("attempt"), "response")
+    timed_out = (F.col("paper_id") % 4 == 1) & (F.col("attempt") == 1)
+    LG.read_ledger(spark, path)
+    earlier.withColumn("error", F.when(timed_out, "timeout")).withColumn(
+        "response", F.when(~timed_out, F.col("response"))).write.mode("append").parquet(path)
+
+    def unavailable(prompt, attempt):
+        raise ConnectionError("service unavailable")
+
+    _, results = DR.drain(papers, summ, S.page_table(spark, sf), unavailable, "none", ledger_path=path, run_id="night")
+    calls = LG.read_ledger(spark, path).filter("error like 'ConnectionError%'").groupBy(F.col("paper_id").alias("id")).agg(
+        F.count(F.lit(1)).alias("n_calls"))
+    return results.join(calls, "id", "left").select(
+        "id", "ok", F.col("attempts").cast("bigint").alias("attempts"), "reused", F.coalesce("n_calls", F.lit(0)).alias("n_calls"),
+        "error", *SEC.FIELDS)

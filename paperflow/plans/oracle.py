@@ -659,6 +659,16 @@ SELECT id, CASE WHEN id % 6 = 4 THEN '' WHEN id % 6 = 5 THEN strftime(published_
 FROM papers
 """
 
+# Of the four kinds of papers, those of kind 0 and 1 have an answer to their prompt (kind 1 after a timeout).
+Q["resumed_drain"] = _SECTIONS.rstrip() + """,
+kinds AS (
+  SELECT q.id, q.id % 4 AS kind, c.*, q.id % 4 < 2 AND c.is_valid AS good
+  FROM queue q JOIN checked c ON c.doc_id = q.id)
+SELECT id, good AS ok, CAST(CASE WHEN NOT good THEN 3 ELSE kind + 1 END AS BIGINT) AS attempts, good AS reused,
+       CAST(CASE WHEN good THEN 0 WHEN kind < 2 THEN 2 - kind ELSE 3 END AS BIGINT) AS n_calls,
+       CASE WHEN NOT good THEN 'ConnectionError: service unavailable' END AS error,
+""" + ", ".join(f"CASE WHEN good THEN {f} END AS {f}" for f in _SEC.FIELDS) + " FROM kinds"
+
 
 def oracle_sql() -> dict[str, str]:
     out = {}

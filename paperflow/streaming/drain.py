@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperflow.functions.text import model_input
-from paperflow.operators import inference, views
+from paperflow.operators import inference, ledger, views
 from paperflow.operators.numbering import batch_numbers
 from paperflow.operators.pages import assemble_pages
 
@@ -47,13 +47,21 @@ def queue_batches(papers: DataFrame, summaries: DataFrame, batch_size: int) -> D
 
 def drain(papers: DataFrame, summaries: DataFrame, pages: DataFrame | None, fn: Callable[[str, int], str],
           model_name: str, batch_size: int = 15, single_batch: bool = False,
-          calls_per_minute: int | None = None, created_at=None,
-          with_batches: bool = False) -> tuple[DataFrame, DataFrame]:
+          calls_per_minute: int | None = None, created_at=None, with_batches: bool = False,
+          ledger_path: str | None = None, run_id: str | None = None,
+          calls_per_write: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Returns (new summary rows, per-paper results). Failed papers leave no row and
     stay queued (D6). ``with_batches`` adds each paper's batch number (one extra
-    numbering job)."""
+    numbering job). With ``ledger_path`` and ``run_id`` every answer is kept as it comes, and a
+    drain that is started again under the same ``run_id`` asks only for what is missing."""
     prompts = queue_prompts(papers, summaries, pages, batch_size, single_batch)
-    results = inference.summarize(prompts, fn, calls_per_minute=calls_per_minute)
+    if ledger_path:
+        if not run_id:
+            raise ValueError("a ledger needs a run_id")
+        results = ledger.summarize(prompts, fn, ledger_path, run_id, calls_per_minute=calls_per_minute,
+                                   calls_per_write=calls_per_write)
+    else:
+        results = inference.summarize(prompts, fn, calls_per_minute=calls_per_minute)
     if single_batch:
         results = results.withColumn("batch_no", F.lit(0).cast("long"))
     elif with_batches:
