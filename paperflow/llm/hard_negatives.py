@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ TILE = 4096
 #: Anchors and rows of a tile that are compared at a time.
 _STEP_ANCHORS, _STEP_ROWS = 256, 2048
 _BIG = float(1 << 53)
-_SUMMARY = "id long, label long, q binary, summary binary"
+_SUMMARY = "id long, label long, n int, wide boolean, q binary, summary binary"
 _FOUND = "anchor_id long, slot int, id long, score long"
 
 
@@ -57,44 +58,49 @@ def levels(dimension: int) -> list[tuple[int, slice, slice]]:
 
 
 def with_summaries(rows: DataFrame) -> DataFrame:
-    """id, label, the integer components and the segment summaries, from id, label, vector (doubles)."""
+    """id, label, the integer components (``wide``: 64 bits each, else 32) and the segment summaries, from id,
+    label, vector (doubles)."""
     def run(batches):
         for batch in batches:
-            q, parts = [], []
-            for x in batch.column(2):
-                own = np.clip(np.floor(256 * np.asarray(x.as_py(), np.float64)), -2.0**62, 2.0**62)
-                q.append(own.astype(np.int64).tobytes() if np.abs(own).max(initial=0) >= 2**31 else own.astype(np.int32).tobytes() + b"4")
-                parts.append(summarize(own[None, :])[0].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(q, pa.binary()), pa.array(parts, pa.binary())],
-                                             ["id", "label", "q", "summary"])
+            vectors = batch.column(2)
+            lengths = np.diff(vectors.offsets.to_numpy())
+            for n in np.unique(lengths):
+                at = np.flatnonzero(lengths == n)
+                own = vectors.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), n)
+                q = np.clip(np.floor(256 * own), -2.0**62, 2.0**62)
+                wide = bool(np.abs(q).max(initial=0) >= 2**31)
+                cells = q.astype(np.int64 if wide else np.int32)
+                parts = summarize(q)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array([n] * len(at), pa.int32()),
+                     pa.array([wide] * len(at)), pa.array([x.tobytes() for x in cells], pa.binary()),
+                     pa.array([x.tobytes() for x in parts], pa.binary())], ["id", "label", "n", "wide", "q", "summary"])
 
     return rows.mapInArrow(run, _SUMMARY)
 
 
 class Block:
-    """Rows of one side of a tile: ids, labels, components and summaries, padded with zeros to ``dimension``."""
+    """Rows of one side of a tile: ids, labels, components and summaries, with zeros up to ``dimension``."""
 
-    def __init__(self, table: pa.Table, dimension: int | None = None):
+    def __init__(self, table: pa.Table, dimension: int):
         self.ids = table.column("id").to_numpy()
         self.labels = table.column("label").to_numpy()
-        q = [np.frombuffer(x[:-1], np.int32) if len(x) % 4 else np.frombuffer(x, np.int64) for x in table.column("q").to_pylist()]
-        self.widest = max((len(x) for x in q), default=0)
-        self._q = q
-        self._summary = table.column("summary").to_pylist()
-
-    def padded(self, dimension: int) -> None:
-        self.q = np.zeros((len(self._q), dimension), np.int64)
         cuts = levels(dimension)
-        self.summary = np.zeros((len(self._q), cuts[-1][2].stop if cuts else 0))
-        for k, (own, blob) in enumerate(zip(self._q, self._summary)):
-            self.q[k, :len(own)] = own
-            parts = np.frombuffer(blob, np.float64)
-            for (_, m, s), (_, om, os) in zip(cuts, levels(len(own))):
-                self.summary[k, m.start:m.start + om.stop - om.start] = parts[om]
-                self.summary[k, s.start:s.start + os.stop - os.start] = parts[os]
+        self.q = np.zeros((len(self.ids), dimension), np.int64)
+        self.summary = np.zeros((len(self.ids), cuts[-1][2].stop))
+        lengths, wide = table.column("n").to_numpy(), table.column("wide").to_numpy()
+        q, parts = table.column("q").combine_chunks(), table.column("summary").combine_chunks()
+        for n, kind in set(zip(lengths.tolist(), wide.tolist())):
+            at = np.flatnonzero((lengths == n) & (wide == kind))
+            own = pa.array(at)
+            self.q[at, :n] = np.frombuffer(b"".join(q.take(own).to_pylist()), np.int64 if kind else np.int32).reshape(len(at), n)
+            found = np.frombuffer(b"".join(parts.take(own).to_pylist()), np.float64).reshape(len(at), -1)
+            for (_, m, s), (_, om, os) in zip(cuts, levels(n)):
+                self.summary[at, m.start:m.start + om.stop - om.start] = found[:, om]
+                self.summary[at, s.start:s.start + os.stop - os.start] = found[:, os]
         self.most = float(np.abs(self.q).max(initial=0))
 
-    def part(self, keep: slice) -> Block:
+    def part(self, keep) -> Block:
         out = object.__new__(Block)
         out.ids, out.labels, out.q, out.summary, out.most = (
             self.ids[keep], self.labels[keep], self.q[keep], self.summary[keep], self.most)
@@ -104,25 +110,28 @@ class Block:
 def bounds(a: Block, b: Block, level: tuple[int, slice, slice]) -> tuple[np.ndarray, np.ndarray]:
     """Lower and upper bounds of all scores of a tile, a little wider than they are for rounding."""
     w, means, spreads = level
-    middle = w * (a.summary[:, means] @ b.summary[:, means].T)
-    reach = w * (a.summary[:, spreads] @ b.summary[:, spreads].T)
-    reach += 1 + 1e-9 * (np.abs(middle) + reach + a.most * b.most * w)
-    return middle - reach, middle + reach
+    right = np.concatenate([b.summary[:, means], b.summary[:, spreads]], axis=1).T
+    middle, reach = w * a.summary[:, means], w * a.summary[:, spreads]
+    lower, upper = np.concatenate([middle, -reach], axis=1) @ right, np.concatenate([middle, reach], axis=1) @ right
+    slack = 1 + 1e-9 * a.most * b.most * max(1, a.q.shape[1])
+    lower -= slack
+    upper += slack
+    return lower, upper
 
 
 def exact(a: Block, b: Block, at: np.ndarray, to: np.ndarray) -> np.ndarray:
     """Integer inner products of the pairs, exactly; beyond 64 bits the nearest 64-bit number."""
-    out = np.empty(len(at), np.int64)
     if a.most * b.most * max(1, a.q.shape[1]) < _BIG:
         fa, fb = a.q.astype(np.float64), b.q.astype(np.float64)
+        if len(at) > 0.1 * len(fa) * len(fb):  # so many are left that one product of the blocks costs less
+            return (fa @ fb.T)[at, to].astype(np.int64)
+        out = np.empty(len(at), np.int64)
         for k in range(0, len(at), 1 << 15):
             part = slice(k, k + (1 << 15))
             out[part] = np.einsum("ij,ij->i", fa[at[part]], fb[to[part]])
         return out
-    for k, (i, j) in enumerate(zip(at, to)):
-        total = sum(int(x) * int(y) for x, y in zip(a.q[i], b.q[j]))
-        out[k] = min(max(total, -(1 << 63)), (1 << 63) - 1)
-    return out
+    whole = [sum(int(x) * int(y) for x, y in zip(a.q[i], b.q[j])) for i, j in zip(at, to)]
+    return np.array([min(max(x, -(1 << 63)), (1 << 63) - 1) for x in whole], np.int64)
 
 
 def _kth_largest(values: np.ndarray, k: int) -> np.ndarray:
@@ -141,33 +150,43 @@ def _first(at: np.ndarray, to: np.ndarray, scores: np.ndarray, ids: np.ndarray,
     return order[place < k]
 
 
-def positives_of(a: Block, b: Block, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, row, score) of the k first other rows of each anchor's label in this tile."""
-    live = (a.labels[:, None] == b.labels[None, :]) & (a.ids[:, None] != b.ids[None, :])
-    for level in levels(a.q.shape[1]):
-        lower, upper = bounds(a, b, level)
-        live &= upper >= _kth_largest(np.where(live, lower, -np.inf), k)[:, None]
-    at, to = np.nonzero(live)
-    scores = exact(a, b, at, to)
-    first = _first(at, to, scores, b.ids, k)
-    return at[first], to[first], scores[first]
+def positives_of(a: Block, b: Block, k: int):
+    """(anchor, row, score) of the k first other rows of each anchor's label in this tile, label by label."""
+    for label in np.intersect1d(a.labels, b.labels):
+        mine, theirs = np.flatnonzero(a.labels == label), np.flatnonzero(b.labels == label)
+        x, y = a.part(mine), b.part(theirs)
+        live = x.ids[:, None] != y.ids[None, :]
+        for level in levels(x.q.shape[1]):
+            lower, upper = bounds(x, y, level)
+            lower[~live] = -np.inf
+            live &= upper >= _kth_largest(lower, k)[:, None]
+        at, to = np.nonzero(live)
+        scores = exact(x, y, at, to)
+        first = _first(at, to, scores, y.ids, k)
+        yield mine[at[first]], theirs[to[first]], scores[first]
 
 
 def negatives_of(a: Block, b: Block, low: np.ndarray, high: np.ndarray, k: int):
-    """(anchor, row, score) of the k first rows of another label with low <= score <= high."""
-    live = (a.labels[:, None] != b.labels[None, :]) & (low <= high)[:, None]
-    flow, fhigh = low.astype(np.float64)[:, None], high.astype(np.float64)[:, None]
+    """(slot, anchor, row, score) of the k first rows of another label with low <= score <= high, for each
+    anchor and each of its windows (columns of ``low`` and ``high``)."""
+    real = low <= high
+    least = np.where(real, low, np.inf).min(axis=1)[:, None]
+    most = np.where(real, high, -np.inf).max(axis=1)[:, None]
+    live = a.labels[:, None] != b.labels[None, :]
     for level in levels(a.q.shape[1]):
         lower, upper = bounds(a, b, level)
-        live &= (upper >= flow) & (lower <= fhigh)
-        certain = live & (lower >= flow) & (upper <= fhigh)
-        live &= upper >= _kth_largest(np.where(certain, lower, -np.inf), k)[:, None]
+        live &= upper >= least
+        live &= lower <= most
+        if not live.any():
+            return
     at, to = np.nonzero(live)
     scores = exact(a, b, at, to)
-    inside = (scores >= low[at]) & (scores <= high[at])
+    inside = (scores >= least[at, 0]) & (scores <= most[at, 0])
     at, to, scores = at[inside], to[inside], scores[inside]
-    first = _first(at, to, scores, b.ids, k)
-    return at[first], to[first], scores[first]
+    for slot in range(low.shape[1]):
+        own = np.flatnonzero((scores >= low[at, slot]) & (scores <= high[at, slot]))
+        own = own[_first(at[own], to[own], scores[own], b.ids, k)]
+        yield slot, at[own], to[own], scores[own]
 
 
 def tiles(anchors: DataFrame, rows: DataFrame, n_anchors: int, n_rows: int, found) -> DataFrame:
@@ -181,10 +200,10 @@ def tiles(anchors: DataFrame, rows: DataFrame, n_anchors: int, n_rows: int, foun
             other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        a, b = Block(left), Block(right)
-        dimension = max(a.widest, b.widest)
-        a.padded(dimension)
-        b.padded(dimension)
+        if not (left.num_rows and right.num_rows):
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64())], ["anchor_id", "slot", "id", "score"])
+        dimension = max(pc.max(x.column("n")).as_py() for x in (left, right))
+        a, b = Block(left, dimension), Block(right, dimension)
         parts = []
         for i in range(0, len(a.ids), _STEP_ANCHORS):
             mine = slice(i, i + _STEP_ANCHORS)
@@ -226,12 +245,12 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, vector: str = "embeddi
     n_rows, n_anchors = rows.count(), anchors.count()
 
     def same_label(a, b, _):
-        yield 0, *positives_of(a, b, positives)
+        for found in positives_of(a, b, positives):
+            yield 0, *found
 
     def in_windows(a, b, left):
         low, high = (np.array(left.column(c).to_pylist()).reshape(len(a.ids), -1) for c in ("low", "high"))
-        for slot in range(low.shape[1]):
-            yield slot, *negatives_of(a, b, low[:, slot], high[:, slot], negatives)
+        yield from negatives_of(a, b, low, high, negatives)
 
     def ranked(found: DataFrame, keys: list[str], k: int) -> DataFrame:
         by = Window.partitionBy(*keys).orderBy(F.desc("score"), "id")
@@ -249,7 +268,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, vector: str = "embeddi
     def padded(field: str, empty: int) -> Column:
         return F.concat(F.col("w")[field], F.array_repeat(F.lit(empty).cast("long"), F.lit(positives) - F.size("w"))).alias(field)
 
-    asking = anchors.join(windows, "id").select("id", "label", "q", "summary", padded("low", 1), padded("high", 0))
+    asking = anchors.join(windows, "id").select("id", "label", "n", "wide", "q", "summary", padded("low", 1), padded("high", 0))
     near = ranked(tiles(asking, rows, n_anchors, n_rows, in_windows), ["anchor_id", "slot"], negatives)
     return near.join(pos, ["anchor_id", "slot"]).select(
         "anchor_id", "positive_id", "rank", F.col("id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))

@@ -95,7 +95,7 @@ def test_bounds_spare_exact_scores():
     real = hn.exact
     hn.exact = lambda x, y, at, to: scored.append(len(at)) or real(x, y, at, to)
     try:
-        at, to, scores = hn.positives_of(a, b, 5)
+        (at, to, scores), = hn.positives_of(a, b, 5)
     finally:
         hn.exact = real
     true = a.q @ b.q.T
