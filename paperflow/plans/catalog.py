@@ -592,3 +592,24 @@ def q_resumed_drain(spark, sf):
     return results.join(calls, "id", "left").select(
         "id", "ok", F.col("attempts").cast("bigint").alias("attempts"), "reused", F.coalesce("n_calls", F.lit(0)).alias("n_calls"),
         "error", *SEC.FIELDS)
+
+
+@register("request_limit_stream")
+def q_request_limit_stream(spark, sf):
+    """W1 on a stream: requests arrive up to an hour out of order, over several micro-batches, and each is
+    judged once it is final. A last row moves the watermark past all of them."""
+    from paperflow.streaming.limiter import start_request_limit
+    from paperflow.streaming.rates import events_stream
+    src, sink = scratch_path(spark, "limit-in"), scratch_path(spark, "limit-out")
+    events = read_table(spark, sf, "events", "event_id", "ts", "user_id")
+    arrived = D.epoch_micros("ts") + (F.col("event_id") % 3600) * 1_000_000
+    ends = events.agg(F.min(arrived).alias("first"), F.max(arrived).alias("last"), F.max("ts").alias("ts"))
+    first, last, newest = ends.first() or (0, 0, None)
+    for k in range(3):  # three deliveries, by time of arrival
+        share = F.floor((arrived - F.lit(first)) * 3 / F.lit(1 + (last or 0) - (first or 0)))
+        events.filter(share == k).write.mode("append").parquet(src)
+    closing = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), (D.ntz_lit(newest) + F.expr("INTERVAL 2 HOURS")).alias("ts"),
+                                    F.lit(-1).cast("long").alias("user_id"))
+    closing.write.mode("append").parquet(src)
+    start_request_limit(events_stream(spark, src, max_files=1), sink, scratch_path(spark, "limit-ck"), delay="1 hour").awaitTermination()
+    return spark.read.parquet(sink).select("event_id", "user_id", "n_window", "throttled")

@@ -669,6 +669,12 @@ SELECT id, good AS ok, CAST(CASE WHEN NOT good THEN 3 ELSE kind + 1 END AS BIGIN
        CASE WHEN NOT good THEN 'ConnectionError: service unavailable' END AS error,
 """ + ", ".join(f"CASE WHEN good THEN {f} END AS {f}" for f in _SEC.FIELDS) + " FROM kinds"
 
+Q["request_limit_stream"] = """
+SELECT event_id, user_id, CAST(least(n, 16) AS INTEGER) AS n_window, n > 15 AS throttled
+FROM (SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id ORDER BY ts
+             RANGE BETWEEN INTERVAL '59.999999' SECOND PRECEDING AND CURRENT ROW) AS n FROM events)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     out = {}
