@@ -20,6 +20,7 @@ from paperflow.functions import text as TX
 from paperflow.functions.text import join_list
 from paperflow.operators import catalog as CT
 from paperflow.operators import export, taxonomy, views
+from paperflow.operators import gate as GT
 from paperflow.operators import inference as INF
 from paperflow.operators import ledger as LG
 from paperflow.operators import ingest as IN
@@ -613,3 +614,28 @@ def q_request_limit_stream(spark, sf):
     closing.write.mode("append").parquet(src)
     start_request_limit(events_stream(spark, src, max_files=1), sink, scratch_path(spark, "limit-ck"), delay="1 hour").awaitTermination()
     return spark.read.parquet(sink).select("event_id", "user_id", "n_window", "throttled")
+
+
+@register("gated_append")
+def q_gated_append(spark, sf):
+    """K1 behind the constraints: what the table holds afterwards, and what was set aside for which reasons."""
+    table, aside = scratch_path(spark, "gated-table"), scratch_path(spark, "quarantine")
+    stored = S.stored_papers(spark, sf)
+    stored.withColumn(SR.PARTITION_DAY, F.to_date("published_date")).write.partitionBy(SR.PARTITION_DAY).parquet(table)
+    GT.gated_append(S.faulty_feed(spark, sf), stored, table, aside, "b1", extracted_at=params.RUN_TIME)
+    kept = spark.read.parquet(table).select(F.lit("kept").alias("outcome"), "id", "arxiv_id", F.lit("").alias("reasons"))
+    return kept.unionByName(spark.read.parquet(aside).select(
+        F.lit("quarantined").alias("outcome"), F.lit(-1).cast("long").alias("id"), "arxiv_id", F.array_join("reasons", "; ").alias("reasons")))
+
+
+@register("requests_per_minute_live")
+def q_requests_per_minute_live(spark, sf):
+    """T3 with the open minute: two deliveries whose times overlap, merged into day folders."""
+    from paperflow.streaming.rates import events_stream, start_live_requests_per_minute
+    src, table = scratch_path(spark, "live-in"), scratch_path(spark, "live-table")
+    events = read_table(spark, sf, "events", "event_id", "ts", "user_id")
+    for k in (0, 1):  # the second delivery's rows are late by up to the whole time of the table
+        events.filter(F.col("event_id") % 2 == k).write.mode("append").parquet(src)
+    start_live_requests_per_minute(events_stream(spark, src, max_files=1), table, scratch_path(spark, "live-ck"),
+                                   watermark="60 days").awaitTermination()
+    return spark.read.parquet(table).select("window_start", "user_id", "n_requests")

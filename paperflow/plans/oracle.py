@@ -675,6 +675,23 @@ FROM (SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id ORDER BY ts
              RANGE BETWEEN INTERVAL '59.999999' SECOND PRECEDING AND CURRENT ROW) AS n FROM events)
 """
 
+Q["gated_append"] = """
+, faulty AS (
+  SELECT id AS doc, CASE WHEN id % 19 = 0 THEN rpad(arxiv_id, 51, 'x') ELSE arxiv_id END AS arxiv_id, published_date, copy,
+         concat_ws('; ', CASE WHEN id % 17 = 0 THEN 'title is null' END, CASE WHEN id % 31 = 0 THEN 'updated_date is null' END,
+                   CASE WHEN id % 19 = 0 THEN 'arxiv_id is longer than 50' END,
+                   CASE WHEN id % 23 = 0 AND len(categories_name) > 0 THEN 'codes and names differ in number' END) AS reasons
+  FROM papers, range(2) AS r(copy) WHERE copy = 0 OR id % 4 = 0)
+SELECT 'kept' AS outcome, id, arxiv_id, '' AS reasons FROM stored
+UNION ALL
+SELECT 'kept', (SELECT max(id) FROM stored) + row_number() OVER (ORDER BY published_date, arxiv_id), arxiv_id, ''
+FROM faulty f WHERE reasons = '' AND copy = 0 AND NOT EXISTS (SELECT 1 FROM stored s WHERE s.arxiv_id = f.arxiv_id)
+UNION ALL
+SELECT 'quarantined', -1, arxiv_id, reasons FROM faulty WHERE reasons <> ''
+"""
+
+Q["requests_per_minute_live"] = Q["requests_per_minute"]
+
 
 def oracle_sql() -> dict[str, str]:
     out = {}

@@ -178,3 +178,17 @@ def text_date(ts: Column, doc_id: Column) -> Column:
             .when(v == 2, F.concat(form("yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:00")))
             .when(v == 3, F.concat(form("yyyy-MM-dd'T'HH:mm:ss"), F.lit(".250Z")))
             .when(v == 4, F.lit(None).cast("string")).otherwise(F.concat(F.lit("around "), form("yyyy"))))
+
+
+def faulty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed whose entries break the store's constraints here and there: no title, an id that is too long,
+    fewer names than codes, no time."""
+    f = feed_rows(spark, sf_dir)
+    tail = F.substring_index(F.substring_index("arxiv_id", "v", 1), ".", -1).cast("long")
+    none = F.lit(None).cast("string")
+    return f.withColumns({
+        "title": F.when(tail % 17 == 0, none).otherwise(F.col("title")),
+        "updated_date": F.when(tail % 31 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("updated_date")),
+        "categories_name": F.when(tail % 23 == 0, F.slice("categories_name", 1, 1)).otherwise(F.col("categories_name")),
+        "arxiv_id": F.when(tail % 19 == 0, F.rpad("arxiv_id", 51, "x")).otherwise(F.col("arxiv_id")),
+    })
