@@ -5,10 +5,10 @@ and only these windows are counted. The counts of all shorter phrases are sums o
 with them, and Spark's ROLLUP over the lead-window columns gives them all, down to the language's number of
 words; no shorter phrase is ever exploded by itself.
 
-A phrase found ``least`` times holds only pairs of words found as often. A first round of order 2 therefore
-counts words and pairs; the windows of the full order end before the first rare pair. The pairs reach the
-tasks as a bit table of fixed size: a wrong hit there only leaves a longer window, so the counts of frequent
-phrases are exact at every size.
+A phrase found ``least`` times holds only words, pairs and triples found as often, so a window may end before
+the first rare one. Two rounds count hashes of words and pairs, then of triples of frequent pairs; hashes
+travel packed by bucket. The frequent ones reach the tasks as a bit table of fixed size: a wrong hit there
+only leaves a longer window, so the counts of frequent phrases are exact at every size.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from paperflow.llm.common import staged_once
 
 ORDER, LEAST, TOP = 5, 100, 2000
-#: Words that a task gathers before it counts their windows.
-CHUNK = 1 << 20
-#: Bits of the table of frequent pairs: 16 MB, whatever the corpus.
+#: Words that a task gathers before it counts, and hashes that a bucket holds on average.
+CHUNK, BUCKET = 1 << 20, 1 << 21
+#: Bits of the table of frequent words, pairs and triples: 16 MB, whatever the corpus.
 TABLE_BITS = 27
 #: A byte that no UTF-8 text holds: the word behind the last one of a piece.
 _END = b"\xff"
@@ -37,54 +37,77 @@ def words_and_ends(text: bytes) -> list[bytes]:
     return (text.translate(_FOLD) + b"\n").replace(b"\n", b" " + _END + b" ").split()
 
 
-def pair_bits(lang: str, words: list[bytes], first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Two places in the table for each pair of words, given by their indices."""
-    seed = xxhash.xxh64_intdigest(lang)
-    h = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
-    mixed = (h[first] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[second] * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1))
-    mixed *= np.uint64(0xD6E8FEB86659FD93)
-    return np.stack([mixed >> np.uint64(64 - TABLE_BITS), (mixed >> np.uint64(5)) & np.uint64((1 << TABLE_BITS) - 1)])
-
-
-def lead_windows(lang: str, words: list[bytes], order: int, table: np.ndarray | None) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(vocabulary, distinct windows as columns of indices, their counts). Index 0 pads.
-
-    With a ``table`` windows end before the first pair that is not in it, and those of one word are left out.
-    """
-    number = {_END: 0}
-    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
-    vocabulary = list(number)
-    after = np.append(ids[1:], 0)
-    on = after > 0
-    if table is not None:
-        inside = np.flatnonzero((ids > 0) & on)
-        at = pair_bits(lang, vocabulary, ids[inside], after[inside])
-        on[:] = False
-        on[inside] = ((table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)
-    starts = np.flatnonzero((ids > 0) & on if table is not None else ids > 0)
-    lead, going = [ids[starts]], np.ones(len(starts), bool)
+def gram_hashes(words: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
+    """Hashes of the ``order`` words from each index in ``at`` on, by the hashes of the single words."""
+    mixed = np.full(len(at), order, np.uint64)
+    for k in range(order):
+        mixed = (mixed ^ words[at + k]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return mixed * np.uint64(0xD6E8FEB86659FD93)
+
+
+def table_bits(hashes: np.ndarray) -> np.ndarray:
+    """Two places in the table for each hash."""
+    return np.stack([hashes >> np.uint64(64 - TABLE_BITS), (hashes >> np.uint64(5)) & np.uint64((1 << TABLE_BITS) - 1)])
+
+
+class Sequence:
+    """A language's words in a row, numbered; number 0 ends a piece."""
+
+    def __init__(self, lang: str, words: list[bytes]):
+        number = {_END: 0}
+        self.ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+        self.vocabulary = list(number)
+        seed = xxhash.xxh64_intdigest(lang)
+        spelled = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.vocabulary), np.uint64, len(self.vocabulary))
+        self.hashes = spelled[self.ids]
+        self.starts = np.flatnonzero(self.ids)
+
+    def frequent(self, at: np.ndarray, order: int, table: np.ndarray) -> np.ndarray:
+        """Those of the starts ``at`` whose ``order`` words are in the table."""
+        bits = table_bits(gram_hashes(self.hashes, at, order))
+        return at[((table[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)]
+
+    def pairs(self) -> np.ndarray:
+        return self.starts[self.ids[self.starts + 1] > 0]  # a word is never last: its piece ends behind it
+
+    def triples(self, table: np.ndarray) -> np.ndarray:
+        """Starts of three words whose two pairs are frequent."""
+        pairs = self.frequent(self.pairs(), 2, table)
+        return pairs[np.isin(pairs + 1, pairs, assume_unique=True)]
+
+
+def lead_windows(own: Sequence, order: int, table: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct windows as columns of word numbers, 0 for padding; their counts). With a ``table`` windows end
+    before the first rare word, pair or triple; those of rare words are one empty window."""
+    size = len(own.ids)
+    if table is None:
+        starts, on = own.starts, [own.ids[np.minimum(np.arange(size) + 1, size - 1)] > 0] * 2
+    else:
+        starts, on = own.frequent(own.starts, 1, table), [np.zeros(size, bool), np.zeros(size, bool)]
+        on[0][own.frequent(own.pairs(), 2, table)] = True
+        on[1][own.frequent(own.triples(table), 3, table)] = True
+    lead, going = [own.ids[starts]], np.ones(len(starts), bool)
     for k in range(1, order):
-        going &= on[np.minimum(starts + k - 1, len(ids) - 1)]
-        lead.append(np.where(going, ids[np.minimum(starts + k, len(ids) - 1)], 0))
+        if table is None:
+            going = going & on[0][np.minimum(starts + k - 1, size - 1)]
+        else:
+            going = going & (on[0][starts] if k == 1 else on[1][np.minimum(starts + k - 2, size - 1)])
+        lead.append(np.where(going, own.ids[np.minimum(starts + k, size - 1)], 0))
     code = lead[0]
     for column in lead[1:]:
-        code = np.unique(code, return_inverse=True)[1] * len(vocabulary) + column
+        code = np.unique(code, return_inverse=True)[1] * len(own.vocabulary) + column
     _, where, counts = np.unique(code, return_index=True, return_counts=True)
-    return vocabulary, np.stack([c[where] for c in lead]), counts
+    columns = np.stack([c[where] for c in lead])
+    rest = len(own.starts) - len(starts)
+    if rest:
+        columns, counts = np.concatenate([columns, np.zeros((order, 1), np.int64)], axis=1), np.append(counts, rest)
+    return columns, counts
 
 
-def counted_windows(docs: DataFrame, order: int, table=None) -> DataFrame:
-    """lang, w1 to w<order> (null behind the piece's end) and c: the windows, counted once per task and chunk."""
-    chunk, names = CHUNK, [f"w{k + 1}" for k in range(order)]
-
-    def rows(held):
-        for lang, words in held.items():
-            vocabulary, lead, counts = lead_windows(lang, words, order, table.value if table else None)
-            spelled = pa.array([None, *vocabulary[1:]], pa.binary()).cast(pa.string())
-            if len(counts):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(counts), pa.string()), *(spelled.take(pa.array(c)) for c in lead), pa.array(counts, pa.int64())],
-                    ["lang", *names, "c"])
+def by_sequence(docs: DataFrame, found, schema: str) -> DataFrame:
+    """``found(language, Sequence)``, record batches, over the words that each task gathers by language."""
+    chunk = CHUNK
 
     def run(batches):
         held, n = {}, 0
@@ -94,12 +117,75 @@ def counted_windows(docs: DataFrame, order: int, table=None) -> DataFrame:
                 held.setdefault(lang, []).extend(words)
                 n += len(words)
                 if n >= chunk:
-                    yield from rows(held)
+                    for own, said in held.items():
+                        yield from found(own, Sequence(own, said))
                     held, n = {}, 0
-        yield from rows(held)
+        for own, said in held.items():
+            yield from found(own, Sequence(own, said))
 
     texts = docs.select(F.coalesce("lang", F.lit("und")), F.coalesce("text", F.lit("")).cast("binary"))
-    return texts.mapInArrow(run, ", ".join(["lang string", *(f"{c} string" for c in names), "c long"]))
+    return texts.mapInArrow(run, schema)
+
+
+def counted_windows(docs: DataFrame, order: int, table=None) -> DataFrame:
+    """lang, w1 to w<order> (null behind the window's end) and c: the windows, counted once per task and chunk."""
+    names = [f"w{k + 1}" for k in range(order)]
+
+    def rows(lang, own):
+        lead, counts = lead_windows(own, order, table.value if table else None)
+        spelled = pa.array([None, *own.vocabulary[1:]], pa.binary()).cast(pa.string())
+        if len(counts):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(counts), pa.string()), *(spelled.take(pa.array(c)) for c in lead), pa.array(counts, pa.int64())],
+                ["lang", *names, "c"])
+
+    return by_sequence(docs, rows, ", ".join(["lang string", *(f"{c} string" for c in names), "c long"]))
+
+
+def frequent_bits(docs: DataFrame, least: int, buckets: int, table=None) -> DataFrame:
+    """slot, mask: the table's bits of the words and pairs, or with the ``table`` of these of the triples, whose
+    hash is counted ``least`` times or more."""
+    def pack(lang, own):
+        if table:
+            hashes = gram_hashes(own.hashes, own.triples(table.value), 3)
+        else:
+            hashes = np.concatenate([gram_hashes(own.hashes, own.starts, 1), gram_hashes(own.hashes, own.pairs(), 2)])
+        hashes, counts = np.unique(hashes, return_counts=True)
+        bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        parts = [(k, order[a:b]) for k, (a, b) in enumerate(zip(ends, ends[1:])) if b > a]
+        # Counts as byte planes: most are 1, so all but one plane compress away.
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _ in parts], pa.int32()), pa.array([hashes[x].tobytes() for _, x in parts], pa.binary()),
+             pa.array([counts[x].astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes() for _, x in parts], pa.binary())],
+            ["bucket", "hashes", "counts"])
+
+    def settle(group: pa.Table) -> pa.Table:
+        hashes = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in group.column("hashes")])
+        counts = np.concatenate([np.ascontiguousarray(np.frombuffer(x.as_py(), np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+                                 for x in group.column("counts")])
+        order = np.argsort(hashes)
+        hashes, counts = hashes[order], counts[order].astype(np.int64)
+        starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+        often = hashes[starts][np.add.reduceat(counts, starts) >= least]
+        bits = table_bits(often).ravel()
+        return pa.table([(bits >> np.uint64(6)).astype(np.int64), (np.uint64(1) << (bits & np.uint64(63))).view(np.int64)], ["slot", "mask"])
+
+    packed = by_sequence(docs, pack, "bucket int, hashes binary, counts binary")
+    return packed.groupBy("bucket").applyInArrow(settle, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask"))
+
+
+def bit_table(docs: DataFrame, least: int):
+    """Broadcast bit table of the frequent words, pairs and triples: 2**TABLE_BITS bits, of any number of them."""
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = 1 + n_bytes // (5 * BUCKET)
+    bits, table = np.zeros(1 << (TABLE_BITS - 6), np.uint64), None
+    for _ in range(2):
+        found = staged_once(frequent_bits(docs, least, buckets, table), "collocation-bits").toArrow()
+        bits[found.column("slot").to_numpy()] |= found.column("mask").to_numpy().view(np.uint64)
+        table = docs.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
+    return table
 
 
 def marginals(windows: DataFrame, order: int, least: int) -> DataFrame:
@@ -113,27 +199,6 @@ def marginals(windows: DataFrame, order: int, least: int) -> DataFrame:
         (F.col("k") == 0) | (F.col("f") >= least) & F.element_at("words", -1).isNotNull()).select("lang", "words", "k", "f")
 
 
-def pair_table(pairs: DataFrame):
-    """Broadcast bit table of the pairs (lang, words); 2**TABLE_BITS bits, of any number of pairs."""
-    def run(batches):
-        for batch in batches:
-            slots, masks = [], []
-            by_lang: dict = {}
-            for lang, two in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by_lang.setdefault(lang, []).extend(w.encode() for w in two)
-            for lang, words in by_lang.items():
-                at = pair_bits(lang, words, np.arange(0, len(words), 2), np.arange(1, len(words), 2)).ravel()
-                slots.append((at >> np.uint64(6)).astype(np.int64))
-                masks.append((np.uint64(1) << (at & np.uint64(63))).view(np.int64))
-            if slots:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(slots)), pa.array(np.concatenate(masks))], ["slot", "mask"])
-
-    found = pairs.select("lang", "words").mapInArrow(run, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
-    table = np.zeros(1 << (TABLE_BITS - 6), np.uint64)
-    table[found.column("slot").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
-    return pairs.sparkSession.sparkContext.broadcast(table.view(np.uint8))
-
-
 def association(a: Column, n: Column, left: Column, right: Column) -> Column:
     """floor(1000 * a * n / (left * right)), exact while the products have 38 digits or fewer."""
     whole = "decimal(38,0)"
@@ -143,11 +208,8 @@ def association(a: Column, n: Column, left: Column, right: Column) -> Column:
 
 def phrase_counts(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang and n: its number of words; lang, words, k, f: its phrases of 1 to ``order`` words found ``least`` times)."""
-    small = staged_once(marginals(counted_windows(docs, 2), 2, least), "collocation-pairs")
-    table = pair_table(small.filter("k = 2"))
-    long = marginals(counted_windows(docs, order, table), order, least).filter("k >= 2")
-    phrases = staged_once(small.filter("k = 1").unionByName(long), "collocation-phrases")
-    return small.filter("k = 0").select("lang", F.col("f").alias("n")), phrases
+    found = staged_once(marginals(counted_windows(docs, order, bit_table(docs, least)), order, least), "collocation-phrases")
+    return found.filter("k = 0").select("lang", F.col("f").alias("n")), found.filter("k > 0")
 
 
 def collocations(docs: DataFrame, order: int = ORDER, least: int = LEAST, top: int = TOP, share: int = 100) -> DataFrame:

@@ -69,30 +69,48 @@ def found(df):
 @pytest.mark.parametrize("order,least,top,share,chunk", [(5, 100, 2000, 100, 1 << 20), (5, 20, 7, 100, 64), (3, 5, 50, 60, 1000)])
 def test_same_as_brute_force(docs, monkeypatch, order, least, top, share, chunk):
     monkeypatch.setattr(co, "CHUNK", chunk)
+    monkeypatch.setattr(co, "BUCKET", chunk)
     got, want = found(co.collocations(docs, order, least, top, share)), brute(ROWS, order, least, top, share)
     assert len(got) == len(want) and set(got) == want and len(want) > 4
 
 
 def test_wrong_hits_in_the_table_change_nothing(spark, docs, monkeypatch):
     full = np.full(1 << (co.TABLE_BITS - 3), 255, np.uint8)
-    monkeypatch.setattr(co, "pair_table", lambda pairs: spark.sparkContext.broadcast(full))
+    monkeypatch.setattr(co, "bit_table", lambda docs, least: spark.sparkContext.broadcast(full))
     assert set(found(co.collocations(docs, 5, 20, 30))) == brute(ROWS, 5, 20, 30)
 
 
+def test_the_table_holds_what_is_frequent(docs):
+    table = co.bit_table(docs, 30).value
+    _, f = counts(ROWS, 3)
+    for lang in ("en", "und", "fr", "de"):
+        said = [w for (la, w), _ in f.items() if la == lang]
+        for order in (1, 2, 3):
+            grams = [w for w in said if len(w) == order]
+            own = co.Sequence(lang, [x for w in grams for x in (*(y.encode() for y in w), b"\xff")])
+            at = np.arange(0, len(grams) * (order + 1), order + 1)
+            inside = set(own.frequent(at, order, table).tolist())
+            assert {a for a, w in zip(at.tolist(), grams) if f[lang, w] >= 30} <= inside
+            assert len(inside) < 1.1 * sum(f[lang, w] >= 30 for w in grams) + 1
+
+
 def test_rollup_gives_every_order(docs):
     n, f = counts(ROWS, 4)
     got = {(r.lang, tuple(r.words), r.f) for r in co.marginals(co.counted_windows(docs, 4), 4, 1).collect()}
     assert got == {(la, w, c) for (la, w), c in f.items()} | {(la, (), c) for la, c in n.items() if c}
 
 
-def test_windows_end_before_rare_pairs():
-    words = co.words_and_ends(b"A b c. a b\td")
-    assert words == [b"a", b"b", b"c", b"\xff", b"a", b"b", b"d", b"\xff"]
-    table = np.zeros(1 << (co.TABLE_BITS - 3), np.uint8)
-    for at in co.pair_bits("en", [b"a", b"b"], np.array([0]), np.array([1])).ravel():
-        table[int(at) >> 3] |= 1 << (int(at) & 7)
-    vocabulary, lead, c = co.lead_windows("en", words, 3, table)
-    assert [[vocabulary[x] if x else None for x in col] for col in lead] == [[b"a"], [b"b"], [None]] and c.tolist() == [2]
+def test_windows_end_before_what_is_rare():
+    words = co.words_and_ends(b"A b c d. a b\tc x; y")
+    assert words == [b"a", b"b", b"c", b"d", b"\xff", b"a", b"b", b"c", b"x", b"\xff", b"y", b"\xff"]
+    own, table = co.Sequence("en", words), np.zeros(1 << (co.TABLE_BITS - 3), np.uint8)
+    for order, starts in ((1, [0, 1, 2, 3]), (2, [0, 1, 2]), (3, [0])):
+        for at in co.table_bits(co.gram_hashes(own.hashes, np.array(starts), order)).ravel():
+            table[int(at) >> 3] |= 1 << (int(at) & 7)
+    lead, c = co.lead_windows(own, 4, table)
+    got = {tuple(own.vocabulary[x].decode() if x else None for x in col): n for col, n in zip(lead.T, c)}
+    assert got == {("a", "b", "c", None): 2, ("b", "c", None, None): 2, ("c", "d", None, None): 1, ("c", None, None, None): 1,
+                   ("d", None, None, None): 1, (None,) * 4: 2}
 
 
 def test_exact_beyond_64_bits(spark):
