@@ -28,7 +28,7 @@ from paperflow.llm.common import documents_as_rows, staged_once, words_of
 
 SIZE = 20
 #: Windows that a task gathers before it packs them, and that a bucket holds on average.
-CHUNK, BUCKET = 1 << 20, 1 << 21
+CHUNK, BUCKET = 1 << 19, 1 << 20
 BASE = 0x9E3779B97F4A7C15
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _PACKED = "bucket int, hashes binary, docs binary, positions binary"
