@@ -43,12 +43,17 @@ def distinct_keys(*frames: DataFrame) -> DataFrame:
     return u.distinct()
 
 
+def number_rows(rows: DataFrame, last_id: int, id_col: str = "id") -> DataFrame:
+    """Ids behind ``last_id`` in (published_date, key) order. Only these two columns are sorted and
+    checkpointed; the wide rows get their number by a join on the key, which is unique in ``rows``."""
+    narrow = global_row_number(rows.select("published_date", KEY), [F.col("published_date"), F.col(KEY)])
+    numbers = narrow.select(KEY, (F.lit(last_id).cast("long") + F.col("rn")).alias(id_col))
+    return rows.drop(id_col).join(numbers, KEY)
+
+
 def assign_ids(rows: DataFrame, stored: DataFrame, id_col: str = "id") -> DataFrame:
     """Ids continue after the stored maximum, in (published_date, key) order."""
-    start = stored.agg(F.max(id_col)).first()[0] or 0
-    numbered = global_row_number(rows.drop(id_col) if id_col in rows.columns else rows,
-                                 [F.col("published_date"), F.col(KEY)])
-    return numbered.withColumn(id_col, F.lit(start).cast("long") + F.col("rn")).drop("rn")
+    return number_rows(rows, stored.agg(F.max(id_col)).first()[0] or 0, id_col)
 
 
 def with_defaults(fresh: DataFrame, extracted_at=None) -> DataFrame:

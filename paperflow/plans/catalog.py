@@ -18,6 +18,7 @@ from paperflow.functions import dates as D
 from paperflow.functions import sections as SEC
 from paperflow.functions import text as TX
 from paperflow.functions.text import join_list
+from paperflow.operators import batches as BT
 from paperflow.operators import catalog as CT
 from paperflow.operators import export, taxonomy, views
 from paperflow.operators import gate as GT
@@ -29,6 +30,7 @@ from paperflow.operators import pages as PG
 from paperflow.operators import quality as QA
 from paperflow.operators import rates as RT
 from paperflow.operators import search as SR
+from paperflow.operators import tombstones as TB
 from paperflow.operators.numbering import batch_numbers, global_row_number
 from paperflow.session import scratch_path
 from paperflow.sources import feed as FD
@@ -639,3 +641,53 @@ def q_requests_per_minute_live(spark, sf):
     start_live_requests_per_minute(events_stream(spark, src, max_files=1), table, scratch_path(spark, "live-ck"),
                                    watermark="60 days").awaitTermination()
     return spark.read.parquet(table).select("window_start", "user_id", "n_requests")
+
+
+@register("cascade_stored")
+def q_cascade_stored(spark, sf):
+    """J7 on stored tables: papers and summaries as read behind the tombstones, and again after the compaction."""
+    papers, summaries, graves = (scratch_path(spark, x) for x in ("papers-table", "summaries-table", "tombstones"))
+    S.papers(spark, sf).withColumn(SR.PARTITION_DAY, F.to_date("published_date")).write.partitionBy(SR.PARTITION_DAY).parquet(papers)
+    S.summaries(spark, sf).withColumn("created_day", F.to_date("created_at")).write.partitionBy("created_day").parquet(summaries)
+    TB.bury(S.deleted_papers(spark, sf), graves, "b1")
+    dead = TB.buried(spark, graves)
+
+    def left(stage, tombstones):
+        p, s = spark.read.parquet(papers), spark.read.parquet(summaries)
+        return TB.living(p, tombstones).select(F.lit(stage).alias("stage"), F.lit("paper").alias("kind"), "id").unionByName(
+            TB.living(s, tombstones, "arxiv_paper_id").select(F.lit(stage).alias("stage"), F.lit("summary").alias("kind"), "id"))
+
+    before = left("buried", dead).checkpoint(eager=True)
+    TB.compact(spark, papers, dead, SR.PARTITION_DAY)
+    TB.compact(spark, summaries, dead, "created_day", "arxiv_paper_id")
+    return before.unionByName(left("compacted", dead.limit(0)))
+
+
+@register("migrate_stored")
+def q_migrate_stored(spark, sf):
+    """K8 on a stored table: refused while a required column holds nulls, then switched."""
+    at, to = scratch_path(spark, "old-table"), scratch_path(spark, "new-table")
+    name = at.rsplit("/", 1)[1].replace("-", "_")
+    S.old_summaries(spark, sf).write.format("parquet").option("path", at).saveAsTable(name)
+    try:
+        MG.migrate_table(spark, name, to)
+        refused = spark.table(name).limit(0).select("id", F.lit("").alias("title"), F.lit("").alias("summary"))
+    except MG.MigrationRefused:
+        refused = spark.table(name).select("id", F.col("easy_title").alias("title"), F.col("layman_summary").alias("summary"))
+    MG.migrate_table(spark, name, to, required=tuple(MG.PLACEHOLDERS))
+    moved = spark.table(name).select("id", F.col("beginner_title").alias("title"), F.col("beginner_summary").alias("summary"))
+    return refused.withColumn("stage", F.lit("refused")).unionByName(moved.withColumn("stage", F.lit("moved")))
+
+
+@register("batched_append")
+def q_batched_append(spark, sf):
+    """K1 in three batches by arrival, the second stopped between write and commit and run again."""
+    root = scratch_path(spark, "batches")
+    feed = S.feed_rows(spark, sf)
+    part = F.weekofyear("updated_date") % 3
+    for k in (0, 1, 2):
+        one = feed.filter(part == k)
+        if k == 1:
+            BT.append_batch(one, root, k, "job", params.RUN_TIME, commit=False)
+        BT.append_batch(one, root, k, "job", params.RUN_TIME)
+    return BT.read_papers(spark, root).select("batch_id", "id", "arxiv_id", "updated_date")

@@ -692,6 +692,31 @@ SELECT 'quarantined', -1, arxiv_id, reasons FROM faulty WHERE reasons <> ''
 
 Q["requests_per_minute_live"] = Q["requests_per_minute"]
 
+Q["cascade_stored"] = """
+SELECT stage, kind, id
+FROM (SELECT 'paper' AS kind, id, id AS paper FROM papers UNION ALL SELECT 'summary', id, arxiv_paper_id FROM summaries),
+     (SELECT unnest(['buried', 'compacted']) AS stage)
+WHERE paper % 7 <> 0
+"""
+
+Q["migrate_stored"] = """
+, old AS (
+  SELECT id, CASE WHEN id % 6 = 0 THEN '' WHEN id % 6 <> 1 THEN beginner_title END AS title,
+         CASE WHEN id % 7 = 0 THEN '' WHEN id % 7 <> 1 THEN beginner_summary END AS summary FROM summaries)
+SELECT 'refused' AS stage, id, title, summary FROM old
+UNION ALL
+SELECT 'moved', id, CASE WHEN title IS NULL OR title = '' THEN 'Beginner title pending regeneration' ELSE title END, summary FROM old
+"""
+
+# A paper's revision comes a day later, so the two may fall into different batches; the first batch has the paper.
+Q["batched_append"] = """
+, revised AS (
+  SELECT arxiv_id, published_date, updated_date + to_days(copy::INTEGER) AS updated_date, week(updated_date + to_days(copy::INTEGER)) % 3 AS batch_id
+  FROM papers, range(2) AS r(copy) WHERE copy = 0 OR id % 4 = 0),
+best AS (SELECT * FROM revised QUALIFY row_number() OVER (PARTITION BY arxiv_id ORDER BY batch_id, updated_date DESC) = 1)
+SELECT batch_id, row_number() OVER (ORDER BY batch_id, published_date, arxiv_id) AS id, arxiv_id, updated_date FROM best
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     out = {}
