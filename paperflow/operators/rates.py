@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from paperflow.functions.dates import epoch_micros
+from paperflow.operators import taxonomy
 from paperflow.session import checkpoint_root
 
 # Fixed values of the source application's limiter.
@@ -94,3 +95,19 @@ def success_rate(attempts: DataFrame, by: list[str], ok: str = "ok") -> DataFram
     rate = F.expr("CAST((2000 * completed + attempted) div (2 * attempted) AS DOUBLE) / 10")
     return g.select(*by, "attempted", "completed", (F.col("attempted") - F.col("completed")).alias("failed"),
                     F.when(F.col("attempted") > 0, rate).alias("success_rate"))
+
+
+def run_counts(feed: DataFrame, stored: DataFrame, summaries: DataFrame, on_day, done_on) -> DataFrame:
+    """A5 over tables: (metric, value) of a run - entries kept and filtered out by ``on_day``, kept ones not yet
+    stored, stored rows to name, and summaries completed where ``done_on`` holds. ``feed`` has unique keys and
+    is read once; every count is zero for empty tables."""
+    known = stored.select("arxiv_id", F.lit(True).alias("_stored"))
+    on = F.coalesce(on_day, F.lit(False))
+    parts = [
+        feed.join(known, "arxiv_id", "left").agg(
+            F.count_if(on).alias("kept"), F.count_if(~on).alias("filtered_out"),
+            F.count_if(on & F.col("_stored").isNull()).alias("inserted")),
+        taxonomy.needs_names(stored).agg(F.count_if(F.size("categories") > 0).alias("names_filled")),
+        summaries.agg(F.count_if(done_on & (F.col("processing_status") == "completed")).alias("summarized"))]
+    long = [p.unpivot([], p.columns, "metric", "value") for p in parts]
+    return long[0].unionByName(long[1]).unionByName(long[2])

@@ -6,6 +6,8 @@ import datetime as dt
 AS_OF = dt.date(2024, 2, 20)
 # A single day that exists in the data, used by the day filters.
 SAMPLE_DAY = dt.date(2024, 1, 15)
+# A day on which stored summaries were made.
+SUMMARY_DAY = dt.date(2024, 3, 2)
 # ``--test`` mode of the range backfill.
 TEST_DAYS_BACK = 7
 # Stored rows are the papers ingested before this day; the feed holds every paper.

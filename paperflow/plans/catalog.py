@@ -27,6 +27,7 @@ from paperflow.operators import ledger as LG
 from paperflow.operators import ingest as IN
 from paperflow.operators import migrate as MG
 from paperflow.operators import pages as PG
+from paperflow.operators import postings as PS
 from paperflow.operators import quality as QA
 from paperflow.operators import rates as RT
 from paperflow.operators import search as SR
@@ -362,16 +363,9 @@ def q_batch_plan(spark, sf):
 
 @register("run_counts")
 def q_run_counts(spark, sf):
-    feed = IN.dedup_feed(S.feed_rows(spark, sf))
-    stored = S.stored_papers(spark, sf)
-    flagged = feed.join(stored.select("arxiv_id", F.lit(True).alias("is_stored")), "arxiv_id", "left")
-    on = D.on_day("published_date", params.SAMPLE_DAY)
-    fresh_on = on & F.col("is_stored").isNull()
-    feed_counts = flagged.agg(F.count_if(on).alias("kept"), F.count_if(~on).alias("filtered_out"),
-                              F.count_if(fresh_on).alias("inserted"))
-    fill = taxonomy.needs_names(stored).filter(F.size("categories") > 0).agg(F.count(F.lit(1)).alias("names_filled"))
-    long = feed_counts.unpivot([], ["kept", "filtered_out", "inserted"], "metric", "value")
-    return long.unionByName(fill.unpivot([], ["names_filled"], "metric", "value"))
+    return RT.run_counts(
+        IN.dedup_feed(S.feed_rows(spark, sf)), S.stored_papers(spark, sf), S.summaries(spark, sf),
+        D.on_day("published_date", params.SAMPLE_DAY), D.on_day("created_at", params.SUMMARY_DAY))
 
 
 @register("success_rate")
@@ -477,7 +471,16 @@ def q_feed_to_papers(spark, sf):
 
 @register("feed_rejects")
 def q_feed_rejects(spark, sf):
-    return FD.rejected_entries(FD.entries_to_papers(_feed_entries(spark, sf)))
+    """F12 over a feed of which one file is cut off and one holds a malformed entry."""
+    path = FD.write_feed(S.papers(spark, sf), scratch_path(spark, "feed"))
+    good = "<entry><id>http://files.example/abs/{0}</id><title>t</title><summary>s</summary><published>2024-01-01T00:00:00Z</published></entry>"
+    files = ["<feed>" + good.format("x1") + "<entry><id>http://files.example/abs/x2</id><title>a & b</title></entry>" + good.format("x3") + "</feed>",
+             "<?xml version='1.0'?>\n<feed>\n" + good.format("x4") + "\n" + good.format("x5")[:-25]]
+    for text in files:
+        spark.createDataFrame([(text,)], "value string").write.mode("append").text(path)
+    rejects = FD.rejected_entries(FD.entries_to_papers(FD.read_feed(spark, path)))
+    return rejects.select("abstract_url", "raw_published", "reason", F.startswith("raw_entry", F.lit("<entry>")).alias("has_text"),
+                          F.col("file_name").isNotNull().alias("has_file"))
 
 
 @register("stream_ingest")
@@ -691,3 +694,23 @@ def q_batched_append(spark, sf):
             BT.append_batch(one, root, k, "job", params.RUN_TIME, commit=False)
         BT.append_batch(one, root, k, "job", params.RUN_TIME)
     return BT.read_papers(spark, root).select("batch_id", "id", "arxiv_id", "updated_date")
+
+
+def _postings(spark, sf):
+    """The inverted table after three appends of papers, the second one repeated."""
+    path = scratch_path(spark, "postings")
+    papers = S.papers(spark, sf)
+    for k in (0, 1, 1, 2):
+        PS.append_postings(papers.filter(F.col("id") % 3 == k), path, k)
+    return PS.read_postings(spark, path)
+
+
+@register("search_postings")
+def q_search_postings(spark, sf):
+    return PS.search_papers(S.papers(spark, sf), _postings(spark, sf), params.SEARCH_START, params.SEARCH_END,
+                            codes=params.SEARCH_CODES).select("id", "arxiv_id", join_list("categories").alias("categories"), "published_date")
+
+
+@register("counts_by_code")
+def q_counts_by_code(spark, sf):
+    return PS.counts_by_code(_postings(spark, sf))

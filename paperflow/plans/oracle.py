@@ -414,6 +414,8 @@ SELECT 'inserted', count(*) FROM fresh WHERE CAST(published_date AS DATE) = {_da
 UNION ALL
 SELECT 'names_filled', count(*) FROM stored
 WHERE (categories_name IS NULL OR len(categories_name) = 0) AND len(categories) > 0
+UNION ALL
+SELECT 'summarized', CAST(count_if(CAST(created_at AS DATE) = DATE '2024-03-02' AND processing_status = 'completed') AS BIGINT) FROM summaries
 """
 
 Q["success_rate"] = """
@@ -523,8 +525,10 @@ WHERE p.id % 11 <> 0
 
 Q["feed_rejects"] = f"""
 SELECT {_ENTRY} AS abstract_url, strftime(published_date, '%Y/%m/%d %H:%M:%S') AS raw_published,
-       'bad published date' AS reason
+       'bad published date' AS reason, true AS has_text, true AS has_file
 FROM papers WHERE id % 11 = 0
+UNION ALL SELECT 'http://files.example/abs/x2', NULL, 'entry is malformed', true, true
+UNION ALL SELECT 'http://files.example/abs/x5', NULL, 'entry is cut off', true, true
 """
 
 # One micro-batch (availableNow, no file cap): ids continue after the stored maximum.
@@ -717,6 +721,13 @@ best AS (SELECT * FROM revised QUALIFY row_number() OVER (PARTITION BY arxiv_id
 SELECT batch_id, row_number() OVER (ORDER BY batch_id, published_date, arxiv_id) AS id, arxiv_id, updated_date FROM best
 """
 
+Q["search_postings"] = Q["search_papers"]
+
+Q["counts_by_code"] = """
+SELECT code AS category_id, count(*) AS paper_count, max(published_date) AS latest_paper
+FROM (SELECT unnest(categories) AS code, published_date FROM papers) WHERE code IS NOT NULL GROUP BY code
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     out = {}

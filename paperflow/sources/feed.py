@@ -11,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from paperflow.functions.dates import ntz_lit
 
@@ -22,17 +23,38 @@ from paperflow.schemas import ATOM_ENTRY
 PDF_TYPE = "application/pdf"
 
 
+#: Beside the fields of an entry: why it cannot be read (null: it can), its own text, and its file.
+_BROKEN, _RAW, _FILE = "broken", "raw_entry", "file_name"
+
+
+def _entries(pieces: DataFrame) -> DataFrame:
+    """Entries of feed files split in front of every ``<entry``. Each is parsed by itself, so one that is broken
+    or cut off costs no other; what precedes a file's first entry starts with its own tag and is no entry."""
+    piece, end = F.col("value"), F.instr("value", "</entry>")
+    schema = StructType([*ATOM_ENTRY.fields, StructField("_malformed", StringType())])
+    raw = F.concat(F.lit("<entry"), F.when(end > 0, F.substring(piece, F.lit(1), end + 7)).otherwise(piece))
+    own = pieces.filter(F.regexp_like(piece, F.lit(r"^[\s>]")) & ~F.startswith(F.ltrim(piece), F.lit("<")) & (F.trim(piece) != "")).select(
+        raw.alias(_RAW), F.when(end == 0, "cut off").alias("_cut"), F.col("_metadata.file_name").alias(_FILE))
+    parsed = own.withColumn("_e", F.from_xml(_RAW, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}))
+    broken = F.coalesce("_cut", F.when(F.col("_e._malformed").isNotNull(), "malformed"))
+    fields = {f.name: F.col(f"_e.{f.name}") for f in ATOM_ENTRY.fields}
+    # of a broken entry the parser may give no field; its id says which one to ask for again
+    fields["id"] = F.coalesce(fields["id"], F.when(broken.isNotNull(), F.nullif(F.regexp_extract(_RAW, "<id>([^<]*)</id>", 1), F.lit(""))))
+    return parsed.select(*[c.alias(n) for n, c in fields.items()], broken.alias(_BROKEN), _RAW, _FILE)
+
+
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """One row per ``<entry>`` across every file under ``path``."""
-    return spark.read.format("xml").option("rowTag", "entry").schema(ATOM_ENTRY).load(path)
+    """One row per ``<entry>`` across every file under ``path``, broken ones too (``broken`` says why), with
+    the entry's own text and the file's name. Large files are split like any text."""
+    return _entries(spark.read.option("lineSep", "<entry").text(path))
 
 
 def read_feed_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """S1 as a stream source: new files under ``path`` become new micro-batches."""
-    r = spark.readStream.format("xml").option("rowTag", "entry").schema(ATOM_ENTRY)
+    r = spark.readStream.option("lineSep", "<entry")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.load(path)
+    return _entries(r.text(path))
 
 
 def pdf_link(links: Column) -> Column:
@@ -60,25 +82,28 @@ def entries_to_papers(entries: DataFrame, taxonomy: DataFrame | None = None,
         F.col("id").alias("abstract_url"),
         ntz_lit(extracted_at).alias("extracted_at"),
         F.col("published").alias("raw_published"),
+        *[F.col(c) if c in entries.columns else F.lit(None).cast("string").alias(c) for c in (_BROKEN, _RAW, _FILE)],
     )
-    valid = (F.col("abstract_url").isNotNull() & F.col("title").isNotNull() & F.col("abstract").isNotNull()
+    valid = (F.col(_BROKEN).isNull() & F.col("abstract_url").isNotNull() & F.col("title").isNotNull() & F.col("abstract").isNotNull()
              & F.col("published_date").isNotNull() & F.col("updated_date").isNotNull())
-    out = out.withColumn("is_valid", valid)
+    out = out.withColumn("is_valid", valid).withColumn(_RAW, F.when(~F.col("is_valid"), F.col(_RAW)))
     if taxonomy is None:
         return out.withColumn("categories_name", F.col("categories"))
     return translate_categories(out, taxonomy, codes_col="categories", out_col="categories_name")
 
 
 def valid_papers(parsed: DataFrame) -> DataFrame:
-    return parsed.filter("is_valid").drop("is_valid", "raw_published")
+    return parsed.filter("is_valid").drop("is_valid", "raw_published", _BROKEN, _RAW, _FILE)
 
 
 def rejected_entries(parsed: DataFrame) -> DataFrame:
-    reason = (F.when(F.col("abstract_url").isNull(), "missing id")
+    """the entries that are not papers, with the reason, their own text and their file."""
+    reason = (F.when(F.col(_BROKEN).isNotNull(), F.concat(F.lit("entry is "), F.col(_BROKEN)))
+              .when(F.col("abstract_url").isNull(), "missing id")
               .when(F.col("title").isNull() | F.col("abstract").isNull(), "missing text")
               .when(F.col("published_date").isNull(), "bad published date")
               .otherwise("bad updated date"))
-    return parsed.filter(~F.col("is_valid")).select("abstract_url", "raw_published", reason.alias("reason"))
+    return parsed.filter(~F.col("is_valid")).select("abstract_url", "raw_published", reason.alias("reason"), _RAW, _FILE)
 
 
 def feed_frame(papers: DataFrame) -> DataFrame:

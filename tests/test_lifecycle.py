@@ -132,14 +132,18 @@ def test_daily_run_end_to_end(spark, sf):
     S.summaries(spark, sf).write.parquet(summ)
     as_of = dt.date(2024, 2, 13)                       # a Tuesday -> target day 2024-02-12
     out = daily.daily_run(spark, feed_path, table, S.taxonomy(spark, sf), as_of, summaries_path=summ,
-                          model_fn=inference.echo_model, model_name="stub")
+                          model_fn=inference.echo_model, model_name="stub", summarize_limit=5)
     day = papers.filter(F.to_date("published_date") == dt.date(2024, 2, 12))
     ok_day = day.filter(F.col("id") % 11 != 0)
     assert out["first_day"] == out["last_day"] == "2024-02-12"
     assert out["kept"] == ok_day.count() and out["inserted"] == ok_day.count()
     assert out["rejected"] == papers.filter(F.col("id") % 11 == 0).count()
     assert out["summarized"] <= 5
-    again = daily.daily_run(spark, feed_path, table, S.taxonomy(spark, sf), as_of)
+    rejects, history = scratch_path(spark, "t-daily-rejects"), scratch_path(spark, "t-daily-history")
+    for _ in range(2):  # a repeated run replaces its own rejects and its own row of the history
+        again = daily.daily_run(spark, feed_path, table, S.taxonomy(spark, sf), as_of, rejects_path=rejects, history_path=history)
+    assert spark.read.parquet(rejects).filter("raw_entry like '<entry>%' and file_name is not null").count() == out["rejected"]
+    assert [tuple(r) for r in spark.read.parquet(history).select(*daily.COUNTERS).collect()] == [tuple(again[c] for c in daily.COUNTERS)]
     assert again["inserted"] == 0 and again["names_filled"] == 0
     assert daily.target_day_of(dt.date(2024, 2, 12)) == dt.date(2024, 2, 9)   # Monday -> Friday
     rng = daily.daily_run(spark, feed_path, table, S.taxonomy(spark, sf), as_of, days_back=3)
