@@ -23,7 +23,7 @@ from paperflow.llm.common import staged_once
 
 ORDER, LEAST, TOP = 5, 100, 2000
 #: Words that a task gathers before it counts, and hashes that a bucket holds on average.
-CHUNK, BUCKET = 1 << 20, 1 << 21
+CHUNK, BUCKET = 1 << 22, 1 << 20
 #: Bits of the table of frequent words, pairs and triples: 16 MB, whatever the corpus.
 TABLE_BITS = 27
 #: A byte that no UTF-8 text holds: the word behind the last one of a piece.
@@ -52,16 +52,25 @@ def table_bits(hashes: np.ndarray) -> np.ndarray:
 
 
 class Sequence:
-    """A language's words in a row, numbered; number 0 ends a piece."""
+    """A language's words in a row, as numbers; number 0 ends a piece."""
 
-    def __init__(self, lang: str, words: list[bytes]):
-        number = {_END: 0}
-        self.ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
-        self.vocabulary = list(number)
-        seed = xxhash.xxh64_intdigest(lang)
+    def __init__(self, lang: str):
+        self.lang, self._number, self._parts = lang, {_END: 0}, []
+
+    def add(self, words: list[bytes]) -> int:
+        number = self._number
+        self._parts.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
+        return len(words)
+
+    def close(self) -> Sequence:
+        self.ids = np.concatenate(self._parts)
+        self.vocabulary = list(self._number)
+        del self._parts, self._number
+        seed = xxhash.xxh64_intdigest(self.lang)
         spelled = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.vocabulary), np.uint64, len(self.vocabulary))
         self.hashes = spelled[self.ids]
         self.starts = np.flatnonzero(self.ids)
+        return self
 
     def frequent(self, at: np.ndarray, order: int, table: np.ndarray) -> np.ndarray:
         """Those of the starts ``at`` whose ``order`` words are in the table."""
@@ -94,7 +103,7 @@ def lead_windows(own: Sequence, order: int, table: np.ndarray | None) -> tuple[n
         else:
             going = going & (on[0][starts] if k == 1 else on[1][np.minimum(starts + k - 2, size - 1)])
         lead.append(np.where(going, own.ids[np.minimum(starts + k, size - 1)], 0))
-    code = lead[0]
+    code = lead[0].astype(np.int64)
     for column in lead[1:]:
         code = np.unique(code, return_inverse=True)[1] * len(own.vocabulary) + column
     _, where, counts = np.unique(code, return_index=True, return_counts=True)
@@ -110,18 +119,19 @@ def by_sequence(docs: DataFrame, found, schema: str) -> DataFrame:
     chunk = CHUNK
 
     def run(batches):
-        held, n = {}, 0
+        held: dict[str, Sequence] = {}
+        n = 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = words_and_ends(text.as_py())
-                held.setdefault(lang, []).extend(words)
-                n += len(words)
+                if lang not in held:
+                    held[lang] = Sequence(lang)
+                n += held[lang].add(words_and_ends(text.as_py()))
                 if n >= chunk:
-                    for own, said in held.items():
-                        yield from found(own, Sequence(own, said))
+                    for own in held.values():
+                        yield from found(own.lang, own.close())
                     held, n = {}, 0
-        for own, said in held.items():
-            yield from found(own, Sequence(own, said))
+        for own in held.values():
+            yield from found(own.lang, own.close())
 
     texts = docs.select(F.coalesce("lang", F.lit("und")), F.coalesce("text", F.lit("")).cast("binary"))
     return texts.mapInArrow(run, schema)

@@ -62,6 +62,12 @@ def docs(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
+def sequence(lang, words):
+    own = co.Sequence(lang)
+    own.add(words)
+    return own.close()
+
+
 def found(df):
     return [tuple(r) for r in df.drop("k").collect()]
 
@@ -87,7 +93,7 @@ def test_the_table_holds_what_is_frequent(docs):
         said = [w for (la, w), _ in f.items() if la == lang]
         for order in (1, 2, 3):
             grams = [w for w in said if len(w) == order]
-            own = co.Sequence(lang, [x for w in grams for x in (*(y.encode() for y in w), b"\xff")])
+            own = sequence(lang, [x for w in grams for x in (*(y.encode() for y in w), b"\xff")])
             at = np.arange(0, len(grams) * (order + 1), order + 1)
             inside = set(own.frequent(at, order, table).tolist())
             assert {a for a, w in zip(at.tolist(), grams) if f[lang, w] >= 30} <= inside
@@ -103,7 +109,7 @@ def test_rollup_gives_every_order(docs):
 def test_windows_end_before_what_is_rare():
     words = co.words_and_ends(b"A b c d. a b\tc x; y")
     assert words == [b"a", b"b", b"c", b"d", b"\xff", b"a", b"b", b"c", b"x", b"\xff", b"y", b"\xff"]
-    own, table = co.Sequence("en", words), np.zeros(1 << (co.TABLE_BITS - 3), np.uint8)
+    own, table = sequence("en", words), np.zeros(1 << (co.TABLE_BITS - 3), np.uint8)
     for order, starts in ((1, [0, 1, 2, 3]), (2, [0, 1, 2]), (3, [0])):
         for at in co.table_bits(co.gram_hashes(own.hashes, np.array(starts), order)).ravel():
             table[int(at) >> 3] |= 1 << (int(at) & 7)
