@@ -16,11 +16,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from paperflow.llm.common import staged
+from paperflow.llm.common import staged_once
 
 #: A chunk ends behind a line whose rolling hash is 0 modulo DIVISOR, with LEAST to MOST lines.
 DIVISOR, LEAST, MOST = 2, 2, 32
+#: A removed run of lines has so many words in the query and in the pipeline's stage: short lines that texts
+#: share by chance ("Yes.", "No.") stay.
+LEAST_WORDS = 10
 _POSITION = "decimal(38,0)"
 
 
@@ -163,9 +167,9 @@ def window_table(docs: DataFrame, digest) -> DataFrame:
 
 def repeated_windows(docs: DataFrame, digest) -> DataFrame:
     """_doc, _key, no, h and bytes of the windows whose digest is found more than once."""
-    often = window_table(docs, digest).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-    hits = window_table(docs, digest).join(often, "h").groupBy("_doc", "_key").agg(
-        F.collect_set(F.struct("no", "h")).alias("hits"))
+    every = staged_once(window_table(docs, digest), "line-digests")
+    often = every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    hits = every.join(often, "h").groupBy("_doc", "_key").agg(F.collect_set(F.struct("no", "h")).alias("hits"))
     texts = keyed(docs).select("_doc", "_key", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
 
     def run(batches):
@@ -193,7 +197,7 @@ def repeats(docs: DataFrame, digest) -> DataFrame:
     """_doc, _key, the windows that repeat an earlier one, those that are repeated later and stay,
     and the doc_ids where the first copies stand."""
     position = (F.col("_doc") * F.lit(1 << 32) + F.col("no")).cast(_POSITION)
-    found = staged(repeated_windows(docs, digest), "line-windows")
+    found = staged_once(repeated_windows(docs, digest), "line-windows")
     by_bytes = found.groupBy("h", "bytes").agg(F.min(position).alias("first"), F.count(F.lit(1)).alias("n"))
     # Of a digest that stands for different bytes nothing is removed.
     certain = by_bytes.groupBy("h").agg(
@@ -206,49 +210,60 @@ def repeats(docs: DataFrame, digest) -> DataFrame:
         F.sort_array(F.collect_set(F.when(later, origin))).alias("_origins")).filter(F.size("_gone") > 0)
 
 
-def passage_dedup(docs: DataFrame, digest=digest128) -> DataFrame:
+def passage_dedup(docs: DataFrame, digest=digest128, least_words: int = 0) -> DataFrame:
     """All rows and columns of ``docs`` with the repeated passages cut out of ``text``, and
     ``_removed_chunks`` (runs of lines cut out), ``_removed_lines``, ``_origins`` (doc_ids with the copies that stay).
 
     A line goes if it lies in a window with an earlier copy and in none that is the first of several;
-    blank lines between two lines of a window go with them. A single repeated line stays. A null text
-    stays null and an empty one empty; a text that loses all its lines becomes empty; rows are never
-    dropped. Rows with equal doc_id count as one document (null doc_ids too): equal ones are treated
-    alike. A passage repeated inside one document stays once. An ``n_chars`` column is brought up to
-    date. An empty table gives no rows.
+    blank lines between two lines of a window go with them. A single repeated line stays, and so does a run
+    of lines with fewer than ``least_words`` words. A null text stays null and an empty one empty; a text that
+    loses all its lines becomes empty; rows are never dropped. Rows with equal doc_id count as one document
+    (null doc_ids too): equal ones are treated alike. A passage repeated inside one document stays once. An
+    ``n_chars`` column is brought up to date, input columns named like an output are replaced, others keep
+    their values whatever their names. An empty table gives no rows.
     """
-    names = docs.columns
-    joined = keyed(docs).join(repeats(docs, digest), ["_doc", "_key"], "left")
-    text_at = names.index("text")
+    added = ("_removed_chunks", "_removed_lines", "_origins")
+    gone = repeats(docs.select("doc_id", "text"), digest)
+    rows = keyed(docs.select("doc_id", "text", F.struct("*").alias("row")))
+    joined = rows.join(gone, ["_doc", "_key"], "left").select(
+        "row", F.col("row.text").cast("binary").alias("text"), "_gone", "_stay", F.col("_origins").cast("array<long>").alias("_origins"))
 
     def run(batches):
         for batch in batches:
-            texts, runs, cut = batch.column(text_at).to_pylist(), [], []
-            gone, stay = batch.column(len(names)), batch.column(len(names) + 1)
+            texts, runs, cut = batch.column(1).to_pylist(), [], []
+            gone, stay = batch.column(2), batch.column(3)
             for k in range(batch.num_rows):
-                out: set[int] = set()
+                kept: list[list[int]] = []
                 if gone[k].is_valid:
-                    lines = texts[k].encode().split(b"\n")
+                    lines = texts[k].split(b"\n")
                     own = windows(lines)
-                    out.update(x for no in gone[k].as_py() for x in range(*own[no]))
+                    out = {x for no in gone[k].as_py() for x in range(*own[no])}
                     out.difference_update(x for no in stay[k].as_py() for x in range(*own[no]))
-                    if out:
-                        texts[k] = b"\n".join(x for at, x in enumerate(lines) if at not in out).decode()
-                runs.append(sum(1 for x in out if x - 1 not in out))
-                cut.append(len(out))
-            cols = [pa.array(texts, pa.string()) if k == text_at else batch.column(k) for k in range(len(names))]
+                    parts: list[list[int]] = []
+                    for x in sorted(out):
+                        if parts and parts[-1][-1] == x - 1:
+                            parts[-1].append(x)
+                        else:
+                            parts.append([x])
+                    kept = [p for p in parts if sum(len(lines[x].split()) for x in p) >= least_words]
+                    drop = {x for p in kept for x in p}
+                    if drop:
+                        texts[k] = b"\n".join(x for at, x in enumerate(lines) if at not in drop)
+                runs.append(len(kept))
+                cut.append(sum(map(len, kept)))
             yield pa.RecordBatch.from_arrays(
-                [*cols, pa.array(runs, pa.int64()), pa.array(cut, pa.int64()), batch.column(len(names) + 2)],
-                [*names, "_removed_chunks", "_removed_lines", "_origins"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    out = joined.select(*names, "_gone", "_stay", F.col("_origins").cast("array<long>").alias("_origins")).mapInArrow(
-        run, f"{kinds}, _removed_chunks long, _removed_lines long, _origins array<long>")
-    out = out.withColumn("_origins", F.when(F.col("_removed_lines") > 0, F.col("_origins")))
-    if "n_chars" in names:
-        changed = F.when(F.col("_removed_lines") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return out
+                [batch.column(0), pa.array(texts, pa.binary()), pa.array(runs, pa.int64()), pa.array(cut, pa.int64()), batch.column(4)],
+                ["row", "text", *added])
+
+    kinds = (T.BinaryType(), T.LongType(), T.LongType(), T.ArrayType(T.LongType()))
+    out = joined.mapInArrow(run, T.StructType([T.StructField("row", joined.schema["row"].dataType)] + [
+        T.StructField(c, t) for c, t in zip(("text", *added), kinds)]))
+    changed = F.col("_removed_lines") > 0
+    new = {"text": F.when(changed, F.col("text").cast("string")).otherwise(F.col("row.text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(changed, F.char_length(new["text"])).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    own = [new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns if c.lower() not in added]
+    return out.select(*own, "_removed_chunks", "_removed_lines", F.when(changed, F.col("_origins")).alias("_origins"))
 
 
 def report(deduped: DataFrame) -> DataFrame:

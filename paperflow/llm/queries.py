@@ -17,7 +17,8 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.report(line_dedup.passage_dedup(read_table(spark, sf_dir, "documents")))
+    docs = read_table(spark, sf_dir, "documents")
+    return line_dedup.report(line_dedup.passage_dedup(docs, least_words=line_dedup.LEAST_WORDS))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

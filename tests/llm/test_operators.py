@@ -158,6 +158,16 @@ def test_planted_passages_go_whole(spark, n_lines):
     assert all(r["origin_doc_ids"] == ([r["doc_id"] % 20] if r["doc_id"] >= 20 else []) for r in report)
 
 
+def test_short_shared_lines_stay(spark):
+    rows = [(1, "some words\nYes.\nNo.\nbody a"), (2, "other words\nYes.\nNo.\nbody b"),
+            (3, "x\na line of five words\n\nanother line of five words\ny"), (4, "a line of five words\n\nanother line of five words")]
+    docs = spark.createDataFrame([(*r, 7, 8, 9) for r in rows], "doc_id long, text string, _key long, _doc long, _gone long")
+    got = {r["doc_id"]: r for r in line_dedup.passage_dedup(docs, least_words=line_dedup.LEAST_WORDS).collect()}
+    assert {k: r["text"] for k, r in got.items()} == {**dict(rows), 4: ""}
+    assert all((r["_key"], r["_doc"], r["_gone"]) == (7, 8, 9) for r in got.values()) and got[4]["_removed_lines"] == 3
+    assert [got[k]["_origins"] for k in (1, 2, 3, 4)] == [None, None, None, [3]]
+
+
 def brute_passages(rows):
     """Texts by (doc_id, text): a line goes if it is in a window found earlier and in none found first and again."""
     distinct = sorted({(float("inf") if r[0] is None else r[0], r[1] or "") for r in rows})
