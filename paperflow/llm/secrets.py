@@ -103,7 +103,8 @@ def train(docs: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> dict[tuple[int, in
     """Transition counts (label, from, to): label 1 in the patterns' values, 0 in other words of 4 or more letters."""
     spread = 1 << 20
     total = docs.select("doc_id").count()
-    share = spread if total <= max_rows else int(spread * max_rows / total)
+    # one part in 2**20 at least: counts of more rows merge alike, an empty sample would find nothing
+    share = spread if total <= max_rows else max(1, int(spread * max_rows / total))
     sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(spread)) < share).select("text")
 
     def count(batches):

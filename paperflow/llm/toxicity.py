@@ -86,14 +86,17 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) ->
 
     Learns from the rows of ``labels`` whose crc32(doc_id as text) mod 5 is not 0; rows with a
     null label or doc_id, or without a document, teach nothing. Each label row counts.
-    Without any usable row the only weight is a zero intercept: every score is 0.5.
+    Without usable rows of both labels the only weight is a zero intercept: every score is 0.5.
     """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     usable = labels.select("doc_id", "toxic").filter(
         F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold != 0))
     spread = 1 << 20
-    total = usable.count()
-    share = spread if total <= max_rows else int(spread * max_rows * 0.98 / total)
+    total, least, most = usable.agg(F.count(F.lit(1)), F.min("toxic"), F.max("toxic")).first()
+    if least == most:  # nothing, or nothing to tell apart
+        return np.array([1 << BITS], np.int32), np.zeros(1)
+    # One part in 2**20 at least: the limit below holds the bound however large the table is.
+    share = spread if total <= max_rows else max(1, int(spread * max_rows * 0.98 / total))
     sample = usable.withColumn("_at", F.xxhash64("doc_id")).filter(F.pmod("_at", F.lit(spread)) < share)
     sample = sample.orderBy("_at", "toxic").limit(max_rows)
     joined = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")).join(sample, "doc_id")
@@ -161,9 +164,16 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns."""
+    """The documents that are not predicted toxic, with all their columns; repeated rows go or stay together.
+
+    Null texts count as empty. Without evidence nothing is dropped: labels that are empty, null, or all the
+    same leave every document. An empty ``docs`` gives no rows.
+    """
     name = "_score"
     while name in docs.columns:
         name = f"_{name}"
-    kept = scored(docs, train(docs, labels), docs.columns, name)
+    model = train(docs, labels)
+    if not np.any(model[1]):
+        return docs
+    kept = scored(docs, model, docs.columns, name)
     return kept.filter(F.col(name) < 0.5).select(*docs.columns)

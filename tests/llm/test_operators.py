@@ -88,6 +88,20 @@ def test_empty_tables(spark, empty, labels):
     assert chat_format.digests(chat_format.format_chats(chat_format.records_of(turns))).count() == 0
 
 
+@pytest.mark.parametrize("rows", [[], [(1, 1, None), (None, 1, 1)], [(k, 1, 1) for k in range(9)], [(k, 1, 0) for k in range(9)]])
+def test_no_evidence_drops_no_document(spark, docs, rows):
+    labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == len(ROWS)
+
+
+def test_samples_of_huge_tables_are_not_empty(docs, labels, monkeypatch):
+    """With a bound far below a millionth of the rows a part of them is still looked at."""
+    slots, weights = toxicity.train(docs, labels, max_rows=0)
+    assert slots[-1] == 1 << toxicity.BITS
+    assert secrets.train(docs, max_rows=1e-9) is not None
+
+
 # 1 line dedup
 
 def brute_lines(rows, digest=line_dedup.digest128):
