@@ -18,7 +18,7 @@ papers0 AS (
 papers AS (
   SELECT doc_id AS id,
          concat('2401.', lpad(CAST(doc_id AS VARCHAR), greatest(6, length(CAST(doc_id AS VARCHAR)))::INT, '0'), 'v1') AS arxiv_id,
-         substr(text, 1, 120) AS title,
+         split_part(text, chr(10), 1) AS title,
          text AS abstract,
          list_transform(range(1, 2 + doc_id % 5), lambda i: concat('Author ', CAST(i AS VARCHAR))) AS authors,
          list_value(lang, source) AS categories,
@@ -34,15 +34,18 @@ papers AS (
 summaries AS (
   SELECT l.doc_id * 3 + 7 AS id, l.doc_id AS arxiv_paper_id,
          concat('2401.', lpad(CAST(l.doc_id AS VARCHAR), greatest(6, length(CAST(l.doc_id AS VARCHAR)))::INT, '0'), 'v1') AS arxiv_id,
-         substr(d.text, 1, 150) AS beginner_title, substr(d.text, 11, 150) AS intermediate_title,
-         substr(d.text, 1, 250) AS beginner_overview, substr(d.text, 11, 250) AS intermediate_overview,
-         substr(d.text, 1, 600) AS beginner_summary, substr(d.text, 11, 600) AS intermediate_summary,
+         substr(d.text, 1, n * 5 // 100) AS beginner_title,
+         substr(d.text, n * 5 // 100 + 1, n * 10 // 100 - n * 5 // 100) AS intermediate_title,
+         substr(d.text, n * 10 // 100 + 1, n * 25 // 100 - n * 10 // 100) AS beginner_overview,
+         substr(d.text, n * 25 // 100 + 1, n * 40 // 100 - n * 25 // 100) AS intermediate_overview,
+         substr(d.text, n * 40 // 100 + 1, n * 70 // 100 - n * 40 // 100) AS beginner_summary,
+         substr(d.text, n * 70 // 100 + 1) AS intermediate_summary,
          CASE WHEN l.toxic = 1 THEN 'error' ELSE 'completed' END AS processing_status,
          CASE WHEN l.toxic = 1 THEN 'flagged by moderation' END AS processing_error,
          'stub-model' AS model_name,
          timestamp '2024-03-01 00:00:00' + to_hours(CAST(l.doc_id % 100 AS INTEGER)) AS created_at,
          timestamp '2024-03-01 00:00:00' + to_hours(CAST(l.doc_id % 100 AS INTEGER)) AS updated_at
-  FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+  FROM labels l JOIN (SELECT doc_id, text, length(text) AS n FROM documents) d ON l.doc_id = d.doc_id),
 taxonomy AS (
   SELECT concat('src', CAST(n_nationkey AS VARCHAR)) AS category_code, n_name AS category_name FROM nation),
 stored AS (SELECT * FROM papers WHERE published_date < timestamp '2024-02-01 00:00:00'),
@@ -55,16 +58,18 @@ dirty AS (
   FROM documents),
 responses AS (
   SELECT doc_id, concat(
-    CASE WHEN doc_id % 8 = 7 THEN '**BEGINNER_TITLE:** ' ELSE 'BEGINNER_TITLE: ' END,
-    CASE WHEN doc_id % 8 = 7 THEN substr(flat, 1, 9) ELSE substr(flat, 1, 60) END,
-    chr(10) || chr(10) || 'INTERMEDIATE_TITLE: ', substr(flat, 61, 80),
-    chr(10) || chr(10), CASE WHEN doc_id % 8 = 7 THEN 'beginner_overview: ' ELSE 'BEGINNER_OVERVIEW: ' END, substr(flat, 141, 160),
-    chr(10) || chr(10), CASE WHEN doc_id % 8 = 4 THEN 'INTERMEDIATE OVERVIEW: ' ELSE 'INTERMEDIATE_OVERVIEW: ' END, substr(flat, 301, 160),
-    chr(10) || chr(10), CASE WHEN doc_id % 8 = 6 THEN '' ELSE 'BEGINNER_SUMMARY: ' END, substr(flat, 461, 900),
+    CASE WHEN doc_id % 8 = 7 THEN '**BEGINNER_TITLE:** ' ELSE 'BEGINNER_TITLE: ' END, substr(flat, 1, e1),
+    chr(10) || chr(10) || 'INTERMEDIATE_TITLE: ', substr(flat, e1 + 1, e2 - e1),
+    chr(10) || chr(10), CASE WHEN doc_id % 8 = 7 THEN 'beginner_overview: ' ELSE 'BEGINNER_OVERVIEW: ' END, substr(flat, e2 + 1, e3 - e2),
+    chr(10) || chr(10), CASE WHEN doc_id % 8 = 4 THEN 'INTERMEDIATE OVERVIEW: ' ELSE 'INTERMEDIATE_OVERVIEW: ' END, substr(flat, e3 + 1, e4 - e3),
+    chr(10) || chr(10), CASE WHEN doc_id % 8 = 6 THEN '' ELSE 'BEGINNER_SUMMARY: ' END, substr(flat, e4 + 1, e5 - e4),
     chr(10) || chr(10) || 'INTERMEDIATE_SUMMARY: ',
-    CASE WHEN doc_id % 8 = 5 THEN substr(flat, 1361, 40) || chr(10) || chr(10) || substr(flat, 1401, 860) ELSE substr(flat, 1361, 900) END
+    CASE WHEN doc_id % 8 = 5 THEN substr(flat, e5 + 1, 40) || chr(10) || chr(10) || substr(flat, e5 + 41) ELSE substr(flat, e5 + 1) END
   ) AS response
-  FROM (SELECT doc_id, replace(text, chr(10), ' ') AS flat FROM documents)),
+  FROM (SELECT *, greatest(e1, n * 10 // 100) AS e2, greatest(e1, n * 25 // 100) AS e3, greatest(e1, n * 40 // 100) AS e4,
+               greatest(e1, n * 70 // 100) AS e5
+        FROM (SELECT doc_id, flat, n, CASE WHEN doc_id % 8 = 7 THEN least(n, 9) ELSE n * 5 // 100 END AS e1
+              FROM (SELECT doc_id, replace(text, chr(10), ' ') AS flat, length(text) AS n FROM documents)))),
 feed AS (
   SELECT arxiv_id, title, abstract, authors, categories, categories_name, published_date, updated_date, pdf_url, abstract_url
   FROM papers

@@ -20,6 +20,20 @@ def arxiv_id_of(doc_id: Column) -> Column:
     return F.concat(F.lit("2401."), F.lpad(doc_id.cast("string"), F.greatest(F.lit(6), F.length(doc_id.cast("string"))), F.lit("0")), F.lit("v1"))
 
 
+#: Where a text's six parts end, in hundredths of its characters; the last one takes the rest.
+PART_ENDS = (5, 10, 25, 40, 70)
+
+
+def parts_of(text: Column, first: Column | None = None) -> list[Column]:
+    """Six parts that add up to the text. ``first`` sets the length of the first one."""
+    n = F.char_length(text)
+    ends = [F.floor(n * k / 100).cast("int") for k in PART_ENDS]
+    if first is not None:
+        ends = [F.least(n, first)] + [F.greatest(F.least(n, first), e) for e in ends[1:]]
+    starts = [F.lit(0), *ends]
+    return [F.substring(text, a + 1, b - a) for a, b in zip(starts, [*ends, n])]
+
+
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     published = F.expr(
@@ -29,7 +43,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         F.col("doc_id").alias("id"),
         arxiv_id_of(F.col("doc_id")).alias("arxiv_id"),
-        F.substring("text", 1, 120).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.col("text").alias("abstract"),
         F.expr("transform(sequence(1L, 1 + doc_id % 5), i -> concat('Author ', cast(i as string)))").alias("authors"),
         F.array("lang", "source").alias("categories"),
@@ -51,17 +65,17 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = read_table(spark, sf_dir, "labels", "doc_id", "toxic")
     doc = read_table(spark, sf_dir, "documents", "doc_id", "text")
     created = F.expr("timestamp_ntz'2024-03-01 00:00:00' + make_dt_interval(0, cast(doc_id % 100 as int), 0, 0)")
-    t = F.col("text")
+    part = parts_of(F.col("text"))
     return lab.join(doc, "doc_id").select(
         (F.col("doc_id") * 3 + 7).alias("id"),  # its own id: a join on the wrong key must show
         F.col("doc_id").alias("arxiv_paper_id"),
         arxiv_id_of(F.col("doc_id")).alias("arxiv_id"),
-        F.substring(t, 1, 150).alias("beginner_title"),
-        F.substring(t, 11, 150).alias("intermediate_title"),
-        F.substring(t, 1, 250).alias("beginner_overview"),
-        F.substring(t, 11, 250).alias("intermediate_overview"),
-        F.substring(t, 1, 600).alias("beginner_summary"),
-        F.substring(t, 11, 600).alias("intermediate_summary"),
+        part[0].alias("beginner_title"),
+        part[1].alias("intermediate_title"),
+        part[2].alias("beginner_overview"),
+        part[3].alias("intermediate_overview"),
+        part[4].alias("beginner_summary"),
+        part[5].alias("intermediate_summary"),
         F.when(F.col("toxic") == 1, "error").otherwise("completed").alias("processing_status"),
         F.when(F.col("toxic") == 1, "flagged by moderation").alias("processing_error"),
         F.lit("stub-model").alias("model_name"),
@@ -123,28 +137,28 @@ def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model responses assembled from document text with the six headers.
+    """Model responses assembled from the six parts of the whole document text with the six headers.
 
     ``doc_id % 8`` picks a shape: 0-3 well formed; 4 writes the intermediate overview
     header with a space; 5 puts a blank line inside the last summary; 6 drops the
     beginner summary header; 7 uses bold markers, a lower-case header and a title of
-    9-11 characters. Newlines inside the pieces are replaced by spaces.
+    9 characters. Newlines inside the parts are replaced by spaces.
     """
     d = read_table(spark, sf_dir, "documents", "doc_id", "text")
     flat = F.replace(F.col("text"), F.lit("\n"), F.lit(" "))
     v = F.col("doc_id") % 8
-    p = lambda s, n: F.substring(flat, s, n)
-    title = F.when(v == 7, p(1, 9)).otherwise(p(1, 60))
+    n = F.char_length(flat)
+    p = parts_of(flat, first=F.when(v == 7, F.lit(9)).otherwise(F.floor(n * PART_ENDS[0] / 100).cast("int")))
     t1 = F.when(v == 7, F.lit("**BEGINNER_TITLE:** ")).otherwise(F.lit("BEGINNER_TITLE: "))
     h3 = F.when(v == 7, F.lit("beginner_overview: ")).otherwise(F.lit("BEGINNER_OVERVIEW: "))
     h4 = F.when(v == 4, F.lit("INTERMEDIATE OVERVIEW: ")).otherwise(F.lit("INTERMEDIATE_OVERVIEW: "))
     h5 = F.when(v == 6, F.lit("")).otherwise(F.lit("BEGINNER_SUMMARY: "))
-    last = F.when(v == 5, F.concat(p(1361, 40), F.lit("\n\n"), p(1401, 860))).otherwise(p(1361, 900))
+    last = F.when(v == 5, F.concat(F.substring(p[5], 1, 40), F.lit("\n\n"), F.substring(p[5], F.lit(41), n))).otherwise(p[5])
     resp = F.concat(
-        t1, title, F.lit("\n\nINTERMEDIATE_TITLE: "), p(61, 80),
-        F.lit("\n\n"), h3, p(141, 160),
-        F.lit("\n\n"), h4, p(301, 160),
-        F.lit("\n\n"), h5, p(461, 900),
+        t1, p[0], F.lit("\n\nINTERMEDIATE_TITLE: "), p[1],
+        F.lit("\n\n"), h3, p[2],
+        F.lit("\n\n"), h4, p[3],
+        F.lit("\n\n"), h5, p[4],
         F.lit("\n\nINTERMEDIATE_SUMMARY: "), last,
     )
     return d.select("doc_id", resp.alias("response"))
