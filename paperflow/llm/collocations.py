@@ -23,7 +23,7 @@ from paperflow.llm.common import staged_once
 
 ORDER, LEAST, TOP = 5, 100, 2000
 #: Words that a task gathers before it counts, and hashes that a bucket holds on average.
-CHUNK, BUCKET = 1 << 22, 1 << 20
+CHUNK, BUCKET = 1 << 20, 1 << 20
 #: Bits of the table of frequent words, pairs and triples: 16 MB, whatever the corpus.
 TABLE_BITS = 27
 #: A byte that no UTF-8 text holds: the word behind the last one of a piece.
@@ -52,10 +52,12 @@ def table_bits(hashes: np.ndarray) -> np.ndarray:
 
 
 class Sequence:
-    """A language's words in a row, as numbers; number 0 ends a piece."""
+    """A language's words in a row, as numbers; number 0 ends a piece. Numbers stay the same from one stretch of
+    words to the next."""
 
     def __init__(self, lang: str):
-        self.lang, self._number, self._parts = lang, {_END: 0}, []
+        self.lang, self._number, self._parts, self.windows = lang, {_END: 0}, [], []
+        self._spelled = np.zeros(1, np.uint64)
 
     def add(self, words: list[bytes]) -> int:
         number = self._number
@@ -63,12 +65,14 @@ class Sequence:
         return len(words)
 
     def close(self) -> Sequence:
-        self.ids = np.concatenate(self._parts)
+        """Ends the stretch: its numbers, the hashes of its words and where words start."""
+        self.ids = np.concatenate([*self._parts, np.zeros(1, np.int32)])
+        self._parts = []
         self.vocabulary = list(self._number)
-        del self._parts, self._number
         seed = xxhash.xxh64_intdigest(self.lang)
-        spelled = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.vocabulary), np.uint64, len(self.vocabulary))
-        self.hashes = spelled[self.ids]
+        new = self.vocabulary[len(self._spelled):]
+        self._spelled = np.append(self._spelled, np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in new), np.uint64, len(new)))
+        self.hashes = self._spelled[self.ids]
         self.starts = np.flatnonzero(self.ids)
         return self
 
@@ -103,19 +107,25 @@ def lead_windows(own: Sequence, order: int, table: np.ndarray | None) -> tuple[n
         else:
             going = going & (on[0][starts] if k == 1 else on[1][np.minimum(starts + k - 2, size - 1)])
         lead.append(np.where(going, own.ids[np.minimum(starts + k, size - 1)], 0))
-    code = lead[0].astype(np.int64)
-    for column in lead[1:]:
-        code = np.unique(code, return_inverse=True)[1] * len(own.vocabulary) + column
-    _, where, counts = np.unique(code, return_index=True, return_counts=True)
-    columns = np.stack([c[where] for c in lead])
+    columns, counts = distinct(np.stack(lead), np.ones(len(starts), np.int64), len(own.vocabulary))
     rest = len(own.starts) - len(starts)
     if rest:
-        columns, counts = np.concatenate([columns, np.zeros((order, 1), np.int64)], axis=1), np.append(counts, rest)
+        columns, counts = np.concatenate([columns, np.zeros((order, 1), columns.dtype)], axis=1), np.append(counts, rest)
     return columns, counts
 
 
-def by_sequence(docs: DataFrame, found, schema: str) -> DataFrame:
-    """``found(language, Sequence)``, record batches, over the words that each task gathers by language."""
+def distinct(columns: np.ndarray, counts: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct columns, of numbers below ``base``, with their counts summed."""
+    code = columns[0].astype(np.int64)
+    for row in columns[1:]:
+        code = np.unique(code, return_inverse=True)[1] * base + row
+    _, where, which = np.unique(code, return_index=True, return_inverse=True)
+    return columns[:, where], np.bincount(which, weights=counts, minlength=len(where)).astype(np.int64)
+
+
+def by_sequence(docs: DataFrame, found, end, schema: str) -> DataFrame:
+    """Record batches of ``found(Sequence)`` over every stretch of words that a task gathers by language, and of
+    ``end(Sequence)`` behind the last one."""
     chunk = CHUNK
 
     def run(batches):
@@ -128,34 +138,42 @@ def by_sequence(docs: DataFrame, found, schema: str) -> DataFrame:
                 n += held[lang].add(words_and_ends(text.as_py()))
                 if n >= chunk:
                     for own in held.values():
-                        yield from found(own.lang, own.close())
-                    held, n = {}, 0
+                        yield from found(own.close())
+                    n = 0
         for own in held.values():
-            yield from found(own.lang, own.close())
+            yield from found(own.close())
+            yield from end(own)
 
     texts = docs.select(F.coalesce("lang", F.lit("und")), F.coalesce("text", F.lit("")).cast("binary"))
     return texts.mapInArrow(run, schema)
 
 
 def counted_windows(docs: DataFrame, order: int, table=None) -> DataFrame:
-    """lang, w1 to w<order> (null behind the window's end) and c: the windows, counted once per task and chunk."""
+    """lang, w1 to w<order> (null behind the window's end) and c: the windows, each counted once per task."""
     names = [f"w{k + 1}" for k in range(order)]
 
-    def rows(lang, own):
-        lead, counts = lead_windows(own, order, table.value if table else None)
+    def gather(own):
+        own.windows.append(lead_windows(own, order, table.value if table else None))
+        if len(own.windows) > 1:
+            columns, counts = (np.concatenate([w[k] for w in own.windows], axis=-1) for k in (0, 1))
+            own.windows = [distinct(columns, counts, len(own.vocabulary))]
+        return ()
+
+    def rows(own):
+        lead, counts = own.windows[0]
         spelled = pa.array([None, *own.vocabulary[1:]], pa.binary()).cast(pa.string())
         if len(counts):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(counts), pa.string()), *(spelled.take(pa.array(c)) for c in lead), pa.array(counts, pa.int64())],
+                [pa.array([own.lang] * len(counts), pa.string()), *(spelled.take(pa.array(c)) for c in lead), pa.array(counts, pa.int64())],
                 ["lang", *names, "c"])
 
-    return by_sequence(docs, rows, ", ".join(["lang string", *(f"{c} string" for c in names), "c long"]))
+    return by_sequence(docs, gather, rows, ", ".join(["lang string", *(f"{c} string" for c in names), "c long"]))
 
 
 def frequent_bits(docs: DataFrame, least: int, buckets: int, table=None) -> DataFrame:
     """slot, mask: the table's bits of the words and pairs, or with the ``table`` of these of the triples, whose
     hash is counted ``least`` times or more."""
-    def pack(lang, own):
+    def pack(own):
         if table:
             hashes = gram_hashes(own.hashes, own.triples(table.value), 3)
         else:
@@ -182,7 +200,7 @@ def frequent_bits(docs: DataFrame, least: int, buckets: int, table=None) -> Data
         bits = table_bits(often).ravel()
         return pa.table([(bits >> np.uint64(6)).astype(np.int64), (np.uint64(1) << (bits & np.uint64(63))).view(np.int64)], ["slot", "mask"])
 
-    packed = by_sequence(docs, pack, "bucket int, hashes binary, counts binary")
+    packed = by_sequence(docs, pack, lambda own: (), "bucket int, hashes binary, counts binary")
     return packed.groupBy("bucket").applyInArrow(settle, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask"))
 
 
