@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperflow.llm.common import staged, words_of
@@ -24,11 +24,12 @@ from paperflow.llm.common import staged, words_of
 CELLS = 1 << 10
 #: Blocks that a shard holds on average.
 BLOCKS_PER_SHARD = 64
-#: Rows behind the cut among which some are sought that fill what the cut leaves open.
+#: Rows behind the cut among which some are sought first that fill what the cut leaves open.
 NEAR_CUT = 1000
 #: No source is taken more often than this.
 MOST_PASSES = 3
 _SPAN = 1 << 40  # positions in a source's permutation
+_ANY = (1 << 63) - 1
 
 
 def targets(sizes: list[int], weights: list[float], most: float = MOST_PASSES) -> list[float]:
@@ -67,11 +68,10 @@ def keyed(docs: DataFrame, seed: int) -> DataFrame:
     return docs.withColumns({"_size": F.size(words_of(F.col("text"))).cast("long"), "_at": at})
 
 
-def top_up(narrow: DataFrame, names: list, cut: list[int], gap: list[float], rows: list[int]) -> list[list[int]]:
-    """For every source positions that fill the gap left at its cut: of the about NEAR_CUT that follow
-    the cut, the largest first if they fit."""
+def top_up(narrow: DataFrame, names: list, cut: list[int], reach: list[int], gap: list[float]) -> tuple[list[list[int]], list[float]]:
+    """For every source positions from its cut up to ``reach`` that fill the gap left there, the largest first
+    if they fit; and what stays open."""
     spark = narrow.sparkSession
-    reach = [cut[k] + min(_SPAN, _SPAN * NEAR_CUT // max(1, rows[k])) for k in range(len(names))]
     todo = spark.createDataFrame([(k, names[k], cut[k], reach[k], float(gap[k])) for k in range(len(names)) if gap[k] >= 1],
                                  "_s int, source string, _low long, _high long, _gap double")
     here = narrow.join(todo, narrow["source"].eqNullSafe(todo["source"])).filter("_at >= _low and _at < _high")
@@ -83,20 +83,57 @@ def top_up(narrow: DataFrame, names: list, cut: list[int], gap: list[float], row
             if 0 < words <= left:
                 taken.append(int(at))
                 left -= words
-        return pd.DataFrame({"_s": [int(rows["_s"].iloc[0])], "taken": [taken]})
+        return pd.DataFrame({"_s": [int(rows["_s"].iloc[0])], "taken": [taken], "left": [float(left)]})
 
     out: list[list[int]] = [[] for _ in names]
-    for r in each.groupBy("_s").applyInPandas(fill, "_s int, taken array<long>").collect():
-        out[r["_s"]] = r["taken"]
-    return out
+    open_ = [float(g) for g in gap]
+    for r in each.groupBy("_s").applyInPandas(fill, "_s int, taken array<long>, left double").collect():
+        out[r["_s"]], open_[r["_s"]] = r["taken"], r["left"]
+    return out, open_
+
+
+def find_cuts(narrow: DataFrame, names: list, wanted: dict[int, tuple[int, float, float, int]]) -> dict[int, tuple[int, float]]:
+    """For every source k in ``wanted`` (start, need, tolerance, most): the position before which the rows from
+    ``start`` on, of at most ``most`` words each, stay below ``need`` words, and their words.
+
+    Histograms of the positions, each CELLS times finer, until a cell holds one position or the words at
+    stake are within the tolerance.
+    """
+    spark = narrow.sparkSession
+    low, width = {k: w[0] for k, w in wanted.items()}, _SPAN
+    below, open_ = dict.fromkeys(wanted, 0.0), list(wanted)
+    kind = "_s int, source string, _low long, _width long, _need double, _most long"
+    while width > 1 and open_:
+        width = max(1, width // CELLS)
+        cells = spark.createDataFrame([(k, names[k], low[k], width, float(wanted[k][1] - below[k]), wanted[k][3]) for k in open_], kind)
+        here = narrow.join(cells, narrow["source"].eqNullSafe(cells["source"])).filter(
+            (F.col("_at") >= F.col("_low")) & (F.col("_at") < F.col("_low") + F.lit(width * CELLS)) & (F.col("_size") <= F.col("_most")))
+        found = here.groupBy("_s", "_need", F.expr("(_at - _low) div _width").alias("cell")).agg(F.sum("_size").alias("words"))
+        upto = F.sum("words").over(Window.partitionBy("_s").orderBy("cell"))
+        # The first cell at which the words taken so far reach the rest.
+        first = F.min(F.when(F.col("upto") >= F.col("_need"), F.struct("cell", "words", "upto")))
+        over = {r["_s"]: r for r in found.withColumn("upto", upto).groupBy("_s").agg(first.alias("m"), F.max("upto").alias("all")).collect()}
+        still = []
+        for k in open_:
+            r = over.get(k)
+            if r is None or r["m"] is None:  # all that is left does not reach it
+                low[k] += width * CELLS
+                below[k] += r["all"] if r else 0
+                continue
+            low[k] += r["m"]["cell"] * width
+            below[k] += r["m"]["upto"] - r["m"]["words"]
+            if width > 1 and r["m"]["words"] > wanted[k][2]:
+                still.append(k)
+        open_ = still
+    return {k: (min(low[k], _SPAN), below[k]) for k in wanted}
 
 
 def source_plan(narrow: DataFrame, shards: int, seed: int):
     """Rows (source, words, target, passes, cut, blocks, block bounds per shard) for every source.
 
-    The partial pass takes the rows whose position is below ``cut``; the cut is found by
-    histograms of the positions, each CELLS times finer, until a cell holds one position or the
-    words at stake are below a thousandth of the target; a few more rows fill what that leaves.
+    The partial pass takes the rows whose position is below ``cut``, and others behind it that fill what the cut
+    leaves open: where one long text does not fit, shorter ones behind it do. In the end less than a
+    thousandth of the target is open, or no row that is left fits.
     """
     spark = narrow.sparkSession
     stats = narrow.groupBy("source").agg(F.sum("_size").alias("words"), F.count(F.lit(1)).alias("rows")).collect()
@@ -106,35 +143,23 @@ def source_plan(narrow: DataFrame, shards: int, seed: int):
     goal = targets(sizes, [1 + k % 3 for k in range(len(names))])
     passes = [int(g // n) if n else 0 for g, n in zip(goal, sizes)]
     rest = [g - p * n for g, p, n in zip(goal, passes, sizes)]
-    low, width, below = [0] * len(names), _SPAN, [0] * len(names)
-    kind = "_s int, source string, _low long, _width long"
-    open_ = [k for k in range(len(names)) if rest[k] > 0]
-    while width > 1 and open_:
-        width = max(1, width // CELLS)
-        cells = spark.createDataFrame([(k, names[k], low[k], width) for k in open_], kind)
-        here = narrow.join(cells, narrow["source"].eqNullSafe(cells["source"])).filter(
-            (F.col("_at") >= F.col("_low")) & (F.col("_at") < F.col("_low") + F.lit(width * CELLS)))
-        cell = F.expr("(_at - _low) div _width")
-        found = here.groupBy("_s", cell.alias("cell")).agg(F.sum("_size").alias("words"))
-        upto = F.sum("words").over(Window.partitionBy("_s").orderBy("cell"))
-        start = F.create_map(*[F.lit(x) for k in open_ for x in (k, float(rest[k] - below[k]))])
-        # The first cell at which the words taken so far reach the rest.
-        over = found.withColumns({"upto": upto, "need": start[F.col("_s")]}).filter("upto >= need").groupBy("_s").agg(
-            F.min(F.struct("cell", "words", "upto")).alias("m")).select("_s", "m.*").collect()
-        still = []
-        for r in over:
-            k = r["_s"]
-            low[k] += r["cell"] * width
-            before = below[k] + r["upto"] - r["words"]
-            below[k] = before
-            if width > 1 and r["words"] > goal[k] / 1000:
-                still.append(k)
-        done = {r["_s"] for r in over}
-        for k in set(open_) - done:  # rounding left the rest above all words: the whole source
-            low[k] += width * CELLS
-            below[k] = rest[k]
-        open_ = still
-    extra = top_up(narrow, names, low, [r - b for r, b in zip(rest, below)], [rows[s] for s in names])
+    near = [g / 1000 for g in goal]
+    cuts = find_cuts(narrow, names, {k: (0, r, near[k], _ANY) for k, r in enumerate(rest) if r > 0})
+    low, below = [cuts.get(k, (0, 0))[0] for k in range(len(names))], [cuts.get(k, (0, 0))[1] for k in range(len(names))]
+    reach = [min(_SPAN, low[k] + min(_SPAN, _SPAN * NEAR_CUT // max(1, rows[s]))) for k, s in enumerate(names)]
+    extra, gap = top_up(narrow, names, low, reach, [r - b for r, b in zip(rest, below)])
+    # Where more than a thousandth is still open the search goes on behind, each time among the rows that fit.
+    more: list[list[tuple[int, int, int]]] = [[] for _ in names]
+    at, open_ = list(reach), {k for k in range(len(names)) if gap[k] > near[k] and gap[k] >= 1 and reach[k] < _SPAN}
+    while open_:
+        found = find_cuts(narrow, names, {k: (at[k], gap[k], near[k], int(gap[k])) for k in open_})
+        for k, (end, words) in found.items():
+            if words > 0:
+                more[k].append((at[k], end, int(gap[k])))
+            gap[k] -= words
+            at[k] = end
+            if not words or gap[k] <= near[k] or gap[k] < 1 or end >= _SPAN:
+                open_.discard(k)
     share = [p + c / _SPAN for p, c in zip(passes, low)]
     words = sum(s * n for s, n in zip(share, sizes))
     per_block = max(1.0, words / (shards * BLOCKS_PER_SHARD))
@@ -143,18 +168,22 @@ def source_plan(narrow: DataFrame, shards: int, seed: int):
     quotas = np.array([p * b + -(-c * b // _SPAN) for p, c, b in zip(passes, low, blocks)], np.int64)
     split = splitting_tree(quotas, shards, np.random.default_rng(seed)) if len(names) else np.zeros((shards, 0), int)
     bounds = np.cumsum(split, axis=0)
-    out = [(names[k], sizes[k], goal[k], passes[k], low[k], extra[k], blocks[k], [int(x) for x in bounds[:, k]]) for k in range(len(names))]
+    out = [(names[k], sizes[k], goal[k], passes[k], low[k], extra[k], more[k], blocks[k], [int(x) for x in bounds[:, k]]) for k in range(len(names))]
     return spark.createDataFrame(
-        out, "_source string, source_size long, target double, _passes int, _cut long, _extra array<long>, _blocks int, _bounds array<int>")
+        out, "_source string, source_size long, target double, _passes int, _cut long, _extra array<long>, "
+             "_more array<struct<low:long,high:long,most:long>>, _blocks int, _bounds array<int>")
 
 
-def placed(docs: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+def placed(docs: DataFrame, plan: DataFrame, seed: int, size: Column) -> DataFrame:
     """Adds source_size, target and ``_copies``: array of (pass, shard, order), one per time the row is taken."""
     rows = docs.join(plan, docs["source"].eqNullSafe(plan["_source"]), "left").drop("_source")
     block = F.floor(F.col("_at") * F.col("_blocks") / F.lit(_SPAN)).cast("int")
     rows = rows.withColumn("_block", F.least(block, F.col("_blocks") - 1))
+    # ``size`` is asked for only where a source has such ranges
+    fits = F.exists("_more", lambda r: (F.col("_at") >= r["low"]) & (F.col("_at") < r["high"]) & (size <= r["most"]))
+    rows = rows.withColumn("_fits", fits)
     taken = F.filter(F.sequence(F.lit(0), F.lit(MOST_PASSES)), lambda k: (k < F.col("_passes")) | (
-        (k == F.col("_passes")) & ((F.col("_at") < F.col("_cut")) | F.array_contains("_extra", F.col("_at")))))
+        (k == F.col("_passes")) & ((F.col("_at") < F.col("_cut")) | F.array_contains("_extra", F.col("_at")) | F.col("_fits"))))
 
     def place(k):
         at = k * F.col("_blocks") + F.col("_block")
@@ -174,17 +203,19 @@ def mix_plan(docs: DataFrame, shards: int = 64, seed: int = 17) -> DataFrame:
     takes nothing of what weighs nothing; an empty table gives no rows.
     """
     narrow = staged(keyed(docs.select("doc_id", "source", "text"), seed).select("doc_id", "source", "_size", "_at"), "mix-sizes")
-    out = placed(narrow, source_plan(narrow, shards, seed), seed)
+    out = placed(narrow, source_plan(narrow, shards, seed), seed, F.col("_size"))
     return out.select("doc_id", "source", F.col("_size").alias("size"), "source_size", "target",
                       (F.col("_size") * F.size("_copies")).alias("taken"), F.col("_copies").alias("copies"))
 
 
 def mix(docs: DataFrame, shards: int = 64, seed: int = 17) -> DataFrame:
     """The mix itself: the rows of ``docs`` with all their columns, each as often as it is taken,
-    dealt to ``shards`` partitions and shuffled inside them."""
+    dealt to ``shards`` partitions and shuffled inside them. Nulls, empty texts, repeated rows and empty
+    tables as in ``mix_plan``."""
     narrow = staged(keyed(docs.select("doc_id", "source", "text"), seed).select("doc_id", "source", "_size", "_at"), "mix-sizes")
     rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source", F.pmod(
         F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")), F.lit(_SPAN)).alias("_at"))
-    out = placed(rows, source_plan(narrow, shards, seed), seed).select("_row", F.explode("_copies").alias("_copy"))
+    size = F.size(words_of(F.col("_row.text")))
+    out = placed(rows, source_plan(narrow, shards, seed), seed, size).select("_row", F.explode("_copies").alias("_copy"))
     dealt = out.repartition(shards, "_copy.shard").sortWithinPartitions("_copy.shard", "_copy.order")
     return dealt.select("_row.*")

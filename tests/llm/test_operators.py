@@ -297,6 +297,36 @@ def test_mixing(docs):
     assert sum(len(words(t)) * n for (_, t), n in taken.items()) == sum(r["taken"] for r in rows)
 
 
+def open_gaps(plan, shards=4):
+    """Per source what is missing at its target, and the words of the rows that the last pass leaves."""
+    rows = plan.collect()
+    by = defaultdict(list)
+    for r in rows:
+        by[r["source"]].append(r)
+    for own in by.values():
+        gap = own[0]["target"] - sum(r["taken"] for r in own)
+        passes = min(len(r["copies"]) for r in own)
+        yield own[0]["target"], gap, [r["size"] for r in own if len(r["copies"]) == passes and r["size"]]
+
+
+def test_taken_words_come_near_their_targets(docs):
+    for target, gap, left in open_gaps(mixing.mix_plan(docs, shards=4)):
+        assert gap <= max(1, target / 1000) or not left or min(left) > gap, (target, gap, min(left))
+
+
+@pytest.mark.parametrize("seed", range(17, 27))
+def test_a_text_as_long_as_the_target_leaves_no_gap(spark, seed):
+    rows = [(k, "w " * 20, "a") for k in range(3000)] + [(3000, "w " * 60_000, "a"), (3001, "w " * 20_000, "b"), (3002, "w " * 40_000, "b")]
+    long = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.mix_plan(long, seed=seed).cache()
+    (target, gap, _), = [x for x in open_gaps(plan.filter("source = 'a'"))]
+    assert target == 60_000 and abs(gap) <= 0.01 * target
+    if seed == 17:
+        taken = mixing.mix(long, seed=seed).groupBy("doc_id").count().collect()
+        assert {r["doc_id"]: r["count"] for r in taken} == {r["doc_id"]: len(r["copies"]) for r in plan.collect() if r["copies"]}
+    plan.unpersist()
+
+
 def test_splitting_tree():
     import numpy as np
     quotas = np.array([40, 0, 7, 300])
