@@ -81,6 +81,14 @@ class Sequence:
         bits = table_bits(gram_hashes(self.hashes, at, order))
         return at[((table[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)]
 
+    def mixed(self, columns: np.ndarray) -> np.ndarray:
+        """A hash of each column of word numbers."""
+        out = np.zeros(columns.shape[1], np.uint64)
+        for row in columns:
+            out = (out ^ self._spelled[row]) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+        return out
+
     def pairs(self) -> np.ndarray:
         return self.starts[self.ids[self.starts + 1] > 0]  # a word is never last: its piece ends behind it
 
@@ -148,9 +156,13 @@ def by_sequence(docs: DataFrame, found, end, schema: str) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def counted_windows(docs: DataFrame, order: int, table=None) -> DataFrame:
-    """lang, w1 to w<order> (null behind the window's end) and c: the windows, each counted once per task."""
-    names = [f"w{k + 1}" for k in range(order)]
+def counted_windows(docs: DataFrame, order: int, table=None, buckets: int = 1) -> DataFrame:
+    """lang, w1 to w<order> (null behind the window's end) and c: the distinct windows with their counts.
+
+    Each task counts its own and sends them packed, one row for each bucket of the windows' hashes; a bucket's
+    windows are then added up.
+    """
+    names = ["lang", *(f"w{k + 1}" for k in range(order))]
 
     def gather(own):
         own.windows.append(lead_windows(own, order, table.value if table else None))
@@ -159,15 +171,23 @@ def counted_windows(docs: DataFrame, order: int, table=None) -> DataFrame:
             own.windows = [distinct(columns, counts, len(own.vocabulary))]
         return ()
 
-    def rows(own):
+    def pack(own):
         lead, counts = own.windows[0]
+        bucket = (own.mixed(lead) % np.uint64(buckets)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        starts = np.flatnonzero(np.diff(bucket[by], prepend=-1))
+        offsets = pa.array(np.append(starts, len(by)), pa.int32())
         spelled = pa.array([None, *own.vocabulary[1:]], pa.binary()).cast(pa.string())
-        if len(counts):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([own.lang] * len(counts), pa.string()), *(spelled.take(pa.array(c)) for c in lead), pa.array(counts, pa.int64())],
-                ["lang", *names, "c"])
+        columns = [pa.array([own.lang] * len(by), pa.string()), *(spelled.take(pa.array(row[by])) for row in lead), pa.array(counts[by], pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[by][starts], pa.int32()), *(pa.ListArray.from_arrays(offsets, c) for c in columns)],
+                                         ["bucket", *names, "c"])
 
-    return by_sequence(docs, gather, rows, ", ".join(["lang string", *(f"{c} string" for c in names), "c long"]))
+    def add_up(group: pa.Table) -> pa.Table:
+        flat = pa.table({c: group.column(c).combine_chunks().flatten() for c in (*names, "c")})
+        return flat.group_by(names).aggregate([("c", "sum")]).rename_columns({"c_sum": "c"}).select([*names, "c"])
+
+    packed = by_sequence(docs, gather, pack, "bucket int, " + ", ".join(f"{c} array<string>" for c in names) + ", c array<long>")
+    return packed.groupBy("bucket").applyInArrow(add_up, ", ".join(f"{c} string" for c in names) + ", c long")
 
 
 def frequent_bits(docs: DataFrame, least: int, buckets: int, table=None) -> DataFrame:
@@ -204,10 +224,8 @@ def frequent_bits(docs: DataFrame, least: int, buckets: int, table=None) -> Data
     return packed.groupBy("bucket").applyInArrow(settle, "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask"))
 
 
-def bit_table(docs: DataFrame, least: int):
+def bit_table(docs: DataFrame, least: int, buckets: int):
     """Broadcast bit table of the frequent words, pairs and triples: 2**TABLE_BITS bits, of any number of them."""
-    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = 1 + n_bytes // (5 * BUCKET)
     bits, table = np.zeros(1 << (TABLE_BITS - 6), np.uint64), None
     for _ in range(2):
         found = staged_once(frequent_bits(docs, least, buckets, table), "collocation-bits").toArrow()
@@ -236,7 +254,10 @@ def association(a: Column, n: Column, left: Column, right: Column) -> Column:
 
 def phrase_counts(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang and n: its number of words; lang, words, k, f: its phrases of 1 to ``order`` words found ``least`` times)."""
-    found = staged_once(marginals(counted_windows(docs, order, bit_table(docs, least)), order, least), "collocation-phrases")
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = 1 + n_bytes // (5 * BUCKET)
+    windows = counted_windows(docs, order, bit_table(docs, least, buckets), buckets)
+    found = staged_once(marginals(windows, order, least), "collocation-phrases")
     return found.filter("k = 0").select("lang", F.col("f").alias("n")), found.filter("k > 0")
 
 

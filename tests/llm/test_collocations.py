@@ -82,12 +82,12 @@ def test_same_as_brute_force(docs, monkeypatch, order, least, top, share, chunk)
 
 def test_wrong_hits_in_the_table_change_nothing(spark, docs, monkeypatch):
     full = np.full(1 << (co.TABLE_BITS - 3), 255, np.uint8)
-    monkeypatch.setattr(co, "bit_table", lambda docs, least: spark.sparkContext.broadcast(full))
+    monkeypatch.setattr(co, "bit_table", lambda docs, least, buckets: spark.sparkContext.broadcast(full))
     assert set(found(co.collocations(docs, 5, 20, 30))) == brute(ROWS, 5, 20, 30)
 
 
 def test_the_table_holds_what_is_frequent(docs):
-    table = co.bit_table(docs, 30).value
+    table = co.bit_table(docs, 30, 3).value
     _, f = counts(ROWS, 3)
     for lang in ("en", "und", "fr", "de"):
         said = [w for (la, w), _ in f.items() if la == lang]
@@ -102,7 +102,7 @@ def test_the_table_holds_what_is_frequent(docs):
 
 def test_rollup_gives_every_order(docs):
     n, f = counts(ROWS, 4)
-    got = {(r.lang, tuple(r.words), r.f) for r in co.marginals(co.counted_windows(docs, 4), 4, 1).collect()}
+    got = {(r.lang, tuple(r.words), r.f) for r in co.marginals(co.counted_windows(docs, 4, buckets=3), 4, 1).collect()}
     assert got == {(la, w, c) for (la, w), c in f.items()} | {(la, (), c) for la, c in n.items() if c}
 
 
