@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from paperflow.functions import dates, text
 from paperflow.operators.views import latest_summaries
+from paperflow.session import checkpoint_root
+
+ROWS_PER_FILE = 100_000
 
 # Output names (snake_case of the sheet headers), in sheet order.
 EXPORT_COLUMNS = (
@@ -46,9 +49,9 @@ def export_latest(summaries: DataFrame, papers: DataFrame, limit: int = 5) -> Da
 
 def write_export(rows: DataFrame, path: str, append: bool = False, skip_existing: bool = False) -> int:
     """K4: CSV with a header. Overwrite replaces the folder; append adds files.
-    Returns the number of rows written; an empty result writes nothing (K5). The
-    export is a top-k report, so one file is right; read it back with
-    ``multiLine=True, escape='"'``."""
+    Returns the number of rows written; an empty result writes nothing (K5). The query runs
+    once, into a checkpoint; the number of files follows its row count (one for a top-k
+    report). Read it back with ``multiLine=True, escape='"'``."""
     if append and skip_existing:
         # Plain append re-adds the same latest rows on every run; this keeps only
         # keys the export does not hold yet (the export is k rows, so reading it is cheap)
@@ -59,11 +62,13 @@ def write_export(rows: DataFrame, path: str, append: bool = False, skip_existing
         except AnalysisException as e:  # no export yet; any other failure is one
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
+    checkpoint_root(rows.sparkSession)
+    rows = rows.checkpoint(eager=True)
     n = rows.count()
     if n == 0:
         return 0
     # Cells keep their newlines; quotes are doubled (RFC 4180) so spreadsheet tools read it.
-    (rows.coalesce(1).write.mode("append" if append else "overwrite")
+    (rows.coalesce(-(-n // ROWS_PER_FILE)).write.mode("append" if append else "overwrite")
      .option("header", True).option("escape", '"').csv(path))
     return n
 

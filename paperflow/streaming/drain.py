@@ -19,6 +19,7 @@ from paperflow.functions.text import model_input
 from paperflow.operators import inference, ledger, views
 from paperflow.operators.numbering import batch_numbers
 from paperflow.operators.pages import assemble_pages
+from paperflow.session import scratch_path
 
 
 def queue_prompts(papers: DataFrame, summaries: DataFrame, pages: DataFrame | None,
@@ -89,8 +90,10 @@ def drain_loop(spark, papers: DataFrame, summaries_path: str, pages: DataFrame |
 
     Returns ``{"processed", "batches", "remaining"}`` with separate counters (D20)."""
     processed = batches = 0
-    untried = papers
+    tried = scratch_path(spark, "drain-tried")  # one table of failed papers, so that the plan does not grow by batch
+    spark.range(0).write.parquet(tried)
     while True:
+        untried = papers.join(spark.read.schema("id long").parquet(tried), "id", "left_anti")
         summ = spark.read.parquet(summaries_path)
         if views.queue_depth(untried, summ).first()["remaining"] == 0:
             break
@@ -102,8 +105,7 @@ def drain_loop(spark, papers: DataFrame, summaries_path: str, pages: DataFrame |
             rows.select(*summ.columns).write.mode("append").parquet(summaries_path)
         processed += n
         batches += 1
-        failed = results.filter(~F.col("ok")).select("id").checkpoint(eager=True)  # at most a batch
-        untried = untried.join(failed, "id", "left_anti")
+        results.filter(~F.col("ok")).select("id").coalesce(1).write.mode("append").parquet(tried)  # at most a batch
         if single_batch or (max_batches and batches >= max_batches):
             break
     remaining = views.queue_depth(papers, spark.read.parquet(summaries_path)).first()["remaining"]
