@@ -3,11 +3,14 @@ so they stay inside whole-stage codegen; none needs a Python UDF."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values that must equal the source application's behavior.
 CONTROL_CHARS = "[\\x00-\\x08\\x0b-\\x0c\\x0e-\\x1f\\x7f-\\x9f]"  # deleted by the cleaner
+_CONTROL = "".join(chr(c) for c in range(0xa0) if re.match(CONTROL_CHARS, chr(c)))
 TITLE_CHARS = 100      # export truncation of titles
 OVERVIEW_CHARS = 200   # export truncation of overviews
 BODY_CHARS = 500       # export truncation of summaries and abstract
@@ -42,12 +45,12 @@ def drop_invalid_utf8(text) -> Column:
 def clean_text(text) -> Column:
     """Invalid UTF-8 dropped, control characters deleted, whitespace runs -> one
     space, ends stripped; NULL -> ''."""
-    t = drop_invalid_utf8(text)
-    t = F.regexp_replace(t, CONTROL_CHARS, "")
-    # whitespace runs -> one space: map every whitespace character to ' ' (translate is
-    # a per-character lookup, no regex), then collapse runs of spaces
-    other = PY_SPACE_CHARS.replace(" ", "")
-    t = F.regexp_replace(F.translate(t, other, " " * len(other)), "  +", " ")
+    # One look-up per character, no regex: white space becomes ' ', and translate deletes the
+    # characters that have no counterpart. Control characters go first, so those of them that
+    # are white space too are deleted.
+    other = "".join(c for c in PY_SPACE_CHARS if c != " " and c not in _CONTROL)
+    t = F.translate(drop_invalid_utf8(text), other + _CONTROL, " " * len(other))
+    t = F.when(F.contains(t, F.lit("  ")), F.regexp_replace(t, "  +", " ")).otherwise(t)
     return F.coalesce(F.trim(t), F.lit(""))
 
 
