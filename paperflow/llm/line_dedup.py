@@ -1,17 +1,21 @@
 """Line dedup: repeated passages of two lines or more removed.
 
-``passage_dedup`` (the query and the pipeline's stage) compares every window of two neighbouring
-lines with a word, by digest and then byte for byte, so a repeated passage is found whole, up to
-the lines where the texts differ. Of equal windows the first (smallest doc_id, then position)
-stays, with both its lines; the lines of the others are removed from their texts.
-
-``line_dedup`` compares whole content-defined chunks only: a text's lines are hashed, and a rolling
+``passage_dedup`` (the query and the pipeline's stage) cuts texts into content-defined chunks: a
+chunk ends where a rolling hash over the last 32 bytes is 0 in its upper bits, and at the end of its
+line, so that equal lines have equal chunks whatever stands around them. Chunks whose digest is found
+more than once are the seeds; a line all of whose chunks are seeds is extended to the neighbouring
+line of that kind, and such windows of two lines are compared byte for byte. A repeated passage is
+so found whole, up to the lines where the texts differ. Of equal windows the first (smallest doc_id,
+then position) stays, with both its lines; the lines of the others are removed from their texts.
+
+``line_dedup`` compares whole chunks of several lines only: a text's lines are hashed, and a rolling
 hash over the last two line hashes decides where a chunk ends. The lines at both ends of a passage
 share a chunk with foreign lines there, and stay.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -25,6 +29,9 @@ DIVISOR, LEAST, MOST = 2, 2, 32
 #: A removed run of lines has so many words in the query and in the pipeline's stage: short lines that texts
 #: share by chance ("Yes.", "No.") stay.
 LEAST_WORDS = 10
+#: A chunk inside a line has LEAST_BYTES bytes or more, and ends where the upper CUT_BITS bits of the rolling hash are 0.
+LEAST_BYTES, CUT_BITS = 128, 9
+_GEAR = np.array([xxhash.xxh32_intdigest(bytes([b])) for b in range(256)], np.uint32)
 _POSITION = "decimal(38,0)"
 
 
@@ -145,31 +152,65 @@ def windows(lines: list[bytes]) -> list[tuple[int, int]]:
     return [(a, b + 1) for a, b in zip(at, at[1:])]
 
 
-def window_table(docs: DataFrame, digest) -> DataFrame:
-    """_doc, _key, no and h of every window."""
+def boundaries(text: bytes) -> list[int]:
+    """Where the rolling (gear) hash of the 32 bytes before is 0 in its upper bits, in order."""
+    if len(text) <= LEAST_BYTES:
+        return []
+    rolled = _GEAR[np.frombuffer(text, np.uint8)]
+    for step in (1, 2, 4, 8, 16):  # sums over 2, 4, ... 32 bytes, each byte shifted by its distance
+        longer = rolled.copy()
+        longer[step:] += rolled[:-step] << np.uint32(step)
+        rolled = longer
+    return (np.flatnonzero(rolled >> np.uint32(32 - CUT_BITS) == 0) + 1).tolist()
+
+
+def line_chunks(text: bytes) -> list[list[bytes]]:
+    """The content-defined chunks of every line with a word; they add up to the line.
+
+    A boundary lies LEAST_BYTES or more behind the line's beginning, so the hash never sees another line.
+    """
+    out, cuts, k, start = [], boundaries(text), 0, 0
+    for line in text.split(b"\n"):
+        end = start + len(line)
+        if line.strip():
+            own, begun = [], start
+            while k < len(cuts) and cuts[k] < end:
+                if cuts[k] - begun >= LEAST_BYTES:
+                    own.append(text[begun:cuts[k]])
+                    begun = cuts[k]
+                k += 1
+            own.append(text[begun:end])
+            out.append(own)
+        start = end + 1
+    return out
+
+
+def line_chunk_table(docs: DataFrame, digest) -> DataFrame:
+    """_doc, _key, no (line), part (chunk in the line), parts (of the line) and h of every chunk."""
     def run(batches):
         for batch in batches:
-            at, nos, found = [], [], []
+            at, nos, part, parts, found = [], [], [], [], []
             for k, value in enumerate(batch.column(2)):
-                lines = value.as_py().split(b"\n")
-                own = [digest(b"\n".join(lines[a:b])) for a, b in windows(lines)]
-                at += [k] * len(own)
-                nos += range(len(own))
-                found += own
+                for no, own in enumerate(line_chunks(value.as_py())):
+                    at += [k] * len(own)
+                    nos += [no] * len(own)
+                    part += range(len(own))
+                    parts += [len(own)] * len(own)
+                    found += map(digest, own)
             at = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(nos, pa.int64()), pa.array(found, pa.binary())],
-                ["_doc", "_key", "no", "h"])
+                [batch.column(0).take(at), batch.column(1).take(at), *(pa.array(x, pa.int32()) for x in (nos, part, parts)),
+                 pa.array(found, pa.binary())], ["_doc", "_key", "no", "part", "parts", "h"])
 
     return keyed(docs).select("_doc", "_key", F.coalesce("text", F.lit("")).cast("binary")).mapInArrow(
-        run, "_doc decimal(20,0), _key long, no long, h binary")
+        run, "_doc decimal(20,0), _key long, no int, part int, parts int, h binary")
 
 
-def repeated_windows(docs: DataFrame, digest) -> DataFrame:
-    """_doc, _key, no, h and bytes of the windows whose digest is found more than once."""
-    every = staged_once(window_table(docs, digest), "line-digests")
+def seeded_windows(docs: DataFrame, digest) -> DataFrame:
+    """_doc, _key, no, h and bytes of the windows of two lines all of whose chunks have a digest found more than once."""
+    every = staged_once(line_chunk_table(docs, digest), "line-chunks")
     often = every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-    hits = every.join(often, "h").groupBy("_doc", "_key").agg(F.collect_set(F.struct("no", "h")).alias("hits"))
+    seeds = every.join(often, "h").groupBy("_doc", "_key").agg(F.collect_set(F.struct("no", "part", "parts")).alias("seeds"))
     texts = keyed(docs).select("_doc", "_key", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
 
     def run(batches):
@@ -178,18 +219,22 @@ def repeated_windows(docs: DataFrame, digest) -> DataFrame:
             for k, value in enumerate(batch.column(2)):
                 lines = value.as_py().split(b"\n")
                 own = windows(lines)
-                for hit in batch.column(3)[k].as_py():
-                    a, b = own[hit["no"]]
-                    at.append(k)
-                    nos.append(hit["no"])
-                    digests.append(hit["h"])
-                    found.append(b"\n".join(lines[a:b]))
+                missing: dict[int, int] = {}
+                for seed in batch.column(3)[k].as_py():
+                    missing[seed["no"]] = missing.get(seed["no"], seed["parts"]) - 1
+                for no in sorted(missing):
+                    if missing[no] == 0 and missing.get(no + 1) == 0:
+                        a, b = own[no]
+                        at.append(k)
+                        nos.append(no)
+                        found.append(b"\n".join(lines[a:b]))
+                        digests.append(digest(found[-1]))
             at = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(at), batch.column(1).take(at), pa.array(nos, pa.int64()),
                  pa.array(digests, pa.binary()), pa.array(found, pa.binary())], ["_doc", "_key", "no", "h", "bytes"])
 
-    return texts.join(hits, ["_doc", "_key"]).select("_doc", "_key", "text", "hits").mapInArrow(
+    return texts.join(seeds, ["_doc", "_key"]).select("_doc", "_key", "text", "seeds").mapInArrow(
         run, "_doc decimal(20,0), _key long, no long, h binary, bytes binary")
 
 
@@ -197,7 +242,7 @@ def repeats(docs: DataFrame, digest) -> DataFrame:
     """_doc, _key, the windows that repeat an earlier one, those that are repeated later and stay,
     and the doc_ids where the first copies stand."""
     position = (F.col("_doc") * F.lit(1 << 32) + F.col("no")).cast(_POSITION)
-    found = staged_once(repeated_windows(docs, digest), "line-windows")
+    found = staged_once(seeded_windows(docs, digest), "line-windows")
     by_bytes = found.groupBy("h", "bytes").agg(F.min(position).alias("first"), F.count(F.lit(1)).alias("n"))
     # Of a digest that stands for different bytes nothing is removed.
     certain = by_bytes.groupBy("h").agg(
