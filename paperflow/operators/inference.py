@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import time
 from collections import deque
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperflow.functions.dates import ntz_lit, run_time
@@ -29,6 +30,9 @@ MAX_ATTEMPTS = 3
 ERROR_TITLE = "Error during processing"
 ERROR_SUMMARY = "Summary generation failed"
 
+#: Prompts of an Arrow batch. A worker holds a batch several times over (Arrow, pandas, the answers), whole texts each.
+BATCH_ROWS = 128
+
 CALL_SCHEMA = "id long, prompt string, attempt int, response string, error string"
 
 
@@ -81,6 +85,18 @@ def call_lanes(parallelism: int, calls_per_minute: int | None) -> tuple[int, int
     return lanes, calls_per_minute // lanes
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside hand their Python workers BATCH_ROWS rows at a time, however many a lane has."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def summarize(prompts: DataFrame, fn: Callable[[str, int], str], max_attempts: int = MAX_ATTEMPTS,
               calls_per_minute: int | None = None, lanes: int | None = None) -> DataFrame:
     """M1: ``prompts`` (id, prompt) -> one row per id with ``ok``, ``attempts``, the six
@@ -101,7 +117,8 @@ def summarize(prompts: DataFrame, fn: Callable[[str, int], str], max_attempts: i
         # Parse in the same stage as the calls, then cut the lineage: later filters read
         # the checkpoint (no regex re-evaluation, no repeated model calls). The prompt is
         # kept only for rows that need another attempt, so retries never recompute it.
-        parsed = parsed.withColumn("prompt", F.when(~F.col("ok"), F.col("prompt"))).checkpoint(eager=True)
+        with small_batches(spark):
+            parsed = parsed.withColumn("prompt", F.when(~F.col("ok"), F.col("prompt"))).checkpoint(eager=True)
         last = attempt == max_attempts
         finished = parsed if last else parsed.filter("ok")
         done = finished if done is None else done.unionByName(finished)
