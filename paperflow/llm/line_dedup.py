@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperflow.llm.common import staged_once
+from paperflow.llm.common import pieces, small_batches, staged_once
 
 #: A chunk ends behind a line whose rolling hash is 0 modulo DIVISOR, with LEAST to MOST lines.
 DIVISOR, LEAST, MOST = 2, 2, 32
@@ -208,7 +208,8 @@ def line_chunk_table(docs: DataFrame, digest) -> DataFrame:
 
 def seeded_windows(docs: DataFrame, digest) -> DataFrame:
     """_doc, _key, no, h and bytes of the windows of two lines all of whose chunks have a digest found more than once."""
-    every = staged_once(line_chunk_table(docs, digest), "line-chunks")
+    with small_batches(docs.sparkSession):
+        every = staged_once(line_chunk_table(docs, digest), "line-chunks")
     often = every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
     seeds = every.join(often, "h").groupBy("_doc", "_key").agg(F.collect_set(F.struct("no", "part", "parts")).alias("seeds"))
     texts = keyed(docs).select("_doc", "_key", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
@@ -242,7 +243,9 @@ def repeats(docs: DataFrame, digest) -> DataFrame:
     """_doc, _key, the windows that repeat an earlier one, those that are repeated later and stay,
     and the doc_ids where the first copies stand."""
     position = (F.col("_doc") * F.lit(1 << 32) + F.col("no")).cast(_POSITION)
-    found = staged_once(seeded_windows(docs, digest), "line-windows")
+    seeded = seeded_windows(docs, digest)
+    with small_batches(docs.sparkSession):
+        found = staged_once(seeded, "line-windows")
     by_bytes = found.groupBy("h", "bytes").agg(F.min(position).alias("first"), F.count(F.lit(1)).alias("n"))
     # Of a digest that stands for different bytes nothing is removed.
     certain = by_bytes.groupBy("h").agg(
@@ -271,16 +274,18 @@ def passage_dedup(docs: DataFrame, digest=digest128, least_words: int = 0) -> Da
     gone = repeats(docs.select("doc_id", "text"), digest)
     rows = keyed(docs.select("doc_id", "text", F.struct("*").alias("row")))
     joined = rows.join(gone, ["_doc", "_key"], "left").select(
-        "row", F.col("row.text").cast("binary").alias("text"), "_gone", "_stay", F.col("_origins").cast("array<long>").alias("_origins"))
+        "row", "_gone", "_stay", F.col("_origins").cast("array<long>").alias("_origins"))
+    text_at = [c.lower() for c in docs.columns].index("text")
 
     def run(batches):
-        for batch in batches:
-            texts, runs, cut = batch.column(1).to_pylist(), [], []
-            gone, stay = batch.column(2), batch.column(3)
+        for batch in pieces(batches):
+            # A text travels once, in its row, and comes back a second time only if it was cut.
+            whole, texts, runs, cut = batch.column(0).field(text_at).cast(pa.binary()), [None] * batch.num_rows, [], []
+            gone, stay = batch.column(1), batch.column(2)
             for k in range(batch.num_rows):
                 kept: list[list[int]] = []
                 if gone[k].is_valid:
-                    lines = texts[k].split(b"\n")
+                    lines = whole[k].as_py().split(b"\n")
                     own = windows(lines)
                     out = {x for no in gone[k].as_py() for x in range(*own[no])}
                     out.difference_update(x for no in stay[k].as_py() for x in range(*own[no]))
@@ -297,7 +302,7 @@ def passage_dedup(docs: DataFrame, digest=digest128, least_words: int = 0) -> Da
                 runs.append(len(kept))
                 cut.append(sum(map(len, kept)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(texts, pa.binary()), pa.array(runs, pa.int64()), pa.array(cut, pa.int64()), batch.column(4)],
+                [batch.column(0), pa.array(texts, pa.binary()), pa.array(runs, pa.int64()), pa.array(cut, pa.int64()), batch.column(3)],
                 ["row", "text", *added])
 
     kinds = (T.BinaryType(), T.LongType(), T.LongType(), T.ArrayType(T.LongType()))

@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperflow.llm.common import staged, words_of
@@ -68,12 +69,19 @@ def keyed(docs: DataFrame, seed: int) -> DataFrame:
     return docs.withColumns({"_size": F.size(words_of(F.col("text"))).cast("long"), "_at": at})
 
 
+def small_table(spark: SparkSession, rows: list[tuple], kinds: dict[str, pa.DataType]) -> DataFrame:
+    """``rows`` as a table, handed over as Arrow data: rows of Python objects would go through Python workers of
+    their own on the executors, which stay in memory beside the others."""
+    fields = pa.schema(list(kinds.items()))
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(kinds, r)) for r in rows], fields))
+
+
 def top_up(narrow: DataFrame, names: list, cut: list[int], reach: list[int], gap: list[float]) -> tuple[list[list[int]], list[float]]:
     """For every source positions from its cut up to ``reach`` that fill the gap left there, the largest first
     if they fit; and what stays open."""
     spark = narrow.sparkSession
-    todo = spark.createDataFrame([(k, names[k], cut[k], reach[k], float(gap[k])) for k in range(len(names)) if gap[k] >= 1],
-                                 "_s int, source string, _low long, _high long, _gap double")
+    todo = small_table(spark, [(k, names[k], cut[k], reach[k], float(gap[k])) for k in range(len(names)) if gap[k] >= 1],
+                       {"_s": pa.int32(), "source": pa.string(), "_low": pa.int64(), "_high": pa.int64(), "_gap": pa.float64()})
     here = narrow.join(todo, narrow["source"].eqNullSafe(todo["source"])).filter("_at >= _low and _at < _high")
     each = here.groupBy("_s", "_at", "_gap").agg(F.sum("_size").alias("words"))  # repeated rows share a position
 
@@ -102,10 +110,10 @@ def find_cuts(narrow: DataFrame, names: list, wanted: dict[int, tuple[int, float
     spark = narrow.sparkSession
     low, width = {k: w[0] for k, w in wanted.items()}, _SPAN
     below, open_ = dict.fromkeys(wanted, 0.0), list(wanted)
-    kind = "_s int, source string, _low long, _width long, _need double, _most long"
+    kinds = {"_s": pa.int32(), "source": pa.string(), "_low": pa.int64(), "_width": pa.int64(), "_need": pa.float64(), "_most": pa.int64()}
     while width > 1 and open_:
         width = max(1, width // CELLS)
-        cells = spark.createDataFrame([(k, names[k], low[k], width, float(wanted[k][1] - below[k]), wanted[k][3]) for k in open_], kind)
+        cells = small_table(spark, [(k, names[k], low[k], width, float(wanted[k][1] - below[k]), wanted[k][3]) for k in open_], kinds)
         here = narrow.join(cells, narrow["source"].eqNullSafe(cells["source"])).filter(
             (F.col("_at") >= F.col("_low")) & (F.col("_at") < F.col("_low") + F.lit(width * CELLS)) & (F.col("_size") <= F.col("_most")))
         found = here.groupBy("_s", "_need", F.expr("(_at - _low) div _width").alias("cell")).agg(F.sum("_size").alias("words"))
@@ -168,10 +176,12 @@ def source_plan(narrow: DataFrame, shards: int, seed: int):
     quotas = np.array([p * b + -(-c * b // _SPAN) for p, c, b in zip(passes, low, blocks)], np.int64)
     split = splitting_tree(quotas, shards, np.random.default_rng(seed)) if len(names) else np.zeros((shards, 0), int)
     bounds = np.cumsum(split, axis=0)
-    out = [(names[k], sizes[k], goal[k], passes[k], low[k], extra[k], more[k], blocks[k], [int(x) for x in bounds[:, k]]) for k in range(len(names))]
-    return spark.createDataFrame(
-        out, "_source string, source_size long, target double, _passes int, _cut long, _extra array<long>, "
-             "_more array<struct<low:long,high:long,most:long>>, _blocks int, _bounds array<int>")
+    ranges = [[dict(zip(("low", "high", "most"), r)) for r in own] for own in more]
+    out = [(names[k], sizes[k], goal[k], passes[k], low[k], extra[k], ranges[k], blocks[k], [int(x) for x in bounds[:, k]]) for k in range(len(names))]
+    whole = pa.struct([(c, pa.int64()) for c in ("low", "high", "most")])
+    return small_table(spark, out, {
+        "_source": pa.string(), "source_size": pa.int64(), "target": pa.float64(), "_passes": pa.int32(), "_cut": pa.int64(),
+        "_extra": pa.list_(pa.int64()), "_more": pa.list_(whole), "_blocks": pa.int32(), "_bounds": pa.list_(pa.int32())})
 
 
 def placed(docs: DataFrame, plan: DataFrame, seed: int, size: Column) -> DataFrame:

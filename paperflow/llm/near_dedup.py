@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperflow.llm.common import staged
+from paperflow.llm.common import small_batches, staged
 
 #: Words per shingle, minwise tokens per text, trees, tokens on a path.
 SHINGLE, TOKENS, TREES, DEPTH = 4, 64, 12, 3
@@ -264,9 +264,9 @@ def connected(near: np.ndarray) -> np.ndarray:
         label = best
 
 
-def confirm(table: pa.Table, length: int = SHINGLE):
+def confirm(table: pa.Table, length: int, hashes: WordHashes):
     """Exact links of a node's texts on their whole sets: the edges of a spanning forest."""
-    hashes, left, right = WordHashes(), [], []
+    left, right = [], []
     digests, texts = table["digest"].to_pylist(), table["text"]
     for _, a, b in groups(table):
         sets = []
@@ -343,6 +343,12 @@ def near_groups(docs: DataFrame, length: int = SHINGLE) -> DataFrame:
     doc_id is kept only in a component without other ids. Repeated rows get equal answers; an
     empty table gives no rows; other columns are not read.
     """
+    with small_batches(docs.sparkSession):
+        return grouped(docs, length)
+
+
+def grouped(docs: DataFrame, length: int) -> DataFrame:
+    """The work of ``near_groups``. All its Python steps end in staged tables, only joins of those are left to do."""
     every = staged(prints(docs, length), "near-prints")
     classes = every.filter("n_shingles > 0").groupBy("digest").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("row"),
@@ -358,7 +364,7 @@ def near_groups(docs: DataFrame, length: int = SHINGLE) -> DataFrame:
     fetched = docs.select(F.col("doc_id").alias("_id"), F.xxhash64(raw).alias("key"), raw.alias("text"))
     texts = wanted.join(fetched, (wanted["key"] == fetched["key"]) & wanted["doc_id"].eqNullSafe(fetched["_id"]))
     texts = staged(texts.select("digest", "text").distinct(), "near-texts")
-    links = partial(confirm, length=length)
+    links = partial(confirm, length=length, hashes=WordHashes())  # every task has words of its own
     labels = components(by_node(parts.join(texts, "digest"), links, "a binary, b binary"))
     rest = open_crowds(crowds, classes, labels)
     more = staged(by_node(rest.join(texts, "digest"), links, "a binary, b binary"), "near-links")

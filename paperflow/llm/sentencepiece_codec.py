@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 
 SPACE = "▁"  # stands for a space inside pieces
 #: Bounds of the remembered pairs and words, and the longest word remembered.
-PAIRS, SEGMENTS, LONGEST = 300_000, 200_000, 48
+PAIRS, SEGMENTS, LONGEST = 300_000, 100_000, 48
 
 
 class Automaton:
